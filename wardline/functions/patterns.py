@@ -8,6 +8,11 @@ space = any Unicode space or an information separator; ``.`` = all but line feed
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 _WORD = r"\p{L}\p{N}_"
 _SPACE = r"\s\x1c-\x1f"
@@ -20,7 +25,11 @@ def _boundary(pattern: str, at: int) -> str:
     follows = pattern[at + 2:at + 3]
     if pattern[at - 1:at] == "}":
         return _EITHER          # what precedes may end in a separator
-    return _AFTER if follows in ("", ".", "|", ")") else _BEFORE
+    if follows in ("", ".", "|", ")"):
+        return _AFTER
+    # test for a digit first: most positions fail there without looking back
+    digit_led = re.match(r"\\b(\(\?:)?\\d", pattern[at:])
+    return rf"(?=\d){_BEFORE}" if digit_led else _BEFORE
 
 
 def jvm(pattern: str, ignore_case: bool = False) -> str:
@@ -54,5 +63,34 @@ def jvm(pattern: str, ignore_case: bool = False) -> str:
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
 
 
+# Letters outside ASCII that equal an ASCII letter when case is ignored, but whose lower
+# case is not that letter: long s, dotless i, capital dotted i.
+_ODD_CASE = ("\u017f", "\u0131", "\u0130")
+
+
+def folded(text: Column) -> Column:
+    """What case-insensitive fragment search needs, to be computed once per text.
+
+    ``lower`` is the text in lower case; ``odd`` tells that it holds an odd-case letter,
+    for which lower case is no proof, so the pattern itself has to decide.
+    """
+    odd = reduce(lambda a, b: a | b, [F.contains(text, F.lit(c)) for c in _ODD_CASE])
+    return F.struct(F.lower(text).alias("lower"), odd.alias("odd"))
+
+
+def may_match(text: Column, needs: Sequence[Sequence[str]], fold: Column | None = None) -> Column:
+    """Cheap necessary condition of a pattern, by plain substring search.
+
+    Substring search costs a fraction of a regular expression, and most texts hold none of
+    the fragments. Given ``fold``, the fragments (in lower case) are searched ignoring case.
+    """
+    where = text if fold is None else fold["lower"]
+    found = [reduce(lambda a, b: a & b, [F.contains(where, F.lit(f)) for f in fragments])
+             for fragments in needs]
+    if fold is not None:
+        found.append(fold["odd"])
+    return reduce(lambda a, b: a | b, found)
+
+
 def literal(text: str) -> str:
     return re.escape(text)

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
 from wardline.functions.exprs import bind, empty_array
-from wardline.functions.patterns import jvm
+from wardline.functions.patterns import folded, jvm, may_match
 
 DETECTION = "struct<data_class:string,snippet:string,confidence:string,reason:string>"
 SPAN = "struct<start:int,stop:int,label:string>"
@@ -22,15 +24,24 @@ MERGED_SPAN = "struct<start:int,stop:int,labels:array<string>>"
 
 _CARD = jvm(reg.CARD_PATTERN)
 _SSN = jvm(reg.SSN_PATTERN)
-_SECRETS = [(label, jvm(pattern, ignore_case)) for label, pattern, ignore_case in reg.SECRET_RULES]
-# class -> (pattern, longest snippet, reason); only the first match counts
+# both number patterns begin with a digit and go on with at least ten of these
+_NUMBER_RUN = r"(?U)\d[\d -]{10}"
+
+
+def _each(terms: Sequence[str]) -> tuple[tuple[str], ...]:
+    return tuple((t,) for t in terms)
+
+
+# class -> (pattern, ignore case, needs, longest snippet, reason); only the first match counts
 _FIRST_MATCH = (
-    ("sensitive", jvm(reg.SENSITIVE_PATTERN, True), None,
+    ("sensitive", reg.SENSITIVE_PATTERN, True, _each(reg.SENSITIVE_TERMS), None,
      "sensitive record / note about a person"),
-    ("customer", jvm(reg.CUSTOMER_PATTERN, True), None, "customer / account context"),
-    ("prod_log", jvm(reg.PROD_LOG_PATTERN, True), reg.MARKER_LENGTH,
+    ("customer", reg.CUSTOMER_PATTERN, True, _each(reg.CUSTOMER_TERMS), None,
+     "customer / account context"),
+    ("prod_log", reg.PROD_LOG_PATTERN, True, reg.PROD_LOG_NEEDS, reg.MARKER_LENGTH,
      "production log / stack trace"),
-    ("source_code", jvm(reg.SOURCE_CODE_PATTERN), reg.MARKER_LENGTH, "source-code context"),
+    ("source_code", reg.SOURCE_CODE_PATTERN, False, reg.SOURCE_CODE_NEEDS, reg.MARKER_LENGTH,
+     "source-code context"),
 )
 _NON_ASCII_DIGITS = [
     c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"
@@ -49,7 +60,6 @@ def match_spans(text: Column, pattern: str, label: str) -> Column:
     The engine returns matches without positions, but the gaps between matches are
     what ``split`` returns, so a running length over both gives each position.
     """
-    gaps = F.split(text, pattern, -1)
     state = f"struct<n:int,pos:int,found:array<{SPAN}>>"
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("pos"),
                      empty_array(SPAN).alias("found")).cast(state)
@@ -61,18 +71,46 @@ def match_spans(text: Column, pattern: str, label: str) -> Column:
         return F.struct((acc["n"] + 1).alias("n"), end.alias("pos"),
                         F.concat(acc["found"], F.array(span)).alias("found")).cast(state)
 
-    pairs = F.zip_with(
-        all_matches(text, pattern), gaps,
-        lambda hit, gap: F.struct(hit.alias("hit"), gap.alias("gap")))
-    # there is one more gap than matches; the last pair has no match
-    hits = F.filter(pairs, lambda p: p["hit"].isNotNull())
-    found = F.aggregate(hits, start, step, lambda acc: acc["found"])
-    return F.when(F.rlike(text, F.lit(pattern)), found).otherwise(empty_array(SPAN))
+    def positions(hits: Column) -> Column:
+        # there is one more gap than matches; the last pair has no match
+        pairs = F.zip_with(hits, F.split(text, pattern, -1),
+                           lambda hit, gap: F.struct(hit.alias("hit"), gap.alias("gap")))
+        matched = F.filter(pairs, lambda p: p["hit"].isNotNull())
+        found = F.aggregate(matched, start, step, lambda acc: acc["found"])
+        return F.when(F.size(hits) > 0, found).otherwise(empty_array(SPAN))
+
+    return bind(all_matches(text, pattern), positions)
+
+
+def with_fold(text: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the case-folded view of the text, which is computed once."""
+    return bind(folded(text), body)
+
+
+def rule_applies(text: Column, fold: Column, ignore_case: bool,
+                 needs: Sequence[Sequence[str]]) -> Column:
+    return may_match(text, needs, fold if ignore_case else None)
+
+
+def _secret_spans(text: Column, fold: Column) -> Column:
+    spans = [
+        F.when(rule_applies(text, fold, ignore_case, needs),
+               match_spans(text, jvm(pattern, ignore_case), label)).otherwise(empty_array(SPAN))
+        for label, pattern, ignore_case, needs in reg.SECRET_RULES]
+    return F.sort_array(F.concat(*spans))
 
 
 def secret_spans(text: Column) -> Column:
     """All spans of all secret rules, ordered by (start, stop, label)."""
-    return F.sort_array(F.concat(*[match_spans(text, p, label) for label, p in _SECRETS]))
+    return with_fold(text, lambda fold: _secret_spans(text, fold))
+
+
+def has_secret(text: Column, fold: Column) -> Column:
+    """Whether any secret rule matches, without positions."""
+    return reduce(lambda a, b: a | b, [
+        rule_applies(text, fold, ignore_case, needs)
+        & F.rlike(text, F.lit(jvm(pattern, ignore_case)))
+        for _, pattern, ignore_case, needs in reg.SECRET_RULES])
 
 
 def merge_spans(spans: Column) -> Column:
@@ -103,12 +141,16 @@ def _detection(data_class: str, snippet: Column, confidence: str, reason: Column
                     F.lit(confidence).alias("confidence"), reason.alias("reason"))
 
 
-def secret_detections(text: Column) -> Column:
-    return F.transform(merged_secret_spans(text), lambda s: _detection(
+def _secret_detections(text: Column, fold: Column) -> Column:
+    return F.transform(merge_spans(_secret_spans(text, fold)), lambda s: _detection(
         "secret", F.substring(text, s["start"] + 1, s["stop"] - s["start"]), "high",
         F.concat(F.array_join(s["labels"], " + "), F.lit(" present in prompt"))))
 
 
+def secret_detections(text: Column) -> Column:
+    return with_fold(text, lambda fold: _secret_detections(text, fold))
+
+
 def ascii_digits(value: Column) -> Column:
     """Only the decimal digits of ``value``, those of other scripts turned into 0-9."""
     plain = F.translate(value, _DIGIT_FROM, _DIGIT_TO)
@@ -122,8 +164,14 @@ def is_luhn_valid(number: Column) -> Column:
                 lambda d: F.length(d).between(13, 19) & F.call_function("luhn_check", d))
 
 
+def _number_like(text: Column, matches: Column) -> Column:
+    """``matches``, sought only where a digit starts a long run of digits and separators."""
+    return (F.when(F.rlike(text, F.lit(_NUMBER_RUN)), matches)
+            .otherwise(F.array().cast("array<string>")))
+
+
 def card_candidates(text: Column) -> Column:
-    return all_matches(text, _CARD)
+    return _number_like(text, all_matches(text, _CARD))
 
 
 def card_detections(text: Column) -> Column:
@@ -132,29 +180,36 @@ def card_detections(text: Column) -> Column:
 
 
 def ssn_detections(text: Column) -> Column:
-    return F.transform(all_matches(text, _SSN),
+    return F.transform(_number_like(text, all_matches(text, _SSN)),
                        lambda m: _detection("pii", m, "high", F.lit("SSN pattern")))
 
 
-def first_match_detections(text: Column, *classes: str) -> Column:
-    """First match of each term class, in class order; all four when none is named."""
-    wanted = [rule for rule in _FIRST_MATCH if not classes or rule[0] in classes]
+def _first_match_detections(text: Column, fold: Column, classes: Sequence[str]) -> Column:
     found = []
-    for data_class, pattern, longest, reason in wanted:
-        snippet = F.regexp_extract(text, pattern, 0)
+    for data_class, pattern, ignore_case, needs, longest, reason in _FIRST_MATCH:
+        if classes and data_class not in classes:
+            continue
+        snippet = F.regexp_extract(text, jvm(pattern, ignore_case), 0)
         if longest:
             snippet = F.substring(snippet, 1, longest)
+        snippet = F.when(rule_applies(text, fold, ignore_case, needs), snippet).otherwise("")
         found.append(_detection(data_class, snippet, "medium", F.lit(reason)))
     return F.filter(F.array(*found), lambda d: d["snippet"] != "")
 
 
+def first_match_detections(text: Column, *classes: str) -> Column:
+    """First match of each term class, in class order; all four when none is named."""
+    return with_fold(text, lambda fold: _first_match_detections(text, fold, classes))
+
+
 def classify(text: Column) -> Column:
     """Everything sensitive in ``text``, most severe class first.
 
     The parts are concatenated in severity order, so no sort is needed.
     """
-    return F.concat(secret_detections(text), card_detections(text), ssn_detections(text),
-                    first_match_detections(text))
+    return with_fold(text, lambda fold: F.concat(
+        _secret_detections(text, fold), card_detections(text), ssn_detections(text),
+        _first_match_detections(text, fold, ())))
 
 
 def value_token(data_class: Column, value: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardline import registries as reg
 from wardline.functions import text
 from wardline.functions.exprs import compact
-from wardline.functions.patterns import jvm
+from wardline.functions.patterns import jvm, may_match
 
 _REVEAL = jvm(reg.REVEAL_PATTERN, True)
 _TOOL_CALL = jvm(reg.TOOL_CALL_PATTERN, True)
@@ -18,13 +18,18 @@ _TOOL_CALL = jvm(reg.TOOL_CALL_PATTERN, True)
 
 def injection_findings(prompt: Column) -> Column:
     """One finding per rule that fires, in rule order, with its first match."""
-    rules = [
-        F.struct(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"),
-                 F.substring(F.regexp_extract(prompt, jvm(pattern, True), 0), 1,
-                             reg.INJECTION_SNIPPET_LENGTH).alias("snippet"))
-        for rule, severity, pattern in reg.INJECTION_RULES
-    ]
-    return F.filter(F.array(*rules), lambda r: r["snippet"] != "")
+    def findings(fold: Column) -> Column:
+        rules = []
+        for rule, severity, pattern, needs in reg.INJECTION_RULES:
+            snippet = F.substring(F.regexp_extract(prompt, jvm(pattern, True), 0), 1,
+                                  reg.INJECTION_SNIPPET_LENGTH)
+            rules.append(F.struct(
+                F.lit(rule).alias("rule"), F.lit(severity).alias("severity"),
+                F.when(may_match(prompt, needs, fold), snippet).otherwise("")
+                .alias("snippet")))
+        return F.filter(F.array(*rules), lambda r: r["snippet"] != "")
+
+    return text.with_fold(prompt, findings)
 
 
 def injection_rows(turns: DataFrame) -> DataFrame:
@@ -39,20 +44,22 @@ def leaks_data(output: Column) -> Column:
     Equivalent to classifying the output, but stops at the first class that is found
     and never computes the positions, merges and other classes it does not need.
     """
-    secret = F.lit(False)
-    for _, pattern, ignore_case in reg.SECRET_RULES:
-        secret = secret | F.rlike(output, F.lit(jvm(pattern, ignore_case)))
+    secret = text.with_fold(output, lambda fold: text.has_secret(output, fold))
     ssn = F.rlike(output, F.lit(jvm(reg.SSN_PATTERN)))
     card = F.exists(text.card_candidates(output), text.is_luhn_valid)
     return secret | ssn | card
 
 
 def reveals_instructions(output: Column) -> Column:
-    return F.rlike(output, F.lit(_REVEAL))
+    return text.with_fold(output, lambda fold: may_match(
+        output, reg.REVEAL_NEEDS, fold) & F.rlike(output, F.lit(_REVEAL)))
 
 
 def requested_tools(output: Column) -> Column:
-    return F.regexp_extract_all(output, F.lit(_TOOL_CALL), F.lit(1))
+    called = F.regexp_extract_all(output, F.lit(_TOOL_CALL), F.lit(1))
+    return text.with_fold(output, lambda fold: F.when(
+        may_match(output, reg.TOOL_CALL_NEEDS, fold), called)
+        .otherwise(F.array().cast("array<string>")))
 
 
 def unauthorized_tools(output: Column, allowed_tools: Sequence[str] | None) -> Column:

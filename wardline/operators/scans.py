@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from wardline import registries as reg
 from wardline.functions.exprs import compact, empty_array, lstrip, strip
-from wardline.functions.patterns import LINE_BREAK, jvm, literal
+from wardline.functions.patterns import LINE_BREAK, jvm, literal, may_match
 
 FINDING = "struct<rule:string,severity:string,line:int,snippet:string,message:string>"
 _AUTH = "|".join(literal(m) for m in reg.AUTH_MARKERS)
-_RULES = [(rule, severity, jvm(pattern, ignore_case), message)
-          for rule, severity, pattern, ignore_case, message in reg.SCAN_RULES]
+_RULES = [(rule, severity, jvm(pattern, ignore_case), needs, message)
+          for rule, severity, pattern, ignore_case, needs, message in reg.SCAN_RULES]
 
 
 def source_lines(content: Column) -> Column:
@@ -38,9 +38,9 @@ def line_findings(lines: Column) -> Column:
     """At most one finding per rule and line, by line, then in rule order."""
     def of_line(line: Column, index: Column) -> Column:
         return compact([
-            F.when(F.rlike(line, F.lit(pattern)),
+            F.when(may_match(line, needs) & F.rlike(line, F.lit(pattern)),
                    _finding(rule, severity, index + 1, line, message))
-            for rule, severity, pattern, message in _RULES])
+            for rule, severity, pattern, needs, message in _RULES])
 
     return F.flatten(F.transform(lines, of_line)).cast(f"array<{FINDING}>")
 

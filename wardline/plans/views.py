@@ -24,7 +24,7 @@ EXPIRED_BY = 10_000
 RECORDED_AT = "2026-06-24T00:00:00+00:00"
 GATE_DATE = dt.date(2026, 6, 24)
 PENTEST_TODAY = dt.date(1998, 6, 22)
-HISTORY_BEFORE = "2024-01-15 00:00:00"
+HISTORY_BEFORE = "2024-01-02 00:00:00"
 ALLOWED_TOOLS = ("search", "summarize")
 CHAIN_ROLES = ("human", "delivery-agent", "retrieval-agent")
 QUEUE_LENGTH = 50
