@@ -42,10 +42,24 @@ def differences(spark_rows, spark_columns, duck_rows, duck_columns):
     return f"rows {len(left)} / {len(right)}; first only in spark {only_left}; only in sql {only_right}"
 
 
+# the engines' names of the same types
+SAME_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN",
+             "double": "DOUBLE"}
+
+
+def type_differences(df, relation):
+    theirs = dict(zip(relation.columns, map(str, relation.types)))
+    return [f"{name}: {kind} / {theirs.get(name)}" for name, kind in df.dtypes
+            if SAME_TYPE.get(kind, kind) != theirs.get(name)]
+
+
 def compare(spark, con, folder, name, query, sql):
     df = query(spark, folder)
     relation = con.sql(sql)
     duck_columns = list(relation.columns)
+    types = type_differences(df, relation)
+    if types:
+        return f"types differ: {types}"
     return differences([tuple(r) for r in df.collect()], df.columns,
                        relation.fetchall(), duck_columns)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,20 @@ def constant_rows(names: Sequence[str], rows: Sequence[Sequence[object]]) -> Col
     ])
 
 
+def element_rows(df: DataFrame, keep: Sequence[str], array: Column, name: str,
+                 ordinal: str | None = None) -> DataFrame:
+    """One row per array element, with its 0-based ordinal if a name for it is given.
+
+    A plain ``explode`` makes the optimizer infer a filter on the array and push it below
+    the projections that build it, so that an expensive array is computed several times.
+    The outer form has no such filter; rows of empty arrays are dropped by position.
+    """
+    position = ordinal or "_position"
+    rows = (df.select(*keep, F.posexplode_outer(array).alias(position, name))
+            .filter(F.col(position).isNotNull()))
+    return rows if ordinal else rows.drop(position)
+
+
 def strip(value: Column) -> Column:
     return F.btrim(value, F.lit(PYTHON_WHITESPACE))
 
@@ -74,7 +88,8 @@ def utc_wall_clock(ts: Column, data_type: T.DataType) -> Column:
 
 def iso_utc(wall_clock: Column) -> Column:
     """ISO-8601 text of a UTC wall clock, microseconds only when present."""
-    seconds = F.date_format(wall_clock, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(wall_clock, "SSSSSS")
-    fraction = F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros))
-    return F.concat(seconds, fraction, F.lit("+00:00"))
+    def padded(clock: Column) -> Column:
+        whole = F.when(F.contains(clock, F.lit(".")), F.rpad(clock, 26, "0")).otherwise(clock)
+        return F.concat(whole, F.lit("+00:00"))
+
+    return bind(F.translate(wall_clock.cast("string"), " ", "T"), padded)

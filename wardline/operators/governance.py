@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from wardline import registries as reg
 from wardline.functions import text
-from wardline.functions.exprs import constant_rows, empty_array, lookup, string_array
+from wardline.functions.exprs import (constant_rows, element_rows, empty_array, lookup,
+                                      string_array)
 from wardline.functions.identity import verify_chain
 
 DECISION = "struct<action:string,data_class:string,reason:string>"
@@ -27,13 +28,12 @@ def with_detections(requests: DataFrame, column: str = "prompt") -> DataFrame:
 
 def detection_rows(requests: DataFrame, detections: Column, key: str = "request_id") -> DataFrame:
     """One row per detection with its 0-based ordinal."""
-    return (requests.select(key, F.posexplode(detections).alias("ordinal", "d"))
+    return (element_rows(requests, [key], detections, "d", "ordinal")
             .select(key, "ordinal", "d.data_class", "d.snippet", "d.confidence", "d.reason"))
 
 
 def secret_span_rows(requests: DataFrame) -> DataFrame:
-    return (requests.select("request_id", "prompt",
-                            F.explode(text.secret_spans(F.col("prompt"))).alias("s"))
+    return (element_rows(requests, ["request_id", "prompt"], text.secret_spans(F.col("prompt")), "s")
             .select("request_id", F.col("s.label").alias("rule"), F.col("s.start").alias("start_pos"),
                     F.col("s.stop").alias("end_pos"),
                     F.substring("prompt", F.col("s.start") + 1, F.col("s.stop") - F.col("s.start"))
@@ -41,17 +41,15 @@ def secret_span_rows(requests: DataFrame) -> DataFrame:
 
 
 def merged_span_rows(requests: DataFrame) -> DataFrame:
-    return (requests.select("request_id",
-                            F.explode(text.merged_secret_spans(F.col("prompt"))).alias("s"))
+    return (element_rows(requests, ["request_id"], text.merged_secret_spans(F.col("prompt")), "s")
             .select("request_id", F.col("s.start").alias("start_pos"),
                     F.col("s.stop").alias("end_pos"),
                     F.array_join("s.labels", " + ").alias("labels")))
 
 
 def card_candidate_rows(requests: DataFrame) -> DataFrame:
-    return (requests.select("request_id",
-                            F.posexplode(text.card_candidates(F.col("prompt")))
-                            .alias("ordinal", "candidate"))
+    return (element_rows(requests, ["request_id"], text.card_candidates(F.col("prompt")),
+                         "candidate", "ordinal")
             .withColumn("digits", text.ascii_digits(F.col("candidate")))
             .withColumn("luhn_valid", text.is_luhn_valid(F.col("candidate"))))
 
@@ -119,8 +117,7 @@ def with_decisions(requests: DataFrame, tools: Mapping[str, tuple] = reg.TOOLS)
 
 
 def decision_rows(requests: DataFrame) -> DataFrame:
-    return (with_decisions(requests)
-            .select("request_id", F.posexplode("decisions").alias("ordinal", "d"))
+    return (element_rows(with_decisions(requests), ["request_id"], F.col("decisions"), "d", "ordinal")
             .select("request_id", "ordinal", "d.action", "d.data_class", "d.reason"))
 
 
@@ -198,9 +195,9 @@ def audit_records(governed: DataFrame, recorded_at: Column) -> DataFrame:
 
 def vault_rows(requests: DataFrame) -> DataFrame:
     """Per request: each token it introduced and the value behind it."""
-    return (requests.select("request_id", F.explode(
-        text.vault_entries(text.classify(F.col("prompt")))).alias("v"))
-        .select("request_id", "v.token", "v.value"))
+    entries = text.vault_entries(F.col("detections"))
+    return (element_rows(with_detections(requests), ["request_id"], entries, "v")
+            .select("request_id", "v.token", "v.value"))
 
 
 def vault_table(requests: DataFrame) -> DataFrame:

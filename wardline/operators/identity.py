@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wardline import registries as reg
 from wardline.functions import identity as idn
+from wardline.functions.exprs import element_rows
 
 
 def with_minted_chain(requests: DataFrame, issued_at: Column, key: bytes, *,
@@ -19,12 +20,11 @@ def with_minted_chain(requests: DataFrame, issued_at: Column, key: bytes, *,
 
 
 def token_rows(requests: DataFrame) -> DataFrame:
-    return requests.select("seq", F.posexplode("chain_tokens").alias("hop_no", "token"))
+    return element_rows(requests, ["seq"], F.col("chain_tokens"), "token", "hop_no")
 
 
 def audience_rows(requests: DataFrame, hops: str = "actor_chain") -> DataFrame:
-    return requests.select("seq", F.posexplode(idn.audiences(F.col(hops)))
-                           .alias("hop_no", "audience"))
+    return element_rows(requests, ["seq"], idn.audiences(F.col(hops)), "audience", "hop_no")
 
 
 def signature_rows(tokens: DataFrame, key: bytes) -> DataFrame:

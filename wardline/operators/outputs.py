@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline import registries as reg
 from wardline.functions import text
-from wardline.functions.exprs import compact
+from wardline.functions.exprs import compact, element_rows
 from wardline.functions.patterns import jvm, may_match
 
 _REVEAL = jvm(reg.REVEAL_PATTERN, True)
@@ -33,8 +33,7 @@ def injection_findings(prompt: Column) -> Column:
 
 
 def injection_rows(turns: DataFrame) -> DataFrame:
-    return (turns.select("seq", F.posexplode(injection_findings(F.col("text")))
-                         .alias("ordinal", "f"))
+    return (element_rows(turns, ["seq"], injection_findings(F.col("text")), "f", "ordinal")
             .select("seq", "ordinal", "f.rule", "f.severity", "f.snippet"))
 
 
@@ -92,5 +91,5 @@ def output_verdicts(outputs: DataFrame, allowed_tools: Sequence[str] | None = No
 
 
 def unauthorized_tool_rows(outputs: DataFrame, allowed_tools: Sequence[str]) -> DataFrame:
-    return outputs.select("seq", F.posexplode(
-        unauthorized_tools(F.col("text"), allowed_tools)).alias("ordinal", "tool"))
+    return element_rows(outputs, ["seq"], unauthorized_tools(F.col("text"), allowed_tools),
+                        "tool", "ordinal")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import percent
+from wardline.functions.exprs import element_rows, percent
 
 
 def threat_coverage(threats: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def violations(threats: DataFrame) -> DataFrame:
                "invalid status"),
         broken(F.coalesce(F.trim("mitigation"), F.lit("")) == "", "blank mitigation"),
         broken(F.coalesce(F.trim("description"), F.lit("")) == "", "blank description")))
-    row_level = threats.select("org_id", "threat_id", F.explode(checks).alias("violation"))
+    row_level = element_rows(threats, ["org_id", "threat_id"], checks, "violation")
     repeated = (threats.groupBy("org_id", "threat_id").agg(F.count(F.lit(1)).alias("n"))
                 .filter(F.col("n") > 1)
                 .select("org_id", "threat_id", F.lit("duplicate id").alias("violation")))

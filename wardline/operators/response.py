@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import string_array
+from wardline.functions.exprs import element_rows, string_array
 
 ACTION = "struct<action:string,target:string,destructive:boolean,reason:string>"
 
@@ -65,7 +65,7 @@ def with_plan(detections: DataFrame, threshold: float = reg.DESTRUCTIVE_THRESHOL
 
 
 def plan_rows(detections: DataFrame) -> DataFrame:
-    return (with_plan(detections).select("seq", F.posexplode("plan").alias("ordinal", "a"))
+    return (element_rows(with_plan(detections), ["seq"], F.col("plan"), "a", "ordinal")
             .select("seq", "ordinal", "a.action", "a.target", "a.destructive", "a.reason"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import compact, empty_array, lstrip, strip
+from wardline.functions.exprs import compact, element_rows, empty_array, lstrip, strip
 from wardline.functions.patterns import LINE_BREAK, jvm, literal, may_match
 
 FINDING = "struct<rule:string,severity:string,line:int,snippet:string,message:string>"
@@ -86,7 +86,7 @@ def with_findings(files: DataFrame) -> DataFrame:
 
 
 def _rows(files: DataFrame, findings: Column) -> DataFrame:
-    return (files.select("path", F.posexplode(findings).alias("ordinal", "f"))
+    return (element_rows(files, ["path"], findings, "f", "ordinal")
             .select("path", "ordinal", "f.rule", "f.severity", "f.line", "f.snippet", "f.message"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import compact
+from wardline.functions.exprs import compact, element_rows
 
 
 def _finding(rule: str, severity: str, message: Column) -> Column:
@@ -54,8 +54,7 @@ RULES = (missing_authentication, missing_security_headers, error_leakage)
 def finding_rows(responses: DataFrame, rules: Sequence = RULES) -> DataFrame:
     """Findings of every response to a protected route; one scan for all rules."""
     found = compact([rule() for rule in rules])
-    return (responses.filter(protected())
-            .select("seq", "endpoint", F.explode(found).alias("f"))
+    return (element_rows(responses.filter(protected()), ["seq", "endpoint"], found, "f")
             .select("seq", "f.rule", "f.severity", "endpoint", "f.message"))
 
 

@@ -65,6 +65,11 @@ FROM (SELECT *, unnest(hits) AS hit, generate_subscripts(hits, 1) AS i
     string_split_regex(prompt, {regex(p, i)}) AS gaps FROM req))""" for label, p, i, _ in reg.SECRET_RULES)
 
 
+# \\b knows ASCII only here, so letters of all scripts become one ASCII letter for the
+# number patterns, which look at nothing but digits, separators and word boundaries
+_PLAIN = r"regexp_replace(prompt, '\p{L}', 'x', 'g')"
+
+
 def detections_with(source: str, key: str = "request_id", column: str = "prompt") -> str:
     """Common table expressions from ``req`` to ``det`` (all detections with their ordinal)."""
     first = []
@@ -96,7 +101,7 @@ labels AS (SELECT request_id, island, rule, min(nth) AS nth, min(start_pos) AS s
 merged AS (SELECT request_id, island, min(s) AS start_pos, max(e) AS end_pos,
   string_agg(rule, ' + ' ORDER BY nth) AS labels FROM labels GROUP BY request_id, island),
 cards AS (SELECT request_id, unnest(c) AS candidate, generate_subscripts(c, 1) AS nth
-  FROM (SELECT request_id, regexp_extract_all(prompt, {regex(reg.CARD_PATTERN)}, 0) AS c FROM req)),
+  FROM (SELECT request_id, regexp_extract_all({_PLAIN}, {regex(reg.CARD_PATTERN)}, 0) AS c FROM req)),
 digits AS (SELECT *, regexp_replace(candidate, '[^0-9]', '', 'g') AS digits FROM cards),
 luhn AS (SELECT *, length(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(
     range(1, length(digits) + 1), lambda k: CASE
@@ -111,7 +116,7 @@ SELECT m.request_id, 0 AS part, m.island AS nth, 'secret' AS data_class,
 UNION ALL SELECT request_id, 1, nth, 'pii', trim(candidate), 'high', 'Luhn-valid payment card number'
   FROM luhn WHERE luhn_valid
 UNION ALL SELECT request_id, 2, generate_subscripts(h, 1), 'pii', unnest(h), 'high', 'SSN pattern'
-  FROM (SELECT request_id, regexp_extract_all(prompt, {regex(reg.SSN_PATTERN)}, 0) AS h FROM req)
+  FROM (SELECT request_id, regexp_extract_all({_PLAIN}, {regex(reg.SSN_PATTERN)}, 0) AS h FROM req)
 UNION ALL {first_sql}),
 det AS (SELECT request_id, CAST(row_number() OVER (PARTITION BY request_id ORDER BY part, nth) - 1 AS INTEGER)
   AS ordinal, part, data_class, snippet, confidence, reason FROM found)"""
@@ -621,7 +626,7 @@ _INCIDENTS = f"""(SELECT seq, 'INC-' || substr(sha256(CAST(seq AS VARCHAR)), 1,
   FROM {view('detections')})"""
 _STEPS = values(["step_no", "minutes", "actor", "action", "evidence"],
                 [(n, *s) for n, s in enumerate(reg.PLAYBOOK, start=1)])
-_TIMELINE = f"""(SELECT seq, incident_id, step_no, ts, ts + to_minutes(minutes) AS at, actor, action, evidence
+_TIMELINE = f"""(SELECT seq, incident_id, step_no, ts, ts + to_minutes(minutes) AS step_at, actor, action, evidence
   FROM {_INCIDENTS}, {_STEPS})"""
 
 
@@ -631,13 +636,13 @@ def _iso(column: str) -> str:
 
 
 add("inc_1_timelines", f"""
-SELECT seq, incident_id, step_no, strftime(at, '%Y-%m-%d %H:%M:%S.%f') AS at, actor, action, evidence
+SELECT seq, incident_id, step_no, strftime(step_at, '%Y-%m-%d %H:%M:%S.%f') AS "at", actor, action, evidence
 FROM {_TIMELINE}""")
 add("inc_2_records", f"""
 SELECT seq, incident_id AS id, {text(reg.INCIDENT_TITLE)} AS title, 'Sev2' AS severity,
   {text(reg.SEVERITY_MEANING['Sev2'])} AS severity_meaning, {_iso('ts')} AS declared_at,
   'contained' AS status, {text('; '.join(f'{r}: {who}' for r, who in reg.INCIDENT_ROLES))} AS roles,
-  string_agg({_iso('at')} || ' | ' || actor || ' | ' || action || ' | ' || evidence, '; ' ORDER BY step_no) AS timeline,
+  string_agg({_iso('step_at')} || ' | ' || actor || ' | ' || action || ' | ' || evidence, '; ' ORDER BY step_no) AS timeline,
   {text('; '.join(reg.INCIDENT_FOLLOW_UPS))} AS postmortem_actions,
   {text(', '.join(reg.INCIDENT_EVIDENCE))} AS evidence_for
 FROM {_TIMELINE} GROUP BY seq, incident_id, ts""")

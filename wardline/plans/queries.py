@@ -92,7 +92,7 @@ def src_5_write_records(spark, folder):
 
 # --- prompt governance --------------------------------------------------------------------------
 def prompts(spark, folder):
-    return v.load(spark, folder, "requests")
+    return v.load_spread(spark, folder, "requests")
 
 
 @query
@@ -263,7 +263,7 @@ def idn_5_verified_chains(spark, folder):
 
 # --- model input and output -----------------------------------------------------------------------------
 def _turns(spark, folder, role):
-    return v.load(spark, folder, "turns").filter(F.col("role") == role)
+    return v.load_spread(spark, folder, "turns").filter(F.col("role") == role)
 
 
 @query
@@ -537,7 +537,7 @@ def aut_6_audit_records(spark, folder):
 
 # --- detection response -------------------------------------------------------------------------------------------------------
 def _detected(spark, folder):
-    return v.load(spark, folder, "detections")
+    return v.load_spread(spark, folder, "detections")
 
 
 @query
@@ -593,7 +593,7 @@ def cfg_4_repeated_state_keys(spark, folder):
 
 # --- source scan --------------------------------------------------------------------------------------------------------------------
 def _files(spark, folder):
-    return v.load(spark, folder, "source")
+    return v.load_spread(spark, folder, "source")
 
 
 @query
