@@ -28,7 +28,7 @@ def with_position(df: DataFrame, leading: Sequence[tuple[str, Column]], *,
     """
     helper = [f"_order_{n}" for n, _ in leading]
     group, ordered = list(within), [*helper, "_block"]
-    block = F.floor(F.col(seq) / F.lit(rows_per_block)).cast("bigint")
+    block = F.call_function("div", F.col(seq), F.lit(rows_per_block))
     keyed = df.withColumns({h: e for h, (_, e) in zip(helper, leading)} | {"_block": block})
 
     sizes = keyed.groupBy(*group, *ordered).agg(F.count(F.lit(1)).alias("_size"))

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # no stack capture for every column expression that is built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
