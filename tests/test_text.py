@@ -146,6 +146,15 @@ def governed(spark, *args, **kwargs):
     return governance.govern(request(spark, *args), b"key", F.lit(100), **kwargs).first()
 
 
+def test_cost_rounds_like_a_float(spark):
+    """Every 20th token count is a tie in decimal, decided by its binary value."""
+    counts = F.col("id") * F.when(F.col("id") < 40_000, 1).otherwise(10) + 1
+    df = spark.range(80_000).select(counts.alias("n")).select(
+        "n", governance.rounded_cost(F.col("n")).cast("double").alias("usd"))
+    wrong = [(r.n, r.usd) for r in df.collect() if r.usd != round(r.n / 1000 * 0.015, 4)]
+    assert wrong == []
+
+
 def test_policy(spark):
     def actions(*args):
         return [d.action for d in governed(spark, *args).decisions]

@@ -121,14 +121,35 @@ def decision_rows(requests: DataFrame) -> DataFrame:
             .select("request_id", "ordinal", "d.action", "d.data_class", "d.reason"))
 
 
+def rounded_cost(tokens: Column) -> Column:
+    """``tokens / 1000 * price`` as a binary float, rounded to 4 places by its exact value.
+
+    Only a float that prints as a tie (``...5`` in the fifth place) needs care: the stored
+    number lies a little above or below the tie, and that side decides. The sign of the
+    gap comes from splitting the float in halves whose products are exact.
+    """
+    price = reg.MICRO_USD_PER_TOKEN * 1000 / 1_000_000
+    value = tokens.cast("double") / F.lit(1000.0) * F.lit(price)
+    micro = tokens * F.lit(reg.MICRO_USD_PER_TOKEN)
+    million = F.lit(1_000_000.0)
+    nearest = micro.cast("double") / million
+    scaled = nearest * F.lit(134_217_729.0)          # 2**27 + 1
+    high = scaled - (scaled - nearest)
+    gap = (micro.cast("double") - high * million) - (nearest - high) * million
+    whole = F.call_function("div", micro, F.lit(100))
+    up = (gap < 0) | ((gap == 0) & (whole % 2 == 1))
+    tie = (micro % 100 == 50) & (value == nearest)
+    settled = (whole + F.when(up, F.lit(1)).otherwise(F.lit(0))).cast("double") / F.lit(10_000.0)
+    return F.when(tie, settled).otherwise(F.round(value, 4)).cast("decimal(18,4)")
+
+
 # --- the guardrail ------------------------------------------------------------------------
 def with_cost(requests: DataFrame) -> DataFrame:
     """Token estimate and its price, exact in millionths of a dollar and rounded to 4 places."""
-    micro = F.col("est_tokens") * F.lit(reg.MICRO_USD_PER_TOKEN)
-    usd = micro.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
     return (requests.withColumn("est_tokens", text.estimated_tokens(F.col("prompt")))
-            .withColumns({"est_cost_micro_usd": micro,
-                          "est_cost_usd": F.round(usd, 4).cast("decimal(18,4)")}))
+            .withColumns({
+                "est_cost_micro_usd": F.col("est_tokens") * F.lit(reg.MICRO_USD_PER_TOKEN),
+                "est_cost_usd": rounded_cost(F.col("est_tokens"))}))
 
 
 def govern(requests: DataFrame, key: bytes, now: Column, *, mode: str = "good",

@@ -150,10 +150,15 @@ part("gov_10_source_code", 6)
 add("gov_11_classification", f"""{_DET}
 SELECT request_id, ordinal, data_class, snippet, confidence, reason FROM det""")
 _TOKENS = "greatest(1, length(prompt) // 4)"
+# the float written out in full: the digits after the fourth place decide, compared as text
+_COST = f"""list_transform([format('{{:.90f}}', {_TOKENS}::DOUBLE / 1000::DOUBLE * 0.015::DOUBLE)], lambda d:
+  CAST(CAST(CAST(replace(substr(d, 1, length(d) - 86), '.', '') AS BIGINT)
+    + CASE WHEN right(d, 86) > '5' || repeat('0', 85) OR (right(d, 86) = '5' || repeat('0', 85)
+        AND CAST(substr(d, length(d) - 86, 1) AS INTEGER) % 2 = 1) THEN 1 ELSE 0 END
+    AS DECIMAL(18, 0)) / 10000 AS DECIMAL(18, 4))::VARCHAR)[1]"""
 add("gov_12_cost_estimate", f"""
-SELECT request_id, est_tokens, est_tokens * 15 AS est_cost_micro_usd,
-  CAST(CAST((est_tokens * 15 + 50) // 100 AS DECIMAL(18, 0)) / 10000 AS DECIMAL(18, 4))::VARCHAR AS est_cost_usd
-FROM (SELECT request_id, {_TOKENS} AS est_tokens FROM {_REQ})""")
+SELECT request_id, {_TOKENS} AS est_tokens, {_TOKENS} * 15 AS est_cost_micro_usd,
+  {_COST} AS est_cost_usd FROM {_REQ}""")
 add("gov_13_pass_through", f"""
 SELECT request_id, true AS allowed, prompt AS sanitized_prompt, 0 AS detections,
   'no control plane' AS decision_reason, 0 AS vault,
@@ -232,7 +237,8 @@ SELECT p.request_id, {text(v.RECORDED_AT)} AS timestamp, {_ACTORS} AS actor_chai
   p.destination, p.destination_approved, coalesce(data_classes, '') AS data_classes,
   coalesce(actions, '') AS actions,
   NOT blocked AND NOT rerouted AS allowed, coalesce(tokens_redacted, '') AS tokens_redacted,
-  {_TOKENS} AS est_tokens, {_TOKENS} * 15 AS est_cost_micro_usd, p.cost_center,
+  {_TOKENS} AS est_tokens, {_TOKENS} * 15 AS est_cost_micro_usd,
+  {_COST} AS est_cost_usd, p.cost_center,
   'ai-prompt-governance' AS control, 'SOC2-CC6.1, AI-Acceptable-Use, Data-Protection' AS evidence_for
 FROM posture p JOIN (SELECT request_id, blocked, rerouted FROM verdict) USING (request_id)
 LEFT JOIN acts USING (request_id) LEFT JOIN classes USING (request_id) LEFT JOIN toks USING (request_id)""")

@@ -220,7 +220,8 @@ def gov_20_audit_records(spark, folder):
         "request_id", "timestamp", joined("actor_chain", " > "), "chain_verified", "chain_reason",
         "intent", "destination", "destination_approved", joined("data_classes"),
         joined("actions"), "allowed", joined("tokens_redacted"), "est_tokens",
-        "est_cost_micro_usd", "cost_center", "control", joined("evidence_for"))
+        "est_cost_micro_usd", F.col("est_cost_usd").cast("string").alias("est_cost_usd"),
+        "cost_center", "control", joined("evidence_for"))
 
 
 @query
