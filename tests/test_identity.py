@@ -40,6 +40,13 @@ def test_tokens_equal_a_standard_hmac(spark):
     assert chain_of(spark) == expected
 
 
+def test_claims_are_escaped_like_json_dumps(spark):
+    odd = ["\x0b\x1f\x0e\x01", "\\u000B", "\\\x0b\\\\\x0b", "\x7f\x80 ", "\t\n\r\b\f/"]
+    hops = [(o, "r", "i") for o in odd]
+    auds = ["r"] * (len(odd) - 1) + ["guardrail"]
+    assert chain_of(spark, hops) == [token(*h, a) for h, a in zip(hops, auds)]
+
+
 def test_long_keys_are_hashed_first(spark):
     key = b"k" * 100
     df = spark.createDataFrame([("body",)], "b string")

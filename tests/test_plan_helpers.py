@@ -25,6 +25,18 @@ def test_positions_equal_a_full_sort(skewed):
         assert got == {r.seq: n for n, r in enumerate(order, start=1)}
 
 
+def test_no_row_is_lost_to_a_null(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, 5, None), (3, None, None), (4, 5, "a")],
+                               "seq bigint, level int, key string")
+    ranked = with_position(df, [("level", F.col("level"))], rows_per_block=2).collect()
+    assert {r.seq: r.position for r in ranked} == {1: 1, 3: 2, 2: 3, 4: 4}
+    grouped = with_position(df, [], within=["key"], rows_per_block=2).collect()
+    assert {r.seq: r.position for r in grouped} == {1: 1, 4: 2, 2: 1, 3: 2}
+    table = spark.createDataFrame([("a", 1)], "key string, value int")
+    joined = salted_join(df, table, ["key"], spread_by="seq", rows_per_task=1).collect()
+    assert {r.seq: r.value for r in joined} == {1: 1, 2: None, 3: None, 4: 1}
+
+
 def test_positions_within_groups(skewed):
     df = with_position(skewed, [], within=["key"], rows_per_block=50)
     got = {r.seq: r.position for r in df.collect()}

@@ -35,14 +35,31 @@ def sign(body: Column, key: bytes) -> Column:
     return base64url(F.unhex(F.sha2(F.concat(F.lit(outer_pad), inner), 256)))
 
 
+# control characters that have no short escape and a letter in their code
+_LETTERED_CONTROLS = [code for code in range(0x20)
+                      if chr(code) not in "\b\t\n\f\r" and code % 16 > 9]
+
+
 def _ascii_json(json: Column) -> Column:
-    """Escape every character outside printable ASCII as ``\\uXXXX``."""
+    """Escape every character outside printable ASCII as ``\\uxxxx``, in lower-case hex."""
+    def lower_controls(text: Column) -> Column:
+        lowered = text
+        for code in _LETTERED_CONTROLS:
+            # an even run of backslashes before it does not belong to the escape
+            lowered = F.regexp_replace(
+                lowered, rf"(?<!\\)((?:\\\\)*)\\u{code:04X}", rf"$1\\u{code:04x}")
+        return F.when(F.contains(text, F.lit(r"\u00")), lowered).otherwise(text)
+
     def escape(c: Column) -> Column:
         units = F.lower(F.hex(F.encode(c, "UTF-16BE")))
-        return F.when(F.rlike(c, F.lit("[^ -~]")), F.regexp_replace(units, "(.{4})", r"\\u$1")).otherwise(c)
+        return F.when(F.rlike(c, F.lit("[^ -~]")),
+                      F.regexp_replace(units, "(.{4})", r"\\u$1")).otherwise(c)
+
+    def escape_all(text: Column) -> Column:
+        escaped = F.array_join(F.transform(F.split(text, ""), escape), "")
+        return F.when(F.rlike(text, F.lit("[^ -~]")), escaped).otherwise(text)
 
-    escaped = F.array_join(F.transform(F.split(json, ""), escape), "")
-    return F.when(F.rlike(json, F.lit("[^ -~]")), escaped).otherwise(json)
+    return bind(bind(json, lower_controls), escape_all)
 
 
 def mint(actor: Column, role: Column, intent: Column, audience: Column, issued_at: Column,

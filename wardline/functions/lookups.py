@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,10 +62,14 @@ def salted_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], *, sprea
     hot = (counted.filter(F.col("_n") > rows_per_task)
            .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_salts")))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
+    spreader = F.xxhash64(spread_by)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # rows without a key match nothing: any salt does, so they are spread as widely as can be
+    salt = F.when(no_key, spreader.cast("bigint")).otherwise(F.pmod(spreader, salts))
     salted_rows = (rows.join(F.broadcast(hot), list(keys), "left")
-                   .withColumn("_salt", F.pmod(F.xxhash64(spread_by), salts).cast("int"))
-                   .drop("_salts"))
+                   .withColumn("_salt", salt.cast("bigint")).drop("_salts"))
     salted_table = (table.join(F.broadcast(hot), list(keys), "left")
-                    .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+                    .withColumn("_salt", F.explode(
+                        F.sequence(F.lit(0).cast("bigint"), (salts - 1).cast("bigint"))))
                     .drop("_salts"))
     return salted_rows.join(salted_table, [*keys, "_salt"], "left").drop("_salt")

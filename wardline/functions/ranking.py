@@ -32,28 +32,30 @@ def with_position(df: DataFrame, leading: Sequence[tuple[str, Column]], *,
     keyed = df.withColumns({h: e for h, (_, e) in zip(helper, leading)} | {"_block": block})
 
     sizes = keyed.groupBy(*group, *ordered).agg(F.count(F.lit(1)).alias("_size"))
-    # rows of earlier leading values: one summary row per distinct leading value
-    steps = sizes.groupBy(*group, *helper).agg(F.sum("_size").alias("_step"))
-    before_step = _running_total("_step", Window.partitionBy(*group).orderBy(*helper)) \
-        if helper else F.lit(0).cast("bigint")
-    steps = steps.select(*group, *helper, before_step.alias("_before_step"))
     # rows of earlier blocks with the same leading value
-    before_block = _running_total(
-        "_size", Window.partitionBy(*group, *helper).orderBy("_block"))
-    sizes = sizes.select(*group, *ordered, before_block.alias("_before_block"))
-    if group or helper:
-        starts = sizes.join(steps, [*group, *helper])
-    else:
-        starts = sizes.withColumn("_before_step", F.lit(0).cast("bigint"))
-    starts = starts.select(*group, *ordered,
-                           (F.col("_before_step") + F.col("_before_block")).alias("_start"))
+    before = _running_total("_size", Window.partitionBy(*group, *helper).orderBy("_block"))
+    starts = sizes.select(*group, *ordered, before.alias("_start"))
+    if helper:
+        # and rows of earlier leading values: one summary row per distinct value
+        steps = sizes.groupBy(*group, *helper).agg(F.sum("_size").alias("_step"))
+        before = _running_total("_step", Window.partitionBy(*group).orderBy(*helper))
+        steps = steps.select(*group, *helper, before.alias("_before"))
+        starts = _null_safe_join(starts, steps, [*group, *helper]).withColumn(
+            "_start", F.col("_start") + F.col("_before"))
 
     inside = F.row_number().over(Window.partitionBy(*group, *ordered).orderBy(seq))
-    ranked = (keyed.join(starts, [*group, *ordered])
+    ranked = (_null_safe_join(keyed, starts, [*group, *ordered])
               .withColumn(name, (F.col("_start") + inside).cast("bigint")))
     return ranked.select(*df.columns, name)
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join that also pairs NULL keys; the right side's key columns are dropped."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    matches = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, matches, "inner").drop(*[f"_r_{k}" for k in keys])
+
+
 def _running_total(value: str, window) -> Column:
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(value).over(earlier), F.lit(0)).cast("bigint")

@@ -53,12 +53,16 @@ def first_seen(spark: SparkSession, accesses: DataFrame, history: DataFrame, *,
     columns = accesses.columns
     schema = T.StructType([*accesses.schema.fields, T.StructField("batch_id", T.LongType())])
     # an empty first folder, so that there is always a table to read
-    spark.createDataFrame([], accesses.schema).write.mode("ignore").parquet(f"{out}/batch_id=-1")
+    spark.createDataFrame([], accesses.schema).write.mode("overwrite").parquet(f"{out}/batch_id=-1")
+    # history is reduced to its pairs once per start, not once per batch
+    pairs = history.select(*PAIR).distinct()
+    pairs.write.mode("overwrite").parquet(f"{base}/history")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        reported = (batch.sparkSession.read.schema(schema).parquet(out)
-                    .filter(F.col("batch_id") < batch_id))
-        known = history.select(*PAIR).unionByName(reported.select(*PAIR))
+        session = batch.sparkSession
+        reported = session.read.schema(schema).parquet(out).filter(F.col("batch_id") < batch_id)
+        past = session.read.schema(pairs.schema).parquet(f"{base}/history")
+        known = past.unionByName(reported.select(*PAIR))
         (first_accesses(batch, known).select(*columns)
          .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"))
 
