@@ -235,7 +235,14 @@ def test_register_coverage(spark):
     assert tuple(registers.control_coverage(controls).first())[1:] == (8, 7, 1, 88)
 
 
-def test_incident_timeline(spark):
+@pytest.fixture(params=["UTC", "Asia/Tokyo"])
+def session_zone(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_incident_timeline(spark, session_zone):
     df = spark.createDataFrame([(1,)], "seq bigint").withColumn(
         "ts", F.lit("2026-06-22 23:50:00.5").cast("timestamp_ntz"))
     incident = incidents.declared(df)

@@ -14,7 +14,7 @@ CLAIMS = "actor string, role string, intent string, aud string, iat bigint, exp
 _BLOCK = 64
 
 
-def _pads(key: bytes) -> tuple[bytes, bytes]:
+def hmac_pads(key: bytes) -> tuple[bytes, bytes]:
     """The two key blocks of the HMAC construction (RFC 2104)."""
     block = (hashlib.sha256(key).digest() if len(key) > _BLOCK else key).ljust(_BLOCK, b"\0")
     return bytes(b ^ 0x36 for b in block), bytes(b ^ 0x5C for b in block)
@@ -30,7 +30,7 @@ def from_base64url(text: Column) -> Column:
 
 
 def sign(body: Column, key: bytes) -> Column:
-    inner_pad, outer_pad = _pads(key)
+    inner_pad, outer_pad = hmac_pads(key)
     inner = F.unhex(F.sha2(F.concat(F.lit(inner_pad), F.encode(body, "UTF-8")), 256))
     return base64url(F.unhex(F.sha2(F.concat(F.lit(outer_pad), inner), 256)))
 

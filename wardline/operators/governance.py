@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from wardline import registries as reg
 from wardline.functions import text
-from wardline.functions.exprs import (constant_rows, element_rows, empty_array, lookup,
-                                      string_array)
+from wardline.functions.exprs import element_rows, empty_array, lookup, string_array
 from wardline.functions.identity import verify_chain
 
 DECISION = "struct<action:string,data_class:string,reason:string>"
@@ -231,9 +230,3 @@ def spend_by_cost_center(requests: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("requests"), F.sum("est_tokens").alias("est_tokens"),
         F.sum("est_cost_micro_usd").alias("est_cost_micro_usd"))
     return spend
-
-
-def tool_rows(tools: Mapping[str, tuple] = reg.TOOLS) -> Column:
-    """The tool register as a literal array, for reports."""
-    return constant_rows(["destination", "approved", "zero_retention", "dpa"],
-                         [(name, *posture) for name, posture in tools.items()])

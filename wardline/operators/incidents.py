@@ -16,6 +16,10 @@ def _steps(playbook: Sequence[tuple]) -> Column:
     return constant_rows(["step_no", "minutes", "actor", "action", "evidence"], numbered)
 
 
+def _after(minutes: Column) -> Column:
+    return F.col("declared_at") + F.make_dt_interval(mins=minutes)
+
+
 def declared(detections: DataFrame, *, title: str = reg.INCIDENT_TITLE,
              severity: str = reg.INCIDENT_SEVERITY) -> DataFrame:
     """One incident per detection: seq, incident_id, title, severity, declared_at (UTC)."""
@@ -30,7 +34,7 @@ def timeline_rows(incidents: DataFrame, playbook: Sequence[tuple] = reg.PLAYBOOK
     return (incidents.select("seq", "incident_id", "declared_at",
                              F.explode(_steps(playbook)).alias("s"))
             .select("seq", "incident_id", "s.step_no",
-                    F.timestamp_add("MINUTE", F.col("s.minutes"), F.col("declared_at")).alias("at"),
+                    _after(F.col("s.minutes")).alias("at"),
                     "s.actor", "s.action", "s.evidence"))
 
 
@@ -40,14 +44,16 @@ def records(incidents: DataFrame, playbook: Sequence[tuple] = reg.PLAYBOOK) -> D
     The timeline is built in the row from the playbook; nothing is exploded and regrouped.
     """
     timeline = F.transform(_steps(playbook), lambda s: F.struct(
-        iso_utc(F.timestamp_add("MINUTE", s["minutes"], F.col("declared_at"))).alias("at"),
+        iso_utc(_after(s["minutes"])).alias("at"),
         s["actor"].alias("actor"), s["action"].alias("action"), s["evidence"].alias("evidence")))
     roles = F.create_map(*[F.lit(x) for pair in reg.INCIDENT_ROLES for x in pair])
-    return incidents.select(
+    # a step of its own: next to a column renamed declared_at, the lambda would take that one
+    with_timeline = incidents.withColumn("timeline", timeline)
+    return with_timeline.select(
         "seq", F.col("incident_id").alias("id"), "title", "severity",
         F.coalesce(lookup(F.col("severity"), reg.SEVERITY_MEANING), F.lit(""))
         .alias("severity_meaning"),
         iso_utc(F.col("declared_at")).alias("declared_at"), roles.alias("roles"),
-        F.lit(reg.INCIDENT_STATUS).alias("status"), timeline.alias("timeline"),
+        F.lit(reg.INCIDENT_STATUS).alias("status"), "timeline",
         string_array(reg.INCIDENT_FOLLOW_UPS).alias("postmortem_actions"),
         string_array(reg.INCIDENT_EVIDENCE).alias("evidence_for"))

@@ -7,7 +7,7 @@ translations of the column expressions. Streaming queries are compared to their
 from __future__ import annotations
 
 from wardline import registries as reg
-from wardline.functions.identity import _pads
+from wardline.functions.identity import hmac_pads
 from wardline.plans import views as v
 
 ORACLE_SQL: dict[str, str] = {}
@@ -247,7 +247,7 @@ SELECT cost_center, count(*) AS requests, CAST(sum({_TOKENS}) AS BIGINT) AS est_
   CAST(sum({_TOKENS} * 15) AS BIGINT) AS est_cost_micro_usd FROM {_REQ} GROUP BY cost_center""")
 
 # --- signed identity -----------------------------------------------------------------------------------
-_INNER, _OUTER = (p.hex() for p in _pads(v.SIGNING_KEY))
+_INNER, _OUTER = (p.hex() for p in hmac_pads(v.SIGNING_KEY))
 
 
 def _b64url(blob: str) -> str:

@@ -75,8 +75,7 @@ FROM {customer}""",
 SELECT c_custkey + 1000000000 * k AS seq, 'CUST-' || CAST(c_custkey AS STRING) AS contact_id,
   c_name AS name, 'America/New_York' AS timezone,
   CASE (c_custkey + k) % 3 WHEN 0 THEN 'opted_out' WHEN 1 THEN 'none' ELSE 'opted_in' END AS consent
-FROM (SELECT c_custkey, c_name, 0 AS k FROM {customer}
-      UNION ALL SELECT c_custkey, c_name, 1 AS k FROM {customer}) t""",
+FROM (SELECT c_custkey, c_name, {twice} AS k FROM {customer}) t""",
     "sends": """
 SELECT o_orderkey AS seq,
   'CUST-' || CAST(CASE WHEN o_orderkey % 10 = 0 THEN o_custkey + 10000000 ELSE o_custkey END AS STRING) AS contact_id,
@@ -159,7 +158,7 @@ SELECT page_id * 2 + k AS seq, k = 1 AS authed,
     WHEN 2 THEN 'x-frame-options,Strict-Transport-Security'
     ELSE 'X-Content-Type-Options,X-Frame-Options,Strict-Transport-Security' END AS header_names,
   html || CASE WHEN page_id % 7 = 0 THEN ' Traceback' WHEN page_id % 7 = 1 THEN ' Werkzeug' ELSE '' END AS body
-FROM (SELECT page_id, html, 0 AS k FROM {pages} UNION ALL SELECT page_id, html, 1 AS k FROM {pages}) t""",
+FROM (SELECT page_id, html, {twice} AS k FROM {pages}) t""",
     "source": """
 SELECT doc_id AS seq, 'src/' || CAST(doc_id AS STRING) || '.py' AS path,
   'import os' || chr(10) || '@app.route("/a")' || chr(10)
@@ -185,13 +184,18 @@ _TABLE = {
 }
 
 
+# each row once with k = 0 and once with k = 1, from one scan
+_TWICE_SPARK = "explode(array(0, 1))"
+_TWICE_CHECK = "unnest([0, 1])"
+
+
 def sql_of(view: str) -> str:
-    """The view's query over the plain table name."""
-    return SQL[view].format(**{_TABLE[view]: _TABLE[view]})
+    """The view's query over the plain table name, for the check engine."""
+    return SQL[view].format(**{_TABLE[view]: _TABLE[view], "twice": _TWICE_CHECK})
 
 
 def from_table(spark: SparkSession, view: str, table: DataFrame) -> DataFrame:
-    return spark.sql(SQL[view], **{_TABLE[view]: table})
+    return spark.sql(SQL[view].replace("{twice}", _TWICE_SPARK), **{_TABLE[view]: table})
 
 
 def load(spark: SparkSession, folder: str, view: str) -> DataFrame:

@@ -22,11 +22,15 @@ def parquet_stream(spark: SparkSession, path: str, *, files_per_trigger: int = 6
             .parquet(f"{path[:-1]}[{path[-1]}]"))
 
 
-def write_stream(df: DataFrame, out: str, checkpoint: str):
-    """Append a stateless stream to a parquet table, exactly once."""
+def write_stream(df: DataFrame, out: str, checkpoint: str, *, every: str | None = None):
+    """Append a stateless stream to a parquet table, exactly once.
+
+    Runs to the end of what is there now, or goes on with a micro-batch ``every`` interval.
+    """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
     return (df.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", checkpoint).option("path", out)
-            .trigger(availableNow=True).start())
+            .trigger(**trigger).start())
 
 
 def run_to_end(spark: SparkSession, stream: DataFrame,
