@@ -14,7 +14,8 @@ ROWS_PER_TASK = 1_000_000
 def first_per_key(df: DataFrame, keys: Sequence[str], order: str = "seq") -> DataFrame:
     """The row with the lowest ``order`` of every key.
 
-    An aggregate, not a window: copies are dropped before the shuffle, so a key that
+    Select the columns you need first: the rest of the row travels as one struct, which the
+    optimizer does not prune. An aggregate, not a window: copies are dropped before the shuffle, so a key that
     holds a large share of the rows sends one row per input partition.
     """
     return _extreme_per_key(df, keys, F.min_by, order)

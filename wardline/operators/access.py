@@ -36,7 +36,7 @@ def registry_error(connectors: Mapping[str, Sequence[str]] = reg.CONNECTOR_SCOPE
 
 def first_grants(grants: DataFrame) -> DataFrame:
     """First grant of each (principal, connector); later ones are not added to it."""
-    return first_per_key(grants, PAIR).select(*PAIR, "scopes")
+    return first_per_key(grants.select(*PAIR, "seq", "scopes"), PAIR).select(*PAIR, "scopes")
 
 
 def is_high_risk(actions: Sequence[tuple[str, str]] = reg.HIGH_RISK_ACTIONS) -> Column:

@@ -74,8 +74,11 @@ def deduped(findings: DataFrame) -> DataFrame:
 def top_queue(findings: DataFrame, k: int) -> DataFrame:
     """The ``k`` most urgent findings, numbered; an attack path outranks its band's name."""
     order = [F.col("attack_path").desc(), F.col("risk_score").desc(), F.col("seq")]
-    top = scored(findings).orderBy(*order).limit(k)
-    return (top.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+    keyed = findings.withColumns({"attack_path": is_attack_path(), "risk_score": risk_score()})
+    # the window numbers k rows; what only the queue shows is computed for these alone
+    return (keyed.orderBy(*order).limit(k)
+            .withColumn("position", F.row_number().over(Window.orderBy(*order)))
+            .withColumns({"factors": factors(), "risk_band": risk_band(F.col("risk_score"))})
             .withColumn("label", F.when(F.col("attack_path"), F.lit("ATTACK-PATH"))
                         .otherwise(F.col("risk_band"))))
 

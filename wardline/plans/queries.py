@@ -92,9 +92,14 @@ def src_5_write_records(spark, folder):
 
 # --- prompt governance --------------------------------------------------------------------------
 def prompts(spark, folder):
+    """For the costly text operators; cheap projections read the view as it is."""
     return v.load_spread(spark, folder, "requests")
 
 
+def _requests(spark, folder):
+    return v.load(spark, folder, "requests")
+
+
 @query
 def gov_1_secret_spans(spark, folder):
     return governance.secret_span_rows(prompts(spark, folder))
@@ -157,14 +162,14 @@ def gov_11_classification(spark, folder):
 
 @query
 def gov_12_cost_estimate(spark, folder):
-    return governance.with_cost(prompts(spark, folder)).select(
+    return governance.with_cost(_requests(spark, folder)).select(
         "request_id", "est_tokens", "est_cost_micro_usd",
         F.col("est_cost_usd").cast("string").alias("est_cost_usd"))
 
 
 @query
 def gov_13_pass_through(spark, folder):
-    df = governance.govern(prompts(spark, folder), v.SIGNING_KEY, now(), mode="bad")
+    df = governance.govern(_requests(spark, folder), v.SIGNING_KEY, now(), mode="bad")
     return df.select("request_id", "allowed", "sanitized_prompt",
                      F.size("detections").alias("detections"),
                      F.col("decisions")[0]["reason"].alias("decision_reason"),
@@ -178,7 +183,7 @@ def gov_14_value_tokens(spark, folder):
 
 @query
 def gov_15_destinations(spark, folder):
-    return governance.with_destination(prompts(spark, folder)).select(
+    return governance.with_destination(_requests(spark, folder)).select(
         "request_id", "destination", "destination_approved", "zero_retention", "dpa")
 
 
@@ -226,7 +231,7 @@ def gov_20_audit_records(spark, folder):
 
 @query
 def gov_21_spend(spark, folder):
-    return governance.spend_by_cost_center(prompts(spark, folder))
+    return governance.spend_by_cost_center(_requests(spark, folder))
 
 
 # --- signed identity ---------------------------------------------------------------------------------
@@ -306,7 +311,8 @@ def red_5_verdicts_any_tool(spark, folder):
 
 # --- consent ---------------------------------------------------------------------------------------------------
 def _contacts(spark, folder):
-    return consent.consent_registry(v.load(spark, folder, "contacts"))
+    contacts = v.load(spark, folder, "contacts")
+    return consent.consent_registry(contacts.select("seq", "contact_id", "timezone", "consent"))
 
 
 def _sends(spark, folder):
@@ -397,8 +403,8 @@ def tri_6_risk_order(spark, folder):
 
 @query
 def tri_7_deduped(spark, folder):
-    return findings.deduped(_findings(spark, folder)).select(
-        "seq", "id", "title", "resource", "vendor_severity", "owner")
+    return findings.deduped(_findings(spark, folder).select(
+        "seq", "id", "title", "resource", "vendor_severity", "owner"))
 
 
 @query
@@ -538,7 +544,7 @@ def aut_6_audit_records(spark, folder):
 
 # --- detection response -------------------------------------------------------------------------------------------------------
 def _detected(spark, folder):
-    return v.load_spread(spark, folder, "detections")
+    return v.load(spark, folder, "detections")
 
 
 @query
@@ -707,7 +713,7 @@ def inc_1_timelines(spark, folder):
 
 @query
 def inc_2_records(spark, folder):
-    df = incidents.records(_incidents(spark, folder))
+    df = incidents.records(incidents.declared(v.load_spread(spark, folder, "detections")))
     steps = F.transform("timeline", lambda t: F.concat_ws(
         " | ", t["at"], t["actor"], t["action"], t["evidence"]))
     roles = F.transform(F.map_entries("roles"), lambda e: F.concat_ws(": ", e["key"], e["value"]))
