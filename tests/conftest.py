@@ -10,7 +10,8 @@ from wardline.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, shuffle_partitions=4, memory="6g")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session(4, shuffle_partitions=4, memory="6g", shared=str(shared))
     yield session
     session.stop()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,13 +18,18 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  memory: str = "12g") -> SparkSession:
-    """Session for tests and the benchmark; clusters bring their own."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "12g",
+                  shared: str | None = None) -> SparkSession:
+    """Session for tests and the benchmark; clusters bring their own.
+
+    ``shared`` is the folder for scratch data; whoever names it also removes it.
+    """
     builder = (SparkSession.builder.master(f"local[{cores}]").appName("wardline")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", memory)
                .config("spark.ui.showConsoleProgress", "false"))
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
     session = builder.getOrCreate()
@@ -34,19 +38,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else below the warehouse.
 
-    A machine-local folder is used only for a local master without that setting.
+    Spark's warehouse is shared by all executors as the checkpoint folder is; the session's
+    settings are left as they are. Nothing is put into a machine's own temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="wardline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    folder = named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
