@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact_search, mixing, near_search, sharding, warc
+from wardline.llm import exact_search, language, mixing, near_search, sharding, warc
 from wardline.session import scratch_path
 from wardline.sources.tables import read_parquet
 
@@ -50,3 +50,8 @@ def op8_warc(spark, folder):
 @query
 def op9_exact_search(spark, folder):
     return exact_search.exact_top_k(read_parquet(spark, folder, "embeddings"))
+
+
+@query
+def op10_language(spark, folder):
+    return language.identify(read_parquet(spark, folder, "documents"))
