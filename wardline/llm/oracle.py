@@ -73,3 +73,27 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
   FROM scores) WHERE rank <= 5
 """
+
+ORACLE_SQL["op4_near_duplicates"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS n_both
+  FROM shingles a JOIN shingles b USING (x) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * n_both >= 75 * (na + nb - n_both)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links UNION SELECT doc_id, doc_id FROM documents),
+reach AS (
+  SELECT a AS doc_id, b AS other FROM edges
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a),
+roots AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
+FROM sets s JOIN roots r USING (doc_id)
+"""

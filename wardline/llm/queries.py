@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact_search, language, mixing, near_search, sharding, warc
+from wardline.llm import exact_search, language, mixing, near_duplicates, near_search, sharding, warc
 from wardline.session import scratch_path
 from wardline.sources.tables import read_parquet
 
@@ -55,3 +55,8 @@ def op9_exact_search(spark, folder):
 @query
 def op10_language(spark, folder):
     return language.identify(read_parquet(spark, folder, "documents"))
+
+
+@query
+def op4_near_duplicates(spark, folder):
+    return near_duplicates.near_duplicates(read_parquet(spark, folder, "documents"))
