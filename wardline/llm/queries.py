@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact_search, language, mixing, near_duplicates, near_search, sharding, warc
+from wardline.llm import exact_search, language, mixing, near_duplicates, near_search, scoring, sharding, warc
 from wardline.session import scratch_path
 from wardline.sources.tables import read_parquet
 
@@ -22,6 +22,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_scoring(spark, folder):
+    return scoring.score_corpus(read_parquet(spark, folder, "documents"))
+
+
 @query
 def op5_sharding(spark, folder):
     """Where each document goes: its slot and its shard."""
