@@ -152,9 +152,14 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     opening[edges] |= inside[1:-1][edges]
     closing[edges - 1] |= inside[1:-1][edges - 1]
     starts, ends = np.flatnonzero(opening), np.flatnonzero(closing) + 1
-    size = max(SLICE_BYTES, 1 << (n - 1).bit_length())
-    powers, inverse = _powers(size)
+    return span_hashes(_LOWER[data], starts, ends), np.searchsorted(starts, offsets)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes of each span: polynomials from running sums, then mixed."""
+    n = len(data)
+    powers, inverse = _powers(max(SLICE_BYTES, 1 << max(n - 1, 1).bit_length()))
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * inverse[starts]
-    return mix(hashes + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offsets)
+    return mix(hashes + (ends - starts).astype(np.uint64))

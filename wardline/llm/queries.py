@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact_search, language, mixing, near_duplicates, near_search, scoring, sharding, warc
+from wardline.llm import exact_search, language, mixing, near_duplicates, near_search, scoring, sentencepiece_codec, sharding, warc
 from wardline.session import scratch_path
 from wardline.sources.tables import read_parquet
 
+TOKENIZER = os.environ.get("WARDLINE_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -27,6 +30,17 @@ def op1_scoring(spark, folder):
     return scoring.score_corpus(read_parquet(spark, folder, "documents"))
 
 
+@query
+def op3_sentencepiece(spark, folder):
+    """The ids of every text, and whether they decode to it again."""
+    docs = read_parquet(spark, folder, "documents").select("doc_id", "text")
+    pieces = sentencepiece_codec.load_pieces(TOKENIZER)
+    codec = sentencepiece_codec.build(docs, pieces)
+    both = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, codec), pieces)
+    return both.select("doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids",
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("restored"))
+
+
 @query
 def op5_sharding(spark, folder):
     """Where each document goes: its slot and its shard."""
