@@ -97,3 +97,27 @@ roots AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
 FROM sets s JOIN roots r USING (doc_id)
 """
+
+ORACLE_SQL["op2_line_dedup"] = r"""
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+lines AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM split),
+numbered AS (
+  SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM lines),
+pairs AS (
+  SELECT b.doc_id, b.i, b.w, a.doc_id AS other, b.i - a.i AS diagonal
+  FROM numbered a JOIN numbered b USING (line)
+  WHERE a.doc_id < b.doc_id OR (a.doc_id = b.doc_id AND a.i < b.i)),
+runs AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, other, diagonal ORDER BY i) AS run FROM pairs),
+long_runs AS (
+  SELECT doc_id, other, diagonal, run FROM runs GROUP BY ALL HAVING sum(w) >= 50),
+gone AS (SELECT DISTINCT doc_id, i FROM runs SEMI JOIN long_runs USING (doc_id, other, diagonal, run)),
+kept AS (
+  SELECT doc_id, count(g.i) AS n_removed,
+         string_agg(CASE WHEN g.i IS NULL THEN line END, chr(10) ORDER BY l.i) AS text
+  FROM lines l LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       coalesce(k.n_removed, 0)::BIGINT AS n_removed
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""

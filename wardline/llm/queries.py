@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact_search, language, mixing, near_duplicates, near_search, scoring, sentencepiece_codec, sharding, warc
+from wardline.llm import exact_search, language, line_dedup, mixing, near_duplicates, near_search, scoring, sentencepiece_codec, sharding, warc
 from wardline.session import scratch_path
 from wardline.sources.tables import read_parquet
 
@@ -30,6 +30,13 @@ def op1_scoring(spark, folder):
     return scoring.score_corpus(read_parquet(spark, folder, "documents"))
 
 
+@query
+def op2_line_dedup(spark, folder):
+    """Every document with the lines that are left of it, and how many went."""
+    docs = read_parquet(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_lines(docs)
+
+
 @query
 def op3_sentencepiece(spark, folder):
     """The ids of every text, and whether they decode to it again."""
