@@ -11,9 +11,11 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import json
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -25,7 +27,7 @@ from wardline.llm.common import SLICE_BYTES, slices, uri, written
 
 ROLL_BYTES = 16 << 20
 SHARD_BYTES = 32 << 20
-RANGES = 65_536
+RANGES = 16_384
 DATE = "2000-01-01T00:00:00Z"  # archives of the same pages are equal, byte by byte
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -199,18 +201,19 @@ def commit(listed: DataFrame, folder: str) -> int:
     return records
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record of an archive."""
-    at = 0
-    while at < len(data):
-        if not data.startswith(b"WARC/", at):
+def parse(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers and block of each record of an archive, one at a time."""
+    while version := stream.readline():
+        if not version.startswith(b"WARC/"):
             raise ValueError("no WARC record where one should start")
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split("\r\n")[1:]
-        headers = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines)
-        size = int(headers["Content-Length"])
-        yield headers, data[end + 4:end + 4 + size]
-        at = end + 4 + size + 4
+        headers = {}
+        while line := stream.readline().rstrip(b"\r\n"):
+            name, _, value = line.decode("utf-8").partition(":")
+            headers[name] = value.strip()
+        block = stream.read(int(headers["Content-Length"]))
+        if stream.read(4) != b"\r\n\r\n":
+            raise ValueError("a record is cut off")
+        yield headers, block
 
 
 def facts(headers: dict[str, str], block: bytes) -> tuple:
@@ -230,8 +233,7 @@ def facts(headers: dict[str, str], block: bytes) -> tuple:
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every record.
 
-    Reads the files that the manifest names, each whole: a file is a little larger than the
-    writer's limit at most, or one record.
+    Reads the files that the manifest names, a record at a time.
     """
     names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()),
@@ -245,9 +247,9 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
         files, path = pyarrow.fs.FileSystem.from_uri(uri(folder))
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                with files.open_input_stream(f"{path}/{name}", compression=None) as stream:
-                    data = gzip.decompress(stream.read())
-                rows = [facts(*r) for r in parse(data)]
+                with files.open_input_stream(f"{path}/{name}", compression=None) as raw:
+                    stream = io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 20)
+                    rows = [facts(*r) for r in parse(stream)]
                 columns = list(zip(*rows)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
