@@ -1,7 +1,94 @@
-"""placeholder"""
-STAGES = []
+"""From raw documents to token ids: the operators of ``wardline.llm`` one after the other.
+
+``STAGES`` lists the stages in order. Each takes (spark, docs, sf_dir) and returns a DataFrame, which is
+written as Parquet and read again as the docs of the next. All but the last return the columns
+of their docs. Extra columns pass through; an empty table passes all stages.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardline.llm import language, line_dedup, mixing, near_duplicates, sentencepiece_codec
+from wardline.llm.common import written
+from wardline.llm.queries import TOKENIZER
+from wardline.sources.tables import read_parquet
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language cannot be told (null text, no letter) go; a missing ``lang`` is filled in."""
+    model = language.train(language.held_out(docs).filter("NOT held_out"))
+    found = language.predict(docs, model, prediction="_lang", score="_score", keep_text=True)
+    kept = found.filter(F.col("_lang") != language.UNDETERMINED)
+    return kept.withColumn("lang", F.coalesce("lang", "_lang")).select(*docs.columns)
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs go, and documents of which nothing is left with them."""
+    out = line_dedup.remove_repeated_lines(docs, removed="_removed")
+    left = out.filter((F.col("_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    changed = F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays, once.
+
+    Documents without an id can't be told apart and stay.
+    """
+    first = near_duplicates.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL")
+    named = docs.filter("doc_id IS NOT NULL").join(
+        first.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType)).distinct(), "doc_id", "left_semi")
+    # rows that repeat an id: the smallest text stays; a shuffle by id has been made already
+    rest = [c for c in docs.columns if c != "doc_id"]
+    once = named.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("_row"))
+    return once.select(*[F.col(c) if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns]
+                       ).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's target takes it, whole, to the nearest copy.
+
+    Rows that share id, source and size are repeated alike.
+    """
+    size = mixing.word_count(F.col("text"))
+    mixed = mixing.mix(docs)
+    counts = mixed.groupBy("doc_id", "source", "size").agg(
+        F.max(mixing.copies(F.col("taken"), F.col("size"))).alias("_copies")).filter("_copies > 0")
+    counts = written(counts, "copies").withColumnsRenamed(
+        {"doc_id": "_id", "source": "_source", "size": "_size"})
+    same = (F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
+            & (size == F.col("_size")))
+    repeated = docs.join(counts, same).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))))
+    return repeated.select(*docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, the token ids, their number, and whether they decode to the text."""
+    pieces = sentencepiece_codec.load_pieces(TOKENIZER)
+    codec = sentencepiece_codec.build(docs, pieces)
+    coded = sentencepiece_codec.encode(docs.select("doc_id", "lang", "source", "text"), codec)
+    restored = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return sentencepiece_codec.decode(coded, pieces).select(
+        "doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids",
+        restored.alias("restored"))
+
+
+STAGES = [
+    ("language identification", identify_language),
+    ("line dedup", remove_repeated_lines),
+    ("near duplicates", remove_near_duplicates),
+    ("source mixing", mix_sources),
+    ("SentencePiece", tokenize),
+]
+
+# language identification cannot be expressed in SQL
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_parquet(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return docs

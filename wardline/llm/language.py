@@ -163,15 +163,16 @@ def train(docs: DataFrame, *, order: int = ORDER, sample_bytes: int = SAMPLE_BYT
 
 
 def predict(docs: DataFrame, model: Model, *, prediction: str = "lang_pred",
-            score: str = "score") -> DataFrame:
-    """doc_id and all other columns of ``docs`` but the text, with the prediction and its score.
+            score: str = "score", keep_text: bool = False) -> DataFrame:
+    """The columns of ``docs``, the text only if asked for, with the prediction and its score.
 
     The score is the winner's share of the probability that all languages give the text, from 0
     to 1. A text that is null or has no letter is ``und`` with score 0, as is every text if nothing was learned. Ties
     go to the first language by code point. Case plays no part. Columns of ``docs`` that are
     called as the new ones are replaced. No shuffle; a task holds slices of about a megabyte or one text.
     """
-    keep = [c for c in docs.columns if c not in ("text", prediction, score)]
+    dropped = {prediction, score} | (set() if keep_text else {"text"})
+    keep = [c for c in docs.columns if c not in dropped]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text = F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")).alias("_text")
     ready = docs.select(*keep, text)
