@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -42,7 +43,13 @@ def run(spark, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
+    cores = int(cpus) if cpus.isdigit() else 8
+    # every table is one file with one row group here, so it is dealt out on request
+    with tempfile.TemporaryDirectory(prefix="wardline-bench-") as shared:
+        measure(local_session(cpus, shuffle_partitions=cores, shared=shared, pieces=cores), folder)
+
+
+def measure(spark, folder: str) -> None:
     smallest = "/root/testdata/sf0.001"
     if Path(smallest).exists() and not os.environ.get("BENCH_NO_WARM"):
         for name in HEADLINE:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from decimal import Decimal
 from pathlib import Path
@@ -69,7 +70,8 @@ def main() -> int:
     from wardline.plans.queries import QUERIES
     from wardline.session import local_session
     folder, names = sys.argv[1], sys.argv[2:]
-    spark, con, bad = local_session(8), connect(folder), 0
+    shared = tempfile.TemporaryDirectory(prefix="wardline-oracle-")
+    spark, con, bad = local_session(8, shared=shared.name, pieces=8), connect(folder), 0
     for name, query in QUERIES.items():
         if names and name not in names:
             continue

@@ -32,7 +32,7 @@ def test_scores_bands_and_orders(spark):
     assert rows[2].factors == ["internet_facing", "sensitive_data", "exploitable_high"]
     assert [r.seq for r in findings.risk_view(df).collect()] == [2, 4, 3, 1]
     assert [r.seq for r in findings.vendor_view(df).collect()] == [1, 4, 2, 3]
-    ranked = {r.seq: r.position for r in findings.risk_ranked(df, rows_per_block=2).collect()}
+    ranked = {r.seq: r.position for r in findings.risk_ranked(df).collect()}
     assert ranked == {2: 1, 4: 2, 3: 3, 1: 4}
     assert [r.label for r in findings.top_queue(df, 2).orderBy("position").collect()] == \
         ["ATTACK-PATH", "Critical"]
@@ -73,7 +73,7 @@ def test_remediation(spark):
     assert (s.total, s.open, s.overdue, s.closed, s.unassigned_open, s.on_time_pct) == (6, 4, 2, 2, 2, 50)
     assert (s.critical, s.high, s.medium, s.low) == (2, 2, 1, 1)
     assert [r.seq for r in remediation.worklist(df, today).collect()] == [0, 4, 1, 2]
-    ranked = remediation.ranked_worklist(df, today, rows_per_block=1).orderBy("position").collect()
+    ranked = remediation.ranked_worklist(df, today).orderBy("position").collect()
     assert [r.seq for r in ranked] == [0, 4, 1, 2]
     none_open = remediation.summary(df.filter("status = 'accepted'"), today).first()
     assert none_open.on_time_pct == 100
@@ -108,7 +108,7 @@ def test_gate_lists_and_empty_release(spark):
         [("F1", "2026-12-31")], ("rel", "other"))
     assert gates["rel"].summary == "BLOCK: 2 open blocker(s), 1 accepted via time-boxed exception"
     assert gates["other"].decision == "SHIP"
-    lists = release.gate_lists(judged, rows_per_block=1).orderBy("list", "position").collect()
+    lists = release.gate_lists(judged).orderBy("list", "position").collect()
     assert [(r.list, r.position, r.candidate_id) for r in lists] == [
         ("accepted", 1, "F1"), ("blockers", 1, "F3"), ("blockers", 2, "F2")]
 

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from wardline.functions import lookups
 from wardline.functions.lookups import first_per_key, last_per_key, lookup_join, salted_join
 from wardline.functions.ranking import with_position
 
@@ -18,8 +19,8 @@ def skewed(spark):
 
 def test_positions_equal_a_full_sort(skewed):
     rows = skewed.collect()
-    for size in (1, 7, 100, 10_000):
-        df = with_position(skewed, [("level", -F.col("level"))], rows_per_block=size)
+    for parts in (1, 7, 100):
+        df = with_position(skewed, [("level", -F.col("level"))], parts=parts)
         got = {r.seq: r.position for r in df.collect()}
         order = sorted(rows, key=lambda r: (-r.level, r.seq))
         assert got == {r.seq: n for n, r in enumerate(order, start=1)}
@@ -28,9 +29,9 @@ def test_positions_equal_a_full_sort(skewed):
 def test_no_row_is_lost_to_a_null(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, 5, None), (3, None, None), (4, 5, "a")],
                                "seq bigint, level int, key string")
-    ranked = with_position(df, [("level", F.col("level"))], rows_per_block=2).collect()
+    ranked = with_position(df, [("level", F.col("level"))], parts=2).collect()
     assert {r.seq: r.position for r in ranked} == {1: 1, 3: 2, 2: 3, 4: 4}
-    grouped = with_position(df, [], within=["key"], rows_per_block=2).collect()
+    grouped = with_position(df, [], within=["key"], parts=2).collect()
     assert {r.seq: r.position for r in grouped} == {1: 1, 4: 2, 2: 1, 3: 2}
     table = spark.createDataFrame([("a", 1)], "key string, value int")
     joined = salted_join(df, table, ["key"], spread_by="seq", rows_per_task=1).collect()
@@ -38,7 +39,7 @@ def test_no_row_is_lost_to_a_null(spark):
 
 
 def test_positions_within_groups(skewed):
-    df = with_position(skewed, [], within=["key"], rows_per_block=50)
+    df = with_position(skewed, [], within=["key"], parts=50)
     got = {r.seq: r.position for r in df.collect()}
     expected, seen = {}, {}
     for r in sorted(skewed.collect(), key=lambda r: r.seq):
@@ -46,12 +47,24 @@ def test_positions_within_groups(skewed):
     assert got == expected
 
 
-def test_no_window_spans_more_than_a_block(skewed):
-    """The row-level window is partitioned by the block as well."""
-    df = with_position(skewed, [("level", F.col("level"))], rows_per_block=50)
+def test_positions_of_scattered_ids_and_one_large_group(spark):
+    """Ids spread over all long values, and half of all rows in one group."""
+    df = spark.range(2000).select(
+        F.xxhash64("id").alias("seq"), F.when(F.col("id") % 2 == 0, "big").otherwise(
+            F.concat(F.lit("g"), F.col("id") % 30)).alias("key"), (F.col("id") % 3).alias("level"))
+    got = {r.seq: r.position for r in with_position(
+        df, [("level", F.col("level"))], within=["key"], parts=9).collect()}
+    expected, seen = {}, {}
+    for r in sorted(df.collect(), key=lambda r: (r.key, r.level, r.seq)):
+        expected[r.seq] = seen[r.key] = seen.get(r.key, 0) + 1
+    assert got == expected
+
+
+def test_summary_has_a_row_for_each_part_and_group_that_meet(spark, skewed):
+    """Nothing is ranked row by row, and the input is read once, as a sorted table."""
+    df = with_position(skewed, [("level", F.col("level"))], parts=16)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    row_level = [line for line in plan.split("\n") if "row_number()" in line]
-    assert row_level and all("_block" in line for line in row_level)
+    assert "row_number" not in plan and plan.count("Relation") == 2  # rows, and their summary
 
 
 def test_lookup_is_the_same_however_hot_the_keys(spark, skewed):
@@ -64,15 +77,21 @@ def test_lookup_is_the_same_however_hot_the_keys(spark, skewed):
         assert joined.columns == lookup_join(skewed, table, ["key"]).columns
 
 
-def test_hot_rows_are_spread(spark, skewed):
+def test_hot_rows_are_spread(spark, skewed, monkeypatch):
+    table = skewed.select("key").distinct().withColumn("value", F.lit(1))
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 3)
+    joined = lookup_join(skewed, table, ["key"], rows_per_task=100)
+    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 3000
+
+
+def test_the_list_of_hot_keys_is_bounded(spark, skewed, monkeypatch):
+    """With room for two hot keys, all others are joined unsalted, whatever is asked for."""
+    monkeypatch.setattr(lookups, "HOT_KEYS", 2)
     table = skewed.select("key").distinct().withColumn("value", F.lit(1))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = lookup_join(skewed, table, ["key"], rows_per_task=100)
-        assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
-        assert joined.count() == 3000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = salted_join(skewed, table, ["key"], spread_by="seq", rows_per_task=1)
+    hot = skewed.groupBy("key").count().filter(F.col("count") > 3000 // 2).count()
+    assert hot <= 2 and joined.filter("value = 1").count() == 3000
 
 
 def test_first_and_last_per_key(skewed):

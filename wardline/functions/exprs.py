@@ -34,6 +34,37 @@ def empty_array(element: str) -> Column:
     return F.array().cast(f"array<{element}>")
 
 
+def fold_out(items: Column, start: Column, carried: str, step, element: str) -> Column:
+    """What ``step`` gives for each item, joined: ``step(carry, item)`` is (new carry, array).
+
+    Appending to a growing array copies it each time. The items are folded in chunks of about
+    the square root of their number, so an item is copied a few times only and the work
+    hardly grows faster than the items.
+    """
+    state = f"struct<carry:{carried},out:array<{element}>>"
+    outer = f"struct<carry:{carried},out:array<array<{element}>>>"
+
+    def inside(acc: Column, item: Column) -> Column:
+        carry, out = step(acc["carry"], item)
+        return F.struct(carry.alias("carry"), F.concat(acc["out"], out).alias("out")).cast(state)
+
+    def over(acc: Column, chunk: Column) -> Column:
+        first = F.struct(acc["carry"].alias("carry"), empty_array(element).alias("out")).cast(state)
+        return bind(F.aggregate(chunk, first, inside), lambda done: F.struct(
+            done["carry"].alias("carry"),
+            F.concat(acc["out"], F.array(done["out"])).alias("out")).cast(outer))
+
+    def folded(all_items: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(all_items))).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.slice(
+            all_items, i * width + 1, width))
+        begin = F.struct(start.alias("carry"), empty_array(f"array<{element}>").alias("out")).cast(outer)
+        result = F.flatten(F.aggregate(chunks, begin, over, lambda acc: acc["out"]))
+        return F.when(F.size(all_items) > 0, result).otherwise(empty_array(element))
+
+    return bind(items, folded)
+
+
 def lookup(key: Column, table: Mapping[str, object]) -> Column:
     """Value of a fixed table for ``key``; NULL when the key is unknown or NULL."""
     pairs = [F.lit(x) for item in table.items() for x in item]

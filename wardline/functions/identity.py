@@ -68,7 +68,7 @@ def mint(actor: Column, role: Column, intent: Column, audience: Column, issued_a
     issued = issued_at.cast("bigint")
     claims = F.struct(actor.alias("actor"), role.alias("role"), intent.alias("intent"),
                       audience.alias("aud"), issued.alias("iat"), (issued + ttl).alias("exp"))
-    body = base64url(F.encode(_ascii_json(F.to_json(claims)), "UTF-8"))
+    body = base64url(F.encode(_ascii_json(F.to_json(claims, {"ignoreNullFields": "false"})), "UTF-8"))
     return bind(body, lambda b: F.concat(b, F.lit("."), sign(b, key)))
 
 

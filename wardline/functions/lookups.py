@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
+BROADCAST_ROWS = 50_000
+HOT_KEYS = 10_000
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: str = "seq") -> DataFrame:
@@ -34,31 +36,30 @@ def _extreme_per_key(df, keys, pick, order):
 
 
 def fits_broadcast(table: DataFrame) -> bool:
-    """Whether the optimizer's size estimate lets it broadcast the table by itself."""
-    conf = table._jdf.sparkSession().sessionState().conf()
-    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= conf.autoBroadcastJoinThreshold()
+    """Whether the table has few rows, counted and not estimated; counting stops at the limit."""
+    return table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], *, spread_by: str = "seq",
                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Left join to a ``table`` that is unique on ``keys``, safe against hot keys.
 
-    A table whose estimated size is below the broadcast threshold is broadcast: the rows
-    stay where they are and no key can be hot. A larger one is joined by shuffle, and
-    keys with more than ``rows_per_task`` rows are salted: their rows are spread over
-    ``ceil(rows / rows_per_task)`` salts and their single table row is repeated once per
-    salt. At most ``total rows / rows_per_task`` keys can be that hot, so the list of hot
-    keys is small by construction and is broadcast; all other keys join unsalted.
+    A table of at most ``BROADCAST_ROWS`` rows is broadcast: the rows stay where they are and
+    no key can be hot. A larger one is joined by shuffle, and keys with more than
+    ``rows_per_task`` rows are salted: their rows are spread over ``ceil(rows / rows_per_task)``
+    salts and their single table row is repeated once per salt. The limit is raised with the
+    number of rows so that at most ``HOT_KEYS`` keys can pass it, which bounds the broadcast
+    list of hot keys; all other keys join unsalted.
     """
     if fits_broadcast(table):
-        return rows.join(table, list(keys), "left")
+        return rows.join(F.broadcast(table), list(keys), "left")
     return salted_join(rows, table, keys, spread_by=spread_by, rows_per_task=rows_per_task)
 
 
 def salted_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], *, spread_by: str,
                 rows_per_task: int) -> DataFrame:
     """The shuffled way of ``lookup_join``."""
+    rows_per_task = max(rows_per_task, -(-rows.count() // HOT_KEYS))
     counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = (counted.filter(F.col("_n") > rows_per_task)
            .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_salts")))

@@ -1,11 +1,9 @@
 """Exact positions in a total order, without pulling a group into one task.
 
-A window over a whole group (or the whole table) sorts it in one task. Here the
-order is split into blocks: rows that share the leading order columns *and* a range
-of ``seq`` values. ``seq`` is a unique whole number, so a block never holds more
-than ``rows_per_block`` rows however skewed the leading columns are. The rows before
-a block are counted from a small per-block summary; only the position inside a block
-needs a window.
+The rows are sorted once by a range shuffle, in which a group or a leading value of any size is
+spread over as many tasks as it fills, and the sorted table is written. Its parts are in order, so
+the place of a row is its place inside its part plus the rows of its group in the parts
+before; the summary this takes has one row for each part and group that meet.
 """
 
 from __future__ import annotations
@@ -15,38 +13,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BLOCK = 500_000
+from wardline.session import written
+
+_ROW_BITS = 33  # of monotonically_increasing_id: the row inside its part
 
 
 def with_position(df: DataFrame, leading: Sequence[tuple[str, Column]], *,
                   within: Sequence[str] = (), seq: str = "seq", name: str = "position",
-                  rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+                  parts: int | None = None) -> DataFrame:
     """Add the 1-based position of each row, ordered by ``leading`` (ascending), then ``seq``.
 
-    ``leading`` are (name, expression) pairs with few distinct values; ``within``
-    restarts the count for each group.
+    ``leading`` are (name, expression) pairs; ``seq`` is unique; ``within`` restarts the count
+    for each group. ``parts`` is the number of sorted parts, by default that of a shuffle.
     """
     helper = [f"_order_{n}" for n, _ in leading]
-    group, ordered = list(within), [*helper, "_block"]
-    block = F.call_function("div", F.col(seq), F.lit(rows_per_block))
-    keyed = df.withColumns({h: e for h, (_, e) in zip(helper, leading)} | {"_block": block})
-
-    sizes = keyed.groupBy(*group, *ordered).agg(F.count(F.lit(1)).alias("_size"))
-    # rows of earlier blocks with the same leading value
-    before = _running_total("_size", Window.partitionBy(*group, *helper).orderBy("_block"))
-    starts = sizes.select(*group, *ordered, before.alias("_start"))
-    if helper:
-        # and rows of earlier leading values: one summary row per distinct value
-        steps = sizes.groupBy(*group, *helper).agg(F.sum("_size").alias("_step"))
-        before = _running_total("_step", Window.partitionBy(*group).orderBy(*helper))
-        steps = steps.select(*group, *helper, before.alias("_before"))
-        starts = _null_safe_join(starts, steps, [*group, *helper]).withColumn(
-            "_start", F.col("_start") + F.col("_before"))
-
-    inside = F.row_number().over(Window.partitionBy(*group, *ordered).orderBy(seq))
-    ranked = (_null_safe_join(keyed, starts, [*group, *ordered])
-              .withColumn(name, (F.col("_start") + inside).cast("bigint")))
-    return ranked.select(*df.columns, name)
+    group = list(within)
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*group, *helper, seq]
+    keyed = df.withColumns({h: e for h, (_, e) in zip(helper, leading)})
+    in_order = (keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                .select(*df.columns, F.monotonically_increasing_id().alias("_at")))
+    rows = written(in_order, "positions").withColumn("_part", F.shiftright("_at", _ROW_BITS))
+
+    pieces = rows.groupBy(*group, "_part").agg(
+        F.count(F.lit(1)).alias("_size"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.select(*group, "_part", (
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    if not group:  # one row for each part
+        starts = F.broadcast(starts)
+    ranked = _null_safe_join(rows, starts, [*group, "_part"])
+    position = (F.col("_at") + F.col("_shift") + 1).cast("bigint")
+    return ranked.select(*df.columns, position.alias(name))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -54,8 +52,3 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     matches = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     return left.join(renamed, matches, "inner").drop(*[f"_r_{k}" for k in keys])
-
-
-def _running_total(value: str, window) -> Column:
-    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(value).over(earlier), F.lit(0)).cast("bigint")

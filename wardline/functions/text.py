@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import bind, empty_array
+from wardline.functions.exprs import bind, empty_array, fold_out
 from wardline.functions.patterns import folded, jvm, may_match
 
 DETECTION = "struct<data_class:string,snippet:string,confidence:string,reason:string>"
@@ -60,23 +60,18 @@ def match_spans(text: Column, pattern: str, label: str) -> Column:
     The engine returns matches without positions, but the gaps between matches are
     what ``split`` returns, so a running length over both gives each position.
     """
-    state = f"struct<n:int,pos:int,found:array<{SPAN}>>"
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("pos"),
-                     empty_array(SPAN).alias("found")).cast(state)
-
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc["pos"] + F.length(pair["gap"])
+    def step(position: Column, pair: Column) -> tuple[Column, Column]:
+        begin = position + F.length(pair["gap"])
         end = begin + F.length(pair["hit"])
-        span = F.struct(begin.alias("start"), end.alias("stop"), F.lit(label).alias("label"))
-        return F.struct((acc["n"] + 1).alias("n"), end.alias("pos"),
-                        F.concat(acc["found"], F.array(span)).alias("found")).cast(state)
+        return end, F.array(F.struct(begin.alias("start"), end.alias("stop"),
+                                     F.lit(label).alias("label")))
 
     def positions(hits: Column) -> Column:
         # there is one more gap than matches; the last pair has no match
         pairs = F.zip_with(hits, F.split(text, pattern, -1),
                            lambda hit, gap: F.struct(hit.alias("hit"), gap.alias("gap")))
         matched = F.filter(pairs, lambda p: p["hit"].isNotNull())
-        found = F.aggregate(matched, start, step, lambda acc: acc["found"])
+        found = fold_out(matched, F.lit(0), "int", step, SPAN)
         return F.when(F.size(hits) > 0, found).otherwise(empty_array(SPAN))
 
     return bind(all_matches(text, pattern), positions)
@@ -116,20 +111,22 @@ def has_secret(text: Column, fold: Column) -> Column:
 def merge_spans(spans: Column) -> Column:
     """Join overlapping or touching spans; labels keep first-seen order, no repeats."""
 
-    def step(acc: Column, span: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
+    def step(last: Column, span: Column) -> tuple[Column, Column]:
         fresh = F.struct(span["start"].alias("start"), span["stop"].alias("stop"),
                          F.array(span["label"]).alias("labels"))
         grown = F.struct(
             last["start"].alias("start"),
             F.greatest(last["stop"], span["stop"]).alias("stop"),
             F.array_union(last["labels"], F.array(span["label"])).alias("labels"))
-        joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(grown))
-        touches = (F.size(acc) > 0) & (span["start"] <= last["stop"])
-        return (F.when(touches, joined).otherwise(F.concat(acc, F.array(fresh)))
-                .cast(f"array<{MERGED_SPAN}>"))
+        touches = F.coalesce(span["start"] <= last["stop"], F.lit(False))
+        done = F.when(touches | last.isNull(), empty_array(MERGED_SPAN)).otherwise(F.array(last))
+        return F.when(touches, grown).otherwise(fresh), done
 
-    return F.aggregate(spans, empty_array(MERGED_SPAN), step)
+    # the span still open at the end is closed by one that touches nothing
+    closing = F.array(F.struct(F.lit(2**31 - 1).alias("start"), F.lit(2**31 - 1).alias("stop"),
+                               F.lit("").alias("label")))
+    return fold_out(F.concat(spans, closing.cast(f"array<{SPAN}>")),
+                    F.lit(None).cast(MERGED_SPAN), MERGED_SPAN, step, MERGED_SPAN)
 
 
 def merged_secret_spans(text: Column) -> Column:
@@ -223,8 +220,13 @@ def short_hash_token(prefix: str, value: Column) -> Column:
 
 
 def sanitize(text: Column, detections: Column) -> Column:
-    """Replace each detected snippet in turn: secrets by a marker, the rest by a token."""
-    return F.aggregate(detections, text, lambda acc, d: F.replace(
+    """Replace each detected snippet in turn: secrets by a marker, the rest by a token.
+
+    A snippet of one class is replaced everywhere at its first turn, so repeats have none.
+    """
+    distinct = F.array_distinct(F.transform(detections, lambda d: F.struct(
+        d["data_class"].alias("data_class"), d["snippet"].alias("snippet"))))
+    return F.aggregate(distinct, text, lambda acc, d: F.replace(
         acc, d["snippet"],
         F.when(d["data_class"] == "secret", F.lit(reg.BLOCKED_MARKER))
         .otherwise(value_token(d["data_class"], d["snippet"]))))

@@ -16,7 +16,7 @@ PAIR = ["principal", "connector"]
 
 
 def known_connector(connectors: Mapping[str, Sequence[str]] = reg.CONNECTOR_SCOPES) -> Column:
-    return F.col("connector").isin(*connectors)
+    return F.coalesce(F.col("connector").isin(*connectors), F.lit(False))
 
 
 def valid_scope(connectors: Mapping[str, Sequence[str]] = reg.CONNECTOR_SCOPES) -> Column:
@@ -26,14 +26,18 @@ def valid_scope(connectors: Mapping[str, Sequence[str]] = reg.CONNECTOR_SCOPES)
 
 
 def registry_error(connectors: Mapping[str, Sequence[str]] = reg.CONNECTOR_SCOPES) -> Column:
-    """Reason the request fails before any grant is looked at, or NULL."""
+    """Reason the request fails before any grant is looked at, or NULL; what is missing fails."""
     return (F.when(~known_connector(connectors),
-                   F.concat(F.lit("unknown connector '"), "connector", F.lit("'")))
+                   F.concat(F.lit("unknown connector '"), named("connector"), F.lit("'")))
             .when(~valid_scope(connectors), F.concat(
-                F.lit("'"), "action", F.lit("' is not a valid scope on '"), "connector",
+                F.lit("'"), named("action"), F.lit("' is not a valid scope on '"), "connector",
                 F.lit("'"))))
 
 
+def named(column: str) -> Column:
+    return F.coalesce(column, F.lit(reg.NOT_GIVEN))
+
+
 def first_grants(grants: DataFrame) -> DataFrame:
     """First grant of each (principal, connector); later ones are not added to it."""
     return first_per_key(grants.select(*PAIR, "seq", "scopes"), PAIR).select(*PAIR, "scopes")
@@ -66,13 +70,13 @@ def authorized(requests: DataFrame, grants: DataFrame, history: DataFrame | None
         return (F.when(registry_error().isNotNull(), registry_error())
                 .when(F.col("scopes").isNull(), F.concat(
                     who, F.lit(" has no grant for "), on, F.lit(" (least privilege)")))
-                .when(~F.array_contains("scopes", F.col("action")), F.concat(
+                .when(~F.coalesce(F.array_contains("scopes", F.col("action")), F.lit(False)), F.concat(
                     who, F.lit(" lacks '"), "action", F.lit("' on "), on))
                 .otherwise(F.lit("granted")))
 
-    token = short_hash_token("tok_", F.col("principal"))
+    token = short_hash_token("tok_", named("principal"))
     return (joined.withColumns({
-        "reason": reason(F.col("principal")), "audit_reason": reason(token),
+        "reason": reason(named("principal")), "audit_reason": reason(token),
         "high_risk": is_high_risk(), "anomalous": anomalous, "principal_token": token})
         .withColumn("allowed", F.col("reason") == "granted")
         .drop("scopes", "seen"))

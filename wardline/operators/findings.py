@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from wardline import registries as reg
 from wardline.functions.exprs import compact, lookup
 from wardline.functions.lookups import first_per_key
-from wardline.functions.ranking import ROWS_PER_BLOCK, with_position
+from wardline.functions.ranking import with_position
 
 
 def risk_score(weights: Mapping[str, int] = reg.RISK_WEIGHTS) -> Column:
@@ -56,14 +56,13 @@ def risk_view(findings: DataFrame) -> DataFrame:
         F.col("attack_path").desc(), F.col("risk_score").desc(), F.col("seq"))
 
 
-def vendor_ranked(findings: DataFrame, *, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    return with_position(findings, [("rank", severity_rank(F.col("vendor_severity")))],
-                         rows_per_block=rows_per_block)
+def vendor_ranked(findings: DataFrame) -> DataFrame:
+    return with_position(findings, [("rank", severity_rank(F.col("vendor_severity")))])
 
 
-def risk_ranked(findings: DataFrame, *, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def risk_ranked(findings: DataFrame) -> DataFrame:
     leading = [("path", (~is_attack_path()).cast("int")), ("score", -risk_score())]
-    return with_position(findings, leading, rows_per_block=rows_per_block)
+    return with_position(findings, leading)
 
 
 def deduped(findings: DataFrame) -> DataFrame:

@@ -22,7 +22,9 @@ DECISION = "struct<action:string,data_class:string,reason:string>"
 
 # --- classification -----------------------------------------------------------------
 def with_detections(requests: DataFrame, column: str = "prompt") -> DataFrame:
-    return requests.withColumn("detections", text.classify(F.col(column)))
+    """A missing text has no detections; that it was not checked is for the decisions to say."""
+    return requests.withColumn("detections", F.coalesce(
+        text.classify(F.col(column)), empty_array(text.DETECTION)))
 
 
 def detection_rows(requests: DataFrame, detections: Column, key: str = "request_id") -> DataFrame:
@@ -88,6 +90,7 @@ def decisions(detections: Column, destination: Column, approved: Column, dpa: Co
     redact = F.transform(regulated, lambda d: _decision(
         "REDACT", d["data_class"],
         F.concat(F.lit("Tokenize "), d["data_class"], F.lit(" into a non-identifiable unit"))))
+    destination = F.coalesce(destination, F.lit(reg.NOT_GIVEN))
     unapproved = _decision("ROUTE", none, F.concat(
         F.lit("Destination '"), destination,
         F.lit("' is not an approved AI tool; route to an approved, covered endpoint")))
@@ -108,11 +111,15 @@ def decisions(detections: Column, destination: Column, approved: Column, dpa: Co
 
 
 def with_decisions(requests: DataFrame, tools: Mapping[str, tuple] = reg.TOOLS) -> DataFrame:
-    """Adds detections, destination posture and content/destination decisions."""
-    return (with_destination(with_detections(requests), tools)
-            .withColumn("decisions", decisions(
-                F.col("detections"), F.col("destination"), F.col("destination_approved"),
-                F.col("dpa"))))
+    """Adds detections, destination posture and content/destination decisions.
+
+    A request without a prompt is blocked: nothing of it was checked.
+    """
+    checked = decisions(F.col("detections"), F.col("destination"), F.col("destination_approved"),
+                        F.col("dpa"))
+    unread = F.array(_decision("BLOCK", F.lit(None), F.lit(reg.NO_PROMPT_REASON)))
+    return with_destination(with_detections(requests), tools).withColumn(
+        "decisions", F.when(F.col("prompt").isNull(), unread).otherwise(checked))
 
 
 def decision_rows(requests: DataFrame) -> DataFrame:
@@ -220,6 +227,12 @@ def vault_rows(requests: DataFrame) -> DataFrame:
             .select("request_id", "v.token", "v.value"))
 
 
+def governed_vault_rows(governed: DataFrame) -> DataFrame:
+    """As ``vault_rows``, of requests that are governed already."""
+    return (element_rows(governed, ["request_id"], F.col("vault"), "v")
+            .select("request_id", "v.token", "v.value"))
+
+
 def vault_table(requests: DataFrame) -> DataFrame:
     """The restricted re-identification table, one row per token and value."""
     return vault_rows(requests).select("token", "value").distinct()

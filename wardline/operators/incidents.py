@@ -21,10 +21,15 @@ def _after(minutes: Column) -> Column:
 
 
 def declared(detections: DataFrame, *, title: str = reg.INCIDENT_TITLE,
-             severity: str = reg.INCIDENT_SEVERITY) -> DataFrame:
-    """One incident per detection: seq, incident_id, title, severity, declared_at (UTC)."""
+             severity: str = reg.INCIDENT_SEVERITY,
+             id_digits: int = reg.INCIDENT_ID_DIGITS) -> DataFrame:
+    """One incident per detection: seq, incident_id, title, severity, declared_at (UTC).
+
+    The id holds ``id_digits`` hexadecimal digits of a hash: 6 name a single incident, 16 a table
+    of them.
+    """
     utc = utc_wall_clock(F.col("ts"), detections.schema["ts"].dataType)
-    ident = F.concat(F.lit("INC-"), F.substring(F.sha2(F.col("seq").cast("string"), 256), 1, 6))
+    ident = F.concat(F.lit("INC-"), F.substring(F.sha2(F.col("seq").cast("string"), 256), 1, id_digits))
     return detections.select("seq", ident.alias("incident_id"), F.lit(title).alias("title"),
                              F.lit(severity).alias("severity"), utc.alias("declared_at"))
 

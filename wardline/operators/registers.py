@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
@@ -61,11 +61,13 @@ def violations(threats: DataFrame) -> DataFrame:
                "invalid status"),
         broken(F.coalesce(F.trim("mitigation"), F.lit("")) == "", "blank mitigation"),
         broken(F.coalesce(F.trim("description"), F.lit("")) == "", "blank description")))
-    row_level = element_rows(threats, ["org_id", "threat_id"], checks, "violation")
-    repeated = (threats.groupBy("org_id", "threat_id").agg(F.count(F.lit(1)).alias("n"))
-                .filter(F.col("n") > 1)
-                .select("org_id", "threat_id", F.lit("duplicate id").alias("violation")))
-    return row_level.unionByName(repeated)
+    # an id that repeats is reported once, with any one of its rows
+    same = Window.partitionBy("org_id", "threat_id").orderBy(F.lit(1))
+    rows = threats.withColumn("_n", F.row_number().over(same)).withColumn(
+        "_next", F.lead(F.lit(1)).over(same))
+    repeated = F.when((F.col("_n") > 1) & F.col("_next").isNull(), F.lit("duplicate id"))
+    return element_rows(rows, ["org_id", "threat_id"],
+                        F.array_compact(F.concat(checks, F.array(repeated))), "violation")
 
 
 def control_coverage(controls: DataFrame) -> DataFrame:

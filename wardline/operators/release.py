@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.lookups import ROWS_PER_TASK, lookup_join
-from wardline.functions.ranking import ROWS_PER_BLOCK, with_position
+from wardline.functions.ranking import with_position
 from wardline.operators.findings import is_attack_path, risk_band, risk_score
 
 SHIP, BLOCK = "SHIP", "BLOCK"
@@ -63,13 +63,12 @@ def gate(judged_: DataFrame, releases: DataFrame) -> DataFrame:
                  F.lit(" accepted via time-boxed exception")).alias("summary"))
 
 
-def gate_lists(judged_: DataFrame, *, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def gate_lists(judged_: DataFrame) -> DataFrame:
     """The ordered id lists behind each decision, as rows with a position.
 
     Rows instead of arrays: the list of one release may hold a large part of the table.
     """
     named = judged_.withColumn("list", F.when(F.col("accepted"), F.lit("accepted"))
                                .otherwise(F.lit("blockers")))
-    ranked = with_position(named, [], within=["release_id", "list"],
-                           rows_per_block=rows_per_block)
+    ranked = with_position(named, [], within=["release_id", "list"])
     return ranked.select("release_id", "list", "position", F.col("id").alias("candidate_id"))

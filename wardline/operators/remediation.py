@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wardline import registries as reg
 from wardline.functions.exprs import lookup
-from wardline.functions.ranking import ROWS_PER_BLOCK, with_position
+from wardline.functions.ranking import with_position
 
 
 def sla_due(sla_days: Mapping[str, int] = reg.SLA_DAYS) -> Column:
@@ -37,7 +37,10 @@ def tracked(findings: DataFrame, today: dt.date) -> DataFrame:
 
 
 def summary(findings: DataFrame, today: dt.date) -> DataFrame:
-    """One row of totals from one pass; 100 percent on time when nothing is open."""
+    """One row of totals from one pass; 100 percent on time when nothing is open.
+
+    Open work of a severity without a deadline is ``unrated_open`` and not on time.
+    """
     def count(condition: Column, name: str) -> Column:
         return F.count_if(condition).alias(name)
 
@@ -45,11 +48,12 @@ def summary(findings: DataFrame, today: dt.date) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         *[count(F.col("severity") == s, s) for s in reg.SLA_DAYS],
         count(is_open(), "open"), count(is_overdue(today), "overdue"),
+        count(is_open() & sla_due().isNull(), "unrated_open"),
         count(F.col("status").isin(*reg.CLOSED_STATES), "closed"),
         count(is_open() & (F.col("owner") == reg.UNASSIGNED), "unassigned_open"))
     # the product comes before the quotient here: 100 * part / total
     on_time = F.bround(F.try_divide(
-        (F.lit(100) * (F.col("open") - F.col("overdue"))).cast("double"),
+        (F.lit(100) * (F.col("open") - F.col("overdue") - F.col("unrated_open"))).cast("double"),
         F.col("open").cast("double")), 0).cast("int")
     return counts.withColumn("on_time_pct", F.coalesce(on_time, F.lit(100)))
 
@@ -60,9 +64,8 @@ def worklist(findings: DataFrame, today: dt.date) -> DataFrame:
         F.col("overdue").desc(), F.col("days_left"), F.col("seq"))
 
 
-def ranked_worklist(findings: DataFrame, today: dt.date, *,
-                    rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def ranked_worklist(findings: DataFrame, today: dt.date) -> DataFrame:
     leading = [("late", (~is_overdue(today)).cast("int")), ("left", days_left(today))]
-    ranked = with_position(findings.filter(is_open()), leading, rows_per_block=rows_per_block)
+    ranked = with_position(findings.filter(is_open()), leading)
     return tracked(ranked, today)
 

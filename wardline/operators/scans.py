@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import compact, element_rows, empty_array, lstrip, strip
+from wardline.functions.exprs import compact, element_rows, empty_array, fold_out, lstrip, strip
 from wardline.functions.patterns import LINE_BREAK, jvm, literal, may_match
 
 FINDING = "struct<rule:string,severity:string,line:int,snippet:string,message:string>"
@@ -60,20 +60,15 @@ def open_route_findings(lines: Column) -> Column:
 
     marked = F.filter(F.transform(lines, marker),
                       lambda m: m["route"] | m["auth"] | m["function"])
-    state = f"struct<covered:boolean,found:array<{FINDING}>>"
-    start = F.struct(F.lit(False).alias("covered"), empty_array(FINDING).alias("found")).cast(state)
     rule, severity, message = reg.OPEN_ROUTE_RULE
 
-    def step(acc: Column, m: Column) -> Column:
-        covered = F.when(m["function"], F.lit(False)).when(m["auth"], F.lit(True)) \
-            .otherwise(acc["covered"])
+    def step(covered: Column, m: Column) -> tuple[Column, Column]:
+        covered = F.when(m["function"], F.lit(False)).when(m["auth"], F.lit(True)).otherwise(covered)
         finding = F.array(_finding(rule, severity, m["at"] + 1, m["line"], message))
-        return F.struct(
-            covered.alias("covered"),
-            F.when(m["route"] & ~covered, F.concat(finding, acc["found"]))
-            .otherwise(acc["found"]).alias("found")).cast(state)
+        return covered, F.when(m["route"] & ~covered, finding.cast(f"array<{FINDING}>")).otherwise(
+            empty_array(FINDING))
 
-    return F.aggregate(F.reverse(marked), start, step, lambda acc: acc["found"])
+    return F.reverse(fold_out(F.reverse(marked), F.lit(False), "boolean", step, FINDING))
 
 
 def with_findings(files: DataFrame) -> DataFrame:

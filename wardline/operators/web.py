@@ -22,20 +22,30 @@ def protected(routes: Sequence[str] = reg.PROTECTED_ROUTES) -> Column:
 
 def missing_authentication() -> Column:
     """A protected route answered an unauthenticated request."""
-    open_ = ~F.col("authed") & ~F.col("status").isin(*reg.REFUSED_STATUS)
-    return F.when(open_, _finding("missing-authentication", "high", F.concat(
-        F.lit("protected route returned "), F.col("status").cast("string"),
+    refused = F.coalesce(F.col("status").isin(*reg.REFUSED_STATUS), F.lit(False))
+    return F.when(~_authed() & ~refused, _finding("missing-authentication", "high", F.concat(
+        F.lit("protected route returned "),
+        F.coalesce(F.col("status").cast("string"), F.lit("no status")),
         F.lit(" without credentials"))))
 
 
+def _authed() -> Column:
+    """A request that does not say so was made without credentials."""
+    return F.coalesce("authed", F.lit(False))
+
+
 def missing_headers(required: Sequence[str] = reg.REQUIRED_HEADERS) -> Column:
-    """Required headers the response does not carry, in fixed order, names case-sensitive."""
-    return compact([F.when(~F.map_contains_key("headers", h), F.lit(h)) for h in required])
+    """Required headers the response does not carry, in fixed order, names case-sensitive.
+
+    A response without a header map lacks them all.
+    """
+    return compact([F.when(~F.coalesce(F.map_contains_key("headers", h), F.lit(False)), F.lit(h))
+                    for h in required])
 
 
 def missing_security_headers() -> Column:
     absent = missing_headers()
-    return F.when(F.col("authed") & (F.size(absent) > 0), _finding(
+    return F.when(_authed() & (F.size(absent) > 0), _finding(
         "missing-security-headers", "medium",
         F.concat(F.lit("missing headers: "), F.array_join(absent, ", "))))
 
@@ -44,7 +54,7 @@ def error_leakage() -> Column:
     leak = F.contains("body", F.lit(reg.LEAK_MARKERS[0]))
     for marker in reg.LEAK_MARKERS[1:]:
         leak = leak | F.contains("body", F.lit(marker))
-    return F.when(F.col("authed") & leak, _finding(
+    return F.when(_authed() & leak, _finding(
         "error-leakage", "high", F.lit("response body leaks a stack trace / debug page")))
 
 

@@ -172,7 +172,7 @@ add("gov_15_destinations", f"SELECT request_id, destination, {_POSTURE} FROM {_R
 
 _DECIDED = f"""{_DET},
 posture AS (SELECT *, {_POSTURE} FROM req),
-facts AS (SELECT p.request_id, p.destination, destination_approved, dpa,
+facts AS (SELECT p.request_id, p.destination, destination_approved, dpa, p.prompt IS NULL AS unread,
   coalesce(bool_or(data_class = 'secret'), false) AS has_secret,
   coalesce(bool_or(data_class IN ('pii', 'sensitive', 'customer')), false) AS regulated,
   count(d.ordinal) AS n FROM posture p LEFT JOIN det d USING (request_id) GROUP BY ALL),
@@ -184,16 +184,17 @@ UNION ALL SELECT request_id, 1, 0, 'TICKET', 'secret',
 UNION ALL SELECT request_id, 2, ordinal, 'REDACT', data_class,
   'Tokenize ' || data_class || ' into a non-identifiable unit' FROM det
   WHERE data_class IN ('pii', 'sensitive', 'customer')
-UNION ALL SELECT request_id, 3, 0, 'ROUTE', NULL, 'Destination ''' || destination
+UNION ALL SELECT request_id, 0, 0, 'BLOCK', NULL, {text(reg.NO_PROMPT_REASON)} FROM facts WHERE unread
+UNION ALL SELECT request_id, 3, 0, 'ROUTE', NULL, 'Destination ''' || coalesce(destination, '(none)')
   || ''' is not an approved AI tool; route to an approved, covered endpoint'
-  FROM facts WHERE NOT destination_approved
+  FROM facts WHERE NOT destination_approved AND NOT unread
 UNION ALL SELECT request_id, 3, 0, 'ROUTE', NULL, '''' || destination
   || ''' is approved but not DPA-covered; regulated data requires a DPA-covered destination'
   FROM facts WHERE destination_approved AND regulated AND NOT dpa
 UNION ALL SELECT request_id, 4, 0, 'LOG', NULL, 'Write AI-usage / SOC 2 evidence record'
   FROM facts WHERE n > 0
 UNION ALL SELECT request_id, 5, 0, 'ALLOW', NULL, 'No sensitive data; allowed'
-  FROM facts WHERE n = 0 AND destination_approved)"""
+  FROM facts WHERE n = 0 AND destination_approved AND NOT unread)"""
 add("gov_16_decisions", f"""{_DECIDED}
 SELECT request_id, CAST(row_number() OVER (PARTITION BY request_id ORDER BY step, nth) - 1 AS INTEGER) AS ordinal,
   action, data_class, reason FROM decided""")
@@ -216,8 +217,8 @@ _CHAIN_REASON = """CASE seq % 5 WHEN 0 THEN 'all hops verified' WHEN 1 THEN 'cha
 _CHAIN_OK = "CASE seq % 5 WHEN 0 THEN true WHEN 4 THEN NULL ELSE false END"
 _VERDICT = f"""{_DECIDED},
 verdict AS (SELECT r.request_id, r.seq,
-  coalesce(f.has_secret, false) OR coalesce(NOT ({_CHAIN_OK}), false) AS blocked,
-  NOT f.destination_approved OR (f.regulated AND NOT f.dpa) AS rerouted
+  f.unread OR coalesce(f.has_secret, false) OR coalesce(NOT ({_CHAIN_OK}), false) AS blocked,
+  NOT f.unread AND (NOT f.destination_approved OR (f.regulated AND NOT f.dpa)) AS rerouted
   FROM req r JOIN facts f USING (request_id))"""
 add("gov_19_verdicts", f"""{_VERDICT}
 SELECT request_id, blocked, rerouted, NOT blocked AND NOT rerouted AS allowed FROM verdict""")
@@ -330,21 +331,24 @@ add("red_5_verdicts", verdicts(True))
 add("red_5_verdicts_any_tool", verdicts(False))
 
 # --- consent -----------------------------------------------------------------------------------------------------
-_CONSENT_REASON = """CASE WHEN contact_known IS NULL OR consent = 'none' THEN 'no prior express consent on file (TCPA)'
-  WHEN consent = 'opted_out' THEN 'recipient sent STOP, opted out; further contact prohibited' END"""
+_CONSENT_REASON = f"""CASE WHEN contact_known IS NOT NULL AND consent = 'opted_in' THEN NULL
+  WHEN consent = 'opted_out' THEN {text(reg.OPTED_OUT_REASON)} ELSE {text(reg.NO_CONSENT_REASON)} END"""
+_GOOD_ZONE = "timezone IN ('America/New_York', 'America/Chicago', 'America/Los_Angeles', 'America/Denver', 'Asia/Kolkata')"
 
 
 def evaluated(sends: str) -> str:
     return f"""
 WITH joined AS (SELECT s.*, c.timezone, c.consent, c.contact_id AS contact_known,
-  s.send_ts AT TIME ZONE 'UTC' AT TIME ZONE c.timezone AS local_ts
+  CASE WHEN c.{_GOOD_ZONE} THEN s.send_ts AT TIME ZONE 'UTC' AT TIME ZONE
+    CASE WHEN c.{_GOOD_ZONE} THEN c.timezone ELSE 'UTC' END END AS local_ts
   FROM {sends} s LEFT JOIN {view('contacts')} c ON s.contact_id = c.contact_id),
 judged AS (SELECT *, {_CONSENT_REASON} AS r1,
-  CASE WHEN contact_known IS NOT NULL AND (hour(local_ts) < 8 OR hour(local_ts) >= 21)
+  CASE WHEN contact_known IS NOT NULL AND local_ts IS NULL THEN {text(reg.NO_LOCAL_TIME_REASON)}
+    WHEN contact_known IS NOT NULL AND (hour(local_ts) < 8 OR hour(local_ts) >= 21)
     THEN 'outside 8am to 9pm local window (' || strftime(local_ts, '%H:%M') || ' ' || timezone || ')' END AS r2
   FROM joined),
 decided AS (SELECT *, r1 IS NULL AND r2 IS NULL AS allowed,
-  CASE WHEN r1 IS NULL AND r2 IS NULL THEN 'express consent on file; within local calling window'
+  CASE WHEN r1 IS NULL AND r2 IS NULL THEN {text(reg.CLEARED_REASON)}
     ELSE concat_ws(' | ', r1, r2) END AS reasons FROM judged)"""
 
 
@@ -365,6 +369,17 @@ _FAN = f"""(SELECT seq, contact_id, 'Brand_X_Outreach' AS campaign,
 add("con_6_campaign_fan_out", f"""{evaluated(_FAN)}
 SELECT seq, contact_id, campaign, strftime(send_ts, '%Y-%m-%d %H:%M:%S.%f') AS send_ts, allowed FROM decided""")
 
+_FANS = f"""(SELECT c.seq, c.contact_id, r_name AS campaign,
+  TIMESTAMP '2026-06-22 03:00:00' + CAST(r_regionkey * 5 AS INTEGER) * INTERVAL '1' HOUR AS send_ts
+  FROM {view('contacts')} c, region)"""
+add("con_6_campaign_table", f"""{evaluated(_FANS)}
+SELECT seq, contact_id, campaign, strftime(send_ts, '%Y-%m-%d %H:%M:%S.%f') AS send_ts, allowed FROM decided""")
+add("con_7_registry_violations", f"""
+SELECT seq, contact_id, 'unusable time zone: ' || coalesce(timezone, 'none') AS violation
+FROM {view('contacts')} WHERE NOT coalesce({_GOOD_ZONE}, false)
+UNION ALL SELECT seq, contact_id, 'unknown consent: ' || coalesce(consent, 'none on record')
+FROM {view('contacts')} WHERE NOT coalesce(consent IN ('opted_in', 'opted_out', 'none'), false)""")
+
 # --- triage --------------------------------------------------------------------------------------------------------
 _SCORE = " + ".join(f"CASE WHEN {f} THEN {w} ELSE 0 END" for f, w in reg.RISK_WEIGHTS.items())
 _FACTORS = "concat_ws(', ', " + ", ".join(
@@ -396,21 +411,22 @@ SELECT count(*) AS findings, count(*) FILTER ({_PATH}) AS attack_paths,
 # --- remediation -----------------------------------------------------------------------------------------------------
 _TODAY = f"DATE '{v.PENTEST_TODAY}'"
 _TRACKED = f"""(SELECT *, status IN ('open', 'in_progress', 'retest') AS is_open,
-  status IN ('open', 'in_progress', 'retest') AND {_TODAY} > due AS overdue, due - {_TODAY} AS days_left
+  coalesce(status IN ('open', 'in_progress', 'retest') AND {_TODAY} > due, false) AS overdue, due - {_TODAY} AS days_left
   FROM (SELECT *, discovered + {case_of('severity', reg.SLA_DAYS)} AS due FROM {view('pentest')}))"""
 add("pen_1_due_dates", f"SELECT seq, id, CAST(due AS VARCHAR) AS sla_due FROM {_TRACKED}")
 add("pen_2_overdue", f"SELECT seq, id, overdue FROM {_TRACKED}")
 add("pen_3_days_left", f"SELECT seq, id, CAST(days_left AS INTEGER) AS days_left FROM {_TRACKED}")
 add("pen_4_summary", f"""
-SELECT total, critical, high, medium, low, open, overdue, closed, unassigned_open,
-  CASE WHEN open = 0 THEN 100 ELSE CAST(round_even(100.0 * (open - overdue) / open, 0) AS INTEGER) END AS on_time_pct
+SELECT total, critical, high, medium, low, open, overdue, unrated_open, closed, unassigned_open,
+  CASE WHEN open = 0 THEN 100
+    ELSE CAST(round_even(100.0 * (open - overdue - unrated_open) / open, 0) AS INTEGER) END AS on_time_pct
 FROM (SELECT count(*) AS total, count(*) FILTER (severity = 'critical') AS critical,
   count(*) FILTER (severity = 'high') AS high, count(*) FILTER (severity = 'medium') AS medium,
   count(*) FILTER (severity = 'low') AS low, count(*) FILTER (is_open) AS open,
-  count(*) FILTER (overdue) AS overdue, count(*) FILTER (status IN ('remediated', 'accepted')) AS closed,
+  count(*) FILTER (overdue) AS overdue, count(*) FILTER (is_open AND due IS NULL) AS unrated_open, count(*) FILTER (status IN ('remediated', 'accepted')) AS closed,
   count(*) FILTER (is_open AND owner = 'unassigned') AS unassigned_open FROM {_TRACKED})""")
 add("pen_5_worklist", f"""
-SELECT row_number() OVER (ORDER BY overdue DESC, days_left, seq) AS position, seq, id, overdue,
+SELECT row_number() OVER (ORDER BY overdue DESC, days_left NULLS FIRST, seq) AS position, seq, id, overdue,
   CAST(days_left AS INTEGER) AS days_left FROM {_TRACKED} WHERE is_open""")
 
 # --- release gate --------------------------------------------------------------------------------------------------------
@@ -439,15 +455,15 @@ _SCOPES = ", ".join(text(f"{c} {s}") for c, scopes in reg.CONNECTOR_SCOPES.items
 _CONNECTORS = ", ".join(text(c) for c in reg.CONNECTOR_SCOPES)
 _RISKY = ", ".join(text(f"{c} {a}") for c, a in reg.HIGH_RISK_ACTIONS)
 _ACCESS = f"""
-WITH req AS (SELECT *, connector IN ({_CONNECTORS}) AS known_connector,
-  connector || ' ' || action IN ({_SCOPES}) AS valid_scope,
-  connector || ' ' || action IN ({_RISKY}) AS high_risk FROM {view('access')}),
+WITH req AS (SELECT *, coalesce(connector IN ({_CONNECTORS}), false) AS known_connector,
+  coalesce(connector || ' ' || action IN ({_SCOPES}), false) AS valid_scope,
+  coalesce(connector || ' ' || action IN ({_RISKY}), false) AS high_risk FROM {view('access')}),
 granted AS (SELECT principal, connector, scope_names FROM {view('grants')}
   QUALIFY row_number() OVER (PARTITION BY principal, connector ORDER BY seq) = 1),
 seen AS (SELECT DISTINCT principal, connector FROM {view('access')} WHERE ts < TIMESTAMP '{v.HISTORY_BEFORE}'),
 checked AS (SELECT r.*, s.principal IS NULL AS anomalous, g.scope_names,
-  CASE WHEN NOT known_connector THEN 'unknown connector ''' || r.connector || ''''
-    WHEN NOT valid_scope THEN '''' || action || ''' is not a valid scope on ''' || r.connector || '''' END AS error,
+  CASE WHEN NOT known_connector THEN 'unknown connector ''' || coalesce(r.connector, '(none)') || ''''
+    WHEN NOT valid_scope THEN '''' || coalesce(action, '(none)') || ''' is not a valid scope on ''' || r.connector || '''' END AS error,
   'tok_' || substr(sha256(r.principal), 1, 8) AS principal_token
   FROM req r LEFT JOIN granted g ON r.principal = g.principal AND r.connector = g.connector
   LEFT JOIN seen s ON r.principal = s.principal AND r.connector = s.connector)"""
@@ -560,17 +576,22 @@ SELECT count(*) AS files, count(*) FILTER (high > 0) AS failed, bool_and(high =
 add("src_4_read_source_files", f"""{_SCAN}
 SELECT rule, severity, count(*) AS findings FROM found WHERE part = 0 GROUP BY ALL""")
 
+add("src_4_file_contents", f"""
+SELECT part, length(content) AS length, sha256(content) AS digest FROM (
+  SELECT seq // 200 AS part, string_agg(content, chr(10) ORDER BY seq) || chr(10) AS content
+  FROM {view('source')} GROUP BY part)""")
+
 # --- http responses ---------------------------------------------------------------------------------------------------------------------------
 _MISSING = "concat_ws(', ', " + ", ".join(
-    f"CASE WHEN NOT list_contains(string_split(header_names, ','), {text(h)}) THEN {text(h)} END"
+    f"CASE WHEN NOT coalesce(list_contains(string_split(header_names, ','), {text(h)}), false) THEN {text(h)} END"
     for h in reg.REQUIRED_HEADERS) + ")"
 _ROUTES = ", ".join(text(r) for r in reg.PROTECTED_ROUTES)
 _WEB = f"""
 WITH resp AS (SELECT *, {_MISSING} AS missing FROM {view('http')} WHERE endpoint IN ({_ROUTES})),
 found AS (
 SELECT seq, 'missing-authentication' AS rule, 'high' AS severity, endpoint,
-  'protected route returned ' || status || ' without credentials' AS message
-  FROM resp WHERE NOT authed AND status NOT IN (401, 403)
+  'protected route returned ' || coalesce(CAST(status AS VARCHAR), 'no status') || ' without credentials' AS message
+  FROM resp WHERE NOT authed AND coalesce(status NOT IN (401, 403), true)
 UNION ALL SELECT seq, 'missing-security-headers', 'medium', endpoint, 'missing headers: ' || missing
   FROM resp WHERE authed AND missing <> ''
 UNION ALL SELECT seq, 'error-leakage', 'high', endpoint, 'response body leaks a stack trace / debug page'
@@ -628,7 +649,7 @@ FROM (SELECT org_id, count(*) AS controls, count(*) FILTER (automated) AS automa
 add("reg_7_evidence_map", f"SELECT * FROM {_CONTROLS}")
 
 # --- incidents ------------------------------------------------------------------------------------------------------------------------------------
-_INCIDENTS = f"""(SELECT seq, 'INC-' || substr(sha256(CAST(seq AS VARCHAR)), 1, 6) AS incident_id, ts
+_INCIDENTS = f"""(SELECT seq, 'INC-' || substr(sha256(CAST(seq AS VARCHAR)), 1, {reg.INCIDENT_ID_DIGITS}) AS incident_id, ts
   FROM {view('detections')})"""
 _STEPS = values(["step_no", "minutes", "actor", "action", "evidence"],
                 [(n, *s) for n, s in enumerate(reg.PLAYBOOK, start=1)])
@@ -657,9 +678,11 @@ FROM {_TIMELINE} GROUP BY seq, incident_id, ts""")
 add("str_1_guardrail_stream", f"""
 SELECT request_id, data_classes, actions, allowed, chain_verified, est_tokens, cost_center
 FROM ({ORACLE_SQL['gov_20_audit_records']})""")
+add("str_1_sanitized_stream", ORACLE_SQL["gov_17_sanitized_prompts"])
+add("str_1_vault_stream", ORACLE_SQL["gov_18_vault"])
 add("str_2_response_stream", ORACLE_SQL["rsp_2_plans"])
 add("str_3_first_seen_stream", f"""
 SELECT seq, principal, connector FROM {view('access')} a WHERE ts >= TIMESTAMP '{v.HISTORY_BEFORE}'
-  AND (principal, connector) NOT IN (SELECT (principal, connector) FROM {view('access')}
-    WHERE ts < TIMESTAMP '{v.HISTORY_BEFORE}')
+  AND NOT EXISTS (SELECT 1 FROM {view('access')} h WHERE h.ts < TIMESTAMP '{v.HISTORY_BEFORE}'
+    AND h.principal = a.principal AND h.connector = a.connector)
 QUALIFY row_number() OVER (PARTITION BY principal, connector ORDER BY ts, seq) = 1""")

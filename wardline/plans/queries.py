@@ -19,6 +19,7 @@ from wardline.operators import (access, consent, findings, governance, identity,
 from wardline.plans import views as v
 from wardline.session import scratch_path
 from wardline.sources import tables
+from wardline.sources.tables import read_parquet
 from wardline.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +82,20 @@ def src_4_read_source_files(spark, folder):
             .agg(F.count(F.lit(1)).alias("findings")))
 
 
+@query
+def src_4_file_contents(spark, folder):
+    """Writes the corpus as numbered text files and reads each back whole, path and content."""
+    path = scratch_path(spark, "numbered")
+    corpus = v.load(spark, folder, "source").select(
+        "seq", "content", F.call_function("div", F.col("seq"), F.lit(200)).alias("part"))
+    (corpus.repartition("part").sortWithinPartitions("part", "seq").select("part", "content")
+     .write.partitionBy("part").text(path))
+    files = tables.read_source_files(spark, f"{path}/*")
+    return files.select(
+        F.regexp_extract("path", r"/part=(\d+)/[^/]+$", 1).cast("bigint").alias("part"),
+        F.length("content").cast("bigint").alias("length"), F.sha2("content", 256).alias("digest"))
+
+
 @query
 def src_5_write_records(spark, folder):
     path = scratch_path(spark, "records")
@@ -359,10 +374,27 @@ def con_6_campaign_fan_out(spark, folder):
     registry = _contacts(spark, folder)
     sends = consent.campaign_sends(registry, "Brand_X_Outreach",
                                    F.lit("2026-06-22 13:00:00").cast("timestamp_ntz"))
-    return consent.evaluated_sends(sends, registry).select(
+    return consent.judged_sends(sends).select(
         "seq", "contact_id", "campaign", stamp("send_ts"), "allowed")
 
 
+@query
+def con_6_campaign_table(spark, folder):
+    """Every campaign of a table to every contact; the campaigns are the regions' names."""
+    hours = F.make_dt_interval(hours=F.col("r_regionkey").cast("int") * 5)
+    campaigns = read_parquet(spark, folder, "region").select(
+        F.col("r_name").alias("campaign"),
+        (F.lit("2026-06-22 03:00:00").cast("timestamp_ntz") + hours).alias("send_ts"))
+    sends = consent.table_sends(_contacts(spark, folder), campaigns)
+    return consent.judged_sends(sends).select(
+        "seq", "contact_id", "campaign", stamp("send_ts"), "allowed")
+
+
+@query
+def con_7_registry_violations(spark, folder):
+    return consent.registry_violations(v.load(spark, folder, "contacts"))
+
+
 # --- triage ------------------------------------------------------------------------------------------------------
 def _findings(spark, folder):
     return v.load(spark, folder, "findings")
@@ -724,17 +756,35 @@ def inc_2_records(spark, folder):
 
 
 # --- streaming ----------------------------------------------------------------------------------------------------------------------------------
+def _guardrail_stream(spark, folder):
+    """The three tables of the guardrail, from one classification of each request."""
+    def transform(batch: DataFrame) -> DataFrame:
+        requests = v.with_tokens(v.with_chain(
+            v.from_table(batch.sparkSession, "requests", batch)))
+        return governance.govern(requests, v.SIGNING_KEY, now())
+
+    return streams.run_to_sinks(
+        spark, streams.parquet_stream(spark, f"{folder}/documents.parquet"), transform, {
+            "audit": lambda df: governance.audit_records(df, F.lit(v.RECORDED_AT)),
+            "sanitized": lambda df: df.select("request_id", "sanitized_prompt"),
+            "vault": governance.governed_vault_rows}, "guardrail")
+
+
 @query
 def str_1_guardrail_stream(spark, folder):
-    def transform(batch: DataFrame) -> DataFrame:
-        requests = v.with_tokens(v.with_chain(v.from_table(spark, "requests", batch)))
-        return governance.audit_records(
-            governance.govern(requests, v.SIGNING_KEY, now()), F.lit(v.RECORDED_AT))
-
-    out = streams.run_to_end(
-        spark, streams.parquet_stream(spark, f"{folder}/documents.parquet"), transform, "guardrail")
-    return out.select("request_id", joined("data_classes"), joined("actions"), "allowed",
-                      "chain_verified", "est_tokens", "cost_center")
+    return _guardrail_stream(spark, folder)["audit"].select(
+        "request_id", joined("data_classes"), joined("actions"), "allowed",
+        "chain_verified", "est_tokens", "cost_center")
+
+
+@query
+def str_1_sanitized_stream(spark, folder):
+    return _guardrail_stream(spark, folder)["sanitized"]
+
+
+@query
+def str_1_vault_stream(spark, folder):
+    return _guardrail_stream(spark, folder)["vault"]
 
 
 @query

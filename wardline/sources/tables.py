@@ -21,15 +21,13 @@ def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for costly work on a table that comes in very few pieces.
+def spread(df: DataFrame, key: str, pieces: int | None) -> DataFrame:
+    """``df`` dealt into ``pieces`` by ``key`` if the caller asks for it, else as it is.
 
-    A parquet file is split by row group at most, so a small file is one task. Tables with
-    at least as many pieces as the session has cores, as any large table has, are returned
-    as they are: no shuffle is added to them.
+    A parquet file is split by row group at most, so a small table in one file is one task;
+    whoever runs costly work on such tables names the number of pieces.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df.repartition(pieces, key) if pieces else df
 
 
 def read_json(spark: SparkSession, path: str, schema: str, *, lines: bool = False) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +15,15 @@ from wardline.session import scratch_path
 def parquet_stream(spark: SparkSession, path: str, *, files_per_trigger: int = 64) -> DataFrame:
     """File stream over a parquet folder or a single parquet file.
 
-    The last letter is written as a pattern because a path without one must be a folder.
+    A single file is found in its folder by its name, as a stream reads folders only.
     """
-    schema = spark.read.parquet(path).schema
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(f"{path[:-1]}[{path[-1]}]"))
+    table = spark.read.parquet(path)
+    parent, _, name = path.rstrip("/").rpartition("/")
+    files = table.inputFiles()
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_trigger)
+    if len(files) == 1 and files[0].rpartition("/")[2] == name:
+        return stream.option("pathGlobFilter", name).parquet(parent)
+    return stream.parquet(path)
 
 
 def write_stream(df: DataFrame, out: str, checkpoint: str, *, every: str | None = None):
@@ -42,35 +46,65 @@ def run_to_end(spark: SparkSession, stream: DataFrame,
     return spark.read.schema(result.schema).parquet(f"{base}/out")
 
 
+def run_to_sinks(spark: SparkSession, stream: DataFrame,
+                 transform: Callable[[DataFrame], DataFrame],
+                 sinks: dict[str, Callable[[DataFrame], DataFrame]], name: str
+                 ) -> dict[str, DataFrame]:
+    """As ``run_to_end``, with several tables written from one computation of each micro-batch.
+
+    A batch that is repeated after a failure overwrites its own folders.
+    """
+    base = scratch_path(spark, name)
+    schemas: dict[str, T.StructType] = {}
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        computed = transform(batch).persist()
+        try:
+            for sink, part in sinks.items():
+                rows = part(computed)
+                schemas[sink] = rows.schema
+                rows.write.mode("overwrite").parquet(f"{base}/{sink}/batch_id={batch_id}")
+        finally:
+            computed.unpersist()
+
+    (stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{base}/checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
+    if not schemas:  # the stream held nothing
+        on_batch(spark.createDataFrame([], stream.schema), -1)
+    with_batch = {s: T.StructType([*k.fields, T.StructField("batch_id", T.LongType())])
+                  for s, k in schemas.items()}
+    return {s: spark.read.schema(k).parquet(f"{base}/{s}").drop("batch_id")
+            for s, k in with_batch.items()}
+
+
 def first_seen(spark: SparkSession, accesses: DataFrame, history: DataFrame, *,
-               base: str | None = None) -> DataFrame:
-    """Each (principal, connector) pair's first access that history does not know.
-
-    The pairs already reported are a table in the shared folder, one folder per
-    micro-batch. A batch is first reduced to one row per pair where it lies, so a pair
-    that makes up much of the stream never meets in one task, and then loses the pairs
-    that history or an earlier batch holds. A batch that is repeated after a failure
-    ignores its own folder and later ones and overwrites it, so it gives the same result.
+               base: str | None = None, order: Sequence[str] = ("ts", "seq")) -> DataFrame:
+    """Each (principal, connector) pair's earliest access, of the pairs history does not know.
+
+    The state store keeps the earliest access of each pair, so a micro-batch costs what it
+    holds, not what came before; a batch is reduced to one row per pair where it lies. A pair is
+    reported when it first appears, and again if a later batch brings an earlier access; the
+    result holds the earliest, so it does not depend on how files fall into batches. History is
+    snapshot once for each ``base``, so repeated batches and later starts see the same.
     """
     base = base or scratch_path(spark, "first-seen")
     out = f"{base}/out"
     columns = accesses.columns
-    schema = T.StructType([*accesses.schema.fields, T.StructField("batch_id", T.LongType())])
-    # an empty first folder, so that there is always a table to read
-    spark.createDataFrame([], accesses.schema).write.mode("overwrite").parquet(f"{out}/batch_id=-1")
-    # history is reduced to its pairs once per start, not once per batch
+    rest = [c for c in columns if c not in (*PAIR, *order)]
     pairs = history.select(*PAIR).distinct()
-    pairs.write.mode("overwrite").parquet(f"{base}/history")
+    pairs.write.mode("ignore").parquet(f"{base}/history")
+    known = spark.read.schema(pairs.schema).parquet(f"{base}/history")
+    earliest = accesses.join(known, PAIR, "left_anti").groupBy(*PAIR).agg(
+        F.min(F.struct(*order, *rest)).alias("_first"))
+    found = earliest.select(*[F.col(c) if c in PAIR else F.col(f"_first.{c}").alias(c) for c in columns])
+    # an empty first folder, so that there is always a table to read
+    spark.createDataFrame([], found.schema).write.mode("overwrite").parquet(f"{out}/batch_id=-1")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        reported = session.read.schema(schema).parquet(out).filter(F.col("batch_id") < batch_id)
-        past = session.read.schema(pairs.schema).parquet(f"{base}/history")
-        known = past.unionByName(reported.select(*PAIR))
-        (first_accesses(batch, known).select(*columns)
-         .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"))
-
-    (accesses.writeStream.foreachBatch(on_batch)
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    (found.writeStream.outputMode("update").foreachBatch(on_batch)
      .option("checkpointLocation", f"{base}/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.schema(schema).parquet(out).select(*columns)
+    schema = T.StructType([*found.schema.fields, T.StructField("batch_id", T.LongType())])
+    return first_accesses(spark.read.schema(schema).parquet(out).select(*columns), order=order)
