@@ -1,16 +1,18 @@
 """Near duplicates by HyperMinHash: banded, compressed registers, then exact confirmation.
 
-A document's set is that of its distinct shingles. For each of ``BANDS`` hash functions a
-shingle falls into one of four buckets by the first bits of its hash; a bucket keeps the smallest
-of the remaining bits, compressed to the number of its leading zeros (6 bits) and the 10 bits after
-the first one. The four registers of a function make one 64-bit band. Two sets with Jaccard
-similarity J agree in a band with probability of about J**4, also if they are small: 0.32 at 0.75, so
-a pair at the threshold escapes all 32 bands with probability 5e-6.
-
-Documents with equal sets are one class from the start. Classes that share a band are
-compared by their registers; the share of equal registers, less what equal compressed values
-without equal minima add, estimates J. Pairs well below the threshold are dropped, all others
-are confirmed on their full sets, and confirmed pairs make components.
+A document's set is that of its distinct shingles, as 64-bit hashes. A register keeps the smallest hash of a
+bucket, compressed to the number of its leading zeros (6 bits) and the 10 bits after the first one.
+
+* For banding, each of ``BANDS`` hash functions deals the shingles into four buckets; its four registers
+  are one 64-bit band. Two sets with Jaccard similarity J agree in a band with probability of about J**4, also
+  if they are small: 0.32 at 0.75, so a pair at the threshold escapes all 32 bands with probability 5e-6.
+* For estimating J, ``BUCKETS`` further registers hold one function's minima. The share of equal ones among those
+  that are not empty on both sides, less what equal compressed values of unequal minima add, estimates J;
+  a small set is nearly all in its registers, so its estimate is nearly exact.
+
+Documents with equal sets are one class from the start. Classes that share a band are compared by their
+registers. Pairs well below the threshold are dropped, all others are confirmed on their full sets, and
+confirmed pairs make components.
 """
 
 from __future__ import annotations
@@ -28,11 +30,12 @@ from wardline.llm.components import components
 WORDS = 5
 PERCENT = 75
 BANDS = 32
-BUCKETS = 4
-REGISTERS = BANDS * BUCKETS
+BAND_BUCKETS = 4
+BUCKETS = 256
 MANTISSA = 10
 COLLISION = 2.0 ** -(MANTISSA + 1)  # of two registers whose minima differ, about
-MARGIN = 0.19  # five standard deviations of an estimate from 128 registers at J = 0.75
+MARGIN = 0.12  # more than four standard deviations of an estimate from 256 registers at J = 0.75
+PARTNERS = (1, 16, None)  # that a class may confirm in each round
 SPLIT_ROWS = 1_024  # rows of a group that meet in one task
 EMPTY = np.uint16(0xFFFF)
 
@@ -57,19 +60,38 @@ def sets_of(column: pa.Array) -> list[np.ndarray]:
     return [shingle_hashes(hashes[a:b]) for a, b in zip(starts[:-1], starts[1:])]
 
 
-def registers(sets: list[np.ndarray]) -> np.ndarray:
-    """The compressed registers of non-empty sets, a row each."""
-    data = np.concatenate(sets)
-    starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    out = np.empty((len(sets), REGISTERS), dtype=np.uint16)
-    width = np.uint64(62)
+def joined(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All hashes in a row, and where each set starts."""
+    sizes = np.array([len(s) for s in sets])
+    return np.concatenate(sets), np.cumsum(sizes) - sizes
+
+
+def band_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """The bands of non-empty sets, a row each: four registers side by side."""
+    data, starts = joined(sets)
+    out = np.empty((len(sets), BANDS * BAND_BUCKETS), dtype=np.uint16)
     for band in range(BANDS):
         hashed = data * FACTORS[band] + OFFSETS[band]
         hashed ^= hashed >> np.uint64(29)
         hashed *= np.uint64(0xBF58476D1CE4E5B9)
-        for bucket in range(BUCKETS):
-            least = np.minimum.reduceat(hashed - (np.uint64(bucket) << width), starts)
-            out[:, band * BUCKETS + bucket] = compress(least)
+        for bucket in range(BAND_BUCKETS):
+            # the bucket's hashes come first once its number is taken off
+            least = np.minimum.reduceat(hashed - (np.uint64(bucket) << np.uint64(62)), starts)
+            out[:, band * BAND_BUCKETS + bucket] = compress(least)
+    return out.view(np.int64)
+
+
+def registers(sets: list[np.ndarray]) -> np.ndarray:
+    """The registers of non-empty sets for estimating, a row each."""
+    data, starts = joined(sets)
+    bucket = (data >> np.uint64(56)).astype(np.int64)
+    # a set is sorted, so the first hash of each bucket is its smallest
+    first = np.concatenate([[True], bucket[1:] != bucket[:-1]])
+    first[starts] = True
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    out = np.full((len(sets), BUCKETS), EMPTY, dtype=np.uint16)
+    least = (data[first] & np.uint64((1 << 56) - 1)) << np.uint64(6)
+    out[row[first], bucket[first]] = compress(least)
     return out
 
 
@@ -95,37 +117,35 @@ def similarity(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (equal / used - COLLISION) / (1 - COLLISION)
 
 
-SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+SKETCH = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
+          "registers binary")
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit digest of the set, and the bands (null: an empty set).
-
-    A band is the four registers of a hash function side by side.
-    """
+    """doc_id, n_shingles, a 128-bit digest of the set, bands and registers (null: an empty set)."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = sets_of(batch.column(1))
             full = [i for i, s in enumerate(sets) if len(s)]
             digests = np.zeros((2, len(sets)), dtype=np.uint64)
             lines: list[list[int] | None] = [None] * len(sets)
+            held: list[bytes | None] = [None] * len(sets)
             if full:
-                keys = registers([sets[i] for i in full]).view(np.int64)
-                for i, line in zip(full, keys.tolist()):
-                    lines[i] = line
+                some = [sets[i] for i in full]
+                for i, line, kept in zip(full, band_keys(some).tolist(), registers(some)):
+                    lines[i], held[i] = line, kept.tobytes()
                     digests[:, i] = sets[i].sum(), mix(sets[i] + np.uint64(1)).sum()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  *(pa.array(d.view(np.int64)) for d in digests),
-                 pa.array(lines, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+                 pa.array(lines, pa.list_(pa.int64())), pa.array(held, pa.binary())],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "registers"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(sketch, SKETCH)
 
 
 def register_rows(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return np.ascontiguousarray(flat).view(np.uint16).reshape(len(column), REGISTERS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), BUCKETS)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -178,26 +198,26 @@ def linked(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
         F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     best = F.max_by(F.struct("a", "b"), F.struct("estimate", -F.col("a")))
     tried = written(estimated(stars, classes).groupBy("b").agg(best.alias("_p")).select("_p.*"), "tried")
-    links = written(confirmed(tried, texts), "links")
-    roots = written(components(links), "roots")
-    for partners in (1, 16, None):
-        pairs = open_pairs(members, classes, roots, tried, partners)
-        pairs = written(pairs, "pairs")
+    roots = written(components(written(confirmed(tried, texts), "links")), "roots")
+    for partners in PARTNERS:
+        pairs = written(open_pairs(members, classes, roots, tried, partners), "pairs")
         if pairs.isEmpty():
             break
-        links = written(links.unionByName(confirmed(pairs, texts)), "links")
-        tried = written(tried.unionByName(pairs), "tried")
-        roots = written(components(links), "roots")
+        tried = tried.unionByName(pairs)
+        links = written(confirmed(pairs, texts), "links")
+        if not links.isEmpty():
+            so_far = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = written(components(so_far.unionByName(links)), "roots")
     return roots
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) that may be similar enough, with the estimate of their similarity."""
-    known = classes.select("rep", "n_shingles", "bands")
+    known = classes.select("rep", "n_shingles", "registers")
     sides = pairs
     for side in ("a", "b"):
         sides = sides.join(known.select(F.col("rep").alias(side), F.col("n_shingles").alias(f"n_{side}"),
-                                        F.col("bands").alias(f"bands_{side}")), side)
+                                        F.col("registers").alias(f"registers_{side}")), side)
     sides = sides.filter(near_sizes(F.col("n_a"), F.col("n_b")))
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +227,7 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                                              names=["a", "b", "estimate"]).filter(
                 pa.array(near >= PERCENT / 100 - MARGIN))
 
-    return sides.select("a", "b", "bands_a", "bands_b").mapInArrow(
+    return sides.select("a", "b", "registers_a", "registers_b").mapInArrow(
         estimate, "a long, b long, estimate double")
 
 
@@ -272,19 +292,20 @@ def open_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, tried:
         F.ceil(F.count(F.lit(1)) / F.lit(SPLIT_ROWS)).cast("int").alias("_blocks")).filter(
         "_low < _high").drop("_low", "_high")
     rows = placed.join(mixed, ["band", "key"]).join(
-        classes.select("rep", "n_shingles", "bands"), "rep")
+        classes.select("rep", "n_shingles", "bands", "registers"), "rep")
     # a block meets every other block of its bucket in one task, and itself in one
     own = F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
     rows = rows.withColumn("_own", own).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     rows = rows.select("band", "key", F.least("_own", "_other").alias("low"),
-                       F.greatest("_own", "_other").alias("high"), "_own", "rep", "root", "n_shingles", "bands")
+                       F.greatest("_own", "_other").alias("high"), "_own", "rep", "root", "n_shingles", "bands",
+                       "registers")
     keys = ["band", "key", "low", "high"]
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "root", "rep")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in key_runs(batches, len(keys)):
-            found = compare_block(block)
+            found = compare_block(block, partners)
             if len(found[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b", "estimate"])
 
@@ -322,26 +343,48 @@ def key_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Record
         yield pa.concat_batches(held) if len(held) > 1 else held[0]
 
 
-def compare_block(block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of a block, sorted by root, that are in different components and may be similar."""
-    low, high = block.column(2)[0].as_py(), block.column(3)[0].as_py()
+def compare_block(block: pa.RecordBatch, partners: int | None
+                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a block, sorted by root, that are in different components and may be similar.
+
+    A pair that shares several bands is found in the first of them only. With ``partners``, a pair
+    is left out unless it is among that many of the most similar ones of one of its two.
+    """
+    band, low, high = (block.column(i)[0].as_py() for i in (0, 2, 3))
     own, reps, roots, sizes = (block.column(i).to_numpy() for i in (4, 5, 6, 7))
-    lines = register_rows(block.column(8))
+    nothing = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    if roots[0] == roots[-1]:
+        return nothing
+    bands = block.column(8).flatten().to_numpy(zero_copy_only=False).reshape(len(reps), BANDS)
+    lines = register_rows(block.column(9))
     out: list[tuple] = []
-    if roots[0] != roots[-1]:
-        ends = np.searchsorted(roots, roots, "right")  # later components start there
-        step = max(1, (1 << 22) // (len(reps) * REGISTERS))
-        for start in range(0, len(reps), step):
-            some = np.arange(start, min(start + step, len(reps)))
-            i, j = np.nonzero(np.arange(len(reps))[None, :] >= ends[some][:, None])
-            i = some[i]
-            near = (np.minimum(sizes[i], sizes[j]) * 100 >= np.maximum(sizes[i], sizes[j]) * PERCENT)
-            if low != high:
-                near &= own[i] != own[j]  # within a block, its own task compares
-            i, j = i[near], j[near]
-            estimate = similarity(lines[i], lines[j])
-            near = estimate >= PERCENT / 100 - MARGIN
-            out.append((np.minimum(reps[i], reps[j])[near], np.maximum(reps[i], reps[j])[near], estimate[near]))
-    if not out:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-    return tuple(np.concatenate(x) for x in zip(*out))
+    ends = np.searchsorted(roots, roots, "right")  # later components start there
+    step = max(1, (1 << 22) // (len(reps) * BUCKETS))
+    for start in range(0, len(reps), step):
+        some = np.arange(start, min(start + step, len(reps)))
+        i, j = np.nonzero(np.arange(len(reps))[None, :] >= ends[some][:, None])
+        i = some[i]
+        near = np.minimum(sizes[i], sizes[j]) * 100 >= np.maximum(sizes[i], sizes[j]) * PERCENT
+        if low != high:
+            near &= own[i] != own[j]  # within a block, its own task compares
+        i, j = i[near], j[near]
+        estimate = similarity(lines[i], lines[j])
+        near = estimate >= PERCENT / 100 - MARGIN
+        i, j, estimate = i[near], j[near], estimate[near]
+        near = (bands[i] == bands[j]).argmax(axis=1) == band
+        out.append((i[near], j[near], estimate[near]))
+    i, j, estimate = (np.concatenate(x) for x in zip(*out))
+    if partners is not None and len(i):
+        chosen = best_of_each(i, estimate, partners) | best_of_each(j, estimate, partners)
+        i, j, estimate = i[chosen], j[chosen], estimate[chosen]
+    return np.minimum(reps[i], reps[j]), np.maximum(reps[i], reps[j]), estimate
+
+
+def best_of_each(keys: np.ndarray, values: np.ndarray, most: int) -> np.ndarray:
+    """Which entries are among the ``most`` highest of their key."""
+    order = np.lexsort((-values, keys))
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0]))
+    place = np.arange(len(keys)) - np.repeat(starts, np.diff(np.append(starts, len(keys))))
+    chosen = np.zeros(len(keys), dtype=bool)
+    chosen[order[place < most]] = True
+    return chosen
