@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm import language, line_dedup, mixing, near_duplicates, sentencepiece_codec
-from wardline.llm.common import written
+from wardline.llm.common import fresh, written
 from wardline.llm.queries import TOKENIZER
 from wardline.sources.tables import read_parquet
 
@@ -19,16 +19,18 @@ from wardline.sources.tables import read_parquet
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language cannot be told (null text, no letter) go; a missing ``lang`` is filled in."""
     model = language.train(language.held_out(docs).filter("NOT held_out"))
-    found = language.predict(docs, model, prediction="_lang", score="_score", keep_text=True)
-    kept = found.filter(F.col("_lang") != language.UNDETERMINED)
-    return kept.withColumn("lang", F.coalesce("lang", "_lang")).select(*docs.columns)
+    name, score = (fresh(docs.columns, n) for n in ("lang_pred", "score"))
+    found = language.predict(docs, model, prediction=name, score=score, keep_text=True)
+    kept = found.filter(F.col(name) != language.UNDETERMINED)
+    return kept.withColumn("lang", F.coalesce("lang", name)).select(*docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go, and documents of which nothing is left with them."""
-    out = line_dedup.remove_repeated_lines(docs, removed="_removed")
-    left = out.filter((F.col("_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    changed = F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    name = fresh(docs.columns, "n_removed")
+    out = line_dedup.remove_repeated_lines(docs, removed=name)
+    left = out.filter((F.col(name) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    changed = F.when(F.col(name) > 0, F.length("text")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
@@ -52,16 +54,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that share id, source and size are repeated alike.
     """
-    size = mixing.word_count(F.col("text"))
     mixed = mixing.mix(docs)
     counts = mixed.groupBy("doc_id", "source", "size").agg(
         F.max(mixing.copies(F.col("taken"), F.col("size"))).alias("_copies")).filter("_copies > 0")
     counts = written(counts, "copies").withColumnsRenamed(
         {"doc_id": "_id", "source": "_source", "size": "_size"})
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source",
+                       mixing.word_count(F.col("text")).alias("size"))
     same = (F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-            & (size == F.col("_size")))
-    repeated = docs.join(counts, same).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))))
-    return repeated.select(*docs.columns)
+            & (F.col("size") == F.col("_size")))
+    each = F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy")
+    return rows.join(counts, same).select("_row", each).select("_row.*")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import string
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,6 +27,14 @@ _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
 
+def fresh(columns: Iterable[str], name: str) -> str:
+    """``name``, with as many underscores in front as keep it apart from ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 

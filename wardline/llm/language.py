@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import crc_remainder, slices, text_bytes
+from wardline.llm.common import crc_remainder, fresh, slices, text_bytes
 
 ORDER = 4
 SAMPLE_BYTES = 1 << 20  # expected size of the training sample of a language
@@ -174,7 +174,8 @@ def predict(docs: DataFrame, model: Model, *, prediction: str = "lang_pred",
     dropped = {prediction, score} | (set() if keep_text else {"text"})
     keep = [c for c in docs.columns if c not in dropped]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    text = F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")).alias("_text")
+    lowered = fresh(keep, "_text")
+    text = F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")).alias(lowered)
     ready = docs.select(*keep, text)
     fields = [ready.schema[c] for c in keep]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
@@ -183,7 +184,7 @@ def predict(docs: DataFrame, model: Model, *, prediction: str = "lang_pred",
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         names = np.array([*model.languages, UNDETERMINED], dtype=object)
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, lowered):
             column = batch.column(len(keep))
             best = np.full(batch.num_rows, len(model.languages))
             sure = np.zeros(batch.num_rows)

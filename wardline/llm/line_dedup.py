@@ -129,7 +129,8 @@ def remove_repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, remove
     gone = gone.groupBy(*DOC).agg(F.collect_list("_gone").alias("_gone")).select(
         F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "_gone")
     keep = [c for c in docs.columns if c != removed]
-    both = docs.select(*keep, F.xxhash64("text").alias("_hash")).join(
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")  # other columns can't clash
+    both = docs.select(row, "doc_id", "text", F.xxhash64("text").alias("_hash")).join(
         gone, (F.col("doc_id") == F.col("_id")) & (F.col("_hash") == F.col("_version")), "left")
 
     def rest(lines: Column) -> Column:
@@ -137,5 +138,6 @@ def remove_repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, remove
         return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
 
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(bind(lines_of(F.col("text")), rest))
-    return both.withColumns({"text": text, removed: F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint")}
-                            ).withColumn(removed, F.greatest(F.col(removed), F.lit(0))).select(*keep, removed)
+    number = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("bigint")
+    return both.select(*[text.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in keep],
+                       number.alias(removed))

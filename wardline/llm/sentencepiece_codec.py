@@ -23,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import (load_array, mounted, save_array, slices, span_hashes, text_bytes)
+from wardline.llm.common import (fresh, load_array, mounted, save_array, slices, span_hashes, text_bytes)
 from wardline.session import scratch_path
 
 SPACE = "▁"  # how pieces write a space
 MAX_PIECES = 1_000_000
-TEXTS = 4_000_000  # words a task has seen before it hands them on
+SEEN = 4_000_000  # words a task remembers as handed on
+LONG_WORD = 256  # characters; the substrings of longer words are not exploded
 
 
 @dataclass(frozen=True)
@@ -111,24 +112,29 @@ def distinct_words(docs: DataFrame, pieces: Pieces) -> DataFrame:
             whole = data.tobytes()
             words = [whole[a:b].decode("utf-8").replace(" ", SPACE)
                      for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-            seen = hashes if len(seen) > TEXTS else np.sort(np.concatenate([seen, hashes]))
+            seen = hashes if len(seen) > SEEN else np.sort(np.concatenate([seen, hashes]))
             yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(words, pa.string())],
                                              names=["hash", "word"])
 
     return docs.select(prepared(F.col("text"))).mapInArrow(find, "hash long, word string").distinct()
 
 
-def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
+def lattice(words: DataFrame, pieces: Pieces, long_word: int | None = None) -> DataFrame:
     """``words`` with ``edges``: start (from 0), length, id and score of the pieces in the word.
 
     Every substring up to the longest piece is joined to the piece table. The
-    table is broadcast; its size is that of the vocabulary. The words stay where they are.
+    table is broadcast; its size is that of the vocabulary. The words stay where they are. Each substring is
+    a row that carries its word, so of words with more than ``long_word`` characters only the first
+    character is looked up, and the fold finds their edges itself.
     """
     table = words.sparkSession.createDataFrame(
         list(pieces.rows), "_piece string, id int, score double")
-    starts = words.withColumn("start", F.explode(F.sequence(F.lit(1), F.length("word"))))
+    short = F.lit(True) if long_word is None else F.length("word") <= long_word
+    last = F.when(short, F.length("word")).otherwise(F.lit(1))
+    starts = words.withColumn("start", F.explode(F.sequence(F.lit(1), last)))
     spans = starts.withColumn("length", F.explode(F.sequence(
-        F.lit(1), F.least(F.lit(pieces.longest), F.length("word") - F.col("start") + 1))))
+        F.lit(1), F.when(short, F.least(F.lit(pieces.longest), F.length("word") - F.col("start") + 1))
+        .otherwise(F.lit(1)))))
     spans = spans.withColumn("_piece", F.substring("word", F.col("start"), F.col("length")))
     found = spans.join(F.broadcast(table), "_piece", "left").filter(
         "id IS NOT NULL OR (start = 1 AND length = 1)")  # a word without pieces stays
@@ -180,10 +186,23 @@ def best_path(words: DataFrame, pieces: Pieces) -> DataFrame:
     return words.withColumn("_places", places).select(*keep, walked["ids"].alias("ids"))
 
 
-def merged(size: int, scores: dict[tuple[int, int], float]) -> list[int]:
+class LongEdges:
+    """The pieces of one word by start and end, looked up in the piece table when asked for."""
+
+    def __init__(self, word: str, table: dict[str, tuple[int, float]], longest: int, what: int) -> None:
+        self.word, self.table, self.longest, self.what = word, table, longest, what
+
+    def get(self, span: tuple[int, int], default=None):
+        if span[1] - span[0] > self.longest:
+            return default
+        found = self.table.get(self.word[span[0]:span[1]])
+        return default if found is None else found[self.what]
+
+
+def merged(size: int, scores: dict[tuple[int, int], float] | LongEdges) -> list[int]:
     """The borders left in a word of ``size`` characters by merging neighbours, the highest score
     first and of equal scores the leftmost; ``scores`` are those of the pieces by start and end."""
-    if size > 256:
+    if size > LONG_WORD:
         return _merged_long(size, scores)
     borders = list(range(size + 1))
     worst = -np.inf
@@ -201,11 +220,12 @@ def merged(size: int, scores: dict[tuple[int, int], float]) -> list[int]:
     return borders
 
 
-def _merged_long(size: int, scores: dict[tuple[int, int], float]) -> list[int]:
+def _merged_long(size: int, scores: dict[tuple[int, int], float] | LongEdges) -> list[int]:
     """The same by a heap, in about size * log(size) steps."""
     after = list(range(1, size + 1)) + [size + 1]
     before = list(range(-1, size))
-    heap = [(-scores[i, i + 2], i, i + 1, i + 2) for i in range(size - 1) if (i, i + 2) in scores]
+    first = ((scores.get((i, i + 2)), i) for i in range(size - 1))
+    heap = [(-score, i, i + 1, i + 2) for score, i in first if score is not None]
     heapq.heapify(heap)
     while heap:
         _, left, middle, right = heapq.heappop(heap)
@@ -214,8 +234,9 @@ def _merged_long(size: int, scores: dict[tuple[int, int], float]) -> list[int]:
         after[left], before[right] = right, left
         after[middle] = -1
         for a, b, c in ((before[left], left, right), (left, right, after[right])):
-            if a >= 0 and c <= size and (a, c) in scores:
-                heapq.heappush(heap, (-scores[a, c], a, b, c))
+            score = scores.get((a, c)) if a >= 0 and c <= size else None
+            if score is not None:
+                heapq.heappush(heap, (-score, a, b, c))
     borders = [0]
     while borders[-1] < size:
         borders.append(after[borders[-1]])
@@ -224,9 +245,11 @@ def _merged_long(size: int, scores: dict[tuple[int, int], float]) -> list[int]:
 
 def merges(words: DataFrame, pieces: Pieces) -> DataFrame:
     """hash and ids of ``words`` (hash, word, edges), merged in the order of the scores."""
-    byte_ids = pieces.byte_ids
+    byte_ids, longest = pieces.byte_ids, pieces.longest
+    rows = pieces.rows
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table: dict[str, tuple[int, float]] = {}
         for batch in batches:
             edges = batch.column(2)
             flat = edges.flatten()
@@ -234,9 +257,14 @@ def merges(words: DataFrame, pieces: Pieces) -> DataFrame:
             offsets = (edges.offsets.to_numpy() - edges.offsets[0].as_py()).tolist()
             out = []
             for word, a, b in zip(batch.column(1).to_pylist(), offsets[:-1], offsets[1:]):
-                spans = list(zip(start[a:b], [s + n for s, n in zip(start[a:b], length[a:b])]))
-                known = dict(zip(spans, ids[a:b]))
-                borders = merged(len(word), {s: x for s, x in zip(spans, scores[a:b]) if x is not None})
+                if len(word) > LONG_WORD:
+                    table = table or {piece: (i, score) for piece, i, score in rows}
+                    known, known_scores = (LongEdges(word, table, longest, n) for n in (0, 1))
+                else:
+                    spans = list(zip(start[a:b], [s + n for s, n in zip(start[a:b], length[a:b])]))
+                    known = dict(zip(spans, ids[a:b]))
+                    known_scores = {s: x for s, x in zip(spans, scores[a:b]) if x is not None}
+                borders = merged(len(word), known_scores)
                 found: list[int] = []
                 for span in zip(borders[:-1], borders[1:]):
                     piece = known.get(span)
@@ -270,7 +298,7 @@ def build(docs: DataFrame, pieces: Pieces, *, parts: int | None = None) -> Codec
     spark = docs.sparkSession
     root = mounted(scratch_path(spark, "words"))
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = lattice(distinct_words(docs, pieces), pieces)
+    edges = lattice(distinct_words(docs, pieces), pieces, None if pieces.unigram else LONG_WORD)
     words = best_path(edges, pieces).select("hash", "ids") if pieces.unigram else merges(edges, pieces)
     # the range of hashes that a word falls into, as in part_of
     part = F.shiftrightunsigned(F.shiftrightunsigned("hash", 32) * F.lit(parts), 32).cast("int")
@@ -377,12 +405,13 @@ def encode(docs: DataFrame, codec: Codec, *, ids: str = "token_ids") -> DataFram
     """
     keep = [c for c in docs.columns if c != ids]
     cuts = codec.pieces.cuts()
-    ready = docs.select(*keep, prepared(F.col("text")))
+    plain = fresh(keep, "_text")
+    ready = docs.select(*keep, prepared(F.col("text")).alias(plain))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema.fields[:-1]]
                        + [f"`{ids}` array<int>"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, plain):
             found, starts = encode_texts(batch.column(len(keep)), codec, cuts)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.ListArray.from_arrays(
@@ -396,7 +425,7 @@ def decode(encoded: DataFrame, pieces: Pieces, *, ids: str = "token_ids",
            text: str = "decoded") -> DataFrame:
     """``encoded`` with the text of each row's ids; null ids are those of an empty text."""
     keep = [c for c in encoded.columns if c != text]
-    ready = encoded.select(*keep, F.coalesce(ids, F.array().cast("array<int>")).alias("_ids"))
+    ready = encoded.select(*keep, F.coalesce(ids, F.array().cast("array<int>")).alias(fresh(keep, "_ids")))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema.fields[:-1]]
                        + [f"`{text}` string"])
 

@@ -80,7 +80,9 @@ def place(df: DataFrame, key: str, shards: Sequence[str] | Mapping[str, int], *,
     table = lookup_table(shards, size)
     owners = df.sparkSession.createDataFrame(
         [(i, names[s]) for i, s in enumerate(table)], "_slot int, _shard string")
-    keyed = df.withColumn("_slot", slot_of(F.col(key), size)).drop(slot, shard)
-    placed = keyed.join(F.broadcast(owners), "_slot", "left")
-    return placed.withColumnsRenamed({"_slot": slot, "_shard": shard}).select(
-        *[c for c in df.columns if c not in (slot, shard)], slot, shard)
+    keep = [c for c in df.columns if c not in (slot, shard)]
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")  # own columns can't clash
+    placed = df.select(row, slot_of(F.col(key), size).alias("_slot")).join(
+        F.broadcast(owners), "_slot", "left")
+    return placed.select(*[F.col(f"_row.`{c}`") for c in keep], F.col("_slot").alias(slot),
+                         F.col("_shard").alias(shard))
