@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,15 @@ from pyspark.sql import types as T
 PYTHON_WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
+def filled(template: str, **parts: Column) -> Column:
+    """A fixed text with columns in the places that its braces name."""
+    pieces = []
+    for literal, name, _, _ in Formatter().parse(template):
+        pieces += [F.lit(literal)] if literal else []
+        pieces += [parts[name]] if name else []
+    return F.concat(*pieces)
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import bind
+from wardline.functions.exprs import bind, filled
 
 CLAIMS = "actor string, role string, intent string, aud string, iat bigint, exp bigint"
 _BLOCK = 64
@@ -129,11 +129,11 @@ def verify_chain(tokens: Column, key: bytes, now: Column) -> Column:
     def result(acc: Column) -> Column:
         return F.struct(
             acc["error"].isNull().alias("verified"), acc["chain"].alias("chain"),
-            F.coalesce(F.concat(F.lit("chain verification failed: "), acc["error"]),
-                       F.lit("all hops verified")).alias("reason"))
+            F.coalesce(filled(reg.CHAIN_FAILED, error=acc["error"]),
+                       F.lit(reg.CHAIN_VERIFIED)).alias("reason"))
 
     unsigned = F.struct(F.lit(None).cast("boolean").alias("verified"),
                         F.array().cast("array<string>").alias("chain"),
-                        F.lit("no signed identity presented").alias("reason"))
+                        F.lit(reg.CHAIN_UNSIGNED).alias("reason"))
     checked = F.aggregate(F.transform(tokens, lambda t: verify(t, key, now)), start, step, result)
     return F.when(F.coalesce(F.size(tokens), F.lit(0)) < 1, unsigned).otherwise(checked)

@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import bind, empty_array, fold_out
+from wardline.functions.exprs import bind, empty_array, filled, fold_out
 from wardline.functions.patterns import folded, jvm, may_match
 
 DETECTION = "struct<data_class:string,snippet:string,confidence:string,reason:string>"
@@ -32,16 +32,12 @@ def _each(terms: Sequence[str]) -> tuple[tuple[str], ...]:
     return tuple((t,) for t in terms)
 
 
-# class -> (pattern, ignore case, needs, longest snippet, reason); only the first match counts
+# class -> (pattern, ignore case, needs, longest snippet); only the first match counts
 _FIRST_MATCH = (
-    ("sensitive", reg.SENSITIVE_PATTERN, True, _each(reg.SENSITIVE_TERMS), None,
-     "sensitive record / note about a person"),
-    ("customer", reg.CUSTOMER_PATTERN, True, _each(reg.CUSTOMER_TERMS), None,
-     "customer / account context"),
-    ("prod_log", reg.PROD_LOG_PATTERN, True, reg.PROD_LOG_NEEDS, reg.MARKER_LENGTH,
-     "production log / stack trace"),
-    ("source_code", reg.SOURCE_CODE_PATTERN, False, reg.SOURCE_CODE_NEEDS, reg.MARKER_LENGTH,
-     "source-code context"),
+    ("sensitive", reg.SENSITIVE_PATTERN, True, _each(reg.SENSITIVE_TERMS), None),
+    ("customer", reg.CUSTOMER_PATTERN, True, _each(reg.CUSTOMER_TERMS), None),
+    ("prod_log", reg.PROD_LOG_PATTERN, True, reg.PROD_LOG_NEEDS, reg.MARKER_LENGTH),
+    ("source_code", reg.SOURCE_CODE_PATTERN, False, reg.SOURCE_CODE_NEEDS, reg.MARKER_LENGTH),
 )
 _NON_ASCII_DIGITS = [
     c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"
@@ -141,7 +137,7 @@ def _detection(data_class: str, snippet: Column, confidence: str, reason: Column
 def _secret_detections(text: Column, fold: Column) -> Column:
     return F.transform(merge_spans(_secret_spans(text, fold)), lambda s: _detection(
         "secret", F.substring(text, s["start"] + 1, s["stop"] - s["start"]), "high",
-        F.concat(F.array_join(s["labels"], " + "), F.lit(" present in prompt"))))
+        filled(reg.SECRET_REASON, labels=F.array_join(s["labels"], " + "))))
 
 
 def secret_detections(text: Column) -> Column:
@@ -173,24 +169,25 @@ def card_candidates(text: Column) -> Column:
 
 def card_detections(text: Column) -> Column:
     return F.transform(F.filter(card_candidates(text), is_luhn_valid), lambda m: _detection(
-        "pii", F.trim(m), "high", F.lit("Luhn-valid payment card number")))
+        "pii", F.trim(m), "high", F.lit(reg.CARD_REASON)))
 
 
 def ssn_detections(text: Column) -> Column:
     return F.transform(_number_like(text, all_matches(text, _SSN)),
-                       lambda m: _detection("pii", m, "high", F.lit("SSN pattern")))
+                       lambda m: _detection("pii", m, "high", F.lit(reg.SSN_REASON)))
 
 
 def _first_match_detections(text: Column, fold: Column, classes: Sequence[str]) -> Column:
     found = []
-    for data_class, pattern, ignore_case, needs, longest, reason in _FIRST_MATCH:
+    for data_class, pattern, ignore_case, needs, longest in _FIRST_MATCH:
         if classes and data_class not in classes:
             continue
         snippet = F.regexp_extract(text, jvm(pattern, ignore_case), 0)
         if longest:
             snippet = F.substring(snippet, 1, longest)
         snippet = F.when(rule_applies(text, fold, ignore_case, needs), snippet).otherwise("")
-        found.append(_detection(data_class, snippet, "medium", F.lit(reason)))
+        found.append(_detection(data_class, snippet, "medium",
+                                F.lit(reg.FIRST_MATCH_REASONS[data_class])))
     return F.filter(F.array(*found), lambda d: d["snippet"] != "")
 
 

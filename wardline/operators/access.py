@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import lookup, string_array
+from wardline.functions.exprs import filled, lookup, string_array
 from wardline.functions.lookups import ROWS_PER_TASK, first_per_key, lookup_join
 from wardline.functions.text import short_hash_token
 
@@ -28,10 +28,9 @@ def valid_scope(connectors: Mapping[str, Sequence[str]] = reg.CONNECTOR_SCOPES)
 def registry_error(connectors: Mapping[str, Sequence[str]] = reg.CONNECTOR_SCOPES) -> Column:
     """Reason the request fails before any grant is looked at, or NULL; what is missing fails."""
     return (F.when(~known_connector(connectors),
-                   F.concat(F.lit("unknown connector '"), named("connector"), F.lit("'")))
-            .when(~valid_scope(connectors), F.concat(
-                F.lit("'"), named("action"), F.lit("' is not a valid scope on '"), "connector",
-                F.lit("'"))))
+                   filled(reg.UNKNOWN_CONNECTOR_REASON, connector=named("connector")))
+            .when(~valid_scope(connectors), filled(
+                reg.INVALID_SCOPE_REASON, action=named("action"), connector=F.col("connector"))))
 
 
 def named(column: str) -> Column:
@@ -66,19 +65,19 @@ def authorized(requests: DataFrame, grants: DataFrame, history: DataFrame | None
     anomalous = F.lit(False) if history is None else ~F.coalesce("seen", F.lit(False))
 
     def reason(who: Column) -> Column:
-        on = F.concat(F.lit("'"), "connector", F.lit("'"))
+        on = F.col("connector")
         return (F.when(registry_error().isNotNull(), registry_error())
-                .when(F.col("scopes").isNull(), F.concat(
-                    who, F.lit(" has no grant for "), on, F.lit(" (least privilege)")))
-                .when(~F.coalesce(F.array_contains("scopes", F.col("action")), F.lit(False)), F.concat(
-                    who, F.lit(" lacks '"), "action", F.lit("' on "), on))
-                .otherwise(F.lit("granted")))
+                .when(F.col("scopes").isNull(), filled(
+                    reg.NO_GRANT_REASON, who=who, connector=on))
+                .when(~F.coalesce(F.array_contains("scopes", F.col("action")), F.lit(False)), filled(
+                    reg.LACKS_SCOPE_REASON, who=who, action=F.col("action"), connector=on))
+                .otherwise(F.lit(reg.GRANTED_REASON)))
 
     token = short_hash_token("tok_", named("principal"))
     return (joined.withColumns({
         "reason": reason(named("principal")), "audit_reason": reason(token),
         "high_risk": is_high_risk(), "anomalous": anomalous, "principal_token": token})
-        .withColumn("allowed", F.col("reason") == "granted")
+        .withColumn("allowed", F.col("reason") == reg.GRANTED_REASON)
         .drop("scopes", "seen"))
 
 

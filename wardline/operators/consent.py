@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import compact, element_rows, string_array, utc_wall_clock
+from wardline.functions.exprs import compact, element_rows, filled, string_array, utc_wall_clock
 from wardline.functions.lookups import ROWS_PER_TASK, last_per_key, lookup_join
 from wardline.functions.text import short_hash_token
 
@@ -96,9 +96,9 @@ def quiet_hours_reason(start_hour: int = reg.QUIET_START_HOUR,
     hour = F.hour("local_ts")
     inside = (hour >= start_hour) & (hour < end_hour)
     return (F.when(F.col("known") & F.col("local_ts").isNull(), F.lit(reg.NO_LOCAL_TIME_REASON))
-            .when(F.col("known") & ~inside, F.concat(
-                F.lit("outside 8am to 9pm local window ("), F.date_format("local_ts", "HH:mm"),
-                F.lit(" "), F.col("timezone"), F.lit(")"))))
+            .when(F.col("known") & ~inside, filled(
+                reg.QUIET_HOURS_REASON, time=F.date_format("local_ts", "HH:mm"),
+                zone=F.col("timezone"))))
 
 
 def evaluated_sends(sends: DataFrame, registry: DataFrame, *,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wardline import registries as reg
 from wardline.functions import text
-from wardline.functions.exprs import element_rows, empty_array, lookup, string_array
+from wardline.functions.exprs import element_rows, empty_array, filled, lookup, string_array
 from wardline.functions.identity import verify_chain
 
 DECISION = "struct<action:string,data_class:string,reason:string>"
@@ -84,25 +84,19 @@ def decisions(detections: Column, destination: Column, approved: Column, dpa: Co
     has_secret = F.exists(detections, lambda d: d["data_class"] == "secret")
     regulated = F.filter(detections, lambda d: d["data_class"].isin(*reg.REDACTED_CLASSES))
     block = F.array(
-        _decision("BLOCK", secret, F.lit("Secret detected; request blocked at the boundary")),
-        _decision("TICKET", secret,
-                  F.lit("Open secret-rotation ticket; secret is now considered exposed")))
+        _decision("BLOCK", secret, F.lit(reg.BLOCK_REASON)),
+        _decision("TICKET", secret, F.lit(reg.TICKET_REASON)))
     redact = F.transform(regulated, lambda d: _decision(
         "REDACT", d["data_class"],
-        F.concat(F.lit("Tokenize "), d["data_class"], F.lit(" into a non-identifiable unit"))))
+        filled(reg.REDACT_REASON, data_class=d["data_class"])))
     destination = F.coalesce(destination, F.lit(reg.NOT_GIVEN))
-    unapproved = _decision("ROUTE", none, F.concat(
-        F.lit("Destination '"), destination,
-        F.lit("' is not an approved AI tool; route to an approved, covered endpoint")))
-    uncovered = _decision("ROUTE", none, F.concat(
-        F.lit("'"), destination,
-        F.lit("' is approved but not DPA-covered; "
-              "regulated data requires a DPA-covered destination")))
+    unapproved = _decision("ROUTE", none, filled(reg.UNAPPROVED_REASON, destination=destination))
+    uncovered = _decision("ROUTE", none, filled(reg.UNCOVERED_REASON, destination=destination))
     route = (F.when(~approved, F.array(unapproved))
              .when((F.size(regulated) > 0) & ~dpa, F.array(uncovered))
              .otherwise(nothing))
-    log = _decision("LOG", none, F.lit("Write AI-usage / SOC 2 evidence record"))
-    allow = _decision("ALLOW", none, F.lit("No sensitive data; allowed"))
+    log = _decision("LOG", none, F.lit(reg.LOG_REASON))
+    allow = _decision("ALLOW", none, F.lit(reg.ALLOW_REASON))
     found = F.size(detections) > 0
     closing = (F.when(found, F.array(log))
                .when(approved, F.array(allow))     # nothing found and nothing routed
@@ -167,8 +161,8 @@ def govern(requests: DataFrame, key: bytes, now: Column, *, mode: str = "good",
         raise ValueError(f"mode must be 'good' or 'bad', not {mode!r}")
     checked = with_decisions(with_cost(requests), tools).withColumn(
         "identity", verify_chain(F.col("chain_tokens"), key, now))
-    forged = _decision("BLOCK", F.lit(None), F.concat(
-        F.lit("Agent identity failed verification; "), F.col("identity.reason")))
+    forged = _decision("BLOCK", F.lit(None), filled(
+        reg.FORGED_REASON, reason=F.col("identity.reason")))
     failed = F.col("identity.verified") == F.lit(False)
     actions = F.transform("decisions", lambda d: d["action"])
     return (
@@ -187,14 +181,14 @@ def govern(requests: DataFrame, key: bytes, now: Column, *, mode: str = "good",
 
 def pass_through(requests: DataFrame) -> DataFrame:
     """The uncontrolled mode: the raw prompt is allowed and nothing is recorded."""
-    uncontrolled = F.array(_decision("ALLOW", F.lit(None), F.lit("no control plane")))
+    uncontrolled = F.array(_decision("ALLOW", F.lit(None), F.lit(reg.PASS_REASON)))
     return with_cost(requests).withColumns({
         "allowed": F.lit(True),
         "detections": empty_array(text.DETECTION),
         "decisions": uncontrolled,
         "sanitized_prompt": F.col("prompt"),
         "vault": empty_array("struct<token:string,value:string>"),
-        "audit_note": F.lit("no audit emitted in bad state"),
+        "audit_note": F.lit(reg.PASS_NOTE),
     })
 
 

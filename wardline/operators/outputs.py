@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline import registries as reg
 from wardline.functions import text
-from wardline.functions.exprs import compact, element_rows
+from wardline.functions.exprs import compact, element_rows, filled
 from wardline.functions.patterns import jvm, may_match
 
 _REVEAL = jvm(reg.REVEAL_PATTERN, True)
@@ -71,12 +71,11 @@ def unauthorized_tools(output: Column, allowed_tools: Sequence[str] | None) -> C
 
 def output_reasons(output: Column, allowed_tools: Sequence[str] | None) -> Column:
     content = compact([
-        F.when(leaks_data(output), F.lit("model output leaks a secret or PII")),
-        F.when(reveals_instructions(output),
-               F.lit("output reveals system instructions (injection likely succeeded)")),
+        F.when(leaks_data(output), F.lit(reg.LEAK_REASON)),
+        F.when(reveals_instructions(output), F.lit(reg.REVEAL_REASON)),
     ])
-    tools = F.transform(unauthorized_tools(output, allowed_tools), lambda t: F.concat(
-        F.lit("output requests an unauthorized tool: "), t))
+    tools = F.transform(unauthorized_tools(output, allowed_tools), lambda t: filled(
+        reg.TOOL_REASON, tool=t))
     return F.concat(content, tools)
 
 
@@ -85,7 +84,7 @@ def output_verdicts(outputs: DataFrame, allowed_tools: Sequence[str] | None = No
     """Adds ``allowed`` and the ordered ``reasons`` (``["clean"]`` when there are none)."""
     return (outputs.withColumn("_found", output_reasons(F.col(column), allowed_tools))
             .withColumn("allowed", F.size("_found") == 0)
-            .withColumn("reasons", F.when(F.col("allowed"), F.array(F.lit("clean")))
+            .withColumn("reasons", F.when(F.col("allowed"), F.array(F.lit(reg.CLEAN_REASON)))
                         .otherwise(F.col("_found")))
             .drop("_found"))
 

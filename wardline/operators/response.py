@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import element_rows, string_array
+from wardline.functions.exprs import element_rows, filled, string_array
 
 ACTION = "struct<action:string,target:string,destructive:boolean,reason:string>"
 
@@ -45,19 +45,18 @@ def _action(name: Column, target: Column, destructive: bool, reason: Column) ->
 def with_plan(detections: DataFrame, threshold: float = reg.DESTRUCTIVE_THRESHOLD) -> DataFrame:
     """Adds the ordered ``plan``: destructive only for a known type at or above threshold."""
     kind, target = F.col("type"), F.col("resource")
-    acts = F.transform("_acts", lambda a: _action(a, target, True, F.concat(
-        kind, F.lit(" at severity "), F.col("severity").cast("string"))))
+    acts = F.transform("_acts", lambda a: _action(a, target, True, filled(
+        reg.DESTRUCTIVE_REASON, type=kind, severity=F.col("severity").cast("string"))))
     below = _action(F.lit("alert"), target, False,
-                    F.concat(kind, F.lit(" below auto-remediation threshold")))
-    unknown = _action(F.lit("alert"), target, False, F.concat(
-        F.lit("unrecognized finding type: "),
-        F.when(kind == "", F.lit("n/a")).otherwise(kind)))
+                    filled(reg.BELOW_REASON, type=kind))
+    unknown = _action(F.lit("alert"), target, False, filled(
+        reg.UNKNOWN_TYPE_REASON, type=F.when(kind == "", F.lit("n/a")).otherwise(kind)))
     known = F.size("_acts") > 0
     first = (F.when(known & (F.col("severity") >= threshold), acts)
              .when(known, F.array(below)).otherwise(F.array(unknown)))
     always = F.array(
-        _action(F.lit("open_incident"), target, False, F.lit("track the response")),
-        _action(F.lit("notify"), F.lit("security-oncall"), False, F.lit("page on-call")))
+        _action(F.lit("open_incident"), target, False, F.lit(reg.INCIDENT_ACTION_REASON)),
+        _action(F.lit("notify"), F.lit("security-oncall"), False, F.lit(reg.NOTIFY_REASON)))
     return (with_defaults(detections).withColumn("_acts", destructive_actions())
             .withColumn("plan", F.concat(first.cast(f"array<{ACTION}>"),
                                          always.cast(f"array<{ACTION}>")))

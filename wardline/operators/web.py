@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import compact, element_rows
+from wardline.functions.exprs import compact, element_rows, filled
 
 
 def _finding(rule: str, severity: str, message: Column) -> Column:
@@ -23,10 +23,9 @@ def protected(routes: Sequence[str] = reg.PROTECTED_ROUTES) -> Column:
 def missing_authentication() -> Column:
     """A protected route answered an unauthenticated request."""
     refused = F.coalesce(F.col("status").isin(*reg.REFUSED_STATUS), F.lit(False))
-    return F.when(~_authed() & ~refused, _finding("missing-authentication", "high", F.concat(
-        F.lit("protected route returned "),
-        F.coalesce(F.col("status").cast("string"), F.lit("no status")),
-        F.lit(" without credentials"))))
+    return F.when(~_authed() & ~refused, _finding("missing-authentication", "high", filled(
+        reg.OPEN_ROUTE_MESSAGE,
+        status=F.coalesce(F.col("status").cast("string"), F.lit("no status")))))
 
 
 def _authed() -> Column:
@@ -47,7 +46,7 @@ def missing_security_headers() -> Column:
     absent = missing_headers()
     return F.when(_authed() & (F.size(absent) > 0), _finding(
         "missing-security-headers", "medium",
-        F.concat(F.lit("missing headers: "), F.array_join(absent, ", "))))
+        filled(reg.HEADERS_MESSAGE, headers=F.array_join(absent, ", "))))
 
 
 def error_leakage() -> Column:
@@ -55,7 +54,7 @@ def error_leakage() -> Column:
     for marker in reg.LEAK_MARKERS[1:]:
         leak = leak | F.contains("body", F.lit(marker))
     return F.when(_authed() & leak, _finding(
-        "error-leakage", "high", F.lit("response body leaks a stack trace / debug page")))
+        "error-leakage", "high", F.lit(reg.LEAKAGE_MESSAGE)))
 
 
 RULES = (missing_authentication, missing_security_headers, error_leakage)

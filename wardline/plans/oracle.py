@@ -6,6 +6,8 @@ translations of the column expressions. Streaming queries are compared to their
 
 from __future__ import annotations
 
+from string import Formatter
+
 from wardline import registries as reg
 from wardline.functions.identity import hmac_pads
 from wardline.plans import views as v
@@ -32,6 +34,15 @@ def regex(pattern: str, ignore_case: bool = False) -> str:
     return text(("(?i)" if ignore_case else "") + pattern)
 
 
+def fill(template: str, **parts: str) -> str:
+    """A fixed text with SQL expressions in the places that its braces name."""
+    pieces = []
+    for literal, name, _, _ in Formatter().parse(template):
+        pieces += [text(literal)] if literal else []
+        pieces += [parts[name]] if name else []
+    return " || ".join(pieces)
+
+
 def view(name: str) -> str:
     return f"({v.sql_of(name)})"
 
@@ -75,10 +86,10 @@ def detections_with(source: str, key: str = "request_id", column: str = "prompt"
     first = []
     for rank, (name, pattern, ignore_case, cut, reason) in enumerate((
             ("sensitive", reg.SENSITIVE_PATTERN, True, None,
-             "sensitive record / note about a person"),
-            ("customer", reg.CUSTOMER_PATTERN, True, None, "customer / account context"),
-            ("prod_log", reg.PROD_LOG_PATTERN, True, 40, "production log / stack trace"),
-            ("source_code", reg.SOURCE_CODE_PATTERN, False, 40, "source-code context")), start=3):
+             reg.FIRST_MATCH_REASONS["sensitive"]),
+            ("customer", reg.CUSTOMER_PATTERN, True, None, reg.FIRST_MATCH_REASONS["customer"]),
+            ("prod_log", reg.PROD_LOG_PATTERN, True, 40, reg.FIRST_MATCH_REASONS["prod_log"]),
+            ("source_code", reg.SOURCE_CODE_PATTERN, False, 40, reg.FIRST_MATCH_REASONS["source_code"])), start=3):
         snippet = f"regexp_extract(prompt, {regex(pattern, ignore_case)}, 0)"
         if cut:
             snippet = f"substr({snippet}, 1, {cut})"
@@ -112,10 +123,10 @@ luhn AS (SELECT *, length(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(
 found AS (
 SELECT m.request_id, 0 AS part, m.island AS nth, 'secret' AS data_class,
   substr(prompt, start_pos + 1, end_pos - start_pos) AS snippet, 'high' AS confidence,
-  labels || ' present in prompt' AS reason FROM merged m JOIN req USING (request_id)
-UNION ALL SELECT request_id, 1, nth, 'pii', trim(candidate), 'high', 'Luhn-valid payment card number'
+  {fill(reg.SECRET_REASON, labels='labels')} AS reason FROM merged m JOIN req USING (request_id)
+UNION ALL SELECT request_id, 1, nth, 'pii', trim(candidate), 'high', {text(reg.CARD_REASON)}
   FROM luhn WHERE luhn_valid
-UNION ALL SELECT request_id, 2, generate_subscripts(h, 1), 'pii', unnest(h), 'high', 'SSN pattern'
+UNION ALL SELECT request_id, 2, generate_subscripts(h, 1), 'pii', unnest(h), 'high', {text(reg.SSN_REASON)}
   FROM (SELECT request_id, regexp_extract_all({_PLAIN}, {regex(reg.SSN_PATTERN)}, 0) AS h FROM req)
 UNION ALL {first_sql}),
 det AS (SELECT request_id, CAST(row_number() OVER (PARTITION BY request_id ORDER BY part, nth) - 1 AS INTEGER)
@@ -178,22 +189,20 @@ facts AS (SELECT p.request_id, p.destination, destination_approved, dpa, p.promp
   count(d.ordinal) AS n FROM posture p LEFT JOIN det d USING (request_id) GROUP BY ALL),
 decided AS (
 SELECT request_id, 0 AS step, 0 AS nth, 'BLOCK' AS action, 'secret' AS data_class,
-  'Secret detected; request blocked at the boundary' AS reason FROM facts WHERE has_secret
+  {text(reg.BLOCK_REASON)} AS reason FROM facts WHERE has_secret
 UNION ALL SELECT request_id, 1, 0, 'TICKET', 'secret',
-  'Open secret-rotation ticket; secret is now considered exposed' FROM facts WHERE has_secret
+  {text(reg.TICKET_REASON)} FROM facts WHERE has_secret
 UNION ALL SELECT request_id, 2, ordinal, 'REDACT', data_class,
-  'Tokenize ' || data_class || ' into a non-identifiable unit' FROM det
+  {fill(reg.REDACT_REASON, data_class='data_class')} FROM det
   WHERE data_class IN ('pii', 'sensitive', 'customer')
 UNION ALL SELECT request_id, 0, 0, 'BLOCK', NULL, {text(reg.NO_PROMPT_REASON)} FROM facts WHERE unread
-UNION ALL SELECT request_id, 3, 0, 'ROUTE', NULL, 'Destination ''' || coalesce(destination, '(none)')
-  || ''' is not an approved AI tool; route to an approved, covered endpoint'
+UNION ALL SELECT request_id, 3, 0, 'ROUTE', NULL, {fill(reg.UNAPPROVED_REASON, destination="coalesce(destination, '(none)')")}
   FROM facts WHERE NOT destination_approved AND NOT unread
-UNION ALL SELECT request_id, 3, 0, 'ROUTE', NULL, '''' || destination
-  || ''' is approved but not DPA-covered; regulated data requires a DPA-covered destination'
+UNION ALL SELECT request_id, 3, 0, 'ROUTE', NULL, {fill(reg.UNCOVERED_REASON, destination='destination')}
   FROM facts WHERE destination_approved AND regulated AND NOT dpa
-UNION ALL SELECT request_id, 4, 0, 'LOG', NULL, 'Write AI-usage / SOC 2 evidence record'
+UNION ALL SELECT request_id, 4, 0, 'LOG', NULL, {text(reg.LOG_REASON)}
   FROM facts WHERE n > 0
-UNION ALL SELECT request_id, 5, 0, 'ALLOW', NULL, 'No sensitive data; allowed'
+UNION ALL SELECT request_id, 5, 0, 'ALLOW', NULL, {text(reg.ALLOW_REASON)}
   FROM facts WHERE n = 0 AND destination_approved AND NOT unread)"""
 add("gov_16_decisions", f"""{_DECIDED}
 SELECT request_id, CAST(row_number() OVER (PARTITION BY request_id ORDER BY step, nth) - 1 AS INTEGER) AS ordinal,
@@ -211,9 +220,9 @@ add("gov_18_vault_table", f"""{_DET}
 SELECT DISTINCT {_TOK} AS token, snippet AS value FROM det WHERE data_class <> 'secret'""")
 
 # the fixture says which chains are broken and how: verdicts follow without any signature
-_CHAIN_REASON = """CASE seq % 5 WHEN 0 THEN 'all hops verified' WHEN 1 THEN 'chain verification failed: bad signature'
-  WHEN 2 THEN 'chain verification failed: expired' WHEN 3 THEN 'chain verification failed: malformed token'
-  ELSE 'no signed identity presented' END"""
+_CHAIN_REASON = f"""CASE seq % 5 WHEN 0 THEN {text(reg.CHAIN_VERIFIED)}
+  WHEN 1 THEN {fill(reg.CHAIN_FAILED, error="'bad signature'")} WHEN 2 THEN {fill(reg.CHAIN_FAILED, error="'expired'")}
+  WHEN 3 THEN {fill(reg.CHAIN_FAILED, error="'malformed token'")} ELSE {text(reg.CHAIN_UNSIGNED)} END"""
 _CHAIN_OK = "CASE seq % 5 WHEN 0 THEN true WHEN 4 THEN NULL ELSE false END"
 _VERDICT = f"""{_DECIDED},
 verdict AS (SELECT r.request_id, r.seq,
@@ -316,11 +325,11 @@ FROM ({_CALLS})""")
 
 
 def verdicts(with_tools: bool) -> str:
-    tools = ("UNION ALL SELECT seq, 2, nth, 'output requests an unauthorized tool: ' || tool "
+    tools = ("UNION ALL SELECT seq, 2, nth, " + fill(reg.TOOL_REASON, tool="tool") + " "
              f"FROM ({_CALLS})") if with_tools else ""
     return f"""{_LEAKS},
-why AS (SELECT seq, 0 AS step, 0 AS nth, 'model output leaks a secret or PII' AS reason FROM leaky WHERE leaks
-UNION ALL SELECT seq, 1, 0, 'output reveals system instructions (injection likely succeeded)'
+why AS (SELECT seq, 0 AS step, 0 AS nth, {text(reg.LEAK_REASON)} AS reason FROM leaky WHERE leaks
+UNION ALL SELECT seq, 1, 0, {text(reg.REVEAL_REASON)}
   FROM leaky WHERE {_REVEALS} {tools})
 SELECT l.seq, count(reason) = 0 AS allowed,
   coalesce(string_agg(reason, ' | ' ORDER BY step, nth), 'clean') AS reasons
@@ -345,7 +354,7 @@ WITH joined AS (SELECT s.*, c.timezone, c.consent, c.contact_id AS contact_known
 judged AS (SELECT *, {_CONSENT_REASON} AS r1,
   CASE WHEN contact_known IS NOT NULL AND local_ts IS NULL THEN {text(reg.NO_LOCAL_TIME_REASON)}
     WHEN contact_known IS NOT NULL AND (hour(local_ts) < 8 OR hour(local_ts) >= 21)
-    THEN 'outside 8am to 9pm local window (' || strftime(local_ts, '%H:%M') || ' ' || timezone || ')' END AS r2
+    THEN {fill(reg.QUIET_HOURS_REASON, time="strftime(local_ts, '%H:%M')", zone='timezone')} END AS r2
   FROM joined),
 decided AS (SELECT *, r1 IS NULL AND r2 IS NULL AS allowed,
   CASE WHEN r1 IS NULL AND r2 IS NULL THEN {text(reg.CLEARED_REASON)}
@@ -462,8 +471,8 @@ granted AS (SELECT principal, connector, scope_names FROM {view('grants')}
   QUALIFY row_number() OVER (PARTITION BY principal, connector ORDER BY seq) = 1),
 seen AS (SELECT DISTINCT principal, connector FROM {view('access')} WHERE ts < TIMESTAMP '{v.HISTORY_BEFORE}'),
 checked AS (SELECT r.*, s.principal IS NULL AS anomalous, g.scope_names,
-  CASE WHEN NOT known_connector THEN 'unknown connector ''' || coalesce(r.connector, '(none)') || ''''
-    WHEN NOT valid_scope THEN '''' || coalesce(action, '(none)') || ''' is not a valid scope on ''' || r.connector || '''' END AS error,
+  CASE WHEN NOT known_connector THEN {fill(reg.UNKNOWN_CONNECTOR_REASON, connector="coalesce(r.connector, '(none)')")}
+    WHEN NOT valid_scope THEN {fill(reg.INVALID_SCOPE_REASON, action="coalesce(action, '(none)')", connector='r.connector')} END AS error,
   'tok_' || substr(sha256(r.principal), 1, 8) AS principal_token
   FROM req r LEFT JOIN granted g ON r.principal = g.principal AND r.connector = g.connector
   LEFT JOIN seen s ON r.principal = s.principal AND r.connector = s.connector)"""
@@ -471,9 +480,9 @@ checked AS (SELECT r.*, s.principal IS NULL AS anomalous, g.scope_names,
 
 def reason_for(who: str) -> str:
     return f"""CASE WHEN error IS NOT NULL THEN error
-  WHEN scope_names IS NULL THEN {who} || ' has no grant for ''' || connector || ''' (least privilege)'
+  WHEN scope_names IS NULL THEN {fill(reg.NO_GRANT_REASON, who=who, connector='connector')}
   WHEN NOT list_contains(string_split(scope_names, ','), action)
-    THEN {who} || ' lacks ''' || action || ''' on ''' || connector || ''''
+    THEN {fill(reg.LACKS_SCOPE_REASON, who=who, action='action', connector='connector')}
   ELSE 'granted' END"""
 
 
@@ -502,14 +511,14 @@ hit AS (SELECT d.*, r.rule_no, coalesce(r.actions, '') AS actions FROM det d
   QUALIFY row_number() OVER (PARTITION BY d.seq ORDER BY r.rule_no) = 1),
 plan AS (
 SELECT seq, generate_subscripts(a, 1) AS nth, unnest(a) AS action, resource AS target, true AS destructive,
-  type || ' at severity ' || CAST(severity AS VARCHAR) AS reason
+  {fill(reg.DESTRUCTIVE_REASON, type='type', severity='CAST(severity AS VARCHAR)')} AS reason
   FROM (SELECT *, string_split(actions, ', ') AS a FROM hit WHERE rule_no IS NOT NULL AND severity >= 7.0)
-UNION ALL SELECT seq, 1, 'alert', resource, false, type || ' below auto-remediation threshold'
+UNION ALL SELECT seq, 1, 'alert', resource, false, {fill(reg.BELOW_REASON, type='type')}
   FROM hit WHERE rule_no IS NOT NULL AND severity < 7.0
-UNION ALL SELECT seq, 1, 'alert', resource, false, 'unrecognized finding type: '
-  || CASE WHEN type = '' THEN 'n/a' ELSE type END FROM hit WHERE rule_no IS NULL
-UNION ALL SELECT seq, 100, 'open_incident', resource, false, 'track the response' FROM hit
-UNION ALL SELECT seq, 101, 'notify', 'security-oncall', false, 'page on-call' FROM hit)"""
+UNION ALL SELECT seq, 1, 'alert', resource, false, {fill(reg.UNKNOWN_TYPE_REASON,
+    type="CASE WHEN type = '' THEN 'n/a' ELSE type END")} FROM hit WHERE rule_no IS NULL
+UNION ALL SELECT seq, 100, 'open_incident', resource, false, {text(reg.INCIDENT_ACTION_REASON)} FROM hit
+UNION ALL SELECT seq, 101, 'notify', 'security-oncall', false, {text(reg.NOTIFY_REASON)} FROM hit)"""
 add("rsp_1_matched_rules", f"{_PLAN} SELECT seq, rule_no, actions FROM hit")
 add("rsp_2_plans", f"""{_PLAN}
 SELECT seq, CAST(row_number() OVER (PARTITION BY seq ORDER BY nth) - 1 AS INTEGER) AS ordinal,
@@ -590,11 +599,11 @@ _WEB = f"""
 WITH resp AS (SELECT *, {_MISSING} AS missing FROM {view('http')} WHERE endpoint IN ({_ROUTES})),
 found AS (
 SELECT seq, 'missing-authentication' AS rule, 'high' AS severity, endpoint,
-  'protected route returned ' || coalesce(CAST(status AS VARCHAR), 'no status') || ' without credentials' AS message
+  {fill(reg.OPEN_ROUTE_MESSAGE, status="coalesce(CAST(status AS VARCHAR), 'no status')")} AS message
   FROM resp WHERE NOT authed AND coalesce(status NOT IN (401, 403), true)
-UNION ALL SELECT seq, 'missing-security-headers', 'medium', endpoint, 'missing headers: ' || missing
+UNION ALL SELECT seq, 'missing-security-headers', 'medium', endpoint, {fill(reg.HEADERS_MESSAGE, headers='missing')}
   FROM resp WHERE authed AND missing <> ''
-UNION ALL SELECT seq, 'error-leakage', 'high', endpoint, 'response body leaks a stack trace / debug page'
+UNION ALL SELECT seq, 'error-leakage', 'high', endpoint, {text(reg.LEAKAGE_MESSAGE)}
   FROM resp WHERE authed AND (contains(body, 'Traceback') OR contains(body, 'Werkzeug')))"""
 add("web_1_missing_authentication", f"{_WEB} SELECT * FROM found WHERE rule = 'missing-authentication'")
 add("web_2_missing_headers", f"{_WEB} SELECT * FROM found WHERE rule = 'missing-security-headers'")
