@@ -50,11 +50,17 @@ def test_documents_of_the_tables(spark, pieces, library):
     assert all(r.restored for r in rows) and len(rows) == len(texts)
 
 
-def test_both_ways_of_merging_agree():
-    scores = {(a, b): -float((a * 7 + b * 13) % 11) for a in range(300) for b in range(a + 2, min(a + 5, 301))
-              if (a + b) % 3}
-    short = {k: v for k, v in scores.items() if k[1] <= 200}
-    assert codec_.merged(200, short) == codec_._merged_long(200, short)
+def test_many_words_at_once_one_long_word_and_the_library_agree(pieces, library):
+    merger = codec_.Merger(pieces)
+    words = ["▁" + "".join(x) for x in itertools.product(["a", "th", "▁", "é", "ing", "\x07", "語"], repeat=4)]
+    words += ["▁", "▁" * 40, "▁" + "abc" * 60, "", "é"]
+    words = [w for w in words if "▁" not in w.lstrip("▁")]
+    for word, ids in zip(words, merger.segment(words)):
+        borders = codec_.merged_long(word, merger.table, merger.longest)
+        symbols = [merger.table.get(word[i:j], (-1,))[0] for i, j in zip(borders[:-1], borders[1:])]
+        assert ids == merger.with_bytes(symbols, word, borders)
+        if word.startswith("▁"):
+            assert ids == library.encode(word[1:].replace("▁", " ")) or word == "▁"
 
 
 def test_best_path_of_a_unigram_model(spark):

@@ -1,15 +1,16 @@
-"""SentencePiece encoding through a relational lattice of distinct words, and decoding.
+"""SentencePiece encoding and decoding by way of the different words of a corpus.
 
 No piece has a space after another character, and some characters stand in no longer piece, so
 a text falls into words whose segmentations don't touch. The different words of the corpus
-are found once; their bounded-length substrings are exploded and joined to the piece table, and
-the edges are grouped by word and folded to a segmentation. The segmented words lie in the
-shared folder as sorted hash arrays, from which workers encode whole texts.
-
-The fold follows the kind of model. A unigram model wants the path of the highest sum of
-scores (``best_path``, a Viterbi fold with the higher-order ``aggregate``). In a BPE model the
-scores are ranks of merges, and the best sum is another segmentation than the model's; its edges are
-merged in the order of their scores (``merges``), which gives the ids of the public library.
+are found and segmented once, as rows that Spark deals out; the segmented words lie in the shared folder
+as sorted hash arrays, from which workers encode whole texts.
+
+How a word is segmented follows the kind of model. A unigram model wants the path of the highest
+sum of scores: the word's bounded-length substrings are exploded and joined to the piece table, the edges
+are grouped by word and folded with the higher-order ``aggregate`` (``lattice``, ``best_path``). In a BPE model
+the scores are ranks of merges, and the best sum is another segmentation than the model's for more than half of
+all words; neighbours are merged in the order of their scores (``merges``), which gives the ids
+of the public library.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,8 @@ from wardline.session import scratch_path
 SPACE = "▁"  # how pieces write a space
 MAX_PIECES = 1_000_000
 SEEN = 4_000_000  # words a task remembers as handed on
-LONG_WORD = 256  # characters; the substrings of longer words are not exploded
+LONG_WORD = 256  # characters; longer words are merged by a heap
+IDS = 1 << 18  # that are decoded at once, or those of one text
 
 
 @dataclass(frozen=True)
@@ -119,22 +122,18 @@ def distinct_words(docs: DataFrame, pieces: Pieces) -> DataFrame:
     return docs.select(prepared(F.col("text"))).mapInArrow(find, "hash long, word string").distinct()
 
 
-def lattice(words: DataFrame, pieces: Pieces, long_word: int | None = None) -> DataFrame:
+def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
     """``words`` with ``edges``: start (from 0), length, id and score of the pieces in the word.
 
     Every substring up to the longest piece is joined to the piece table. The
     table is broadcast; its size is that of the vocabulary. The words stay where they are. Each substring is
-    a row that carries its word, so of words with more than ``long_word`` characters only the first
-    character is looked up, and the fold finds their edges itself.
+    a row that carries its word, so this suits words, not lines.
     """
     table = words.sparkSession.createDataFrame(
         list(pieces.rows), "_piece string, id int, score double")
-    short = F.lit(True) if long_word is None else F.length("word") <= long_word
-    last = F.when(short, F.length("word")).otherwise(F.lit(1))
-    starts = words.withColumn("start", F.explode(F.sequence(F.lit(1), last)))
+    starts = words.withColumn("start", F.explode(F.sequence(F.lit(1), F.length("word"))))
     spans = starts.withColumn("length", F.explode(F.sequence(
-        F.lit(1), F.when(short, F.least(F.lit(pieces.longest), F.length("word") - F.col("start") + 1))
-        .otherwise(F.lit(1)))))
+        F.lit(1), F.least(F.lit(pieces.longest), F.length("word") - F.col("start") + 1))))
     spans = spans.withColumn("_piece", F.substring("word", F.col("start"), F.col("length")))
     found = spans.join(F.broadcast(table), "_piece", "left").filter(
         "id IS NOT NULL OR (start = 1 AND length = 1)")  # a word without pieces stays
@@ -186,46 +185,117 @@ def best_path(words: DataFrame, pieces: Pieces) -> DataFrame:
     return words.withColumn("_places", places).select(*keep, walked["ids"].alias("ids"))
 
 
-class LongEdges:
-    """The pieces of one word by start and end, looked up in the piece table when asked for."""
-
-    def __init__(self, word: str, table: dict[str, tuple[int, float]], longest: int, what: int) -> None:
-        self.word, self.table, self.longest, self.what = word, table, longest, what
-
-    def get(self, span: tuple[int, int], default=None):
-        if span[1] - span[0] > self.longest:
-            return default
-        found = self.table.get(self.word[span[0]:span[1]])
-        return default if found is None else found[self.what]
-
-
-def merged(size: int, scores: dict[tuple[int, int], float] | LongEdges) -> list[int]:
-    """The borders left in a word of ``size`` characters by merging neighbours, the highest score
-    first and of equal scores the leftmost; ``scores`` are those of the pieces by start and end."""
-    if size > LONG_WORD:
-        return _merged_long(size, scores)
-    borders = list(range(size + 1))
-    worst = -np.inf
-    best = [scores.get((i, i + 2), worst) for i in range(size - 1)]
-    while best:
-        top = max(best)
-        if top == worst:
-            break
-        i = best.index(top)
-        del borders[i + 1], best[i]
-        if i < len(best):
-            best[i] = scores.get((borders[i], borders[i + 2]), worst)
-        if i:
-            best[i - 1] = scores.get((borders[i - 1], borders[i + 1]), worst)
-    return borders
+NEVER = np.int64(1 << 30)  # the rank of neighbours that make no piece
+
+
+class Merger:
+    """Segments many words at once by merging neighbours, the highest score first and of equal
+    scores the leftmost, until no two neighbours make a piece."""
+
+    def __init__(self, pieces: Pieces) -> None:
+        self.table = {p: (i, s) for p, i, s in pieces.rows}
+        self.longest, self.byte_ids = pieces.longest, pieces.byte_ids
+        # a character that stands in pieces but is none gets an id after the last
+        self.limit = max((i for i, _ in self.table.values()), default=0) + 1
+        ids = {p: i for p, (i, _) in self.table.items()}
+        for char in sorted({c for p in self.table for c in p}):
+            ids.setdefault(char, len(ids) + self.limit)
+        self.of_char = np.full(0x110000, -1, dtype=np.int64)
+        self.of_char[[ord(p) for p in ids if len(p) == 1]] = [i for p, i in ids.items() if len(p) == 1]
+        ranks = {s: n for n, s in enumerate(sorted({s for _, s in self.table.values()}, reverse=True))}
+        pairs = sorted((ids[p[:cut]] << 32 | ids[p[cut:]], ranks[s], i)
+                       for p, (i, s) in self.table.items() for cut in range(1, len(p))
+                       if p[:cut] in ids and p[cut:] in ids)
+        self.pairs, self.ranks, self.made = (np.array(x, dtype=np.int64) for x in zip(*pairs or [(-1, 0, 0)]))
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of what neighbours make."""
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        known = (self.pairs[at] == keys) & (left >= 0) & (right >= 0)
+        return np.where(known, self.ranks[at], NEVER), self.made[at]
+
+    def segment(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word."""
+        out: list[list[int]] = [[] for _ in words]
+        short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG_WORD]
+        for i, word in enumerate(words):
+            if len(word) > LONG_WORD:
+                borders = merged_long(word, self.table, self.longest)
+                symbols = [self.table.get(word[a:b], (-1,))[0] for a, b in zip(borders[:-1], borders[1:])]
+                out[i] = self.with_bytes(symbols, word, borders)
+        if not short:
+            return out
+        sizes = np.array([len(words[i]) for i in short])
+        chars = np.frombuffer("".join([words[i] for i in short]).encode("utf-32-le"), np.uint32)
+        symbols, places = self.merge(self.of_char[chars], np.repeat(np.arange(len(short)), sizes))
+        word = np.repeat(np.arange(len(short)), sizes)[places]
+        starts = np.searchsorted(word, np.arange(len(short) + 1))
+        first = np.cumsum(sizes) - sizes
+        plain, odd = symbols.tolist(), (symbols < 0) | (symbols >= self.limit)
+        strange = set(word[odd].tolist())
+        for n, i in enumerate(short):
+            found = plain[starts[n]:starts[n + 1]]
+            if n in strange:
+                found = self.with_bytes(found, words[i], (places[starts[n]:starts[n + 1]] - first[n]).tolist())
+            out[i] = found
+        return out
+
+    def merge(self, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols that are left and the places where they start; one merge a word and round."""
+        places, done = np.arange(len(symbols)), []
+        rank, made = np.full(len(symbols), NEVER), np.zeros(len(symbols), np.int64)
+        inside = np.flatnonzero(word[1:] == word[:-1])
+        rank[inside], made[inside] = self.look_up(symbols[inside], symbols[inside + 1])
+        while len(symbols):
+            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            best = np.minimum.reduceat(rank << 32 | np.arange(len(rank)), starts)
+            ready = best >> 32 >= NEVER
+            at = best[~ready] & 0xFFFFFFFF
+            symbols[at] = made[at]
+            lengths = np.diff(np.append(starts, len(symbols)))
+            finished = np.repeat(ready, lengths)
+            done.append((symbols[finished], places[finished]))
+            keep = ~finished
+            keep[at + 1] = False
+            position = np.cumsum(keep) - 1  # where a kept symbol stands from now on
+            symbols, places, word, rank, made = (x[keep] for x in (symbols, places, word, rank, made))
+            at = position[at]
+            for left in (at - 1, at):  # the two pairs of each new symbol
+                last = (left < 0) | (left + 1 >= len(symbols))
+                left = left[~last]
+                rank[left], made[left] = NEVER, 0
+                left = left[word[left] == word[left + 1]]
+                rank[left], made[left] = self.look_up(symbols[left], symbols[left + 1])
+            if len(rank):
+                rank[-1] = NEVER
+        symbols, places = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(places, kind="stable")
+        return symbols[order], places[order]
+
+    def with_bytes(self, symbols: list[int], word: str, starts: list[int]) -> list[int]:
+        """Ids, with the bytes of every character that is no piece."""
+        out: list[int] = []
+        for symbol, start in zip(symbols, starts):
+            if 0 <= symbol < self.limit:
+                out.append(symbol)
+            else:
+                out.extend(self.byte_ids[b] for b in word[start].replace(SPACE, " ").encode("utf-8"))
+        return out
 
 
-def _merged_long(size: int, scores: dict[tuple[int, int], float] | LongEdges) -> list[int]:
-    """The same by a heap, in about size * log(size) steps."""
+def merged_long(word: str, table: dict[str, tuple[int, float]], longest: int) -> list[int]:
+    """The borders in one long word, by a heap of neighbours, in about n * log(n) steps."""
+    size = len(word)
+
+    def score(a: int, c: int) -> float | None:
+        found = table.get(word[a:c]) if a >= 0 and c <= size and c - a <= longest else None
+        return None if found is None else found[1]
+
     after = list(range(1, size + 1)) + [size + 1]
     before = list(range(-1, size))
-    first = ((scores.get((i, i + 2)), i) for i in range(size - 1))
-    heap = [(-score, i, i + 1, i + 2) for score, i in first if score is not None]
+    first = ((score(i, i + 2), i) for i in range(size - 1))
+    heap = [(-s, i, i + 1, i + 2) for s, i in first if s is not None]
     heapq.heapify(heap)
     while heap:
         _, left, middle, right = heapq.heappop(heap)
@@ -234,9 +304,9 @@ def _merged_long(size: int, scores: dict[tuple[int, int], float] | LongEdges) ->
         after[left], before[right] = right, left
         after[middle] = -1
         for a, b, c in ((before[left], left, right), (left, right, after[right])):
-            score = scores.get((a, c)) if a >= 0 and c <= size else None
-            if score is not None:
-                heapq.heappush(heap, (-score, a, b, c))
+            value = score(a, c)
+            if value is not None:
+                heapq.heappush(heap, (-value, a, b, c))
     borders = [0]
     while borders[-1] < size:
         borders.append(after[borders[-1]])
@@ -244,40 +314,16 @@ def _merged_long(size: int, scores: dict[tuple[int, int], float] | LongEdges) ->
 
 
 def merges(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """hash and ids of ``words`` (hash, word, edges), merged in the order of the scores."""
-    byte_ids, longest = pieces.byte_ids, pieces.longest
-    rows = pieces.rows
-
+    """hash and ids of ``words`` (hash, word), merged in the order of the scores."""
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: dict[str, tuple[int, float]] = {}
+        merger = None
         for batch in batches:
-            edges = batch.column(2)
-            flat = edges.flatten()
-            start, length, ids, scores = (flat.field(i).to_pylist() for i in range(4))
-            offsets = (edges.offsets.to_numpy() - edges.offsets[0].as_py()).tolist()
-            out = []
-            for word, a, b in zip(batch.column(1).to_pylist(), offsets[:-1], offsets[1:]):
-                if len(word) > LONG_WORD:
-                    table = table or {piece: (i, score) for piece, i, score in rows}
-                    known, known_scores = (LongEdges(word, table, longest, n) for n in (0, 1))
-                else:
-                    spans = list(zip(start[a:b], [s + n for s, n in zip(start[a:b], length[a:b])]))
-                    known = dict(zip(spans, ids[a:b]))
-                    known_scores = {s: x for s, x in zip(spans, scores[a:b]) if x is not None}
-                borders = merged(len(word), known_scores)
-                found: list[int] = []
-                for span in zip(borders[:-1], borders[1:]):
-                    piece = known.get(span)
-                    if piece is None:
-                        symbol = word[span[0]].replace(SPACE, " ").encode("utf-8")
-                        found.extend(byte_ids[x] for x in symbol)
-                    else:
-                        found.append(piece)
-                out.append(found)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))],
+            merger = merger or Merger(pieces)
+            ids = merger.segment(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))],
                                              names=["hash", "ids"])
 
-    return words.select("hash", "word", "edges").mapInArrow(fold, "hash long, ids array<int>")
+    return words.select("hash", "word").mapInArrow(fold, "hash long, ids array<int>")
 
 
 @dataclass(frozen=True)
@@ -298,8 +344,8 @@ def build(docs: DataFrame, pieces: Pieces, *, parts: int | None = None) -> Codec
     spark = docs.sparkSession
     root = mounted(scratch_path(spark, "words"))
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = lattice(distinct_words(docs, pieces), pieces, None if pieces.unigram else LONG_WORD)
-    words = best_path(edges, pieces).select("hash", "ids") if pieces.unigram else merges(edges, pieces)
+    words = distinct_words(docs, pieces)
+    words = best_path(lattice(words, pieces), pieces) if pieces.unigram else merges(words, pieces)
     # the range of hashes that a word falls into, as in part_of
     part = F.shiftrightunsigned(F.shiftrightunsigned("hash", 32) * F.lit(parts), 32).cast("int")
     rows = words.select(part.alias("part"), "hash", "ids").repartition(parts, "part").sortWithinPartitions(
@@ -389,6 +435,7 @@ def decode_ids(ids: np.ndarray, starts: np.ndarray, pieces: Pieces) -> list[str]
             for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
+@lru_cache(maxsize=2)
 def _piece_bytes(pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     by_id = {i: p.replace(SPACE, " ").encode("utf-8") for p, i, _ in pieces.rows}
     by_id |= {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
@@ -433,7 +480,12 @@ def decode(encoded: DataFrame, pieces: Pieces, *, ids: str = "token_ids",
         for batch in batches:
             column = batch.column(len(keep))
             starts = column.offsets.to_numpy() - column.offsets[0].as_py()
-            texts = decode_ids(column.flatten().to_numpy(), starts, pieces)
+            ids, texts, row = column.flatten().to_numpy(), [], 0
+            while row < batch.num_rows:
+                stop = max(row + 1, int(np.searchsorted(starts, starts[row] + IDS, "right")) - 1)
+                some = starts[row:stop + 1]
+                texts += decode_ids(ids[some[0]:some[-1]], some - some[0], pieces)
+                row = stop
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())],
                                              names=[*keep, text])
 
