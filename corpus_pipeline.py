@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm import language, line_dedup, mixing, near_duplicates, sentencepiece_codec
-from wardline.llm.common import fresh, written
+from wardline.llm.common import fresh
 from wardline.llm.queries import TOKENIZER
+from wardline.session import written
 from wardline.sources.tables import read_parquet
 
 

@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import mix, slices, word_hashes, written
+from wardline.llm.common import mix, slices, word_hashes
 from wardline.llm.components import components
+from wardline.session import written
 
 WORDS = 5
 PERCENT = 75

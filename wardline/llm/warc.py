@@ -23,7 +23,8 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import SLICE_BYTES, slices, uri, written
+from wardline.llm.common import SLICE_BYTES, slices, uri
+from wardline.session import written
 
 ROLL_BYTES = 16 << 20
 SHARD_BYTES = 32 << 20
