@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from wardline.session import written
 
-
-
-
 LINKS_PER_FILE = 200_000
 
 

@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 from wardline.session import written
 
-
-
 PIVOTS = 48
 GROUP_QUERIES = 512
 CHUNK_ROWS = 16_384
