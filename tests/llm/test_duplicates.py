@@ -105,14 +105,30 @@ def test_odd_documents(spark):
 
 def test_registers_estimate_similarity():
     rng = np.random.default_rng(2)
-    for share in (0.2, 0.5, 0.75, 0.9):
-        pool = rng.integers(0, 1 << 62, 3000, dtype=np.uint64)
-        common = int(1000 * share)
-        left = np.unique(pool[:1000])
-        right = np.unique(np.concatenate([pool[:common], pool[1000:2000 - common]]))
-        true = len(np.intersect1d(left, right)) / len(np.union1d(left, right))
-        a, b = near_duplicates.registers([left, right])
-        assert abs(near_duplicates.similarity(a, b) - true) < near_duplicates.MARGIN
+    for size in (4, 8, 20, 145, 1000, 20_000):
+        for share in (0.2, 0.5, 0.857, 0.95):
+            pool = rng.integers(0, 1 << 64, 2 * size, dtype=np.uint64)
+            common = round(size * share)
+            left, right = np.unique(pool[:size]), np.unique(np.concatenate([pool[:common], pool[size:2 * size - common]]))
+            true = len(np.intersect1d(left, right)) / len(np.union1d(left, right))
+            a, b = near_duplicates.registers([left, right])
+            found, used = near_duplicates.similarity(a[None, :], b[None, :])
+            assert abs(found[0] - true) < 0.13
+            if true >= 0.75:
+                assert near_duplicates.plausible(found, used, np.array([len(left) + len(right)]))[0]
+
+
+def test_estimates_lose_no_link():
+    """Many pairs right at the threshold, at many sizes: none is dropped."""
+    rng = np.random.default_rng(3)
+    for size in (4, 7, 8, 12, 20, 50, 145, 400, 2000):
+        for _ in range(150 if size < 1000 else 30):
+            common = -(-size * 6 // 7)
+            pool = rng.integers(0, 1 << 64, 2 * size, dtype=np.uint64)
+            left, right = np.unique(pool[:size]), np.unique(np.concatenate([pool[:common], pool[size:2 * size - common]]))
+            if near_duplicates.similar(left, right):
+                found, used = near_duplicates.similarity(*(x[None, :] for x in near_duplicates.registers([left, right])))
+                assert near_duplicates.plausible(found, used, np.array([len(left) + len(right)]))[0], size
 
 
 def test_compressed_registers():

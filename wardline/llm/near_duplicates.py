@@ -35,8 +35,9 @@ BAND_BUCKETS = 4
 BUCKETS = 256
 MANTISSA = 10
 COLLISION = 2.0 ** -(MANTISSA + 1)  # of two registers whose minima differ, about
-MARGIN = 0.12  # more than four standard deviations of an estimate from 256 registers at J = 0.75
-PARTNERS = (1, 16, None)  # that a class may confirm in each round
+DEVIATIONS = 4.5  # standard deviations below the threshold at which a pair is dropped,
+LEAST_MARGIN = 0.09  # and at least so far below it
+PARTNERS = (1, None)  # that a class may confirm in each round
 SPLIT_ROWS = 1_024  # rows of a group that meet in one task
 EMPTY = np.uint16(0xFFFF)
 
@@ -110,12 +111,25 @@ def compress(least: np.ndarray) -> np.ndarray:
     return np.where(empty, EMPTY, packed.astype(np.uint16))
 
 
-def similarity(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Estimated Jaccard similarity of rows of registers, corrected for chance collisions."""
+def similarity(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated Jaccard similarity of rows of registers, corrected for chance collisions, and the
+    number of registers that it rests on."""
     counted = ~((left == EMPTY) & (right == EMPTY))
     equal = ((left == right) & counted).sum(axis=-1)
     used = np.maximum(counted.sum(axis=-1), 1)
-    return (equal / used - COLLISION) / (1 - COLLISION)
+    return (equal / used - COLLISION) / (1 - COLLISION), used
+
+
+def plausible(estimate: np.ndarray, used: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether pairs may reach the threshold, by their estimates and the sums of their sizes.
+
+    The registers in use are a draw without replacement from the union, whose size at the threshold
+    follows from the sizes; the fewer are left out, the surer the estimate.
+    """
+    least = PERCENT / 100
+    left_out = np.clip(1 - used / (sizes / (1 + least)), 0, 1)
+    deviation = np.sqrt(least * (1 - least) / used * left_out)
+    return estimate >= least - np.maximum(LEAST_MARGIN, DEVIATIONS * deviation)
 
 
 SKETCH = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
@@ -161,8 +175,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Nothing grows with the square of a group: equal sets are one class; in a band's bucket every
     class is first linked to one centre, and only classes that confirmed links have not joined are
     compared with each other, in blocks, by their registers. Of those that pass, each class
-    confirms its best partner first, then its best 16, then all that are left, as long as they are in different
-    components; so no link between different components goes untried.
+    confirms its best partner first, then all that are left and still in different components; so no
+    link between different components goes untried.
     """
     sketched = written(sketches(docs), "sketches")
     keys = ["n_shingles", "set_a", "set_b"]
@@ -223,12 +237,13 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = similarity(register_rows(batch.column(2)), register_rows(batch.column(3)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near)],
+            found, used = similarity(register_rows(batch.column(2)), register_rows(batch.column(3)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)],
                                              names=["a", "b", "estimate"]).filter(
-                pa.array(near >= PERCENT / 100 - MARGIN))
+                pa.array(plausible(found, used, batch.column(4).to_numpy())))
 
-    return sides.select("a", "b", "registers_a", "registers_b").mapInArrow(
+    sizes = (F.col("n_a") + F.col("n_b")).alias("n")
+    return sides.select("a", "b", "registers_a", "registers_b", sizes).mapInArrow(
         estimate, "a long, b long, estimate double")
 
 
@@ -369,8 +384,8 @@ def compare_block(block: pa.RecordBatch, partners: int | None
         if low != high:
             near &= own[i] != own[j]  # within a block, its own task compares
         i, j = i[near], j[near]
-        estimate = similarity(lines[i], lines[j])
-        near = estimate >= PERCENT / 100 - MARGIN
+        estimate, used = similarity(lines[i], lines[j])
+        near = plausible(estimate, used, sizes[i] + sizes[j])
         i, j, estimate = i[near], j[near], estimate[near]
         near = (bands[i] == bands[j]).argmax(axis=1) == band
         out.append((i[near], j[near], estimate[near]))
