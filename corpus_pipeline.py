@@ -72,11 +72,10 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the token ids, their number, and whether they decode to the text."""
     pieces = sentencepiece_codec.load_pieces(TOKENIZER)
     codec = sentencepiece_codec.build(docs, pieces)
-    coded = sentencepiece_codec.encode(docs.select("doc_id", "lang", "source", "text"), codec)
-    restored = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return sentencepiece_codec.decode(coded, pieces).select(
-        "doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids",
-        restored.alias("restored"))
+    coded = sentencepiece_codec.encode(docs.select("doc_id", "lang", "source", "text"), codec,
+                                       restored="restored")
+    return coded.select("doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"),
+                        "token_ids", "restored")
 
 
 STAGES = [

@@ -38,6 +38,10 @@ def test_ids_are_those_of_the_library_and_decode(spark, pieces, library):
     for r in rows:
         assert r.token_ids == library.encode(r.text or ""), r.text
         assert r.decoded == library.decode(r.token_ids) == (r.text or "").replace("▁", " ")
+    again = {r.doc_id: r for r in codec_.encode(df, codec, ids="hash", restored="token_ids").collect()}
+    for r in rows:
+        assert again[r.doc_id].hash == r.token_ids
+        assert again[r.doc_id].token_ids == (r.decoded == (r.text or ""))
     assert codec_.encode(df.limit(0), codec).count() == 0
     empty = codec_.build(df.limit(0), pieces)
     assert codec_.encode(df.filter("text = ''"), empty).first().token_ids == []

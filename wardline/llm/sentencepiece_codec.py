@@ -444,26 +444,35 @@ def _piece_bytes(pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(lengths) - lengths, lengths
 
 
-def encode(docs: DataFrame, codec: Codec, *, ids: str = "token_ids") -> DataFrame:
+def encode(docs: DataFrame, codec: Codec, *, ids: str = "token_ids",
+           restored: str | None = None) -> DataFrame:
     """``docs`` with the ids of each text; null and empty texts have none.
 
-    No shuffle: a task holds a slice of texts and maps the arrays of words. A column already called
-    as the new one is replaced.
+    With ``restored``, the ids are decoded in the same pass, and that column tells whether they give
+    the text again (null: the empty text). No shuffle: a task holds a slice of texts and maps
+    the arrays of words. Columns already called as the new ones are replaced.
     """
-    keep = [c for c in docs.columns if c != ids]
+    new = [ids] + ([restored] if restored else [])
+    keep = [c for c in docs.columns if c not in new]
     cuts = codec.pieces.cuts()
-    plain = fresh(keep, "_text")
-    ready = docs.select(*keep, prepared(F.col("text")).alias(plain))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema.fields[:-1]]
-                       + [f"`{ids}` array<int>"])
+    plain, marked = fresh(keep, "_text"), fresh(keep, "_marked")
+    ready = docs.select(*keep, prepared(F.col("text")).alias(plain),
+                        F.coalesce(F.contains("text", F.lit(SPACE)), F.lit(False)).alias(marked))
+    kinds = ["array<int>", "boolean"][:len(new)]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema.fields[:-2]]
+                       + [f"`{n}` {k}" for n, k in zip(new, kinds)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, plain):
-            found, starts = encode_texts(batch.column(len(keep)), codec, cuts)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.ListArray.from_arrays(
-                    pa.array(starts.astype(np.int32)), pa.array(found.astype(np.int32)))],
-                names=[*keep, ids])
+            texts = batch.column(len(keep))
+            found, starts = encode_texts(texts, codec, cuts)
+            columns = [pa.ListArray.from_arrays(
+                pa.array(starts.astype(np.int32)), pa.array(found.astype(np.int32)))]
+            if restored:
+                again = decode_ids(found, starts, codec.pieces)
+                columns.append(pa.array([not mark and text[1:] == other for text, other, mark in zip(
+                    texts.to_pylist(), again, batch.column(len(keep) + 1).to_pylist())]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *columns], names=[*keep, *new])
 
     return ready.mapInArrow(add, schema)
 
