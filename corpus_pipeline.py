@@ -51,21 +51,8 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as its source's target takes it, whole, to the nearest copy.
-
-    Rows that share id, source and size are repeated alike.
-    """
-    mixed = mixing.mix(docs)
-    counts = mixed.groupBy("doc_id", "source", "size").agg(
-        F.max(mixing.copies(F.col("taken"), F.col("size"))).alias("_copies")).filter("_copies > 0")
-    counts = written(counts, "copies").withColumnsRenamed(
-        {"doc_id": "_id", "source": "_source", "size": "_size"})
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source",
-                       mixing.word_count(F.col("text")).alias("size"))
-    same = (F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-            & (F.col("size") == F.col("_size")))
-    each = F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy")
-    return rows.join(counts, same).select("_row", each).select("_row.*")
+    """Every document as often as its source's target takes it, whole, to the nearest copy."""
+    return mixing.repeated(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,6 +93,19 @@ def test_mix_hits_targets_and_reruns_agree(spark):
     assert sorted(map(tuple, out), key=repr) == sorted(map(tuple, again), key=repr)
 
 
+def test_whole_copies_follow_the_mix(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join("w" * int(rng.integers(0, 30))), f"s{i % 5}" if i % 7 else None, i) for i in range(300)]
+    rows += [(900, None, "s1", 0), (902, "a b", "rare", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _key long")
+    want = {r.doc_id: r.n for r in mixing.mix(df).select(
+        "doc_id", mixing.copies(F.col("taken"), F.col("size")).alias("n")).collect()}
+    got = {i: 0 for i in want}
+    for r in mixing.repeated(df).collect():
+        got[r.doc_id] += 1
+    assert got == want and max(got.values()) <= 3 and mixing.repeated(df).columns == df.columns
+
+
 def test_mix_of_nothing(spark):
     schema = "doc_id long, text string, source string"
     assert mixing.mix(spark.createDataFrame([], schema)).count() == 0

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.functions.lookups import lookup_join
 from wardline.llm.common import word_count
+from wardline.session import written
 
 MAX_EPOCHS = 3
 RANGES = 3  # hexadecimal digits of the key that name a range: 4,096 ranges in a source
@@ -96,3 +98,37 @@ def mix(docs: DataFrame, *, seed: str = "mix", max_epochs: int = MAX_EPOCHS) ->
 def copies(taken: Column, size: Column) -> Column:
     """How often a whole document stands in the mix: its words taken, to the nearest copy."""
     return F.when(size > 0, F.floor((taken * 2 + size) / (size * 2))).otherwise(0).cast("int")
+
+
+def source_cuts(mixed: DataFrame, seed: str = "mix") -> DataFrame:
+    """_source, epochs and cut: whole documents with a key up to ``cut`` come once more than ``epochs``."""
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.floor(F.col("target") + F.lit(0.5))
+                                                      / F.col("source_size"))).otherwise(0)
+    more = copies(F.col("taken"), F.col("size")) > F.col("epochs")
+    return mixed.withColumn("epochs", epochs.cast("int")).groupBy(
+        source_name(F.col("source")).alias("_source")).agg(
+        F.max("epochs").alias("epochs"),
+        F.max(F.when(more, random_key(F.col("doc_id"), seed))).alias("cut"))
+
+
+def source_name(source: Column) -> Column:
+    """A source as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
+
+
+def repeated(docs: DataFrame, *, seed: str = "mix", max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, whole, to the nearest copy.
+
+    Texts are not shuffled: what a source takes is a prefix of its random order, so one row for each
+    source tells every document how often it comes. Documents without words come never; rows that
+    repeat an id, or have none, are repeated alike.
+    """
+    cuts = written(source_cuts(mix(docs, seed=seed, max_epochs=max_epochs), seed), "mix-cuts")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"),
+                       random_key(F.col("doc_id"), seed).alias("_key"),
+                       source_name(F.col("source")).alias("_source"))
+    known = lookup_join(rows.filter(F.col("_row.text").rlike(r"[^\x20\x09-\x0D]")), cuts, ["_source"],
+                        spread_by="_key")
+    number = F.col("epochs") + F.when(F.col("_key") <= F.col("cut"), 1).otherwise(0)
+    each = F.explode(F.array_repeat(F.lit(0), number)).alias("_copy")
+    return known.select("_row", each).select("_row.*")
