@@ -326,8 +326,7 @@ def open_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, tried:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b", "estimate"])
 
     found = rows.mapInArrow(compare, "a long, b long, estimate double").distinct()
-    found = found.join(tried, ["a", "b"], "left_anti").join(
-        tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+    found = found.join(tried, ["a", "b"], "left_anti")  # the smaller id is a in both
     if partners is None:
         return found.select("a", "b")
     both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "estimate"))
