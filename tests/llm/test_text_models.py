@@ -78,6 +78,72 @@ def test_scores_are_those_of_the_plain_model(spark, parts):
     assert math.isclose(sum(plain.chance("the", w) for w in all_words), 1.0, rel_tol=1e-9)
 
 
+class PlainTrigrams(Plain):
+    """Bigrams told by the words before them, and trigrams over them."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        lists = [["<s>", *tokens(t)] for t in texts]
+        self.triples = collections.Counter(x for t in lists for x in zip(t, t[1:], t[2:]))
+        raw, self.pairs = self.pairs, collections.Counter(x[1:] for x in self.triples)
+        self.pairs.update({p: n for p, n in raw.items() if p[0] == "<s>"})
+        assert len(self.pairs) == len(raw)
+        self.after, self.kinds = collections.Counter(), collections.defaultdict(lambda: [0, 0, 0])
+        for (a, b), n in self.pairs.items():
+            self.after[a] += n
+            self.kinds[a][min(n, 3) - 1] += 1
+        histogram = lambda values: [sum(v == k for v in values) for k in (1, 2, 3, 4)]
+        self.d2 = scoring.discounts(histogram(self.pairs.values()))
+        self.d3 = scoring.discounts(histogram(self.triples.values()))
+        self.after3, self.kinds3 = collections.Counter(), collections.defaultdict(lambda: [0, 0, 0])
+        for (*context, _), n in self.triples.items():
+            self.after3[tuple(context)] += n
+            self.kinds3[tuple(context)][min(n, 3) - 1] += 1
+
+    def chance3(self, context, b):
+        lower, context = self.chance(context[-1], b), tuple(context)
+        if context not in self.after3:
+            return lower
+        n = self.triples.get((*context, b), 0)
+        rest = sum(d * k for d, k in zip(self.d3, self.kinds3[context])) / self.after3[context]
+        return (n - (self.d3[min(n, 3) - 1] if n else 0)) / self.after3[context] + rest * lower
+
+    def score(self, text):
+        words = ["<s>", *tokens(text)]
+        full = sum(math.log10(self.chance3(words[max(i - 2, 0):i], words[i])) for i in range(1, len(words)))
+        return *super().score(text)[:4], full
+
+
+@pytest.mark.parametrize("parts", [1, 3, 17])
+def test_trigram_scores_are_those_of_the_plain_model(spark, parts):
+    rng = np.random.default_rng(1)
+    words = [f"w{int(x)}" for x in rng.zipf(1.5, 4000) if x < 500]
+    corpus = TEXTS + [" ".join(words[i:i + 40]) for i in range(0, len(words), 40)]
+    plain = PlainTrigrams(corpus)
+    model = scoring.train(spark.createDataFrame([(t,) for t in corpus], "text string"), order=3, parts=parts)
+    assert (len(model.hot_pairs) > 0) == (parts > 1)  # contexts dealt over all parts are met too
+    tests = TEXTS + ["unknown words w1 w2 w3", "w1 w1 unknown", "w1 w1 w1 w2 w1", "a unknown b c"]
+    df = spark.createDataFrame(list(enumerate(tests)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in scoring.score(df, model).collect()}
+    for i, t in enumerate(tests):
+        n, known, total, base, full = plain.score(t)
+        r = rows[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9) and math.isclose(r.score, full, rel_tol=1e-9)
+    for context in (["w1", "w1"], ["<s>", "the"], ["a", "b"]):
+        assert math.isclose(sum(plain.chance3(context, w) for w in [*plain.count, "<unk>"]), 1.0, rel_tol=1e-9)
+
+
+def test_the_query_knows_two_words_of_context(spark):
+    texts = ["a b c", "x b d"] * 50
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(1001, "a b d")], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in scoring.score_corpus(df).collect()}
+    assert scores[0] > scores[1001] + 0.5
+    assert scoring.score_corpus(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        scoring.train(df, order=4)
+
+
 def test_an_empty_corpus_and_empty_tables(spark):
     model = scoring.train(spark.createDataFrame([], "text string"))
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")

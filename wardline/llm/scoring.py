@@ -1,4 +1,4 @@
-"""Scoring texts with an interpolated modified Kneser-Ney bigram model.
+"""Scoring texts with an interpolated modified Kneser-Ney model of bigrams or trigrams.
 
 Tokens are words with A-Z lowered and one end per text. All training texts are counted in Spark:
 tasks count what they read, shuffles add up. The model lies in the shared folder as sorted
@@ -7,7 +7,15 @@ arrays that workers map into memory:
 * vocabulary: the sorted 64-bit hashes of the words, with their counts and the numbers of
   different words before them; a word's id is its place;
 * bigrams: the sorted pairs of ids (32 bits each) with their counts;
-* contexts: for each id, the numbers of bigrams seen once, twice, and more often.
+* contexts: for each id, the numbers of bigrams seen once, twice, and more often, and the sum of their counts.
+
+With trigrams the arrays below stand beside those of the bigrams, part for part:
+
+* triples: the sorted pairs (row of the context in its part of the bigrams, id) with their counts;
+* kinds: for each bigram as a context, the numbers of trigrams seen once, twice, and more often;
+* adjusted: for each bigram, how many different words stand before it; the count itself at the start of a text,
+  before which there is nothing. Bigrams are then told by these numbers, and what is not in a trigram's context is
+  left to them.
 
 Every array is cut into parts, each written by one task under a temporary name and renamed.
 """
@@ -46,6 +54,10 @@ class Meta:
     spare: float  # the probability that unigrams leave for all words alike, unknown ones too
     unigram_discounts: tuple[float, ...]
     bigram_discounts: tuple[float, ...]
+    order: int = 2
+    trigram_discounts: tuple[float, ...] = ()
+    hot_pairs: tuple[int, ...] = ()  # contexts whose trigrams are dealt over all parts
+    hot_kinds: tuple[tuple[int, ...], ...] = ()  # of each of them, the numbers of trigrams
 
     @property
     def start(self) -> int:
@@ -59,6 +71,10 @@ def token_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(words, starts[1:], END), starts + np.arange(len(starts))
 
 
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+WORD_BITS, WORD_MASK = np.uint64(32), np.uint64(0xFFFFFFFF)
+
+
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     """Equal ranges of hashes, so parts stand in order."""
     return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -66,10 +82,9 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 def pair_part(pairs: np.ndarray, meta: Meta) -> np.ndarray:
     """Pairs go by their context; those of hot contexts by both words."""
-    spread = np.uint64(0x9E3779B97F4A7C15)
-    context = pairs >> np.uint64(32)
+    context = pairs >> WORD_BITS
     by = np.where(np.isin(context, np.array(meta.hot, dtype=np.uint64)), pairs, context)
-    return part_of(by * spread, meta.parts)
+    return part_of(by * SPREAD, meta.parts)
 
 
 def small(values: np.ndarray) -> np.ndarray:
@@ -165,13 +180,15 @@ def discounts(n: list[int]) -> tuple[float, ...]:
     return tuple(min(max(d, 0.0), k + 1.0) for k, d in enumerate(found))
 
 
-def train(texts: DataFrame, *, parts: int | None = None) -> Meta:
-    """Count all of ``texts`` (text; null: empty) and write the model.
+def train(texts: DataFrame, *, order: int = 2, parts: int | None = None) -> Meta:
+    """Count all of ``texts`` (text; null: empty) and write the model of bigrams (``order`` 2) or trigrams (3).
 
     ``parts`` is a number of tasks to share each array, by default that of the session's shuffles. A word or a pair
     that makes up a third of all tokens is one row for each task and part before the shuffle; a context that would fill more
     than a quarter of a part is dealt over all parts.
     """
+    if order not in (2, 3):
+        raise ValueError(f"no model of order {order}")
     spark = texts.sparkSession
     folder = scratch_path(spark, "kneser-ney")
     root = mounted(folder)
@@ -206,7 +223,7 @@ def train(texts: DataFrame, *, parts: int | None = None) -> Meta:
     limit = max(1, total // (4 * parts))
     hot = sorted([first[r.part] + i for r in vocabulary for i, n in zip(r.place, r.n) if n > limit]
                  + [first[-1]] * (documents > limit))
-    meta = Meta(root, parts, documents, total, first[-1], 0, tuple(first), tuple(hot), 1.0, (), ())
+    meta = Meta(root, parts, documents, total, first[-1], 0, tuple(first), tuple(hot), 1.0, (), (), order)
     return _train_pairs(texts, meta)
 
 
@@ -219,47 +236,40 @@ def _train_pairs(texts: DataFrame, meta: Meta) -> Meta:
         ids = model.ids(hashes)
         return with_contexts(ids, starts, meta)
 
+    hot_count = max(1, meta.tokens // (4 * parts))
+
     def write_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, blobs in by_part(batches):
             keys, counts = added(blobs)
             save_array(f"{root}/pair-{part}.npy", keys)
             save_array(f"{root}/times-{part}.npy", small(counts))
-            context = keys >> np.uint64(32)
-            first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-            kinds = [np.add.reduceat((counts == n) if n < 3 else (counts > 2), first).astype(np.int64)
-                     for n in (1, 2, 3)]
-            # a context's ids and numbers go to the part of the vocabulary that has its id
-            for n, values in enumerate(kinds, 1):
-                yield tagged(n, context[first][values > 0], values[values > 0], meta)
-            after, before = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
-            yield tagged(4, after, before, meta)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([-1 - part], pa.int32()),
-                 pa.array([json.dumps([len(keys), *histogram(counts)]).encode()], pa.binary())],
-                names=["part", "blob"])
-
-    stats = gathered(counted(texts, pairs_of, lambda k: pair_part(k, meta)), parts).mapInArrow(
-        write_pairs, BLOBS)
-    path = f"{root}/statistics"
-    stats.write.parquet(path)
-    stats = stats.sparkSession.read.schema(BLOBS).parquet(path)
-    totals = np.array([json.loads(bytes(r.blob)) for r in stats.filter("part < 0").collect()]
-                      or [[0] * 5]).sum(axis=0).tolist()
+            if meta.order == 2:
+                yield from context_rows(keys, counts, meta)
+            yield told(part, [len(keys), *histogram(counts)], keys[counts > hot_count].tolist())
+
+    rows, totals, hot_pairs = _stored(gathered(
+        counted(texts, pairs_of, lambda k: pair_part(k, meta)), parts).mapInArrow(write_pairs, BLOBS),
+        f"{root}/statistics")
+    if meta.order == 3:
+        # ends have nothing after them
+        end = Model(meta).ids(np.array([END]))[0]
+        meta = Meta(**asdict(meta) | {"hot_pairs": tuple(sorted(p for p in hot_pairs if p & 0xFFFFFFFF != end))})
+        rows, totals, meta = _train_triples(texts, meta)
 
     def write_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, blobs in by_part(batches):
             low = meta.first_ids[part]
             size = meta.first_ids[part + 1] - low + (part == parts - 1)  # the start is the last id
-            seen = np.zeros((4, size), dtype=np.int64)
-            for kind in range(4):
+            seen = np.zeros((5, size), dtype=np.int64)
+            for kind in range(5):
                 keys, values = added([b[1:] for b in blobs if b[0] == kind + 1])
                 seen[kind, (keys - np.uint64(low)).astype(np.int64)] = values
-            save_array(f"{root}/context-{part}.npy", small(seen[:3]))
-            save_array(f"{root}/before-{part}.npy", small(seen[3]))
+            save_array(f"{root}/context-{part}.npy", small(seen[:4]))
+            save_array(f"{root}/before-{part}.npy", small(seen[4]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x], pa.int64()) for x in histogram(seen[3])], names=["a", "b", "c", "d"])
+                [pa.array([x], pa.int64()) for x in histogram(seen[4])], names=["a", "b", "c", "d"])
 
-    histograms = gathered(stats.filter("part >= 0"), parts).mapInArrow(
+    histograms = gathered(rows, parts).mapInArrow(
         write_contexts, "a long, b long, c long, d long").collect()
     continuation = np.array([list(r) for r in histograms] or [[0] * 4]).sum(axis=0).tolist()
     unigram = discounts(continuation)
@@ -271,6 +281,118 @@ def _train_pairs(texts: DataFrame, meta: Meta) -> Meta:
         "bigram_discounts": discounts(totals[1:])})
 
 
+def _stored(stats: DataFrame, path: str) -> tuple[DataFrame, list[int], list]:
+    """Written rows for the parts, and sums and lists of what the parts told."""
+    stats.write.parquet(path)
+    stats = stats.sparkSession.read.schema(BLOBS).parquet(path)
+    heard = [json.loads(bytes(r.blob)) for r in stats.filter("part < 0").collect()]
+    totals = np.array([h[0] for h in heard] or [[0] * 5]).sum(axis=0).tolist()
+    return stats.filter("part >= 0"), totals, [x for h in heard for x in h[1]]
+
+
+def told(part: int, sums: list[int], items: list) -> pa.RecordBatch:
+    """A row for the driver."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array([-1 - part], pa.int32()), pa.array([json.dumps([sums, items]).encode()], pa.binary())],
+        names=["part", "blob"])
+
+
+def context_rows(keys: np.ndarray, counts: np.ndarray, meta: Meta) -> Iterator[pa.RecordBatch]:
+    """What a part's bigrams say of their words; it goes to the parts of the vocabulary that have their ids."""
+    context = keys >> WORD_BITS
+    first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+    for n in (1, 2, 3):
+        values = np.add.reduceat((counts == n) if n < 3 else (counts > 2), first).astype(np.int64)
+        yield tagged(n, context[first][values > 0], values[values > 0], meta)
+    yield tagged(4, context[first], np.add.reduceat(counts, first), meta)
+    yield tagged(5, *np.unique(keys & WORD_MASK, return_counts=True), meta)
+
+
+def _train_triples(texts: DataFrame, meta: Meta) -> tuple[DataFrame, list[int], Meta]:
+    """Write the arrays of trigrams; the rows and totals of bigrams come from their adjusted counts."""
+    spark, root, parts = texts.sparkSession, meta.folder, meta.parts
+    every = spark.createDataFrame([(p, b"") for p in range(parts)], BLOBS)  # parts without trigrams too
+    hot = np.array(meta.hot_pairs, dtype=np.uint64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model.of(meta)
+        model.finish()
+        held, size = [], 0
+        for batch in slices(batches, "text"):
+            hashes, starts = token_hashes(batch.column(0))
+            ids = model.ids(hashes)
+            pairs = with_contexts(ids, starts, meta)
+            later = np.ones(len(ids), dtype=bool)
+            later[starts[:-1]] = False
+            places = np.flatnonzero(later)
+            kinds, back = np.unique(pairs[places - 1], return_inverse=True)
+            held.append(model.triples(kinds, model.pair_rows(kinds)[0], back, ids[places]))
+            size += len(places)
+            if size >= BUFFER:
+                yield blobs(held)
+                held, size = [], 0
+        if size:
+            yield blobs(held)
+
+    def blobs(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        part, keys = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((keys, part))
+        part, keys = part[order], keys[order]
+        first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (part[1:] != part[:-1])]))
+        return dealt(keys[first], np.diff(np.append(first, len(keys))), part[first])
+
+    def write_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, blobs in by_part(batches):
+            try:
+                pairs = load_array(f"{root}/pair-{part}.npy")
+            except FileNotFoundError:  # hot contexts can fall here all the same
+                pairs = np.empty(0, np.uint64)
+            keys, counts = added([b for b in blobs if b])
+            save_array(f"{root}/triple-{part}.npy", keys)
+            save_array(f"{root}/triple_times-{part}.npy", small(counts))
+            row = keys >> WORD_BITS
+            is_hot = row > WORD_MASK - np.uint64(len(hot))
+            place = (WORD_MASK - row[is_hot]).astype(np.int64)
+            row = row.astype(np.int64)
+            kinds, hot_kinds = [], []
+            for n in (1, 2, 3):
+                of = (counts == n) if n < 3 else (counts > 2)
+                kinds.append(small(np.bincount(row[of & ~is_hot], minlength=len(pairs))))
+                hot_kinds.append(np.bincount(place[of[is_hot]], minlength=len(hot)).tolist())
+            save_array(f"{root}/kinds-{part}.npy", np.array(kinds))
+            # the bigram that is left when the first word goes
+            middle = np.empty(len(keys), dtype=np.uint64)
+            middle[~is_hot] = pairs[row[~is_hot]] & WORD_MASK
+            middle[is_hot] = hot[place] & WORD_MASK
+            after, before = np.unique(middle << WORD_BITS | keys & WORD_MASK, return_counts=True)
+            if len(after):
+                yield dealt(after, before, pair_part(after, meta))
+            yield told(part, [len(keys), *histogram(counts)], [hot_kinds])
+
+    found = texts.select("text").mapInArrow(count, BLOBS)
+    rows, totals, hot_kinds = _stored(gathered(found.union(every), parts).mapInArrow(write_triples, BLOBS),
+                                      f"{root}/statistics-3")
+    hot_kinds = np.array(hot_kinds, dtype=np.int64).sum(axis=0).reshape(3, len(hot)).T.tolist()
+
+    def write_adjusted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, blobs in by_part(batches):
+            try:
+                pairs, times = (load_array(f"{root}/{n}-{part}.npy") for n in ("pair", "times"))
+            except FileNotFoundError:
+                continue
+            counts = np.where(pairs >> WORD_BITS == np.uint64(meta.start), times, 0).astype(np.int64)
+            keys, before = added([b for b in blobs if b])
+            counts[np.searchsorted(pairs, keys)] = before
+            save_array(f"{root}/adjusted-{part}.npy", small(counts))
+            yield from context_rows(pairs, counts, meta)
+            yield told(part, [len(pairs), *histogram(counts)], [])
+
+    rows, pair_totals, _ = _stored(gathered(rows.union(every), parts).mapInArrow(write_adjusted, BLOBS),
+                                   f"{root}/statistics-2")
+    return rows, pair_totals, Meta(**asdict(meta) | {
+        "trigram_discounts": discounts(totals[1:]), "hot_kinds": tuple(map(tuple, hot_kinds))})
+
+
 def tagged(kind: int, ids: np.ndarray, values: np.ndarray, meta: Meta) -> pa.RecordBatch:
     """Blobs for the parts of the vocabulary, each with its kind in front."""
     parts = np.clip(np.searchsorted(np.array(meta.first_ids), ids.astype(np.int64), "right") - 1,
@@ -311,14 +433,15 @@ class Model:
         try:
             return load_array(f"{self.meta.folder}/{name}-{part}.npy")
         except FileNotFoundError:  # no word or pair fell into the part
-            return np.empty((3, 0) if name == "context" else 0, np.uint64)
+            return np.empty({"context": (4, 0), "kinds": (3, 0)}.get(name, 0), np.uint64)
 
     def finish(self) -> None:
         """Open what only scoring needs."""
         if not hasattr(self, "pairs"):
             of = range(self.meta.parts)
-            self.counts, self.before, self.contexts, self.pairs, self.times = (
-                [self._load(n, p) for p in of] for n in ("count", "before", "context", "pair", "times"))
+            (self.counts, self.before, self.contexts, self.times, self.adjusted, self.kinds, self.triple_keys,
+             self.triple_times, self.pairs) = ([self._load(n, p) for p in of] for n in (
+                 "count", "before", "context", "times", "adjusted", "kinds", "triple", "triple_times", "pair"))
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """The id of each hash; -1 for unknown words."""
@@ -341,18 +464,35 @@ class Model:
                 out[:, some] = arrays[part][..., ids[some] - self.meta.first_ids[part]]
         return out
 
-    def times_of(self, pairs: np.ndarray) -> np.ndarray:
-        """The counts of pairs."""
-        out = np.zeros(len(pairs))
-        part = pair_part(pairs, self.meta)
-        order = np.lexsort((pairs, part))
+    def rows(self, tables: list[np.ndarray], part: np.ndarray, keys: np.ndarray,
+             *arrays: tuple[list[np.ndarray], int]) -> list[np.ndarray]:
+        """The row of each key in the table of its part, -1 if unknown, and what ``arrays`` hold there, else 0."""
+        row = np.full(len(keys), -1, dtype=np.int64)
+        out = [np.zeros((n, len(keys))) for _, n in arrays]
+        order = np.lexsort((keys, part))
         borders = np.searchsorted(part[order], np.arange(self.meta.parts + 1))
         for number in np.flatnonzero(np.diff(borders)):
             some = order[borders[number]:borders[number + 1]]
-            row, known = look_up(self.pairs[number], pairs[some])
-            if known.any():
-                out[some[known]] = self.times[number][row[known]]
-        return out
+            at, known = look_up(tables[number], keys[some])
+            some, at = some[known], at[known]
+            row[some] = at
+            for values, (array, _) in zip(out, arrays):
+                if len(at):
+                    values[:, some] = array[number][..., at]
+        return [row, *out]
+
+    def pair_rows(self, pairs: np.ndarray, *arrays: tuple[list[np.ndarray], int]) -> list[np.ndarray]:
+        return self.rows(self.pairs, pair_part(pairs, self.meta), pairs, *arrays)
+
+    def triples(self, contexts: np.ndarray, row: np.ndarray, back: np.ndarray,
+                ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Part and key of trigrams: ``back`` tells the context of each of ``ids``, ``row`` where contexts stand."""
+        meta = self.meta
+        part = pair_part(contexts, meta)
+        place, is_hot = look_up(np.array(meta.hot_pairs, dtype=np.uint64), contexts)
+        row = np.where(is_hot, WORD_MASK - place.astype(np.uint64), row.astype(np.uint64))
+        keys = row[back] << WORD_BITS | ids.astype(np.uint64)
+        return np.where(is_hot[back], part_of(keys * SPREAD, meta.parts), part[back]).astype(np.int32), keys
 
     def score(self, column: pa.Array) -> dict[str, np.ndarray]:
         """Sums over the tokens of each text: see ``score``."""
@@ -376,10 +516,8 @@ class Model:
         context[starts[:-1]] = meta.start if meta.documents else -1
         there = context >= 0
         kinds, back = np.unique(context[there], return_inverse=True)
-        numbers = self.of_ids(self.contexts, kinds, 3)
-        total = np.full(len(kinds), meta.documents, dtype=np.float64)
-        words = kinds < meta.start
-        total[words] = self.of_ids(self.counts, kinds[words])[0]
+        numbers = self.of_ids(self.contexts, kinds, 4)
+        total = numbers[3]
         once, twice, more = meta.bigram_discounts or (0.5, 1.0, 1.5)
         rest = (once * numbers[0] + twice * numbers[1] + more * numbers[2]) / np.maximum(total, 1)
         chance = lower.copy()
@@ -387,16 +525,44 @@ class Model:
         times = np.zeros(len(ids))
         pairs, again = np.unique(context[both].astype(np.uint64) << np.uint64(32)
                                  | ids[both].astype(np.uint64), return_inverse=True)
-        times[both] = self.times_of(pairs)[again]
+        shown = self.adjusted if meta.order == 3 else self.times
+        times[both] = self.pair_rows(pairs, (shown, 1))[1][0][again]
         discount = np.select([times == 0, times == 1, times == 2], [0, once, twice], more)
         chance[there] = ((times - discount)[there] / np.maximum(total, 1)[back]
                          + rest[back] * lower[there])
+        if meta.order == 3:
+            self._add_triples(chance, ids, context, starts)
         base = np.log10((count + 0.5) / (meta.tokens + 0.5 * (meta.words + 1)))
         sums = {name: np.add.reduceat(values, starts[:-1]) for name, values in (
             ("n_known", known.astype(np.int64)), ("base_score", base), ("score", np.log10(chance)))}
         return sums | {"n_tokens": np.diff(starts)}
 
 
+    def _add_triples(self, chance: np.ndarray, ids: np.ndarray, context: np.ndarray, starts: np.ndarray) -> None:
+        """Turn the chances of tokens after the word before them into those after two, where the two were seen."""
+        meta = self.meta
+        later = np.ones(len(ids), dtype=bool)
+        later[starts[:-1]] = False
+        at = np.flatnonzero(later)
+        at = at[(context[at] >= 0) & (context[at - 1] >= 0)]
+        pairs, back = np.unique(context[at - 1].astype(np.uint64) << WORD_BITS
+                                | context[at].astype(np.uint64), return_inverse=True)
+        row, total, kinds = self.pair_rows(pairs, (self.times, 1), (self.kinds, 3))
+        place, is_hot = look_up(np.array(meta.hot_pairs, dtype=np.uint64), pairs)
+        if is_hot.any():
+            kinds[:, is_hot] = np.array(meta.hot_kinds, dtype=np.float64)[place[is_hot]].T
+        seen = row[back] >= 0
+        at, back = at[seen], back[seen]
+        times = np.zeros(len(at))
+        known = ids[at] >= 0
+        part, keys = self.triples(pairs, np.maximum(row, 0), back[known], ids[at][known])
+        times[known] = self.rows(self.triple_keys, part, keys, (self.triple_times, 1))[1][0]
+        once, twice, more = meta.trigram_discounts
+        rest = (once * kinds[0] + twice * kinds[1] + more * kinds[2]) / np.maximum(total[0], 1)
+        discount = np.select([times == 0, times == 1, times == 2], [0, once, twice], more)
+        chance[at] = (times - discount) / np.maximum(total[0], 1)[back] + rest[back] * chance[at]
+
+
 def look_up(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where sorted keys stand in a sorted table, and whether they do."""
     if not len(table):
@@ -434,7 +600,7 @@ def score(docs: DataFrame, meta: Meta) -> DataFrame:
     return ready.mapInArrow(add, schema)
 
 
-def score_corpus(docs: DataFrame) -> DataFrame:
+def score_corpus(docs: DataFrame, *, order: int = 3) -> DataFrame:
     """Learn from the documents that are not held out, and score all."""
     marked = docs.select("doc_id", (crc_remainder(F.col("doc_id"), 5) == 1).alias("held_out"), "text")
-    return score(marked, train(marked.filter("NOT held_out").select("text")))
+    return score(marked, train(marked.filter("NOT held_out").select("text"), order=order))
