@@ -245,6 +245,26 @@ def test_the_sample_is_bounded(spark):
     assert model.languages == whole.languages == ["en"]
 
 
+def test_long_texts_do_not_starve_the_sample(spark):
+    """Pieces are drawn up to the limit of each language, of texts of any length."""
+    rows = [(i, "für " * 75, "de") for i in range(100)] + [(100, "ÄÖÜ ß" * 60_000, "de")]
+    rows += [(200 + i, f"le vif {i} " * 30_000, "fr") for i in range(2)] + [(300, "å" * 9_000, "sv")]
+    rows += [(None, "same row", "en")] * 4000
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    limit = 20_000
+    found = collections.defaultdict(list)
+    for r in language.drawn(df.repartition(7), limit, 1 << 25).collect():
+        found[r.lang].append(r.text)
+    size = {lang: sum(len(t.encode()) for t in texts) for lang, texts in found.items()}
+    assert found["sv"] == ["å" * 9_000]  # smaller than the limit: whole
+    slack = language.PIECE_BYTES
+    assert all(limit - 8 <= size[x] <= limit + slack for x in ("de", "fr", "en"))
+    assert all(t == "same row" for t in found["en"])
+    assert all(t in "äöü ß" * 60_000 or t == "für " * 75 for t in found["de"])
+    model = language.train(df, sample_bytes=100)
+    assert model.languages == ["de", "en", "fr", "sv"]
+
+
 def test_held_out_accuracy(spark):
     """On the benchmark tables nearly every held-out document is told right."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

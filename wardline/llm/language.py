@@ -13,14 +13,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.common import crc_remainder, fresh, slices, text_bytes
+from wardline.session import written
 
 ORDER = 4
-SAMPLE_BYTES = 1 << 20  # expected size of the training sample of a language
+SAMPLE_BYTES = 1 << 20  # size of the training sample of a language
 TOTAL_BYTES = 1 << 25  # and of all languages together
+PIECE_BYTES = 1 << 12  # texts are drawn in pieces of this size
 MAX_LANGUAGES = 1024
 UNDETERMINED = "und"
 
@@ -141,25 +143,98 @@ def find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, *, order: int = ORDER, sample_bytes: int = SAMPLE_BYTES,
           total_bytes: int = TOTAL_BYTES) -> Model:
-    """A model of the languages of ``docs`` (doc_id, text, lang), from whole texts.
+    """A model of the languages of ``docs`` (doc_id, text, lang).
 
-    Rows without a text or a language teach nothing. Of each language, documents are drawn by a
-    hash of their id so that ``sample_bytes`` are expected, fewer if all languages would pass
-    ``total_bytes``; a smaller language is taken whole. That bounds what is counted,
-    collected and broadcast.
+    Rows without a text or a language teach nothing. Texts are drawn in pieces: of each language the first in the order
+    of a hash, until ``sample_bytes`` are reached, fewer if all languages would pass ``total_bytes``. So a language
+    gives one piece at least and at most one more than fits, however long its texts are; a smaller language is taken
+    whole. That bounds what is counted, collected and broadcast.
     """
-    usable = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "lang", "text")
-    sizes = usable.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).limit(
-        MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
+    return Model(count_contexts(drawn(docs, sample_bytes, total_bytes), order).toArrow(), order)
+
+
+def piece_key(number: Column) -> Column:
+    """Where a piece stands in its language's order."""
+    return F.xxhash64("doc_id", number, "_hash")
+
+
+def drawn(docs: DataFrame, sample_bytes: int, total_bytes: int) -> DataFrame:
+    """lang and text (lowered) of the drawn pieces; those that follow each other in a text are one.
+
+    The order is cut in two steps, by sums over the 4,096 ranges of keys and then inside one range, so no task sees all
+    pieces of a language. Pieces of rows that are equal throughout have one key; of the last key, as many as fit.
+    """
+    texts = docs.filter("text IS NOT NULL AND text <> '' AND lang IS NOT NULL").select(
+        "doc_id", "lang", F.lower("text").alias("text"))
+    texts = texts.select("*", F.xxhash64("text").alias("_hash"), F.octet_length("text").alias("_n"))
+    last = ((F.col("_n") - 1) / PIECE_BYTES).cast("int")
+    pieces = texts.select("lang", "doc_id", "_hash", "_n", F.explode(F.sequence(F.lit(0), last)).alias("_piece"))
+    pieces = pieces.select(
+        "lang", piece_key(F.col("_piece")).alias("key"),
+        F.least(F.lit(PIECE_BYTES), F.col("_n") - F.col("_piece") * PIECE_BYTES).cast("long").alias("size"))
+    ranges = written(pieces.groupBy("lang", F.shiftright("key", 52).alias("range")).agg(
+        F.sum("size").alias("size")), "language-ranges")
+    languages = ranges.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if languages > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    limit = min(sample_bytes, total_bytes // max(1, len(sizes)))
-    shares = usable.sparkSession.createDataFrame(
-        [(r.lang, min(1.0, limit / max(1, r.n))) for r in sizes], "lang string, share double")
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    samples = usable.join(F.broadcast(shares), "lang").filter(drawn < F.col("share")).select(
-        "lang", F.lower("text").alias("text"))
-    return Model(count_contexts(samples, order).toArrow(), order)
+    limit = min(sample_bytes, total_bytes // max(1, languages))
+
+    def cut(sums: DataFrame, by: str, start: Column) -> DataFrame:
+        """The last row of each language before which the limit isn't reached."""
+        before = Window.partitionBy("lang").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("before", start + F.coalesce(F.sum("size").over(before), F.lit(0)))
+        rest = [c for c in sums.columns if c not in ("lang", by)]
+        # the first row counts even if there is no limit to speak of
+        fits = (F.col("before") < limit) | (F.col("before") == 0)
+        return sums.filter(fits).groupBy("lang").agg(F.max(F.struct(by, *rest)).alias("_cut")).select("lang", "_cut.*")
+
+    last_range = cut(ranges, "range", F.lit(0)).select("lang", "range", F.col("before").alias("_start"))
+    inside = pieces.withColumn("range", F.shiftright("key", 52)).join(F.broadcast(last_range), ["lang", "range"])
+    keys = inside.groupBy("lang", "key").agg(
+        F.sum("size").alias("size"), F.count(F.lit(1)).alias("copies"), F.max("_start").alias("_start"))
+    fitting = F.least("copies", F.greatest(F.lit(1), F.ceil(
+        (F.lit(limit) - F.col("before")) * F.col("copies") / F.col("size"))))
+    cuts = written(cut(keys, "key", F.col("_start")).select(
+        "lang", F.col("key").alias("_cut"), fitting.cast("int").alias("_some"),
+        (fitting == F.col("copies")).alias("_all")), "language-cuts")
+
+    known = texts.join(F.broadcast(cuts), "lang")
+    numbers = F.sequence(F.lit(0), last)
+
+    def chosen(rows: DataFrame, condition) -> DataFrame:
+        picked = F.filter(numbers, lambda i: condition(piece_key(i)))
+        return rows.select("lang", "text", "_some", picked.alias("_pieces")).filter("size(_pieces) > 0")
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            rows = [(lang, run, some) for lang, text, some, numbers in zip(*(c.to_pylist() for c in batch.columns))
+                    for run in runs(text, numbers)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int32()))],
+                names=["lang", "text", "some"])
+
+    schema = "lang string, text string, some int"
+    below = chosen(known, lambda key: (key < F.col("_cut")) | (F.col("_all") & (key == F.col("_cut"))))
+    at = chosen(known.filter("NOT _all"), lambda key: key == F.col("_cut")).mapInArrow(take, schema)
+    at = at.groupBy("lang").agg(F.min(F.struct("text", "some")).alias("_row")).select(
+        "lang", "_row.text", F.explode(F.array_repeat(F.lit(0), F.col("_row.some"))).alias("_copy"))
+    return below.mapInArrow(take, schema).select("lang", "text").unionByName(at.select("lang", "text"))
+
+
+def runs(text: str, numbers: list[int]) -> Iterator[str]:
+    """The pieces of a text, those with following numbers as one; a character belongs to where it starts."""
+    data = text.encode("utf-8")
+
+    def border(place: int) -> int:
+        while place < len(data) and data[place] & 0xC0 == 0x80:
+            place += 1
+        return min(place, len(data))
+
+    first = 0
+    for i, number in enumerate(numbers):
+        if i + 1 == len(numbers) or numbers[i + 1] != number + 1:
+            yield data[border(numbers[first] * PIECE_BYTES):border((number + 1) * PIECE_BYTES)].decode("utf-8")
+            first = i + 1
 
 
 def predict(docs: DataFrame, model: Model, *, prediction: str = "lang_pred",
