@@ -18,12 +18,13 @@ from wardline.sources.tables import read_parquet
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told (null text, no letter) go; a missing ``lang`` is filled in."""
+    """Documents without a letter (or a text) go; a missing ``lang`` is filled in, if there is a language to learn from."""
     model = language.train(language.held_out(docs).filter("NOT held_out"))
     name, score = (fresh(docs.columns, n) for n in ("lang_pred", "score"))
     found = language.predict(docs, model, prediction=name, score=score, keep_text=True)
-    kept = found.filter(F.col(name) != language.UNDETERMINED)
-    return kept.withColumn("lang", F.coalesce("lang", name)).select(*docs.columns)
+    told = F.when(F.col(name) != language.UNDETERMINED, F.col(name))
+    return found.filter(language.has_letter(F.col("text"))).withColumn(
+        "lang", F.coalesce(F.col("lang"), told)).select(*docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

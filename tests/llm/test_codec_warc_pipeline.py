@@ -177,6 +177,13 @@ def test_stages_take_effect(spark):
     assert tokens.count() == mixed.count() and tokens.filter("NOT restored").count() == 0
 
 
+def test_documents_stay_if_no_language_was_learned(spark):
+    rows = [(1, "some text", None), (2, "12 34", None), (3, None, None), (4, "ein Text", None)]
+    docs = spark.createDataFrame([(i, t, x, "s", 1, "l", 1) for i, t, x in rows], DOCUMENTS)
+    kept = corpus_pipeline.identify_language(spark, docs, "/nowhere").collect()
+    assert sorted((r.doc_id, r.lang) for r in kept) == [(1, None), (4, None)]
+
+
 def test_an_empty_table_passes_all_stages(spark):
     assert [df.count() for df in stages(spark, spark.createDataFrame([], DOCUMENTS))] == [0] * 5
 

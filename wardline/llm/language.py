@@ -237,6 +237,10 @@ def runs(text: str, numbers: list[int]) -> Iterator[str]:
             first = i + 1
 
 
+def has_letter(text: Column) -> Column:
+    return text.rlike(r"\p{L}")
+
+
 def predict(docs: DataFrame, model: Model, *, prediction: str = "lang_pred",
             score: str = "score", keep_text: bool = False) -> DataFrame:
     """The columns of ``docs``, the text only if asked for, with the prediction and its score.
@@ -250,7 +254,7 @@ def predict(docs: DataFrame, model: Model, *, prediction: str = "lang_pred",
     keep = [c for c in docs.columns if c not in dropped]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     lowered = fresh(keep, "_text")
-    text = F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")).alias(lowered)
+    text = F.when(has_letter(F.col("text")), F.lower("text")).alias(lowered)
     ready = docs.select(*keep, text)
     fields = [ready.schema[c] for c in keep]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
