@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardline.functions.lookups import lookup_join
 from wardline.llm import language, line_dedup, mixing, near_duplicates, sentencepiece_codec
 from wardline.llm.common import fresh
 from wardline.llm.queries import TOKENIZER
@@ -39,16 +40,43 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays, once.
 
-    Documents without an id can't be told apart and stay.
+    Different texts under one id are documents of their own, equal ones are one. Documents without an id can't be told
+    apart and stay.
     """
-    first = near_duplicates.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL")
-    named = docs.filter("doc_id IS NOT NULL").join(
-        first.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType)).distinct(), "doc_id", "left_semi")
-    # rows that repeat an id: the smallest text stays; a shuffle by id has been made already
-    rest = [c for c in docs.columns if c != "doc_id"]
-    once = named.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("_row"))
-    return once.select(*[F.col(c) if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns]
-                       ).unionByName(docs.filter("doc_id IS NULL"))
+    key = fresh(docs.columns, "_key")
+    named, others = _with_keys(docs.filter("doc_id IS NOT NULL"), key)
+    found = near_duplicates.near_duplicates(named.select(F.col(key).alias("doc_id"), "text"))
+    if others is None:
+        first = found.filter("kept").select(F.col("doc_id").alias(key)).distinct()
+    else:
+        known = lookup_join(found.select(F.col("doc_id").alias(key), "component_id").distinct(),
+                            others.select(key, "_id"), [key], spread_by=key)
+        first = known.groupBy("component_id").agg(F.min(F.struct(
+            F.coalesce("_id", key).alias("id"), F.col(key).alias("key"))).alias("_first")).select(
+            F.col("_first.key").alias(key))
+    # equal rows: one stays; a shuffle by the key has been made already
+    rest = ["text", *[c for c in docs.columns if c != "text"]]
+    once = named.join(first, key, "left_semi").groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+    return once.select(*[F.col(f"_row.{c}").alias(c) for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def _with_keys(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with a number for each id and text, and the numbers (with ``_id``) that are not the id, if any.
+
+    Of the texts under one id one has the id as its number; the others have numbers above all ids.
+    """
+    number = F.col("doc_id").cast("bigint")
+    texts = docs.select(number.alias("_id"), F.xxhash64("text").alias("_hash"))
+    several = texts.groupBy("_id").agg(F.min("_hash").alias("_low"), F.max("_hash").alias("_high")).filter("_low < _high")
+    others = texts.distinct().join(several, "_id").filter("_hash > _low").select("_id", "_hash")
+    others = written(others, "repeated-ids")
+    if others.isEmpty():
+        return docs.withColumn(key, number), None
+    above = texts.agg(F.max("_id")).first()[0] + 1
+    others = written(others.withColumn(key, F.monotonically_increasing_id() + F.lit(above)), "repeated-ids")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), number.alias("_id"), F.xxhash64("text").alias("_hash"))
+    found = lookup_join(rows, others, ["_id", "_hash"], spread_by="_hash")
+    return found.select("_row.*", F.coalesce(key, "_id").alias(key)), others
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

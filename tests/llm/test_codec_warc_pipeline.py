@@ -184,6 +184,16 @@ def test_documents_stay_if_no_language_was_learned(spark):
     assert sorted((r.doc_id, r.lang) for r in kept) == [(1, None), (4, None)]
 
 
+def test_different_texts_under_one_id_are_documents_of_their_own(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in ("first", "second", "third"))
+    rows = [(7, one), (7, two), (7, two), (7, three), (8, two + " more"), (6, three + " end"), (9, "alone in this table")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "l", 1) for i, t in rows], DOCUMENTS)
+    kept = corpus_pipeline.remove_near_duplicates(spark, docs.repartition(3), "/nowhere")
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(
+        [(7, one), (7, two), (6, three + " end"), (9, "alone in this table")])
+
+
 def test_an_empty_table_passes_all_stages(spark):
     assert [df.count() for df in stages(spark, spark.createDataFrame([], DOCUMENTS))] == [0] * 5
 
