@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 import pytest
-
+from pyspark.sql import functions as F
 
 from wardline.llm import line_dedup, near_duplicates
 from wardline.llm.components import components
@@ -86,6 +86,24 @@ def test_a_large_group_in_small_blocks(spark, monkeypatch):
     assert out == plain_components(rows)
 
 
+def test_an_empty_round_does_not_end_the_search(spark, monkeypatch):
+    """Where the best partners were tried before, the others are still confirmed."""
+    pair = spark.createDataFrame([(2, 3)], "a long, b long")
+    rounds = []
+
+    def open_pairs(members, classes, roots, tried, partners):
+        rounds.append(partners)
+        return pair.limit(0) if partners else pair
+
+    monkeypatch.setattr(near_duplicates, "open_pairs", open_pairs)
+    monkeypatch.setattr(near_duplicates, "estimated", lambda pairs, classes: pairs.withColumn("estimate", F.lit(0.7)))
+    monkeypatch.setattr(near_duplicates, "confirmed", lambda pairs, texts: pairs.filter("a = 2"))
+    members = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "rep long, centre long")
+    roots = near_duplicates.linked(members, None, None)
+    assert rounds == list(near_duplicates.PARTNERS)
+    assert sorted(map(tuple, roots.select("node", "root").collect())) == [(2, 2), (3, 2)]
+
+
 def test_odd_documents(spark):
     long = " ".join(words(random.Random(1), 30_000))
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one two"), (5, "ONE  two"), (6, long), (7, long), (8, "x" * 100_000),

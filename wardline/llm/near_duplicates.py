@@ -216,8 +216,8 @@ def linked(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
     roots = written(components(written(confirmed(tried, texts), "links")), "roots")
     for partners in PARTNERS:
         pairs = written(open_pairs(members, classes, roots, tried, partners), "pairs")
-        if pairs.isEmpty():
-            break
+        if pairs.isEmpty():  # a round with limited partners may offer tried pairs alone
+            continue
         tried = tried.unionByName(pairs)
         links = written(confirmed(pairs, texts), "links")
         if not links.isEmpty():
