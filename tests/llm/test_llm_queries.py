@@ -19,6 +19,7 @@ CONTRACTS = {
     "op8_warc": [("page_id", "bigint"), ("payload_bytes", "bigint"), ("payload_digest", "string"),
                  ("record_type", "string"), ("refers_to", "bigint")],
     "op9_exact_search": [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")],
+    "op13_quality": [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")],
     "op10_language": [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double")],
 }
 
@@ -30,7 +31,7 @@ def con():
 
 def test_one_query_for_each_operator_and_the_pipeline():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert numbers == [*range(1, 11), 13] and set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", list(ORACLE_SQL))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact_search, language, line_dedup, mixing, near_duplicates, near_search, scoring, sentencepiece_codec, sharding, warc
+from wardline.llm import exact_search, language, line_dedup, mixing, near_duplicates, near_search, quality, scoring, sentencepiece_codec, sharding, warc
 from wardline.session import scratch_path
 from wardline.sources.tables import read_parquet
 
@@ -86,3 +86,8 @@ def op10_language(spark, folder):
 @query
 def op4_near_duplicates(spark, folder):
     return near_duplicates.near_duplicates(read_parquet(spark, folder, "documents"))
+
+
+@query
+def op13_quality(spark, folder):
+    return quality.score_corpus(read_parquet(spark, folder, "documents"), read_parquet(spark, folder, "labels"))
