@@ -34,6 +34,11 @@ def fresh(columns: Iterable[str], name: str) -> str:
     return name
 
 
+def quoted(column: str) -> Column:
+    """A column by its whole name, whatever characters that holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 

@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wardline.llm.common import crc_remainder, fresh, mix, slices, span_hashes, text_bytes
+from wardline.llm.common import crc_remainder, mix, quoted, slices, span_hashes, text_bytes
 from wardline.session import written
 
 BITS = 18
@@ -155,8 +156,9 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Data
     key = F.xxhash64("doc_id")
     present = written(known.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("key", key), "labelled")
     total = present.count()
-    if total > max_rows:  # a little more than needed by a bound of the key, so that one task sorts few rows
-        bound = -(1 << 63) + int((1 << 64) * min(1.0, 1.1 * max_rows / total))
+    if total > max_rows:  # first by a bound of the key that more than enough rows pass, so that one task sorts few
+        enough = max_rows + 10 * math.isqrt(max_rows) + 10
+        bound = -(1 << 63) + int((1 << 64) * min(1.0, enough / total))
         present = present.filter(F.col("key") < min(bound, (1 << 63) - 1)).orderBy("key").limit(max_rows)
     taken = ids.join(F.broadcast(present), "doc_id").groupBy("doc_id").agg(
         F.min_by(F.struct("key", "target", "text"), F.xxhash64("text")).alias("row"))
@@ -232,25 +234,25 @@ def score(docs: DataFrame, model: Model, *, score: str = "score", predicted: str
     """
     keep = [c for c in docs.columns if c not in (score, predicted, "text")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    name = fresh(keep, "_text")
-    quoted = ["`" + c.replace("`", "``") + "`" for c in keep]
-    ready = docs.select(*quoted, F.col("text").alias(name))
-    kinds = [f.dataType.simpleString() for f in ready.schema.fields[:-1]]
-    schema = ", ".join([f"{q} {t}" for q, t in zip(quoted, kinds)] + [f"`{score}` double", f"`{predicted}` int"])
+    # columns go by their place, as names may hold anything
+    ready = docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(keep)], "text")
+    names = [*ready.columns[:-1], "score", "predicted"]
+    schema = T.StructType([*ready.schema.fields[:-1], T.StructField("score", T.DoubleType()),
+                           T.StructField("predicted", T.IntegerType())])
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         bits = int(len(model.weights)).bit_length() - 1
-        for batch, places, ptr in _batches(batches, name, bits):
+        for batch, places, ptr in _batches(batches, "text", bits):
             sizes, sums = np.diff(ptr), np.zeros(batch.num_rows)
             if len(places):
                 sums[sizes > 0] = np.add.reduceat(model.weights[places], ptr[:-1][sizes > 0])
             values = model.scores(sums, sizes)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(values), pa.array((values >= threshold).astype(np.int32))],
-                names=[*keep, score, predicted])
+                names=names)
 
-    return ready.mapInArrow(rate, schema)
+    return ready.mapInArrow(rate, schema).toDF(*keep, score, predicted)
 
 
 def held_out(doc_id: Column) -> Column:
