@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact_search, language, line_dedup, mixing, near_duplicates, near_search, quality, scoring, sentencepiece_codec, sharding, warc
+from wardline.llm import exact_search, language, line_dedup, mixing, near_duplicates, near_search, quality, scoring, sentencepiece_codec, sharding, token_alignment, warc
 from wardline.session import scratch_path
 from wardline.sources.tables import read_parquet
 
 TOKENIZER = os.environ.get("WARDLINE_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
+BYTE_TOKENIZER = os.environ.get("WARDLINE_BYTE_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,3 +92,8 @@ def op4_near_duplicates(spark, folder):
 @query
 def op13_quality(spark, folder):
     return quality.score_corpus(read_parquet(spark, folder, "documents"), read_parquet(spark, folder, "labels"))
+
+
+@query
+def op11_token_alignment(spark, folder):
+    return token_alignment.alignments(read_parquet(spark, folder, "documents"), BYTE_TOKENIZER, TOKENIZER)
