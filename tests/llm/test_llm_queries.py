@@ -21,6 +21,7 @@ CONTRACTS = {
     "op9_exact_search": [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")],
     "op11_token_alignment": [("doc_id", "bigint"), ("n_a", "bigint"), ("n_b", "bigint"), ("n_groups", "bigint"), ("n_links", "bigint"),
                              ("n_best", "bigint"), ("count_sum", "bigint"), ("groups_sha256", "string")],
+    "op12_lexical_search": [("item_id", "bigint"), ("rank", "int"), ("doc_id", "bigint"), ("score", "bigint")],
     "op13_quality": [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")],
     "op10_language": [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double")],
 }
@@ -33,7 +34,7 @@ def con():
 
 def test_one_query_for_each_operator_and_the_pipeline():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == [*range(1, 12), 13] and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert numbers == list(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", list(ORACLE_SQL))

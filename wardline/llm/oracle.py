@@ -121,3 +121,30 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
        coalesce(k.n_removed, 0)::BIGINT AS n_removed
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
+
+ORACLE_SQL["op12_lexical_search"] = r"""
+WITH found AS (
+  SELECT doc_id, row_number() OVER () AS row_no, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+docs AS (SELECT doc_id, row_no, w, len(w)::BIGINT AS n FROM found WHERE len(w) > 0),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM docs),
+postings AS (
+  SELECT row_no, term, count(*)::BIGINT AS tf FROM (SELECT row_no, unnest(w) AS term FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * c.docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM postings, corpus c GROUP BY term, c.docs),
+items AS (
+  SELECT item_id, item_no, term, count(*)::BIGINT AS times FROM (
+    SELECT item_id, row_number() OVER () AS item_no, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+scores AS (
+  SELECT i.item_id, i.item_no, d.doc_id, d.row_no, sum(i.times * w.weight * (
+    (1000000000 * p.tf) // (1000 * p.tf + 12 * (100 - 25 + (25 * d.n * c.docs) // c.total))))::BIGINT AS score
+  FROM items i JOIN weights w USING (term) JOIN postings p USING (term) JOIN docs d USING (row_no), corpus c
+  GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST, row_no)::INT AS rank
+  FROM scores WHERE score > 0) WHERE rank <= 20
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact_search, language, line_dedup, mixing, near_duplicates, near_search, quality, scoring, sentencepiece_codec, sharding, token_alignment, warc
+from wardline.llm import exact_search, language, lexical_search, line_dedup, mixing, near_duplicates, near_search, quality, scoring, sentencepiece_codec, sharding, token_alignment, warc
 from wardline.session import scratch_path
 from wardline.sources.tables import read_parquet
 
@@ -97,3 +97,8 @@ def op13_quality(spark, folder):
 @query
 def op11_token_alignment(spark, folder):
     return token_alignment.alignments(read_parquet(spark, folder, "documents"), BYTE_TOKENIZER, TOKENIZER)
+
+
+@query
+def op12_lexical_search(spark, folder):
+    return lexical_search.search(read_parquet(spark, folder, "documents"), read_parquet(spark, folder, "benchmark"))
