@@ -45,20 +45,22 @@ def line_findings(lines: Column) -> Column:
     return F.flatten(F.transform(lines, of_line)).cast(f"array<{FINDING}>")
 
 
+def line_marker(line: Column, index: Column) -> Column:
+    """What a line says about routes."""
+    return F.struct(
+        index.alias("at"), line.alias("line"),
+        F.contains(line, F.lit(reg.ROUTE_MARKER)).alias("route"),
+        F.rlike(line, F.lit(_AUTH)).alias("auth"),
+        F.startswith(lstrip(line), F.lit(reg.FUNCTION_MARKER)).alias("function"))
+
+
 def open_route_findings(lines: Column) -> Column:
     """Routes whose decorator block reaches the function without an auth decorator.
 
     Only lines that carry a marker matter. Walking them backwards, ``covered`` tells
     whether the walk forward from here meets an auth decorator before a function.
     """
-    def marker(line: Column, index: Column) -> Column:
-        return F.struct(
-            index.alias("at"), line.alias("line"),
-            F.contains(line, F.lit(reg.ROUTE_MARKER)).alias("route"),
-            F.rlike(line, F.lit(_AUTH)).alias("auth"),
-            F.startswith(lstrip(line), F.lit(reg.FUNCTION_MARKER)).alias("function"))
-
-    marked = F.filter(F.transform(lines, marker),
+    marked = F.filter(F.transform(lines, line_marker),
                       lambda m: m["route"] | m["auth"] | m["function"])
     rule, severity, message = reg.OPEN_ROUTE_RULE
 

@@ -549,8 +549,10 @@ _HITS = "\nUNION ALL ".join(f"""SELECT path, 0 AS part, n, {k} AS nth, {text(rul
   line, {text(msg)} AS message FROM lines WHERE regexp_matches(line, {regex(p, i)})"""
                               for k, (rule, sev, p, i, _, msg) in enumerate(reg.SCAN_RULES))
 _AUTH = " OR ".join(f"contains(line, {text(m)})" for m in reg.AUTH_MARKERS)
-_SCAN = rf"""
-WITH files AS (SELECT path, string_split(content, chr(10)) AS l FROM {view('source')}),
+def scan_of(files: str) -> str:
+    """Common table expressions from ``files`` (path, content) to the findings and their sums."""
+    return rf"""
+WITH files AS (SELECT path, string_split(content, chr(10)) AS l FROM {files}),
 numbered AS (SELECT path, unnest(l) AS line, generate_subscripts(l, 1) AS n, len(l) AS total FROM files),
 lines AS (SELECT path, line, n FROM numbered WHERE NOT (n = total AND line = '')),
 flagged AS (SELECT *, contains(line, '@app.route(') AS is_route,
@@ -569,9 +571,14 @@ sums AS (SELECT f.path, count(*) FILTER (severity = 'high') AS high,
   count(severity) AS total FROM files f LEFT JOIN found h ON f.path = h.path GROUP BY f.path)"""
 
 
-def scanned(where: str) -> str:
-    return f"""{_SCAN}
-SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY part, line, nth) - 1 AS INTEGER) AS ordinal,
+_SCAN = scan_of(view("source"))
+_PARTS = f"""(SELECT seq // 200 AS path, string_agg(content, chr(10) ORDER BY seq) || chr(10) AS content
+  FROM {view('source')} GROUP BY ALL)"""
+
+
+def scanned(where: str, scan: str = _SCAN, name: str = "path") -> str:
+    return f"""{scan}
+SELECT path AS {name}, CAST(row_number() OVER (PARTITION BY path ORDER BY part, line, nth) - 1 AS INTEGER) AS ordinal,
   rule, severity, line, snippet, message FROM found WHERE {where}"""
 
 
@@ -582,6 +589,8 @@ add("scn_4_file_summaries", f"{_SCAN} SELECT * FROM sums")
 add("scn_5_gate", f"{_SCAN} SELECT path, high = 0 AS passed FROM sums")
 add("scn_5_corpus_gate", f"""{_SCAN}
 SELECT count(*) AS files, count(*) FILTER (high > 0) AS failed, bool_and(high = 0) AS passed FROM sums""")
+add("scn_3_line_scan", scanned("true", scan_of(_PARTS), "part"))
+add("scn_4_line_summaries", f"{scan_of(_PARTS)} SELECT path AS part, * EXCLUDE (path) FROM sums")
 add("src_4_read_source_files", f"""{_SCAN}
 SELECT rule, severity, count(*) AS findings FROM found WHERE part = 0 GROUP BY ALL""")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from wardline import registries as reg
 from wardline.functions import text
 from wardline.operators import (access, consent, findings, governance, identity, incidents,
-                                outputs, posture, registers, release, remediation, response,
+                                line_scans, outputs, posture, registers, release, remediation, response,
                                 scans, web)
 from wardline.plans import views as v
 from wardline.session import scratch_path
@@ -665,6 +665,35 @@ def scn_5_corpus_gate(spark, folder):
     return scans.corpus_gate(_files(spark, folder))
 
 
+def _large_files(spark, folder):
+    """The corpus in files of 200 texts, each text ending its last line."""
+    path = scratch_path(spark, "large-files")
+    corpus = v.load(spark, folder, "source").select(
+        "seq", "content", F.call_function("div", F.col("seq"), F.lit(200)).alias("part"))
+    (corpus.repartition("part").sortWithinPartitions("part", "seq").select("part", "content")
+     .write.partitionBy("part").text(path))
+    return f"{path}/*"
+
+
+def _by_part(rows):
+    part = F.regexp_extract("path", r"/part=(\d+)/[^/]+$", 1).cast("bigint")
+    return rows.select(part.alias("part"), *[c for c in rows.columns if c != "path"])
+
+
+@query
+def scn_3_line_scan(spark, folder):
+    """Writes the corpus as large text files and scans them by lines, in as many splits as Spark makes."""
+    lines = tables.read_source_lines(spark, _large_files(spark, folder))
+    return _by_part(line_scans.finding_rows(lines))
+
+
+@query
+def scn_4_line_summaries(spark, folder):
+    path = _large_files(spark, folder)
+    found = line_scans.finding_rows(tables.read_source_lines(spark, path))
+    return _by_part(line_scans.summaries(found, tables.list_source_files(spark, path)))
+
+
 # --- http responses --------------------------------------------------------------------------------------------------------------------
 def _http(spark, folder):
     return v.http_of(v.load(spark, folder, "http"))

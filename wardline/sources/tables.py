@@ -71,6 +71,25 @@ def read_source_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")))
 
 
+def read_source_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """One row per line of text files of any size: path, block, at, line.
+
+    A file is read in as many splits as its size asks for. ``block`` is where the split begins in the file, and ``at``
+    grows by one from line to line inside a split, so ``path``, ``block`` and ``at`` order the lines
+    of a file; see ``line_scans`` for line numbers. Lines end at line feeds and carriage returns. ``at`` holds for one run of
+    the plan: whoever needs it twice writes it down.
+    """
+    return spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+
+
+def list_source_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """path and size of files; their content is not read. Spark's readers, this one too, pass over empty files."""
+    return (spark.read.format("binaryFile").load(paths)
+            .select(F.col("path"), F.col("length").alias("size")))
+
+
 def write_records(df: DataFrame, path: str, *, fmt: str = "json", mode: str = "errorifexists",
                   **options: object) -> int:
     """Write and return the number of records, counted while they are written."""
