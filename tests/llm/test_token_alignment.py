@@ -99,7 +99,7 @@ def test_equal_hashes_of_windows_do_no_harm(monkeypatch):
     tokenizers = ta.ByteLevel(BYTE_TOKENIZER), ta.Pieces(TOKENIZER)
     windows = ta.Windows(tokenizers)
     texts = [tuple(t.encode(x) for t in tokenizers) for x in ("red green red", "green blue")]
-    numbers = [n.tolist() for n in windows.of(texts)]
+    numbers = [n.tolist() for n, _ in windows.of(texts)]
     assert numbers[0][0] == numbers[0][2] != numbers[0][1] == numbers[1][0]
 
 

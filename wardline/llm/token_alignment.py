@@ -3,7 +3,7 @@
 Tokenizer A is byte-level BPE over a space and the text, tokenizer B SentencePiece BPE over the text, which puts the
 space in front itself. After a text is encoded whole, every place where both have a token that begins with a space
 is an anchor, once the bytes before it are known to be the same; anchors cut the two id sequences into windows. What a window's tokens
-have in common depends on its ids alone, so a task aligns each pair of id tuples once and remembers it.
+have in common depends on its ids alone, so each pair of id tuples is aligned once in a block and remembered.
 
 A block is the unit of work: about eight megabytes of texts, encoded and aligned in slices. It holds its different windows and pairs
 once, and of each document only how often it has which window. The corpus-wide counts are sums of the blocks'
@@ -34,7 +34,6 @@ PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+
 SPACE = "▁"
 BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
-REMEMBERED = 200_000  # words, and windows, that a task remembers
 ID_BITS = 24
 
 BLOCK = ("block long, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
@@ -80,9 +79,7 @@ class ByteLevel:
 
 
 class Pieces:
-    """A SentencePiece model that puts a space in front. Words are encoded once, where no piece spans two of them."""
-
-    _words = re.compile(" +[^ ]*")
+    """A SentencePiece model that puts a space in front."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -91,21 +88,9 @@ class Pieces:
         names = [self._model.id_to_piece(i) for i in range(self._model.vocab_size())]
         self.bytes = [bytes([int(n[3:5], 16)]) if self._model.is_byte(i) else n.replace(SPACE, " ").encode("utf-8")
                       for i, n in enumerate(names)]
-        plain = self._model.decode(self._model.encode(" Å  x ")) == " Å  x "
-        self._by_word = plain and not any(SPACE in n.lstrip(SPACE) or " " in n for n in names)
-        self._alone = {" ": [self._model.piece_to_id(SPACE)]}  # the library adds no space to an empty word
-        self._seen: dict[str, list[int]] = dict(self._alone)
 
     def encode(self, text: str) -> list[int]:
-        if not self._by_word or SPACE in text:
-            return self._model.encode(text, num_threads=1)
-        words = self._words.findall(" " + text)
-        if len(self._seen) > REMEMBERED:
-            self._seen = dict(self._alone)
-        new = list(set(words) - self._seen.keys())
-        if new:
-            self._seen.update(zip(new, self._model.encode([w[1:] for w in new], num_threads=1)))
-        return list(chain.from_iterable(map(self._seen.__getitem__, words)))
+        return self._model.encode(text, num_threads=1)
 
 
 @lru_cache(maxsize=2)
@@ -114,107 +99,164 @@ def _tokenizers(a: str, b: str) -> tuple[ByteLevel, Pieces]:
 
 
 # --- windows ----------------------------------------------------------------------------------
-@dataclass(frozen=True)
-class Aligned:
-    """What two id tuples over the same bytes have in common."""
-
-    pairs: tuple[int, ...]  # distinct, a << ID_BITS | b
-    times: tuple[int, ...]
-    groups: int
-    links: int
-    text: str
-
-
-def align(a: tuple[int, ...], b: tuple[int, ...], a_bytes: list[bytes], b_bytes: list[bytes]) -> Aligned:
-    """Groups end where tokens of both end; a link is a pair of tokens with a byte in common."""
-    found: dict[int, int] = {}
-    groups, i, j, first_a, first_b = [], 0, 0, 0, 0
-    end_a, end_b = len(a_bytes[a[0]]), len(b_bytes[b[0]])
-    while True:
-        pair = a[i] << ID_BITS | b[j]
-        found[pair] = found.get(pair, 0) + 1
-        step_a, step_b = end_a <= end_b, end_b <= end_a
-        i, j = i + step_a, j + step_b
-        if step_a and step_b:
-            groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-            first_a, first_b = i, j
-            if i == len(a):
-                return Aligned(tuple(found), tuple(found.values()), len(groups), sum(found.values()), ";".join(groups))
-        if step_a:
-            end_a += len(a_bytes[a[i]])
-        if step_b:
-            end_b += len(b_bytes[b[j]])
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length says, in a row."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+
+
+@dataclass
+class Sequences:
+    """Pairs of id sequences over the same bytes, one after the other: ids of both sides, and where each pair's begin."""
+
+    ids: tuple[np.ndarray, np.ndarray]
+    ptr: tuple[np.ndarray, np.ndarray]
+
+    @classmethod
+    def none(cls) -> Sequences:
+        return cls((np.empty(0, np.int64),) * 2, (np.zeros(1, np.int64),) * 2)
+
+    def take(self, which: np.ndarray) -> Sequences:
+        lengths = [np.diff(p)[which] for p in self.ptr]
+        return Sequences(tuple(i[_spread(p[which], n)] for i, p, n in zip(self.ids, self.ptr, lengths)),
+                         tuple(np.concatenate([[0], np.cumsum(n)]) for n in lengths))
+
+    def joined(self, other: Sequences) -> Sequences:
+        return Sequences(tuple(map(np.concatenate, zip(self.ids, other.ids))),
+                         tuple(np.concatenate([p, p[-1] + q[1:]]) for p, q in zip(self.ptr, other.ptr)))
+
+    def same(self, other: Sequences) -> np.ndarray:
+        """Whether each pair equals that of ``other`` in the same place."""
+        out = np.ones(len(self.ptr[0]) - 1, dtype=bool)
+        for i, p, j, q in zip(self.ids, self.ptr, other.ids, other.ptr):
+            out &= np.diff(p) == np.diff(q)
+        at = np.flatnonzero(out)
+        left, right = self.take(at), other.take(at)
+        for i, p, j in zip(left.ids, left.ptr, right.ids):
+            if len(at):
+                out[at] &= np.logical_and.reduceat(i == j, p[:-1])
+        return out
+
+    def hashes(self) -> np.ndarray:
+        out = np.zeros(len(self.ptr[0]) - 1, dtype=np.uint64)
+        for side, (i, p) in enumerate(zip(self.ids, self.ptr)):
+            place = np.arange(len(i)) - np.repeat(p[:-1], np.diff(p))
+            marked = (i * 2 + side).astype(np.uint64) + (place.astype(np.uint64) << np.uint64(32))
+            out += np.add.reduceat(mix(marked), p[:-1])
+        return out
+
+    def key(self, which: int) -> tuple[tuple[int, ...], ...]:
+        return tuple(tuple(i[p[which]:p[which + 1]].tolist()) for i, p in zip(self.ids, self.ptr))
 
 
 class Windows:
-    """The windows of one block, numbered as they are met; alignments are remembered for the whole task."""
+    """The windows of one block, numbered as they are met, with the pairs that each links.
 
-    remembered: dict[tuple, Aligned] = {}
+    Known windows are found by a hash of their ids and compared with the ids themselves; windows that share a
+    hash with another are kept apart by their id tuples.
+    """
 
     def __init__(self, tokenizers: tuple[ByteLevel, Pieces]):
-        self._bytes = [t.bytes for t in tokenizers]
-        self._sizes = [np.array([len(x) for x in t]) for t in self._bytes]
-        self._spaced = [np.array([x[:1] == b" " for x in t]) for t in self._bytes]
-        self._numbers: dict[tuple, int] = {}
-        self.aligned: list[Aligned] = []
-
-    def number(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> int:
-        number = self._numbers.get(key)
-        if number is None:
-            known = self.remembered.get(key)
-            if known is None:
-                if len(self.remembered) > REMEMBERED:
-                    self.remembered.clear()
-                known = self.remembered[key] = align(*key, *self._bytes)
-            number = self._numbers[key] = len(self.aligned)
-            self.aligned.append(known)
-        return number
-
-    def of(self, texts: list[tuple[list[int], list[int]]]) -> list[np.ndarray]:
-        """The numbers of the windows of each text, in order; the two sequences of a text have the same bytes."""
+        tables = [t.bytes for t in tokenizers]
+        self._sizes = [np.array([len(x) for x in t]) for t in tables]
+        self._spaced = [np.array([x[:1] == b" " for x in t]) for t in tables]
+        self._known = Sequences.none()
+        self._hashes, self._numbers = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self._odd: dict[tuple, int] = {}
+        self.pairs, self.times = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ptr = np.zeros(1, np.int64)
+
+    def of(self, texts: list[tuple[list[int], list[int]]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text, its two sequences having the same bytes, the numbers of its windows and its ``written`` groups."""
         if not texts:
             return []
-        ids, starts, spaced = [], [], []
-        for side in (0, 1):
-            joined = np.fromiter(chain.from_iterable(t[side] for t in texts), np.int64)
-            sizes = self._sizes[side][joined]
-            ids.append(joined)
-            starts.append(np.cumsum(sizes) - sizes)
-            spaced.append(self._spaced[side][joined])
-        total = int(starts[0][-1] + self._sizes[0][ids[0][-1]])
-        anchor = np.zeros(total + 1, dtype=np.int8)  # places where a token with a space begins, of A and then of both
-        anchor[starts[0][spaced[0]]] = 1
-        anchor[starts[1][spaced[1]]] += 2
-        opens = [np.flatnonzero(anchor[s] == 3) for s in starts]
-        first = np.cumsum([0, *[len(t[0]) for t in texts]])
-        numbers = self._numbered(ids, opens)
-        return np.split(numbers, np.searchsorted(opens[0], first[1:-1]))
-
-    def _numbered(self, ids: list[np.ndarray], opens: list[np.ndarray]) -> np.ndarray:
-        """Window numbers: equal windows are found by a hash, which is checked, and looked up once by their ids."""
-        count = len(opens[0])
-        hashes = np.zeros(count, dtype=np.uint64)
-        ends = [np.append(o[1:], len(x)) for o, x in zip(opens, ids)]
-        for side in (0, 1):
-            lengths = ends[side] - opens[side]
-            place = np.arange(len(ids[side])) - np.repeat(opens[side], lengths)
-            marked = (ids[side] * 2 + side).astype(np.uint64) + (place.astype(np.uint64) << np.uint64(32))
-            hashes += np.add.reduceat(mix(marked), opens[side])
-        _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
+        ids = tuple(np.fromiter(chain.from_iterable(t[side] for t in texts), np.int64) for side in (0, 1))
+        sizes = [s[i] for s, i in zip(self._sizes, ids)]
+        starts = [np.cumsum(n) - n for n in sizes]
+        begun = np.zeros(int(sizes[0].sum()), dtype=np.int8)  # 1, 2: a token of A, of B begins; 4, 8: with a space
         for side in (0, 1):
-            lengths = ends[side] - opens[side]
-            if (lengths != lengths[one][which]).any():
-                one, which = np.arange(count), np.arange(count)
-                break
-            place = np.arange(len(ids[side])) - np.repeat(opens[side], lengths)
-            if (ids[side] != ids[side][np.repeat(opens[side][one][which], lengths) + place]).any():
-                one, which = np.arange(count), np.arange(count)  # equal hashes of different windows
-                break
-        bounds = [(o[one].tolist(), e[one].tolist()) for o, e in zip(opens, ends)]
-        lists = [x.tolist() for x in ids]
-        numbers = [self.number((tuple(lists[0][a:b]), tuple(lists[1][c:d])))
-                   for a, b, c, d in zip(*bounds[0], *bounds[1])]
-        return np.array(numbers, dtype=np.int64)[which]
+            begun[starts[side]] += ((1 + 4 * self._spaced[side][ids[side]]) << side).astype(np.int8)
+        begins = [begun[s] for s in starts]
+        anchors = [np.flatnonzero(x == 15) for x in begins]
+        windows = Sequences(ids, tuple(np.append(a, len(i)) for a, i in zip(anchors, ids)))
+        codes = _group_codes(ids, [(x & 3) == 3 for x in begins], len(self._sizes[0]))
+        first = [np.cumsum([len(t[side]) for t in texts])[:-1] for side in (0, 1)]
+        return list(zip(np.split(self._numbered(windows), np.searchsorted(anchors[0], first[0])),
+                        np.split(codes, first[0] + first[1])))
+
+    def _numbered(self, windows: Sequences) -> np.ndarray:
+        hashes, one, which = np.unique(windows.hashes(), return_index=True, return_inverse=True)
+        distinct = windows.take(one)
+        alike = windows.same(distinct.take(which))  # all, but for windows that share a hash
+        at = np.searchsorted(self._hashes, hashes)
+        met = at < len(self._hashes)
+        met[met] = self._hashes[at[met]] == hashes[met]
+        new = np.flatnonzero(~met)
+        numbers = np.empty(len(one), dtype=np.int64)
+        numbers[new] = self._add(distinct.take(new))
+        numbers[met] = self._numbers[at[met]]
+        wrong = np.zeros(len(one), dtype=bool)
+        wrong[met] = ~distinct.take(np.flatnonzero(met)).same(self._known.take(numbers[met]))
+        order = np.argsort(self._hashes_with(hashes[new]), kind="stable")
+        self._hashes = self._hashes_with(hashes[new])[order]
+        self._numbers = np.concatenate([self._numbers, numbers[new]])[order]
+        out = numbers[which]
+        for place in np.flatnonzero(~alike | wrong[which]).tolist():
+            key = windows.key(place)
+            if key not in self._odd:
+                self._odd[key] = int(self._add(windows.take(np.array([place])))[0])
+            out[place] = self._odd[key]
+        return out
+
+    def _hashes_with(self, more: np.ndarray) -> np.ndarray:
+        return np.concatenate([self._hashes, more])
+
+    def _add(self, windows: Sequences) -> np.ndarray:
+        """Aligns windows that are not known yet; their numbers."""
+        count = len(self.ptr) - 1
+        window, pair, times = align(windows, self._sizes)
+        found = np.bincount(window, minlength=len(windows.ptr[0]) - 1)
+        self.pairs, self.times = np.concatenate([self.pairs, pair]), np.concatenate([self.times, times])
+        self.ptr = np.concatenate([self.ptr, self.ptr[-1] + np.cumsum(found)])
+        self._known = self._known.joined(windows)
+        return np.arange(count, len(self.ptr) - 1)
+
+
+def align(windows: Sequences, sizes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """window, pair (a << ID_BITS | b) and number of links, once for each pair of ids that a window links.
+
+    Two tokens overlap for a stretch of bytes that begins where the later of them begins, and at each place where a token
+    begins one pair's stretch does.
+    """
+    starts = [np.cumsum(n) - n for n in (s[i] for s, i in zip(sizes, windows.ids))]
+    total = int(starts[0][-1] + sizes[0][windows.ids[0][-1]]) if len(starts[0]) else 0
+    begun = np.zeros((2, total), dtype=bool)
+    for side in (0, 1):
+        begun[side, starts[side]] = True
+    places = np.flatnonzero(begun[0] | begun[1])
+    a, b = (np.cumsum(begun[side])[places] - 1 for side in (0, 1))
+    window = np.repeat(np.arange(len(windows.ptr[0]) - 1), np.diff(windows.ptr[0]))[a]
+    pair = (windows.ids[0][a] << ID_BITS) | windows.ids[1][b]
+    order = np.lexsort((pair, window))
+    window, pair = window[order], pair[order]
+    first = np.flatnonzero(np.append(True, (window[1:] != window[:-1]) | (pair[1:] != pair[:-1]))[:len(pair)])
+    return window[first], pair[first], np.diff(np.append(first, len(pair)))
+
+
+def _group_codes(ids: tuple[np.ndarray, np.ndarray], opens: list[np.ndarray], first_b: int) -> np.ndarray:
+    """The ids in the order in which groups are written, as places in ``_signs``."""
+    heads = [np.flatnonzero(o) for o in opens]
+    group = [np.cumsum(o) - 1 for o in opens]
+    lasts = [np.append(o[1:], True) for o in opens]
+    out = np.empty(len(ids[0]) + len(ids[1]), dtype=np.int64)
+    out[np.arange(len(ids[0])) + heads[1][group[0]]] = 2 * ids[0] + lasts[0]
+    out[np.arange(len(ids[1])) + np.append(heads[0], len(ids[0]))[group[1] + 1]] = 2 * (ids[1] + first_b) + lasts[1]
+    return out
+
+
+@lru_cache(maxsize=2)
+def _signs(count_a: int, count_b: int) -> list[str]:
+    """How an id is written: A's ids before another of the group and before B's, then B's and before the next group."""
+    return [f"{i}{end}" for count, ends in ((count_a, ",|"), (count_b, ",;")) for i in range(count) for end in ends]
 
 
 # --- blocks -----------------------------------------------------------------------------------
@@ -238,42 +280,37 @@ def cuts(text: str, limit: int) -> Iterator[str]:
 class Block:
     """The documents of a block so far."""
 
+    tokenizers: tuple[ByteLevel, Pieces]
     windows: Windows
-    rows: list[tuple] = field(default_factory=list)  # doc_id, n_a, n_b, groups_sha256
+    rows: list[tuple] = field(default_factory=list)  # doc_id, n_a, n_b, n_groups, n_links, groups_sha256
     content: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # windows of each document, and how often
 
-    def add(self, doc_id: int | None, n_a: int, n_b: int, parts: list[np.ndarray]) -> None:
-        """A document by its numbers of tokens and the windows of its pieces; without pieces it has no tokens."""
-        digest = hashlib.sha256()
-        for i, part in enumerate(parts):
-            text = ";".join([self.windows.aligned[w].text for w in part.tolist()])
-            digest.update((";" * bool(i) + text).encode())
-        self.rows.append((doc_id, n_a, n_b, digest.hexdigest() if parts else ""))
-        self.content.append(np.unique(np.concatenate(parts or [np.empty(0, np.int64)]), return_counts=True))
+    def add(self, doc_id: int | None, n_a: int, n_b: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """A document by its numbers of tokens and its pieces (see ``Windows.of``); without pieces it has no tokens."""
+        signs = _signs(*(len(t.bytes) for t in self.tokenizers))
+        digest, groups = hashlib.sha256(), 0
+        for i, (_, codes) in enumerate(parts):
+            groups += int((codes[codes < 2 * len(self.tokenizers[0].bytes)] & 1).sum())
+            text = "".join([signs[c] for c in codes.tolist()])
+            digest.update(text[:-1 if i + 1 == len(parts) else None].encode())
+        # a link begins where a token of either side does; where both do, a group begins
+        self.rows.append((doc_id, n_a, n_b, groups, n_a + n_b - groups, digest.hexdigest() if parts else ""))
+        numbers = [n for n, _ in parts] or [np.empty(0, np.int64)]
+        self.content.append(np.unique(np.concatenate(numbers), return_counts=True))
 
     def batch(self, number: int) -> pa.RecordBatch:
         """One row; each distinct pair of the block with the number of its documents that hold it."""
-        aligned = self.windows.aligned
-
-        def joined(values, size: int = -1) -> np.ndarray:
-            return np.fromiter(chain.from_iterable(values), np.int64, size)
-
-        counts = np.array([len(w.pairs) for w in aligned], dtype=np.int64)
-        window_ptr = np.concatenate([[0], np.cumsum(counts)])
-        pair, pair_no = np.unique(joined(w.pairs for w in aligned), return_inverse=True)
+        w = self.windows
+        pair, pair_no = np.unique(w.pairs, return_inverse=True)
         documents = np.zeros(len(pair), dtype=np.int64)
         for window, _ in self.content:
-            lengths = counts[window]
-            at = np.repeat(window_ptr[window] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-            documents[np.unique(pair_no[at])] += 1
+            documents[np.unique(pair_no[_spread(w.ptr[window], w.ptr[window + 1] - w.ptr[window])])] += 1
         window, times = (np.concatenate([np.empty(0, np.int64), *[c[k] for c in self.content]]) for k in (0, 1))
-        doc_ptr = np.cumsum([0, *[len(w) for w, _ in self.content]])
-        groups, links = (_sums(np.array(n, dtype=np.int64)[window] * times, doc_ptr)
-                         for n in ([w.groups for w in aligned], [w.links for w in aligned]))
-        ids, n_a, n_b, digests = zip(*self.rows)
+        doc_ptr = np.cumsum([0, *[len(c) for c, _ in self.content]])
+        ids, n_a, n_b, groups, links, digests = zip(*self.rows)
         columns = [(ids, "long"), (n_a, "long"), (n_b, "long"), (groups, "long"), (links, "long"), (digests, "string"),
-                   (doc_ptr, "int"), (window, "int"), (times, "int"), (window_ptr, "int"), (pair_no, "int"),
-                   (joined(w.times for w in aligned), "int"), (pair, "long"), (documents, "int")]
+                   (doc_ptr, "int"), (window, "int"), (times, "int"), (w.ptr, "int"), (pair_no, "int"), (w.times, "int"),
+                   (pair, "long"), (documents, "int")]
         kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
         lists = [pa.ListArray.from_arrays([0, len(v)], pa.array(v, pa.int64() if k == "int" else kinds[k]).cast(kinds[k]))
                  for v, k in columns]
@@ -316,7 +353,7 @@ def blocks(docs: DataFrame, a: str, b: str, *, block_bytes: int = BLOCK_BYTES, s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers = _tokenizers(a, b)
         number = TaskContext.get().partitionId() << 32
-        block, waiting, size, held = Block(Windows(tokenizers)), [], 0, 0
+        block, waiting, size, held = Block(tokenizers, Windows(tokenizers)), [], 0, 0
         for batch in batches:
             for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = value.as_py()
@@ -334,7 +371,7 @@ def blocks(docs: DataFrame, a: str, b: str, *, block_bytes: int = BLOCK_BYTES, s
                     flush(block, waiting)
                     yield block.batch(number)
                     number += 1
-                    block, size, held = Block(Windows(tokenizers)), 0, 0
+                    block, size, held = Block(tokenizers, Windows(tokenizers)), 0, 0
         flush(block, waiting)
         if block.rows:
             yield block.batch(number)
