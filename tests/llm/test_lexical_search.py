@@ -59,28 +59,32 @@ def test_small_and_empty_tables(spark, docs, items):
     assert sorted(map(tuple, got.collect()), key=str) == plain(docs, items)
 
 
-def shard_of(seed=3, count=600, size=80):
+def shard_of(monkeypatch, seed=3, count=600, size=80, apart=1):
+    """Vectors over every ``apart``-th of ``size`` terms, in small blocks that have summaries."""
+    monkeypatch.setattr(ls, "SUMMARY_DOCS", 4)
+    monkeypatch.setattr(ls, "LIST_BLOCKS", 32)
     r = np.random.default_rng(seed)
-    vectors = [np.sort(r.choice(size, r.integers(1, 20), replace=False, p=(p := 1 / np.arange(1, size + 1)) / p.sum())) for _ in range(count)]
+    vectors = [apart * np.sort(r.choice(size, r.integers(1, 20), replace=False, p=(p := 1 / np.arange(1, size + 1)) / p.sum())) for _ in range(count)]
     ptr = np.cumsum([0, *map(len, vectors)])
     found = np.concatenate(vectors)
     return ls.Shard.build(9, np.arange(count), np.arange(count) + 100, ptr, found, r.integers(1, 10**6, len(found)),
-                          r.integers(1, 5000, size), 16), r
+                          r.integers(1, 5000, size * apart), 16), r
 
 
-def test_bounds_hold_and_some_blocks_are_skipped():
-    shard, r = shard_of()
+@pytest.mark.parametrize("apart", [1, 700])
+def test_bounds_hold_and_some_blocks_are_skipped(monkeypatch, apart):
+    shard, r = shard_of(monkeypatch, apart=apart)
     skipped = 0
     for _ in range(20):
-        asked = np.zeros(80, dtype=np.int64)
-        asked[r.choice(80, 6, replace=False)] = r.integers(1, 5000, 6)
+        asked = np.zeros(80 * apart, dtype=np.int64)
+        asked[apart * r.choice(80, 6, replace=False)] = r.integers(1, 5000, 6)
         everything = shard.scores(np.arange(600), asked)
         best = ls.Best(5, 1)
         shard.search(np.flatnonzero(asked), asked, best)
         expected = sorted(everything[everything > 0], reverse=True)[:5]
         assert best.rows[:, 0].tolist() == expected
         for a, b in zip(shard.list_ptr, shard.list_ptr[1:]):
-            bounds = shard.bounds(a, b, asked)
+            bounds = shard.bounds(a, b, shard.stepped(asked))
             for block in range(a, b):
                 members = shard.members[shard.block_ptr[block]:shard.block_ptr[block + 1]]
                 assert everything[members].max() <= bounds[block - a]
@@ -88,15 +92,15 @@ def test_bounds_hold_and_some_blocks_are_skipped():
     assert skipped
 
 
-def test_each_list_holds_its_documents_once_and_survives_storage():
-    shard, _ = shard_of()
+def test_each_list_holds_its_documents_once_and_survives_storage(monkeypatch):
+    shard, _ = shard_of(monkeypatch)
     again = ls.Shard.read(shard.batch().to_pylist()[0])
     docs = np.repeat(np.arange(600), np.diff(shard.ptr))
     for number, term in enumerate(again.listed):
         blocks = range(again.list_ptr[number], again.list_ptr[number + 1])
         members = np.concatenate([again.members[again.block_ptr[b]:again.block_ptr[b + 1]] for b in blocks])
         assert sorted(members) == sorted(docs[shard.terms == term])
-    assert all(np.array_equal(getattr(again, n), getattr(shard, n)) for n in shard.ARRAYS) and len(again.summary_most)
+    assert all(np.array_equal(getattr(again, n), getattr(shard, n)) for n in shard.ARRAYS) and len(again.gaps)
 
 
 def test_a_long_text_is_counted_whole(monkeypatch):

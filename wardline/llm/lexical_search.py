@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 from wardline.session import written
 
 TOP = 20
-SHARD_DOCS = 4_096
-BLOCK_DOCS = 64
-LIST_BLOCKS = 32  # of a long posting list in a shard; its blocks grow with it
-SUMMARY_DOCS = 8  # a smaller block has no summary: its documents are scored
+SHARD_DOCS = 2_048
+BLOCK_DOCS = 256
+LIST_BLOCKS = 8  # of a long posting list in a shard; its blocks grow with it
+SUMMARY_DOCS = 32  # a smaller block has no summary: its documents are scored
 QUERY_TERMS = 1 << 16  # terms of the queries that are asked together, repeats included
 SKETCH = 32
 SEEDS = 64  # one shard of so many is searched first, for scores to beat
-UNIT = 16  # summaries hold impacts in such units, rounded up
+STEPS = 255  # summaries hold a term's impacts in so many steps up to its largest in the shard, rounded up
 PIECE = 1 << 20
 
 _TERM = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -233,13 +233,12 @@ class Shard:
     block_ptr: np.ndarray  # of the documents of a block
     members: np.ndarray
     summary_ptr: np.ndarray  # of a block's summary; none if it is empty
-    summary_terms: np.ndarray
-    summary_most: np.ndarray
+    gaps: np.ndarray  # from a term of the summary to the next; the first from -1
+    largest: np.ndarray  # in steps
 
     ARRAYS = {"keys": np.int64, "ids": np.int64, "ptr": np.int32, "terms": np.int32, "impacts": np.int32,
               "listed": np.int32, "most": np.int32, "list_ptr": np.int32, "block_ptr": np.int32, "members": np.int32,
-              "summary_ptr": np.int32, "summary_terms": np.uint32, "summary_most": np.uint16}
-    FEW = 1 << 16  # terms of so few queries are stored in half the bytes
+              "summary_ptr": np.int32, "gaps": np.uint8, "largest": np.uint8}
 
     @classmethod
     def build(cls, number: int, keys: np.ndarray, ids: np.ndarray, ptr: np.ndarray, terms: np.ndarray,
@@ -251,29 +250,28 @@ class Shard:
         docs = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))[order]
         listed, first = np.unique(terms[order], return_index=True)
         most = np.maximum.reduceat(impacts[order], first)
+        steps = np.ones(size, dtype=np.int64)
+        steps[listed] = step_sizes(most)
         lists, block_sizes, members, summaries = [0], [], [], []
         for list_docs in np.split(docs, first[1:]):
             blocks = clustered(list_docs, sketch, block_docs)
             lists.append(lists[-1] + len(blocks))
             block_sizes += [len(b) for b in blocks]
             members += blocks
-            summaries += summarised(blocks, ptr, terms, impacts, size)
+            summaries += summarised(blocks, ptr, terms, impacts, steps)
         none = np.empty(0, np.int64)
         return cls(number, keys, ids, ptr, terms, impacts, listed, most, np.array(lists), np.cumsum([0, *block_sizes]),
                    np.concatenate(members or [none]), np.cumsum([0, *[len(t) for t, _ in summaries]]),
                    *(np.concatenate([s[k] for s in summaries] or [none]) for k in (0, 1)))
 
     def batch(self) -> pa.RecordBatch:
-        kinds = self.ARRAYS | ({"summary_terms": np.uint16} if self.listed.max(initial=0) < self.FEW else {})
-        values = [np.ascontiguousarray(getattr(self, n), dtype=t).tobytes() for n, t in kinds.items()]
+        values = [np.ascontiguousarray(getattr(self, n), dtype=t).tobytes() for n, t in self.ARRAYS.items()]
         return pa.RecordBatch.from_arrays([pa.array([self.number], pa.int64()), *[pa.array([v], pa.binary()) for v in values]],
                                           names=["shard", *self.ARRAYS])
 
     @classmethod
     def read(cls, row: dict) -> Shard:
-        few = len(row["summary_terms"]) == len(row["summary_most"])
-        kinds = cls.ARRAYS | ({"summary_terms": np.uint16} if few else {})
-        return cls(row["shard"], *[np.frombuffer(row[n], dtype=t) for n, t in kinds.items()])
+        return cls(row["shard"], *[np.frombuffer(row[n], dtype=t) for n, t in cls.ARRAYS.items()])
 
     def scores(self, docs: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Exact scores; ``weights`` holds the query's weight of every term."""
@@ -282,15 +280,23 @@ class Shard:
         at = np.repeat(self.ptr[docs] - starts, lengths) + np.arange(lengths.sum())
         return np.add.reduceat(weights[self.terms[at]] * self.impacts[at], starts)
 
-    def bounds(self, a: int, b: int, weights: np.ndarray) -> np.ndarray:
+    def stepped(self, weights: np.ndarray) -> np.ndarray:
+        """What one step of a summary adds to a bound, for every term."""
+        out = weights.copy()
+        out[self.listed] *= step_sizes(self.most)
+        return out
+
+    def bounds(self, a: int, b: int, stepped: np.ndarray) -> np.ndarray:
         """Of the blocks from ``a`` to ``b``: no document of a block scores more. Without a summary there is no bound."""
         ptr = self.summary_ptr[a:b + 1]
         out = np.full(b - a, np.iinfo(np.int64).max)
         some = ptr[1:] > ptr[:-1]
         if some.any():
-            span = slice(ptr[0], ptr[-1])
-            parts = weights[self.summary_terms[span]] * self.summary_most[span].astype(np.int64)
-            out[some] = np.add.reduceat(parts, (ptr[:-1] - ptr[0])[some]) * UNIT
+            span, first = slice(ptr[0], ptr[-1]), (ptr[:-1] - ptr[0])[some]
+            gaps = self.gaps[span].astype(np.int64)
+            terms = np.cumsum(gaps) - 1
+            terms -= np.repeat(terms[first] - gaps[first] + 1, np.diff(np.append(first, len(gaps))))
+            out[some] = np.add.reduceat(stepped[terms] * self.largest[span], first)
         return out
 
     def search(self, terms: np.ndarray, weights: np.ndarray, best: Best) -> None:
@@ -302,12 +308,12 @@ class Shard:
         ceilings = weights[self.listed[at]] * self.most[at].astype(np.int64)
         order = np.argsort(-ceilings, kind="stable")
         rest = np.cumsum(ceilings[order][::-1])[::-1]  # what a list and all after it can add
-        seen = np.zeros(len(self.keys), dtype=bool)
+        seen, stepped = np.zeros(len(self.keys), dtype=bool), self.stepped(weights)
         for number, left in zip(at[order].tolist(), rest.tolist()):
             if left < best.least:
                 break  # a document in none of the lists before scores less
             a, b = self.list_ptr[number], self.list_ptr[number + 1]
-            blocks = np.flatnonzero(self.bounds(a, b, weights) >= best.least) + a
+            blocks = np.flatnonzero(self.bounds(a, b, stepped) >= best.least) + a
             if not len(blocks):
                 continue
             lengths = self.block_ptr[blocks + 1] - self.block_ptr[blocks]
@@ -331,9 +337,16 @@ def clustered(docs: np.ndarray, sketch: np.ndarray, block_docs: int) -> list[np.
     return [b[i:i + 4 * share] for b in blocks for i in range(0, len(b), 4 * share)]
 
 
-def summarised(blocks: list[np.ndarray], ptr: np.ndarray, terms: np.ndarray, impacts: np.ndarray, size: int
+def step_sizes(most: np.ndarray) -> np.ndarray:
+    return -(-most.astype(np.int64) // STEPS)
+
+
+def summarised(blocks: list[np.ndarray], ptr: np.ndarray, terms: np.ndarray, impacts: np.ndarray, steps: np.ndarray
                ) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The largest impact of every term in each block; empty for small blocks."""
+    """Of each block the gaps between its terms and each term's largest impact, in steps; empty for small blocks.
+
+    A gap takes one byte; a longer one has stops on the way, with zero as their largest.
+    """
     out = []
     for block in blocks:
         if len(block) < SUMMARY_DOCS:
@@ -341,10 +354,17 @@ def summarised(blocks: list[np.ndarray], ptr: np.ndarray, terms: np.ndarray, imp
             continue
         lengths = ptr[block + 1] - ptr[block]
         at = np.repeat(ptr[block] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        largest = np.zeros(size, dtype=np.int64)
+        largest = np.zeros(len(steps), dtype=np.int64)
         np.maximum.at(largest, terms[at], impacts[at])
         held = np.flatnonzero(largest)
-        out.append((held, -(-largest[held] // UNIT)))
+        gaps = np.diff(held, prepend=-1)
+        stops = (gaps - 1) // 255
+        place = np.arange(len(held)) + np.cumsum(stops)
+        coded = np.full(len(held) + stops.sum(), 255)
+        most = np.zeros(len(coded), dtype=np.int64)
+        coded[place] = gaps - 255 * stops
+        most[place] = -(-largest[held] // steps[held])
+        out.append((coded, most))
     return out
 
 
