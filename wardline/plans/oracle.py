@@ -704,3 +704,4 @@ SELECT seq, principal, connector FROM {view('access')} a WHERE ts >= TIMESTAMP '
   AND NOT EXISTS (SELECT 1 FROM {view('access')} h WHERE h.ts < TIMESTAMP '{v.HISTORY_BEFORE}'
     AND h.principal = a.principal AND h.connector = a.connector)
 QUALIFY row_number() OVER (PARTITION BY principal, connector ORDER BY ts, seq) = 1""")
+add("str_3_expiring_stream", ORACLE_SQL["str_3_first_seen_stream"])

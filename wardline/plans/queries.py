@@ -6,6 +6,7 @@ formatted, so two engines can be compared value by value.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ from wardline.plans import views as v
 from wardline.session import scratch_path
 from wardline.sources import tables
 from wardline.sources.tables import read_parquet
-from wardline.streaming import streams
+from wardline.streaming import expiring, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -833,3 +834,11 @@ def str_3_first_seen_stream(spark, folder):
     return streams.first_seen(spark, accesses, _history(spark, folder)).select(
         "seq", "principal", "connector")
 
+
+@query
+def str_3_expiring_stream(spark, folder):
+    """As above with a state that keeps a pair for thirty days."""
+    cut = F.lit(v.HISTORY_BEFORE).cast("timestamp_ntz")
+    events = streams.parquet_stream(spark, f"{folder}/events.parquet").filter(F.col("ts") >= cut)
+    return expiring.first_seen(spark, v.from_table(spark, "access", events), _history(spark, folder),
+                               keep=dt.timedelta(days=30)).select("seq", "principal", "connector")

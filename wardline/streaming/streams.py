@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from wardline.operators.access import PAIR, first_accesses
 from wardline.session import scratch_path
+from wardline.streaming import commits
 
 
 def parquet_stream(spark: SparkSession, path: str, *, files_per_trigger: int = 64) -> DataFrame:
@@ -48,33 +49,28 @@ def run_to_end(spark: SparkSession, stream: DataFrame,
 
 def run_to_sinks(spark: SparkSession, stream: DataFrame,
                  transform: Callable[[DataFrame], DataFrame],
-                 sinks: dict[str, Callable[[DataFrame], DataFrame]], name: str
+                 sinks: dict[str, Callable[[DataFrame], DataFrame]], name: str, *, base: str | None = None
                  ) -> dict[str, DataFrame]:
     """As ``run_to_end``, with several tables written from one computation of each micro-batch.
 
-    A batch that is repeated after a failure overwrites its own folders.
+    A batch becomes visible in all tables at once (see ``commits``). Runs that are given the same ``base`` go on
+    where the last one ended or died.
     """
-    base = scratch_path(spark, name)
-    schemas: dict[str, T.StructType] = {}
+    base = base or scratch_path(spark, name)
+    sample = transform(spark.createDataFrame([], stream.schema))
+    schemas = {sink: part(sample).schema for sink, part in sinks.items()}
+    commits.begin(spark, base, schemas)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         computed = transform(batch).persist()
         try:
-            for sink, part in sinks.items():
-                rows = part(computed)
-                schemas[sink] = rows.schema
-                rows.write.mode("overwrite").parquet(f"{base}/{sink}/batch_id={batch_id}")
+            commits.commit(batch.sparkSession, base, batch_id, {s: part(computed) for s, part in sinks.items()})
         finally:
             computed.unpersist()
 
     (stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{base}/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())
-    if not schemas:  # the stream held nothing
-        on_batch(spark.createDataFrame([], stream.schema), -1)
-    with_batch = {s: T.StructType([*k.fields, T.StructField("batch_id", T.LongType())])
-                  for s, k in schemas.items()}
-    return {s: spark.read.schema(k).parquet(f"{base}/{s}").drop("batch_id")
-            for s, k in with_batch.items()}
+    return {s: commits.read(spark, base, s, k) for s, k in schemas.items()}
 
 
 def first_seen(spark: SparkSession, accesses: DataFrame, history: DataFrame, *,
