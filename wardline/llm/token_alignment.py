@@ -5,7 +5,7 @@ space in front itself. After a text is encoded whole, every place where both hav
 is an anchor, once the bytes before it are known to be the same; anchors cut the two id sequences into windows. What a window's tokens
 have in common depends on its ids alone, so each pair of id tuples is aligned once in a block and remembered.
 
-A block is the unit of work: about eight megabytes of texts, encoded and aligned in slices. It holds its different windows and pairs
+A block is the unit of work: about four megabytes of texts, encoded and aligned in slices. It holds its different windows and pairs
 once, and of each document only how often it has which window. The corpus-wide counts are sums of the blocks'
 counts; each block then gets back the counts of its own pairs, not one row for each document and pair.
 """
@@ -32,7 +32,7 @@ from wardline.session import written
 # fixed values: how the byte-level tokenizer cuts a text before it merges
 PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPACE = "▁"
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
 ID_BITS = 24
 
