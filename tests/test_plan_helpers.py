@@ -77,12 +77,50 @@ def test_lookup_is_the_same_however_hot_the_keys(spark, skewed):
         assert joined.columns == lookup_join(skewed, table, ["key"]).columns
 
 
-def test_hot_rows_are_spread(spark, skewed, monkeypatch):
+def test_hot_rows_are_spread_where_the_session_does_not(spark, skewed, monkeypatch):
     table = skewed.select("key").distinct().withColumn("value", F.lit(1))
-    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 3)
-    joined = lookup_join(skewed, table, ["key"], rows_per_task=100)
-    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
-    assert joined.count() == 3000
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 0)
+    assert "_salt" not in lookup_join(skewed, table, ["key"])._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        joined = lookup_join(skewed, table, ["key"], rows_per_task=100)
+        assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
+        assert joined.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_lookups_give_the_same_with_and_without_a_filter(spark, skewed, monkeypatch, limit):
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", limit)
+    rows = skewed.withColumn("key", F.when(F.col("seq") % 11 > 0, F.col("key"))).withColumn("part", F.col("seq") % 2)
+    table = (rows.select("key", "part").distinct().filter("key <> 'k3' or key is null")
+             .withColumn("value", F.array(F.col("key"))).withColumn("`odd", F.lit(1)))
+    expected = rows.join(table, ["key", "part"], "left")
+    joined = lookup_join(rows, table, ["key", "part"])
+    assert joined.columns == expected.columns
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, expected.collect()))
+    assert lookup_join(rows, table.limit(0), ["key", "part"]).filter("value is null").count() == 3000
+
+
+def test_the_filter_knows_its_keys_and_few_others(spark):
+    table = spark.range(0, 30_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    known = lookups.key_filter(table, ["key"], 30_000)
+    assert known.count() == 15 and {r.n for r in known.select(F.length("_bits").alias("n")).collect()} == {4096}
+    others = spark.range(30_000, 60_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    counts = [(df := lookups.with_filter(rows, known, ["key"]))[0].filter(df[1]).count() for rows in (table, others)]
+    assert counts[0] == 30_000 and counts[1] < 600
+
+
+def test_the_table_is_computed_once_and_strangers_are_not_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 0)
+    spark.range(1000).write.parquet(str(tmp_path / "table"))
+    table = spark.read.parquet(str(tmp_path / "table")).select(F.col("id").alias("key"), F.lit(1).alias("value"))
+    rows = spark.range(100_000).withColumnRenamed("id", "key")
+    joined = lookup_join(rows, table, ["key"])
+    assert str(tmp_path / "table") not in "".join(joined.inputFiles())
+    shuffled = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert shuffled.startswith("Union") and joined.filter("value = 1").count() == 1000 and joined.count() == 100_000
 
 
 def test_the_list_of_hot_keys_is_bounded(spark, skewed, monkeypatch):
