@@ -1,10 +1,12 @@
 """What is missing or unknown must block, deny or be reported."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from wardline.functions import identity as idn
 from wardline.operators import access, consent, governance, incidents, remediation, web
 
 NIGHT = dt.datetime(2026, 6, 22, 3)
@@ -100,3 +102,36 @@ def test_incident_ids_of_a_table_are_distinct(spark):
     assert ids.distinct().count() == 100_000
     short = incidents.declared(detections.limit(1), id_digits=6).first().incident_id
     assert len(short) == len("INC-") + 6
+
+
+def test_no_token_without_a_time_and_no_check_without_a_clock(spark):
+    key = b"k"
+    hops = spark.createDataFrame([("a", "r", "i")], "actor string, role string, intent string")
+
+    def minted(when):
+        token = idn.mint(F.col("actor"), F.col("role"), F.col("intent"), F.lit("x"), when, key)
+        return hops.select(token.alias("t")).first().t
+
+    assert minted(F.lit(None).cast("bigint")) is None
+    body = F.lit(json.dumps({"actor": "a", "role": "r", "exp": None}))
+    encoded = idn.base64url(F.encode(body, "UTF-8"))
+    unexpiring = hops.select(F.concat(encoded, F.lit("."), idn.sign(encoded, key)).alias("t")).first().t
+    year_2096, none = F.lit(4_000_000_000), F.lit(None).cast("bigint")
+    for token, clock, error in ((unexpiring, year_2096, "no expiry"), (unexpiring, none, "no expiry"), (minted(F.lit(1000)), none, "no clock"),
+                                (minted(F.lit(1000)), year_2096, "expired"), (None, F.lit(1), "bad signature"),
+                                (minted(F.lit(1000)), F.lit(1001), None)):
+        df = spark.createDataFrame([(token,)], "t string")
+        got = df.select(idn.verify(F.col("t"), key, clock).alias("c")).first().c
+        assert got.error == error and (got.claims is None) == (error is not None)
+        chain = df.select(idn.verify_chain(F.array("t"), key, clock).alias("c")).first().c
+        assert chain.verified == (error is None)
+
+
+def test_work_of_an_unknown_status_is_listed_and_not_on_time(spark):
+    rows = [(1, "critical", "reopened"), (2, "critical", None), (3, "low", "remediated"), (4, "odd", "Open")]
+    df = spark.createDataFrame([(s, "x", sev, dt.date(2020, 1, 1), "me", st) for s, sev, st in rows],
+                               "seq long, id string, severity string, discovered date, owner string, status string")
+    today = dt.date(2026, 1, 1)
+    total = remediation.summary(df, today).first()
+    assert (total.open, total.closed, total.unknown_status, total.overdue, total.on_time_pct) == (0, 1, 3, 2, 0)
+    assert [r.seq for r in remediation.worklist(df, today).collect()] == [1, 2, 4]

@@ -64,12 +64,15 @@ def _ascii_json(json: Column) -> Column:
 
 def mint(actor: Column, role: Column, intent: Column, audience: Column, issued_at: Column,
          key: bytes, ttl: int = reg.TOKEN_TTL_SECONDS) -> Column:
-    """``body.signature`` for one hop; claim order and compactness are part of the format."""
+    """``body.signature`` for one hop; claim order and compactness are part of the format.
+
+    Without a time of issue there is no token: it would never expire.
+    """
     issued = issued_at.cast("bigint")
     claims = F.struct(actor.alias("actor"), role.alias("role"), intent.alias("intent"),
                       audience.alias("aud"), issued.alias("iat"), (issued + ttl).alias("exp"))
     body = base64url(F.encode(_ascii_json(F.to_json(claims, {"ignoreNullFields": "false"})), "UTF-8"))
-    return bind(body, lambda b: F.concat(b, F.lit("."), sign(b, key)))
+    return F.when(issued.isNotNull(), bind(body, lambda b: F.concat(b, F.lit("."), sign(b, key))))
 
 
 def audiences(hops: Column) -> Column:
@@ -87,7 +90,8 @@ def mint_chain(hops: Column, issued_at: Column, key: bytes,
 def verify(token: Column, key: bytes, now: Column) -> Column:
     """``struct<error, claims>``; exactly one of the two is set.
 
-    Checks run in order: two parts, signature, expiry (equal to ``now`` is valid).
+    Checks run in order: two parts, signature, expiry (equal to ``now`` is valid). A token without an expiry and
+    a check without a clock are errors, as is a missing token.
     """
     claims_type = f"struct<{','.join(f'{n}:{t}' for n, t in (c.split() for c in CLAIMS.split(', ')))}>"
     no_claims = F.lit(None).cast(claims_type)
@@ -98,9 +102,11 @@ def verify(token: Column, key: bytes, now: Column) -> Column:
             F.decode(from_base64url(parts[0]), "UTF-8"), CLAIMS)).otherwise(no_claims)
 
         def outcome(c: Column) -> Column:
-            error = (F.when(F.size(parts) != 2, F.lit("malformed token"))
-                     .when(c.isNull(), F.lit("bad signature"))
-                     .when(c["exp"] < now, F.lit("expired")))
+            error = (F.when(F.size(parts) != 2, F.lit(reg.MALFORMED_TOKEN))
+                     .when(c.isNull(), F.lit(reg.BAD_SIGNATURE))
+                     .when(c["exp"].isNull(), F.lit(reg.NO_EXPIRY))
+                     .when(now.isNull(), F.lit(reg.NO_CLOCK))
+                     .when(c["exp"] < now, F.lit(reg.EXPIRED_TOKEN)))
             return F.struct(error.alias("error"),
                             F.when(error.isNull(), c).otherwise(no_claims).alias("claims"))
 

@@ -22,9 +22,19 @@ def is_open() -> Column:
     return F.col("status").isin(*reg.OPEN_STATES)
 
 
+def has_unknown_status() -> Column:
+    """Neither open nor closed: a status that is missing or that nobody knows."""
+    return ~F.coalesce(F.col("status").isin(*reg.OPEN_STATES, *reg.CLOSED_STATES), F.lit(False))
+
+
+def is_unsettled() -> Column:
+    """Open, or not known to be closed."""
+    return F.coalesce(is_open(), F.lit(False)) | has_unknown_status()
+
+
 def is_overdue(today: dt.date) -> Column:
-    """Open work past its deadline; the due day itself is still on time."""
-    return F.coalesce(is_open() & (F.lit(today) > sla_due()), F.lit(False))
+    """Unsettled work past its deadline; the due day itself is still on time."""
+    return F.coalesce(is_unsettled() & (F.lit(today) > sla_due()), F.lit(False))
 
 
 def days_left(today: dt.date) -> Column:
@@ -37,9 +47,10 @@ def tracked(findings: DataFrame, today: dt.date) -> DataFrame:
 
 
 def summary(findings: DataFrame, today: dt.date) -> DataFrame:
-    """One row of totals from one pass; 100 percent on time when nothing is open.
+    """One row of totals from one pass; 100 percent on time when nothing is unsettled.
 
-    Open work of a severity without a deadline is ``unrated_open`` and not on time.
+    Open work of a severity without a deadline is ``unrated_open`` and not on time. Work of an unknown status is
+    ``unknown_status``, which is not on time either.
     """
     def count(condition: Column, name: str) -> Column:
         return F.count_if(condition).alias(name)
@@ -49,23 +60,24 @@ def summary(findings: DataFrame, today: dt.date) -> DataFrame:
         *[count(F.col("severity") == s, s) for s in reg.SLA_DAYS],
         count(is_open(), "open"), count(is_overdue(today), "overdue"),
         count(is_open() & sla_due().isNull(), "unrated_open"),
-        count(F.col("status").isin(*reg.CLOSED_STATES), "closed"),
+        count(F.col("status").isin(*reg.CLOSED_STATES), "closed"), count(has_unknown_status(), "unknown_status"),
+        count(is_open() & ~is_overdue(today) & sla_due().isNotNull(), "_on_time"),
         count(is_open() & (F.col("owner") == reg.UNASSIGNED), "unassigned_open"))
     # the product comes before the quotient here: 100 * part / total
     on_time = F.bround(F.try_divide(
-        (F.lit(100) * (F.col("open") - F.col("overdue") - F.col("unrated_open"))).cast("double"),
-        F.col("open").cast("double")), 0).cast("int")
-    return counts.withColumn("on_time_pct", F.coalesce(on_time, F.lit(100)))
+        (F.lit(100) * F.col("_on_time")).cast("double"),
+        (F.col("open") + F.col("unknown_status")).cast("double")), 0).cast("int")
+    return counts.withColumn("on_time_pct", F.coalesce(on_time, F.lit(100))).drop("_on_time")
 
 
 def worklist(findings: DataFrame, today: dt.date) -> DataFrame:
-    """Open findings sorted: overdue first, then fewest days left, input order kept."""
-    return tracked(findings.filter(is_open()), today).orderBy(
+    """Unsettled findings sorted: overdue first, then fewest days left, input order kept."""
+    return tracked(findings.filter(is_unsettled()), today).orderBy(
         F.col("overdue").desc(), F.col("days_left"), F.col("seq"))
 
 
 def ranked_worklist(findings: DataFrame, today: dt.date) -> DataFrame:
     leading = [("late", (~is_overdue(today)).cast("int")), ("left", days_left(today))]
-    ranked = with_position(findings.filter(is_open()), leading)
+    ranked = with_position(findings.filter(is_unsettled()), leading)
     return tracked(ranked, today)
 

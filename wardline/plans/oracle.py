@@ -62,7 +62,7 @@ add("src_2_load_contacts", f"""
 SELECT contact_id, seq, name, timezone, consent FROM {view('contact_updates')}
 QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY seq DESC) = 1""")
 add("src_3_load_pentest", f"""
-SELECT seq, id, severity, CAST(discovered AS VARCHAR) AS discovered, owner, status
+SELECT seq, id, severity, CAST(discovered AS VARCHAR) AS discovered, owner, coalesce(status, 'open') AS status
 FROM {view('pentest')}""")
 add("src_5_write_records", f"SELECT count(*) AS stored, count(*) AS written FROM {view('findings')}")
 
@@ -220,10 +220,13 @@ add("gov_18_vault_table", f"""{_DET}
 SELECT DISTINCT {_TOK} AS token, snippet AS value FROM det WHERE data_class <> 'secret'""")
 
 # the fixture says which chains are broken and how: verdicts follow without any signature
-_CHAIN_REASON = f"""CASE seq % 5 WHEN 0 THEN {text(reg.CHAIN_VERIFIED)}
-  WHEN 1 THEN {fill(reg.CHAIN_FAILED, error="'bad signature'")} WHEN 2 THEN {fill(reg.CHAIN_FAILED, error="'expired'")}
-  WHEN 3 THEN {fill(reg.CHAIN_FAILED, error="'malformed token'")} ELSE {text(reg.CHAIN_UNSIGNED)} END"""
-_CHAIN_OK = "CASE seq % 5 WHEN 0 THEN true WHEN 4 THEN NULL ELSE false END"
+_NO_CLOCK, _NO_EXPIRY = "seq % 43 = 5", "seq % 47 = 6"
+_CHAIN_ERROR = f"""CASE WHEN {_NO_CLOCK} THEN 'no clock' WHEN {_NO_EXPIRY} THEN 'no expiry'
+  ELSE CASE seq % 5 WHEN 1 THEN 'bad signature' WHEN 2 THEN 'expired' WHEN 3 THEN 'malformed token' END END"""
+_CHAIN_REASON = f"""CASE WHEN seq % 5 = 4 THEN {text(reg.CHAIN_UNSIGNED)}
+  WHEN ({_CHAIN_ERROR}) IS NULL THEN {text(reg.CHAIN_VERIFIED)}
+  ELSE {fill(reg.CHAIN_FAILED, error=f"({_CHAIN_ERROR})")} END"""
+_CHAIN_OK = f"CASE WHEN seq % 5 <> 4 THEN ({_CHAIN_ERROR}) IS NULL END"
 _VERDICT = f"""{_DECIDED},
 verdict AS (SELECT r.request_id, r.seq,
   f.unread OR coalesce(f.has_secret, false) OR coalesce(NOT ({_CHAIN_OK}), false) AS blocked,
@@ -281,19 +284,20 @@ SELECT c_custkey AS seq, hop_no, role || '-' || c_custkey AS actor, role, 'inten
 
 
 _FRESH = minted(str(v.NOW))
-add("idn_1_signatures", f"SELECT seq, hop_no, sig AS signature FROM {_FRESH}")
-add("idn_2_minted_tokens", f"SELECT seq, hop_no, body || '.' || sig AS token FROM {_FRESH}")
+add("idn_1_signatures", f"SELECT seq, hop_no, CASE WHEN seq % 41 <> 3 THEN sig END AS signature FROM {_FRESH}")
+add("idn_2_minted_tokens", f"SELECT seq, hop_no, CASE WHEN seq % 41 <> 3 THEN body || '.' || sig END AS token FROM {_FRESH}")
 add("idn_3_verified_tokens", f"""
 SELECT seq, hop_no, error, CASE WHEN error IS NULL THEN actor END AS actor,
   CASE WHEN error IS NULL THEN role END AS role, CASE WHEN error IS NULL THEN intent END AS intent,
   CASE WHEN error IS NULL THEN aud END AS aud, CASE WHEN error IS NULL THEN CAST(iat AS BIGINT) END AS iat,
   CASE WHEN error IS NULL THEN CAST(iat + {reg.TOKEN_TTL_SECONDS} AS BIGINT) END AS exp
-FROM (SELECT *, CASE WHEN hop_no = 1 THEN CASE seq % 5 WHEN 1 THEN 'bad signature' WHEN 2 THEN 'expired'
-  WHEN 3 THEN 'malformed token' END END AS error FROM {_FRESH} WHERE seq % 5 <> 4)""")
+FROM (SELECT *, CASE WHEN hop_no = 1 AND {_NO_EXPIRY} THEN 'no expiry' WHEN hop_no = 1 AND seq % 5 = 1 THEN 'bad signature'
+  WHEN hop_no = 1 AND seq % 5 = 3 THEN 'malformed token' WHEN {_NO_CLOCK} THEN 'no clock'
+  WHEN hop_no = 1 AND seq % 5 = 2 THEN 'expired' END AS error FROM {_FRESH} WHERE seq % 5 <> 4)""")
 add("idn_4_audiences", f"SELECT seq, hop_no, aud AS audience FROM {_FRESH}")
 add("idn_5_verified_chains", f"""
 SELECT seq, verified, CASE WHEN verified THEN {_ACTORS.replace(' > ', ', ')}
-  WHEN verified IS NULL THEN '' ELSE '{v.CHAIN_ROLES[0]}:' || {_ROLES[0]} END AS chain, reason
+  WHEN verified IS NULL OR {_NO_CLOCK} THEN '' ELSE '{v.CHAIN_ROLES[0]}:' || {_ROLES[0]} END AS chain, reason
 FROM (SELECT c_custkey AS seq, {_CHAIN_OK.replace('seq', 'c_custkey')} AS verified,
   {_CHAIN_REASON.replace('seq', 'c_custkey')} AS reason FROM customer)""")
 
@@ -419,24 +423,27 @@ SELECT count(*) AS findings, count(*) FILTER ({_PATH}) AS attack_paths,
 
 # --- remediation -----------------------------------------------------------------------------------------------------
 _TODAY = f"DATE '{v.PENTEST_TODAY}'"
-_TRACKED = f"""(SELECT *, status IN ('open', 'in_progress', 'retest') AS is_open,
-  coalesce(status IN ('open', 'in_progress', 'retest') AND {_TODAY} > due, false) AS overdue, due - {_TODAY} AS days_left
+_TRACKED = f"""(SELECT *, coalesce(status IN ('open', 'in_progress', 'retest'), false) AS is_open,
+  coalesce(status NOT IN ('open', 'in_progress', 'retest', 'remediated', 'accepted'), true) AS unknown,
+  coalesce(coalesce(status NOT IN ('remediated', 'accepted'), true) AND {_TODAY} > due, false) AS overdue,
+  due - {_TODAY} AS days_left
   FROM (SELECT *, discovered + {case_of('severity', reg.SLA_DAYS)} AS due FROM {view('pentest')}))"""
 add("pen_1_due_dates", f"SELECT seq, id, CAST(due AS VARCHAR) AS sla_due FROM {_TRACKED}")
 add("pen_2_overdue", f"SELECT seq, id, overdue FROM {_TRACKED}")
 add("pen_3_days_left", f"SELECT seq, id, CAST(days_left AS INTEGER) AS days_left FROM {_TRACKED}")
 add("pen_4_summary", f"""
-SELECT total, critical, high, medium, low, open, overdue, unrated_open, closed, unassigned_open,
-  CASE WHEN open = 0 THEN 100
-    ELSE CAST(round_even(100.0 * (open - overdue - unrated_open) / open, 0) AS INTEGER) END AS on_time_pct
+SELECT total, critical, high, medium, low, open, overdue, unrated_open, closed, unknown_status, unassigned_open,
+  CASE WHEN open + unknown_status = 0 THEN 100
+    ELSE CAST(round_even(100.0 * in_time / (open + unknown_status), 0) AS INTEGER) END AS on_time_pct
 FROM (SELECT count(*) AS total, count(*) FILTER (severity = 'critical') AS critical,
   count(*) FILTER (severity = 'high') AS high, count(*) FILTER (severity = 'medium') AS medium,
   count(*) FILTER (severity = 'low') AS low, count(*) FILTER (is_open) AS open,
   count(*) FILTER (overdue) AS overdue, count(*) FILTER (is_open AND due IS NULL) AS unrated_open, count(*) FILTER (status IN ('remediated', 'accepted')) AS closed,
+  count(*) FILTER (unknown) AS unknown_status, count(*) FILTER (is_open AND due >= {_TODAY}) AS in_time,
   count(*) FILTER (is_open AND owner = 'unassigned') AS unassigned_open FROM {_TRACKED})""")
 add("pen_5_worklist", f"""
 SELECT row_number() OVER (ORDER BY overdue DESC, days_left NULLS FIRST, seq) AS position, seq, id, overdue,
-  CAST(days_left AS INTEGER) AS days_left FROM {_TRACKED} WHERE is_open""")
+  CAST(days_left AS INTEGER) AS days_left FROM {_TRACKED} WHERE is_open OR unknown""")
 
 # --- release gate --------------------------------------------------------------------------------------------------------
 _GATE = f"""

@@ -226,7 +226,7 @@ def gov_18_vault_table(spark, folder):
 
 
 def governed(spark, folder):
-    return governance.govern(v.requests(spark, folder), v.SIGNING_KEY, now())
+    return governance.govern(v.requests(spark, folder), v.SIGNING_KEY, v.clock())
 
 
 @query
@@ -252,7 +252,7 @@ def gov_21_spend(spark, folder):
 
 # --- signed identity ---------------------------------------------------------------------------------
 def _minted(spark, folder):
-    return identity.with_minted_chain(v.chains(spark, folder), now(), v.SIGNING_KEY)
+    return identity.with_minted_chain(v.chains(spark, folder), v.issue_time(), v.SIGNING_KEY)
 
 
 @query
@@ -268,7 +268,7 @@ def idn_2_minted_tokens(spark, folder):
 @query
 def idn_3_verified_tokens(spark, folder):
     tokens = identity.token_rows(v.with_tokens(v.chains(spark, folder)))
-    return identity.verified_token_rows(tokens, v.SIGNING_KEY, now())
+    return identity.verified_token_rows(tokens, v.SIGNING_KEY, v.clock())
 
 
 @query
@@ -279,7 +279,7 @@ def idn_4_audiences(spark, folder):
 @query
 def idn_5_verified_chains(spark, folder):
     chains = v.with_tokens(v.chains(spark, folder))
-    return identity.verified_chain_rows(chains, v.SIGNING_KEY, now()).select(
+    return identity.verified_chain_rows(chains, v.SIGNING_KEY, v.clock()).select(
         "seq", "verified", joined("chain"), "reason")
 
 
@@ -791,7 +791,7 @@ def _guardrail_stream(spark, folder):
     def transform(batch: DataFrame) -> DataFrame:
         requests = v.with_tokens(v.with_chain(
             v.from_table(batch.sparkSession, "requests", batch)))
-        return governance.govern(requests, v.SIGNING_KEY, now())
+        return governance.govern(requests, v.SIGNING_KEY, v.clock())
 
     return streams.run_to_sinks(
         spark, streams.parquet_stream(spark, f"{folder}/documents.parquet"), transform, {

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
@@ -117,8 +117,9 @@ SELECT o_orderkey AS seq, 'PT-' || CAST(o_orderkey AS STRING) AS id,
       ELSE 'low' END END AS severity,
   CAST(o_orderdate AS DATE) AS discovered,
   CASE WHEN o_custkey % 3 = 0 THEN 'unassigned' ELSE 'team-' || CAST(o_custkey % 3 AS STRING) END AS owner,
-  CASE o_custkey % 5 WHEN 0 THEN 'open' WHEN 1 THEN 'in_progress' WHEN 2 THEN 'retest'
-    WHEN 3 THEN 'remediated' ELSE 'accepted' END AS status
+  CASE WHEN o_orderkey % 43 = 8 THEN NULL WHEN o_orderkey % 47 = 9 THEN 'reopened'
+    ELSE CASE o_custkey % 5 WHEN 0 THEN 'open' WHEN 1 THEN 'in_progress' WHEN 2 THEN 'retest'
+      WHEN 3 THEN 'remediated' ELSE 'accepted' END END AS status
 FROM {orders}""",
     "access": """
 SELECT event_id AS seq, ts,
@@ -231,7 +232,7 @@ def with_chain(df: DataFrame) -> DataFrame:
 
 
 def with_tokens(df: DataFrame) -> DataFrame:
-    """Signed chains; by seq, hop 1 is tampered with, expired or malformed, or all is unsigned."""
+    """Signed chains; by seq, hop 1 is tampered with, expired, malformed or never expires, or all is unsigned."""
     case = F.col("seq") % 5
     fresh = idn.mint_chain(F.col("actor_chain"), F.lit(NOW), SIGNING_KEY)
     stale = idn.mint_chain(F.col("actor_chain"), F.lit(NOW - EXPIRED_BY), SIGNING_KEY)
@@ -240,16 +241,32 @@ def with_tokens(df: DataFrame) -> DataFrame:
     def corrupt(pair, i):
         token = pair["f"]
         tampered = F.concat(F.substring(token, F.lit(1), F.length(token) - 3), F.lit("zzz"))
-        bad = (F.when(case == 1, tampered).when(case == 2, pair["s"])
+        bad = (F.when(F.col("seq") % 47 == 6, unexpiring(F.col("actor_chain")[1])).when(case == 1, tampered).when(case == 2, pair["s"])
                .when(case == 3, F.replace(token, F.lit("."), F.lit(""))).otherwise(token))
         return F.when(i == 1, bad).otherwise(token)
 
-    plain = F.transform(fresh, lambda t: t)
     tokens = (F.when(case == 4, F.lit(None).cast("array<string>"))
-              .when(case == 0, plain).otherwise(F.transform(mixed, corrupt)))
+              .otherwise(F.transform(mixed, corrupt)))
     return df.withColumn("chain_tokens", tokens)
 
 
+def issue_time() -> Column:
+    """When chains are minted; some rows have no time."""
+    return F.when(F.col("seq") % 41 != 3, F.lit(NOW))
+
+
+def clock() -> Column:
+    """When tokens are checked; some rows have no clock."""
+    return F.when(F.col("seq") % 43 != 5, F.lit(NOW))
+
+
+def unexpiring(hop: Column) -> Column:
+    """A token that is signed but does not say when it expires."""
+    claims = F.struct(hop["actor"].alias("actor"), hop["role"].alias("role"), F.lit(NOW).alias("iat"))
+    body = idn.base64url(F.encode(F.to_json(claims), "UTF-8"))
+    return F.concat(body, F.lit("."), idn.sign(body, SIGNING_KEY))
+
+
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     return with_tokens(with_chain(load_spread(spark, folder, "requests")))
 
