@@ -22,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,9 +37,14 @@ BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
 ID_BITS = 24
 
-BLOCK = ("block long, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
-         "n_links array<bigint>, groups_sha256 array<string>, doc_ptr array<int>, window array<int>, times array<int>, "
-         "window_ptr array<int>, pair_no array<int>, occurrences array<int>, pair array<bigint>, documents array<int>")
+CHUNK = 1 << 14  # windows, or pairs, of a block that one row holds
+# a row is a document, some of its block's windows from the number ``first`` on, or some of its pairs
+DOCUMENT, WINDOWS, PAIRS = 0, 1, 2
+BLOCK = ("block long, kind int, first int, doc_id long, n_a long, n_b long, n_groups long, n_links long, "
+         "groups_sha256 string, window array<int>, times array<int>, sizes array<int>, pair_no array<int>, "
+         "occurrences array<int>, pair array<bigint>, documents array<int>")
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32()),
+          "array<bigint>": pa.list_(pa.int64())}
 OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
        "groups_sha256 string")
 
@@ -298,28 +304,47 @@ class Block:
         numbers = [n for n, _ in parts] or [np.empty(0, np.int64)]
         self.content.append(np.unique(np.concatenate(numbers), return_counts=True))
 
-    def batch(self, number: int) -> pa.RecordBatch:
-        """One row; each distinct pair of the block with the number of its documents that hold it."""
+    def batches(self, number: int) -> Iterator[pa.RecordBatch]:
+        """The documents, the windows and the distinct pairs of the block, these with the number of documents that hold them."""
         w = self.windows
         pair, pair_no = np.unique(w.pairs, return_inverse=True)
         documents = np.zeros(len(pair), dtype=np.int64)
         for window, _ in self.content:
             documents[np.unique(pair_no[_spread(w.ptr[window], w.ptr[window + 1] - w.ptr[window])])] += 1
         window, times = (np.concatenate([np.empty(0, np.int64), *[c[k] for c in self.content]]) for k in (0, 1))
-        doc_ptr = np.cumsum([0, *[len(c) for c, _ in self.content]])
         ids, n_a, n_b, groups, links, digests = zip(*self.rows)
-        columns = [(ids, "long"), (n_a, "long"), (n_b, "long"), (groups, "long"), (links, "long"), (digests, "string"),
-                   (doc_ptr, "int"), (window, "int"), (times, "int"), (w.ptr, "int"), (pair_no, "int"), (w.times, "int"),
-                   (pair, "long"), (documents, "int")]
-        kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
-        lists = [pa.ListArray.from_arrays([0, len(v)], pa.array(v, pa.int64() if k == "int" else kinds[k]).cast(kinds[k]))
-                 for v, k in columns]
-        names = [part.split(" ")[0] for part in BLOCK.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists], names=names)
+        at = np.cumsum([0, *[len(c) for c, _ in self.content]])
+        yield _batch(number, DOCUMENT, np.zeros(len(ids)), {
+            "doc_id": ids, "n_a": n_a, "n_b": n_b, "n_groups": groups, "n_links": links, "groups_sha256": digests,
+            "window": (at, window), "times": (at, times)})
+        first = np.arange(0, len(w.ptr) - 1, CHUNK)
+        at, of_pairs = np.append(first, len(w.ptr) - 1), np.append(w.ptr[first], w.ptr[-1])
+        yield _batch(number, WINDOWS, first, {"sizes": (at, np.diff(w.ptr)), "pair_no": (of_pairs, pair_no),
+                                              "occurrences": (of_pairs, w.times)})
+        first = np.arange(0, len(pair), CHUNK)
+        at = np.append(first, len(pair))
+        yield _batch(number, PAIRS, first, {"pair": (at, pair), "documents": (at, documents)})
+
+
+def _batch(number: int, kind: int, first: np.ndarray, columns: dict) -> pa.RecordBatch:
+    """Rows of one kind; a list column is given by where its rows begin and all values, others are NULL."""
+    count = len(first)
+    columns = {"block": [number] * count, "kind": [kind] * count, "first": first.astype(int).tolist()} | columns
+    arrays = {}
+    for name, kind_name in (part.split(" ") for part in BLOCK.split(", ")):
+        value, arrow = columns.get(name), _ARROW[kind_name]
+        if value is None:
+            arrays[name] = pa.nulls(count, arrow)
+        elif pa.types.is_list(arrow):
+            at, values = value
+            arrays[name] = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values).cast(arrow.value_type)).cast(arrow)
+        else:
+            arrays[name] = pa.array(list(value), arrow)
+    return pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
 
 def blocks(docs: DataFrame, a: str, b: str, *, block_bytes: int = BLOCK_BYTES, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """One row for each block of ``docs`` (doc_id, text); see ``BLOCK``.
+    """The blocks of ``docs`` (doc_id, text) as rows; see ``BLOCK``.
 
     A text that is null or empty, or that a tokenizer changes, has no tokens. A text longer than a slice is encoded and
     aligned piece by piece.
@@ -369,19 +394,20 @@ def blocks(docs: DataFrame, a: str, b: str, *, block_bytes: int = BLOCK_BYTES, s
                     held = 0
                 if size >= block_bytes or len(block.rows) >= 100_000:
                     flush(block, waiting)
-                    yield block.batch(number)
+                    yield from block.batches(number)
                     number += 1
                     block, size, held = Block(tokenizers, Windows(tokenizers)), 0, 0
         flush(block, waiting)
         if block.rows:
-            yield block.batch(number)
+            yield from block.batches(number)
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, BLOCK)
 
 
 def pair_counts(found: DataFrame) -> DataFrame:
     """pair and value of each linked pair of ids: twice its number of documents, one more if no pair of its A id has more."""
-    pairs = found.select(F.explode(F.arrays_zip("pair", "documents")).alias("p")).select("p.*")
+    pairs = found.filter(F.col("kind") == PAIRS).select(
+        F.explode(F.arrays_zip("pair", "documents")).alias("p")).select("p.*")
     counts = written(pairs.groupBy("pair").agg(F.sum("documents").alias("n")), "pair-counts")
     # as many rows as tokenizer A has ids
     best = counts.groupBy(_a_id(F.col("pair")).alias("a")).agg(F.max("n").alias("most"))
@@ -405,22 +431,26 @@ def alignments(docs: DataFrame, a: str, b: str, *, block_bytes: int = BLOCK_BYTE
     the blocks' windows.
     """
     found = written(blocks(docs, a, b, block_bytes=block_bytes, slice_bytes=slice_bytes), "aligned-blocks")
-    wanted = found.select("block", F.posexplode("pair").alias("place", "pair"))
-    values = wanted.join(pair_counts(found), "pair").select(F.col("block").alias("of"), "place", "value")
-    rows = found.drop("pair", "documents")
+    wanted = found.filter(F.col("kind") == PAIRS).select("block", "first", F.posexplode("pair").alias("place", "pair"))
+    values = wanted.join(pair_counts(found), "pair").select(
+        F.col("block").alias("of"), (F.col("first") + F.col("place")).alias("place"), "value")
+    rows = found.filter(F.col("kind") != PAIRS).drop("pair", "documents")
 
     def summed(block: pa.Table, value: pa.Table) -> pa.Table:
         value_of = np.zeros(value.num_rows, dtype=np.int64)
         value_of[value["place"].to_numpy()] = value["value"].to_numpy()
-        get = {n: block[n].combine_chunks().flatten() for n in block.column_names if n != "block"}
-        pair_no, times = get["pair_no"].to_numpy(), get["occurrences"].to_numpy().astype(np.int64)
-        window_ptr, doc_ptr = get["window_ptr"].to_numpy(), get["doc_ptr"].to_numpy()
-        each = value_of[pair_no]
-        of_window = [_sums(times * (each & 1), window_ptr), _sums(times * (each >> 1), window_ptr)]
-        window, often = get["window"].to_numpy(), get["times"].to_numpy()
-        best, total = (_sums(w[window] * often, doc_ptr) for w in of_window)
-        return pa.table([get["doc_id"], get["n_a"], get["n_b"], get["n_groups"], get["n_links"], pa.array(best),
-                         pa.array(total), get["groups_sha256"]], names=[c.split(" ")[0] for c in OUT.split(", ")])
+        windows = block.filter(pc.equal(block["kind"], WINDOWS)).sort_by("first")
+        docs = block.filter(pc.equal(block["kind"], DOCUMENT))
+        get = {n: t[n].combine_chunks().flatten().to_numpy().astype(np.int64) for t, names in (
+            (windows, ("sizes", "pair_no", "occurrences")), (docs, ("window", "times"))) for n in names}
+        ptr = np.concatenate([[0], np.cumsum(get["sizes"])])
+        doc_ptr = np.concatenate([[0], np.cumsum(pc.list_value_length(docs["times"]).to_numpy())])
+        each = value_of[get["pair_no"]]
+        of_window = [_sums(get["occurrences"] * part, ptr) for part in (each & 1, each >> 1)]
+        best, total = (_sums(w[get["window"]] * get["times"], doc_ptr) for w in of_window)
+        names = [c.split(" ")[0] for c in OUT.split(", ")]
+        own = {"n_best": pa.array(best), "count_sum": pa.array(total)}
+        return pa.table([own[n] if n in own else docs[n] for n in names], names=names)
 
     return rows.groupBy("block").cogroup(values.groupBy("of")).applyInArrow(summed, OUT)
 
