@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wardline import registries as reg
 from wardline.functions import text
+from wardline.functions.asof import as_of_join
 from wardline.functions.exprs import element_rows, empty_array, filled, lookup, string_array
 from wardline.functions.identity import verify_chain
 
@@ -72,6 +73,19 @@ def with_destination(requests: DataFrame, tools: Mapping[str, tuple] = reg.TOOLS
                                  "dpa": flag(2)})
 
 
+def with_destination_as_of(requests: DataFrame, postures: DataFrame, *, at: str = "asked_at") -> DataFrame:
+    """The posture that was valid when a request was made, from a register with versions.
+
+    ``postures`` (destination, valid_from, approved, zero_retention, dpa) may hold any number of tools and versions. A tool is
+    unapproved before its first version, and without a time of the request.
+    """
+    found = as_of_join(requests, postures.select("destination", "valid_from", "approved", "zero_retention", "dpa"),
+                       key="destination", at=at, valid_from="valid_from")
+    return found.withColumns({
+        "destination_approved": F.coalesce("approved", F.lit(False)),
+        "zero_retention": F.coalesce("zero_retention", F.lit(False)), "dpa": F.coalesce("dpa", F.lit(False))}).drop("approved")
+
+
 def _decision(action: str, data_class: Column, reason: Column) -> Column:
     return F.struct(F.lit(action).alias("action"), data_class.cast("string").alias("data_class"),
                     reason.alias("reason"))

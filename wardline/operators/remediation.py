@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
+from wardline.functions.asof import as_of_join
 from wardline.functions.exprs import lookup
 from wardline.functions.ranking import with_position
 
@@ -18,6 +19,13 @@ def sla_due(sla_days: Mapping[str, int] = reg.SLA_DAYS) -> Column:
     return F.date_add("discovered", lookup(F.col("severity"), sla_days))
 
 
+def with_due_dates_as_of(findings: DataFrame, deadlines: DataFrame) -> DataFrame:
+    """``sla_due`` by the days (severity, valid_from, days) that were in force when a finding was discovered."""
+    found = as_of_join(findings, deadlines.select("severity", "valid_from", "days"), key="severity", at="discovered",
+                       valid_from="valid_from")
+    return found.withColumn("sla_due", F.date_add("discovered", F.col("days"))).drop("days")
+
+
 def is_open() -> Column:
     return F.col("status").isin(*reg.OPEN_STATES)
 

@@ -181,6 +181,13 @@ _POSTURE = ", ".join(
     for i, name in enumerate(("destination_approved", "zero_retention", "dpa")))
 add("gov_15_destinations", f"SELECT request_id, destination, {_POSTURE} FROM {_REQ}")
 
+add("gov_15_destinations_as_of", f"""
+SELECT request_id, r.destination, coalesce(approved, false) AS destination_approved,
+  coalesce(zero_retention, false) AS zero_retention, coalesce(dpa, false) AS dpa
+FROM (SELECT *, CASE WHEN seq % 71 <> 4 THEN seq END AS asked_at FROM {_REQ}) r
+LEFT JOIN {view('postures')} p ON p.destination = r.destination AND p.valid_from <= r.asked_at
+QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY valid_from DESC NULLS LAST) = 1""")
+
 _DECIDED = f"""{_DET},
 posture AS (SELECT *, {_POSTURE} FROM req),
 facts AS (SELECT p.request_id, p.destination, destination_approved, dpa, p.prompt IS NULL AS unread,
@@ -429,6 +436,10 @@ _TRACKED = f"""(SELECT *, coalesce(status IN ('open', 'in_progress', 'retest'),
   due - {_TODAY} AS days_left
   FROM (SELECT *, discovered + {case_of('severity', reg.SLA_DAYS)} AS due FROM {view('pentest')}))"""
 add("pen_1_due_dates", f"SELECT seq, id, CAST(due AS VARCHAR) AS sla_due FROM {_TRACKED}")
+add("pen_1_due_dates_as_of", f"""
+SELECT seq, id, CAST(CAST(discovered + days AS DATE) AS VARCHAR) AS sla_due
+FROM {view('pentest')} f LEFT JOIN {view('deadlines')} d ON d.severity = f.severity AND d.valid_from <= f.discovered
+QUALIFY row_number() OVER (PARTITION BY seq ORDER BY valid_from DESC NULLS LAST) = 1""")
 add("pen_2_overdue", f"SELECT seq, id, overdue FROM {_TRACKED}")
 add("pen_3_days_left", f"SELECT seq, id, CAST(days_left AS INTEGER) AS days_left FROM {_TRACKED}")
 add("pen_4_summary", f"""
@@ -509,10 +520,15 @@ SELECT seq, principal_token, connector, action,
 # --- detection response --------------------------------------------------------------------------------------------------------
 _RULE_ROWS = ", ".join(f"({n}, {text(p)}, {text(', '.join(a))})"
                        for n, (p, a) in enumerate(reg.RESPONSE_RULES, start=1))
-_PLAN = f"""
+_RULES = f"(SELECT * FROM (VALUES {_RULE_ROWS}) AS r(rule_no, prefix, actions))"
+
+
+def plan_of(detections: str, rules: str) -> str:
+    """Common table expressions from detections and rules to ``hit`` and ``plan``."""
+    return f"""
 WITH det AS (SELECT seq, coalesce(type, '') AS type, coalesce(severity, 0.0) AS severity,
-  coalesce(resource, 'unknown') AS resource FROM {view('detections')}),
-rules AS (SELECT * FROM (VALUES {_RULE_ROWS}) AS r(rule_no, prefix, actions)),
+  coalesce(resource, 'unknown') AS resource FROM {detections}),
+rules AS {rules},
 hit AS (SELECT d.*, r.rule_no, coalesce(r.actions, '') AS actions FROM det d
   LEFT JOIN rules r ON starts_with(d.type, r.prefix)
   QUALIFY row_number() OVER (PARTITION BY d.seq ORDER BY r.rule_no) = 1),
@@ -526,10 +542,19 @@ UNION ALL SELECT seq, 1, 'alert', resource, false, {fill(reg.UNKNOWN_TYPE_REASON
     type="CASE WHEN type = '' THEN 'n/a' ELSE type END")} FROM hit WHERE rule_no IS NULL
 UNION ALL SELECT seq, 100, 'open_incident', resource, false, {text(reg.INCIDENT_ACTION_REASON)} FROM hit
 UNION ALL SELECT seq, 101, 'notify', 'security-oncall', false, {text(reg.NOTIFY_REASON)} FROM hit)"""
+
+
+_PLAN = plan_of(view("detections"), _RULES)
+_TABLE_PLAN = plan_of(
+    f"""(SELECT seq, type, severity, resource FROM {view('detections')}
+    UNION ALL SELECT seq + 1000000000, type, severity, resource FROM {view('probes')})""",
+    f"(FROM {_RULES} UNION ALL SELECT rule_no, prefix, action FROM {view('response_rules')})")
+_PLAN_ROWS = """SELECT seq, CAST(row_number() OVER (PARTITION BY seq ORDER BY nth) - 1 AS INTEGER) AS ordinal,
+  action, target, destructive, reason FROM plan"""
+add("rsp_1_rule_table", f"{_TABLE_PLAN} SELECT seq, rule_no, actions FROM hit")
+add("rsp_2_rule_table_plans", f"{_TABLE_PLAN} {_PLAN_ROWS}")
 add("rsp_1_matched_rules", f"{_PLAN} SELECT seq, rule_no, actions FROM hit")
-add("rsp_2_plans", f"""{_PLAN}
-SELECT seq, CAST(row_number() OVER (PARTITION BY seq ORDER BY nth) - 1 AS INTEGER) AS ordinal,
-  action, target, destructive, reason FROM plan""")
+add("rsp_2_plans", f"{_PLAN} {_PLAN_ROWS}")
 add("rsp_3_defaults", f"{_PLAN} SELECT * FROM det")
 add("rsp_4_destructive", f"{_PLAN} SELECT seq, bool_or(destructive) AS destructive FROM plan GROUP BY seq")
 

@@ -203,6 +203,14 @@ def gov_15_destinations(spark, folder):
         "request_id", "destination", "destination_approved", "zero_retention", "dpa")
 
 
+@query
+def gov_15_destinations_as_of(spark, folder):
+    """By a register with versions; the number of a request stands for its time, which some lack."""
+    asked = _requests(spark, folder).withColumn("asked_at", F.when(F.col("seq") % 71 != 4, F.col("seq")))
+    return governance.with_destination_as_of(asked, v.load(spark, folder, "postures")).select(
+        "request_id", "destination", "destination_approved", "zero_retention", "dpa")
+
+
 @query
 def gov_16_decisions(spark, folder):
     return governance.decision_rows(prompts(spark, folder))
@@ -461,6 +469,12 @@ def pen_1_due_dates(spark, folder):
     return _tracked(spark, folder).select("seq", "id", F.col("sla_due").cast("string").alias("sla_due"))
 
 
+@query
+def pen_1_due_dates_as_of(spark, folder):
+    df = remediation.with_due_dates_as_of(v.load(spark, folder, "pentest"), v.load(spark, folder, "deadlines"))
+    return df.select("seq", "id", F.col("sla_due").cast("string").alias("sla_due"))
+
+
 @query
 def pen_2_overdue(spark, folder):
     return _tracked(spark, folder).select("seq", "id", "overdue")
@@ -587,6 +601,23 @@ def rsp_1_matched_rules(spark, folder):
                      F.array_join(response.destructive_actions(), ", ").alias("actions"))
 
 
+def _probed(spark, folder):
+    """Detections, and probes whose types only rules of the table know."""
+    return _detected(spark, folder).select("seq", "type", "severity", "resource").unionByName(
+        v.load(spark, folder, "probes").withColumn("seq", F.col("seq") + 1_000_000_000))
+
+
+@query
+def rsp_1_rule_table(spark, folder):
+    df = response.with_rules(response.with_defaults(_probed(spark, folder)), v.response_rules(spark, folder))
+    return df.select("seq", "rule_no", joined("actions"))
+
+
+@query
+def rsp_2_rule_table_plans(spark, folder):
+    return response.plan_rows(_probed(spark, folder), rules=v.response_rules(spark, folder))
+
+
 @query
 def rsp_2_plans(spark, folder):
     return response.plan_rows(_detected(spark, folder))

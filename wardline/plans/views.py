@@ -190,6 +190,29 @@ _TABLE = {
 }
 
 
+SQL |= {
+    "postures": """
+SELECT CASE n_nationkey % 6 WHEN 0 THEN 'anthropic-enterprise' WHEN 1 THEN 'openai-enterprise' WHEN 2 THEN 'amazon-bedrock'
+    WHEN 3 THEN 'cursor' WHEN 4 THEN 'chatgpt-consumer' ELSE 'unlisted-tool' END AS destination,
+  CAST((n_nationkey * 53) % 701 AS BIGINT) AS valid_from,
+  n_nationkey % 3 <> 1 AS approved, n_nationkey % 2 = 0 AS zero_retention, n_nationkey % 5 <> 2 AS dpa
+FROM {nation}""",
+    "deadlines": """
+SELECT CASE n_nationkey % 4 WHEN 0 THEN 'critical' WHEN 1 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS severity,
+  CAST(DATE '1992-06-01' + n_nationkey * INTERVAL '83' DAY AS DATE) AS valid_from,
+  CAST(5 + n_nationkey AS INT) AS days
+FROM {nation}""",
+    "response_rules": """
+SELECT CAST(100 + c_custkey AS INT) AS rule_no, 'Recon:i-' || CAST(c_custkey AS STRING) AS prefix,
+  'watch_' || CAST(c_nationkey AS STRING) AS action
+FROM {customer}""",
+    "probes": """
+SELECT event_id AS seq, 'Recon:i-' || CAST(user_id AS STRING) || '/probe' AS type, CAST(1 + event_id % 8 AS DOUBLE) AS severity,
+  'i-' || CAST(user_id AS STRING) AS resource
+FROM {events}""",
+}
+_TABLE |= {"postures": "nation", "deadlines": "nation", "response_rules": "customer", "probes": "events"}
+
 # each row once with k = 0 and once with k = 1, from one scan
 _TWICE_SPARK = "explode(array(0, 1))"
 _TWICE_CHECK = "unnest([0, 1])"
@@ -293,6 +316,14 @@ def http_of(df: DataFrame) -> DataFrame:
         names, F.transform(names, lambda _: F.lit("set"))))
 
 
+def response_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The fixed rules and one for each customer, as a table."""
+    fixed = constant_rows(["rule_no", "prefix", "actions"], [
+        (n, prefix, list(actions)) for n, (prefix, actions) in enumerate(reg.RESPONSE_RULES, start=1)])
+    derived = load(spark, folder, "response_rules").select("rule_no", "prefix", F.array("action").alias("actions"))
+    return spark.range(1).select(F.explode(fixed).alias("r")).select("r.*").unionByName(derived)
+
+
 THREAT_COLUMNS = ["threat_id", "stride", "component", "description", "mitigation", "control",
                   "status", "ref"]
 CONTROL_COLUMNS = ["control_id", "name", "owner", "system", "evidence", "cadence", "automated"]
