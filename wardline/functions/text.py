@@ -24,6 +24,9 @@ MERGED_SPAN = "struct<start:int,stop:int,labels:array<string>>"
 
 _CARD = jvm(reg.CARD_PATTERN)
 _SSN = jvm(reg.SSN_PATTERN)
+_DEFINITION = jvm(reg.DEFINITION_PATTERN)
+_SELECT_IN_LINE = jvm(rf"(?m)^((?>[^\n]*?(?=SELECT\s)))({reg.SELECT_PATTERN})")
+_SELECT_AT_END = jvm(r"(?=SELECT\s*\n)" + reg.SELECT_PATTERN)
 # both number patterns begin with a digit and go on with at least ten of these
 _NUMBER_RUN = r"(?U)\d[\d -]{10}"
 
@@ -177,12 +180,34 @@ def ssn_detections(text: Column) -> Column:
                        lambda m: _detection("pii", m, "high", F.lit(reg.SSN_REASON)))
 
 
+def source_code_match(text: Column) -> Column:
+    """The first match of ``SOURCE_CODE_PATTERN``, or an empty text, in time that grows with the text only.
+
+    Trying each SELECT would read the rest of its line each time. But if the first one of a line finds no FROM, no other
+    one of the line does, unless the line ends with it: it alone can go on in the next line. So two searches find
+    the first SELECT that matches, one reading each line once, one trying the SELECTs at ends of lines.
+    """
+    def found(at: Column, snippet: Column) -> Column:
+        return F.when(at > 0, F.struct(at.alias("at"), snippet.alias("snippet")))
+
+    line, last = F.regexp_instr(text, F.lit(_SELECT_IN_LINE)), F.regexp_instr(text, F.lit(_SELECT_AT_END))
+    # places are counted in UTF-16 units
+    indent = F.octet_length(F.encode(F.regexp_extract(text, _SELECT_IN_LINE, 1), "UTF-16BE")) / 2
+    selects = [found(F.when(line > 0, line + indent.cast("int")), F.regexp_extract(text, _SELECT_IN_LINE, 2)),
+               found(last, F.regexp_extract(text, _SELECT_AT_END, 0))]
+    definition = found(F.regexp_instr(text, F.lit(_DEFINITION)), F.regexp_extract(text, _DEFINITION, 0))
+    has_select = F.contains(text, F.lit("SELECT")) & F.contains(text, F.lit("FROM"))
+    first = F.when(has_select, F.least(definition, *selects)).otherwise(definition)
+    return F.coalesce(first["snippet"], F.lit(""))
+
+
 def _first_match_detections(text: Column, fold: Column, classes: Sequence[str]) -> Column:
     found = []
     for data_class, pattern, ignore_case, needs, longest in _FIRST_MATCH:
         if classes and data_class not in classes:
             continue
-        snippet = F.regexp_extract(text, jvm(pattern, ignore_case), 0)
+        snippet = (source_code_match(text) if data_class == "source_code"
+                   else F.regexp_extract(text, jvm(pattern, ignore_case), 0))
         if longest:
             snippet = F.substring(snippet, 1, longest)
         snippet = F.when(rule_applies(text, fold, ignore_case, needs), snippet).otherwise("")
