@@ -73,3 +73,26 @@ def test_first_bad_hop_ends_the_chain(spark):
         assert check(spark, [bad], 1000).reason == "chain verification failed: malformed token"
     assert check(spark, ["%%.%%"], 1000).reason == "chain verification failed: bad signature"
     assert check(spark, chain_of(spark, key=b"other"), 1000).verified is False
+
+
+def test_a_token_log_has_the_verdicts_of_its_chains(spark):
+    from wardline.operators import identity
+
+    good = chain_of(spark)
+    late, forged = chain_of(spark, now=1), good[1][:-3] + "zzz"
+    chains = {1: good, 2: [good[0], forged, late[2]], 3: [late[0], good[1], good[2]], 4: [good[0], None, good[2]], 5: []}
+    rows = [(seq, hop, token) for seq, tokens in chains.items() for hop, token in enumerate(tokens)]
+    rows += [(6, None, good[0]), (6, 0, good[0])] + [(7, hop, good[hop % 3] if hop != 1500 else forged) for hop in range(2000)]
+    log = spark.createDataFrame(rows, "seq long, hop_no int, token string").repartition(4)
+    checked = identity.checked_log(log, KEY, F.lit(1200))
+    requests = spark.createDataFrame([(s,) for s in range(1, 8)], "seq long")
+    verdicts = {r.seq: r for r in identity.log_verdicts(checked, requests).collect()}
+    labels = {}
+    for r in identity.log_chain_rows(checked, identity.log_verdicts(checked)).orderBy("seq", "hop_no").collect():
+        labels.setdefault(r.seq, []).append(r.label)
+    for seq, tokens in chains.items():
+        one = check(spark, tokens, 1200)
+        assert (verdicts[seq].verified, verdicts[seq].reason) == (one.verified, one.reason)
+        assert labels.get(seq, []) == one.chain
+    assert verdicts[6].reason.endswith("no hop number") and 6 not in labels and verdicts[6].failed_hop == -1
+    assert verdicts[7].failed_hop == 1500 and len(labels[7]) == 1500 and verdicts[7].hops == 2000

@@ -308,6 +308,16 @@ SELECT seq, verified, CASE WHEN verified THEN {_ACTORS.replace(' > ', ', ')}
 FROM (SELECT c_custkey AS seq, {_CHAIN_OK.replace('seq', 'c_custkey')} AS verified,
   {_CHAIN_REASON.replace('seq', 'c_custkey')} AS reason FROM customer)""")
 
+_LOG = f"""(SELECT c_custkey AS seq, {_CHAIN_OK.replace('seq', 'c_custkey')} AS verified,
+  {_CHAIN_REASON.replace('seq', 'c_custkey')} AS reason FROM customer)"""
+_FAILED_HOP = f"CASE WHEN NOT verified THEN CASE WHEN {_NO_CLOCK} THEN 0 ELSE 1 END END"
+add("idn_5_log_verdicts", f"""
+SELECT seq, verified, CAST({_FAILED_HOP} AS INTEGER) AS failed_hop,
+  CAST(CASE WHEN verified IS NULL THEN 0 ELSE {len(v.CHAIN_ROLES)} END AS BIGINT) AS hops, reason FROM {_LOG}""")
+add("idn_5_log_chains", f"""
+SELECT seq, hop_no, role || ':' || actor AS label FROM {_FRESH} JOIN (
+  SELECT seq, verified, {_FAILED_HOP} AS failed_hop FROM {_LOG}) USING (seq) WHERE verified OR hop_no < failed_hop""")
+
 # --- model input and output --------------------------------------------------------------------------------
 _USER = f"(SELECT * FROM {view('turns')} WHERE role = 'user')"
 _MODEL = f"(SELECT * FROM {view('turns')} WHERE role = 'assistant')"

@@ -291,6 +291,24 @@ def idn_5_verified_chains(spark, folder):
         "seq", "verified", joined("chain"), "reason")
 
 
+def _token_log(spark, folder):
+    """The tokens of all chains as rows, and the requests they belong to."""
+    chains = v.with_tokens(v.chains(spark, folder))
+    return chains, identity.checked_log(identity.token_rows(chains), v.SIGNING_KEY, v.clock())
+
+
+@query
+def idn_5_log_verdicts(spark, folder):
+    chains, checked = _token_log(spark, folder)
+    return identity.log_verdicts(checked, chains)
+
+
+@query
+def idn_5_log_chains(spark, folder):
+    _, checked = _token_log(spark, folder)
+    return identity.log_chain_rows(checked, identity.log_verdicts(checked))
+
+
 # --- model input and output -----------------------------------------------------------------------------
 def _turns(spark, folder, role):
     return v.load_spread(spark, folder, "turns").filter(F.col("role") == role)
