@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardline.functions.asof import as_of_join
-from wardline.operators import response
+from wardline.operators import registers, response
 
 SCHEMA = "rule_no int, prefix string, actions array<string>"
 
@@ -63,3 +63,21 @@ def test_empty_tables(spark):
     right = spark.createDataFrame([], "tool string, since int, label string")
     assert [tuple(r) for r in as_of_join(left, right, key="tool", at="at", valid_from="since").collect()] == [(1, "a", 5, None)]
     assert as_of_join(left.limit(0), right, key="tool", at="at", valid_from="since").count() == 0
+
+
+def test_coverage_by_a_register_counts_in_one_pass_and_fills_with_zero(spark):
+    threats = spark.createDataFrame([("o1", "mitigated", "S"), ("o1", "mitigated", "T"), ("o1", None, "S"), ("o2", "odd", None)],
+                                    "org_id string, status string, stride string")
+    register = spark.createDataFrame([("status", "mitigated"), ("status", "partial"), ("stride", "S"), ("stride", "S"), ("stride", "E")],
+                                     "dimension string, value string")
+    got = {(r.org_id, r.dimension, r.value): r.n for r in registers.coverage_rows(threats, register).collect()}
+    assert got == {("o1", "status", "mitigated"): 2, ("o1", "status", "partial"): 0, ("o1", "stride", "S"): 2, ("o1", "stride", "E"): 0,
+                   ("o2", "status", "mitigated"): 0, ("o2", "status", "partial"): 0, ("o2", "stride", "S"): 0, ("o2", "stride", "E"): 0}
+    assert registers.coverage_rows(threats, register.limit(0)).count() == 0
+    assert registers.coverage_rows(threats.limit(0), register).count() == 0
+
+
+def test_references_that_no_register_holds(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "seq long, control string")
+    register = spark.createDataFrame([("a",), ("a",), (None,)], "name string")
+    assert sorted(r.seq for r in registers.unknown_references(rows, register, "control", "name").collect()) == [2, 3]

@@ -11,7 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline import registries as reg
-from wardline.functions.exprs import element_rows, percent
+from wardline.functions.exprs import element_rows, named, percent
+from wardline.functions.lookups import lookup_join
+from wardline.functions.ranking import with_position
+from wardline.session import written
 
 
 def threat_coverage(threats: DataFrame) -> DataFrame:
@@ -26,6 +29,35 @@ def threat_coverage(threats: DataFrame) -> DataFrame:
     return counts.withColumn("mitigated_pct", percent(F.col("status_mitigated"), F.col("total")))
 
 
+def coverage_rows(threats: DataFrame, register: DataFrame) -> DataFrame:
+    """org_id, dimension, value, n: how many threats of an organisation have each value of a register.
+
+    ``register`` (dimension, value) lists the statuses and classes of any number; dimensions are ``status`` and ``stride``. All counts
+    come from one pass (grouping sets), and what an organisation does not have is zero. An organisation's rows are numbered, and the
+    register joined by number, so it is neither collected nor broadcast for that. Values the register does not list are left out.
+    """
+    sets = [["org_id", "status"], ["org_id", "stride"], ["org_id"]]
+    counts = written(threats.groupingSets(sets, "org_id", "status", "stride").agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_set")), "coverage")
+    # grouping_id tells which of the last two columns a row is not about
+    kind = F.when(F.col("_set") == 1, F.lit("status")).when(F.col("_set") == 2, F.lit("stride"))
+    found = counts.select("org_id", kind.alias("dimension"), F.when(F.col("_set") == 1, F.col("status")).otherwise(
+        F.col("stride")).alias("value"), "n").filter("dimension IS NOT NULL AND value IS NOT NULL")
+    listed = register.select("dimension", "value").distinct().withColumn("_seq", F.xxhash64("dimension", "value"))
+    numbered = with_position(listed, [], seq="_seq", name="_place").drop("_seq")
+    size = numbered.count()
+    places = F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(size).cast("bigint")) if size else F.array().cast("array<bigint>"))
+    wanted = counts.filter(F.col("_set") == 3).select("org_id", places.alias("_place")).join(numbered, "_place").drop("_place")
+    return wanted.join(found, ["org_id", "dimension", "value"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+
+
+def unknown_references(rows: DataFrame, register: DataFrame, column: str, name: str) -> DataFrame:
+    """``rows`` whose ``column`` names nothing in ``register``'s column ``name``, or nothing at all: an anti-join."""
+    known = register.select(F.col(name).alias(column)).dropna().distinct().withColumn("_known", F.lit(True))
+    return lookup_join(rows, known, [column], spread_by=rows.columns[0]).filter("_known IS NULL").select(
+        *map(named, rows.columns))
+
+
 def open_gaps(threats: DataFrame) -> DataFrame:
     return threats.filter(F.col("status") != "mitigated")
 

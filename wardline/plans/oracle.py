@@ -680,6 +680,19 @@ _COUNTS = ", ".join(
 add("reg_1_threat_coverage", f"""
 SELECT *, {_PCT.format(a='status_mitigated', b='total')} AS mitigated_pct
 FROM (SELECT org_id, count(*) AS total, {_COUNTS} FROM {_THREATS} GROUP BY org_id)""")
+_DIMENSIONS = ", ".join([f"('status', {text(s)})" for s in reg.THREAT_STATUSES]
+                        + [f"('stride', {text(c)})" for c in reg.STRIDE_CLASSES])
+add("reg_1_coverage_rows", f"""
+WITH t AS (SELECT * FROM {_THREATS})
+SELECT o.org_id, d.dimension, d.value, count(t.org_id) AS n
+FROM (SELECT DISTINCT org_id FROM t) o CROSS JOIN (VALUES {_DIMENSIONS}) AS d(dimension, value)
+LEFT JOIN t ON t.org_id = o.org_id AND d.value = CASE d.dimension WHEN 'status' THEN t.status ELSE t.stride END
+GROUP BY ALL""")
+add("reg_3_controls_not_in_register", f"""
+SELECT org_id, threat_id, control FROM {_THREATS} WHERE control NOT IN ({', '.join(text(c) for c in reg.KNOWN_CONTROLS)})""")
+add("cfg_3_threats_not_in_register", f"""
+SELECT account_id, policy_id, prevents FROM ({ORACLE_SQL['cfg_3_unknown_threats']})
+WHERE prevents NOT IN (SELECT threat_id FROM {_THREATS})""")
 add("reg_2_open_gaps", f"""
 SELECT org_id, threat_id, stride, component, description, control, status FROM {_THREATS}
 WHERE status <> 'mitigated'""")

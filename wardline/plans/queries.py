@@ -780,6 +780,25 @@ def reg_1_threat_coverage(spark, folder):
     return registers.threat_coverage(v.threats(spark, folder))
 
 
+@query
+def reg_1_coverage_rows(spark, folder):
+    return registers.coverage_rows(v.threats(spark, folder), v.coverage_register(spark))
+
+
+@query
+def reg_3_controls_not_in_register(spark, folder):
+    return registers.unknown_references(v.threats(spark, folder), v.known_controls(spark), "control", "name").select(
+        "org_id", "threat_id", "control")
+
+
+@query
+def cfg_3_threats_not_in_register(spark, folder):
+    """Policies of accounts that name a threat which no organisation's register holds."""
+    known = v.threats(spark, folder).select("threat_id")
+    return registers.unknown_references(v.policies(spark, folder), known, "prevents", "threat_id").select(
+        "account_id", "policy_id", "prevents")
+
+
 @query
 def reg_2_open_gaps(spark, folder):
     return registers.open_gaps(v.threats(spark, folder)).select(

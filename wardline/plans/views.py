@@ -324,6 +324,15 @@ def response_rules(spark: SparkSession, folder: str) -> DataFrame:
     return spark.range(1).select(F.explode(fixed).alias("r")).select("r.*").unionByName(derived)
 
 
+def coverage_register(spark: SparkSession) -> DataFrame:
+    rows = [("status", s) for s in reg.THREAT_STATUSES] + [("stride", c) for c in reg.STRIDE_CLASSES]
+    return spark.range(1).select(F.explode(constant_rows(["dimension", "value"], rows)).alias("r")).select("r.*")
+
+
+def known_controls(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(F.explode(constant_rows(["name"], [(c,) for c in reg.KNOWN_CONTROLS])).alias("r")).select("r.*")
+
+
 THREAT_COLUMNS = ["threat_id", "stride", "component", "description", "mitigation", "control",
                   "status", "ref"]
 CONTROL_COLUMNS = ["control_id", "name", "owner", "system", "evidence", "cadence", "automated"]
