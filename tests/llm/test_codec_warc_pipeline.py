@@ -102,11 +102,13 @@ def plain_records(pages, least=0):
     for page, _, html in pages:
         if page is not None:
             largest[html or ""] = max(largest.get(html or "", page), page)
-    out = []
+    out, responses = [], set()
     for page, _, html in pages:
         data = (html or "").encode()
         first = largest.get(html or "")
-        revisit = len(data) >= least and page != first
+        # of rows that repeat a response one is the response
+        revisit = len(data) >= least and (page != first or (page is not None and (page, html or "") in responses))
+        responses.add((page, html or ""))
         out.append((page, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(),
                     "revisit" if revisit else "response", first if revisit else None))
     return sorted(out, key=repr)

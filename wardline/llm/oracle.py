@@ -56,9 +56,11 @@ digests AS (
   FROM bits),
 firsts AS (SELECT h, max(page_id) AS first_id FROM digests GROUP BY h)
 SELECT d.page_id, d.payload_bytes, d.payload_digest,
-       CASE WHEN d.page_id IS NOT DISTINCT FROM f.first_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN d.page_id IS DISTINCT FROM f.first_id THEN f.first_id END AS refers_to
-FROM digests d JOIN firsts f USING (h)
+       CASE WHEN first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN NOT first THEN first_id END AS refers_to
+FROM (SELECT *, d.page_id IS NOT DISTINCT FROM first_id AND (
+        d.page_id IS NULL OR row_number() OVER (PARTITION BY d.page_id, h) = 1) AS first
+      FROM digests d JOIN firsts USING (h)) d
 """
 
 ORACLE_SQL["op9_exact_search"] = """

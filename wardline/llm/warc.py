@@ -137,7 +137,8 @@ def write_archives(pages: DataFrame, folder: str, *, least_bytes: int = 0,
 
     A null html is an empty payload, a null url an empty target, and a page without an id is
     written without one, before all others. Repeated rows are records of their own, in a fixed
-    order. Other columns play no part. Empty tables give a manifest without files.
+    order; of rows with the id and the payload of a response one is the response, the others revisit it (without
+    an id there is nothing to refer to, and all are responses). Other columns play no part. Empty tables give a manifest without files.
 
     The payload is shuffled once: what a page revisits travels as a row of its own that is
     sorted before its page. A task holds one batch of pages, of a bounded size or one page.
@@ -156,22 +157,25 @@ def write_archives(pages: DataFrame, folder: str, *, least_bytes: int = 0,
                 int(spark.conf.get("spark.sql.shuffle.partitions")))
     ready = (add_shard(directions.unionByName(rows)).select(*names)
              .repartitionByRange(tasks, "shard")
-             .sortWithinPartitions("shard", "page_id", "is_page", "url", "html"))
+             .sortWithinPartitions("shard", "page_id", "is_page", "html", "url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, last, copy, known, done = None, None, 0, {}, []
+        writer, last, copy, known, done, before = None, None, 0, {}, [], None
         for batch in slices(batches, "html", 8 * SLICE_BYTES):
             for row in batch.to_pylist():
                 if writer is None or writer.shard != row["shard"]:
                     done += writer.close() if writer else ()
                     writer, last = ShardWriter(folder, row["shard"], roll_bytes), ()
                 if last != row["page_id"]:
-                    last, copy, known = row["page_id"], 0, {}
+                    last, copy, known, before = row["page_id"], 0, {}, None
                 if not row["is_page"]:
                     known[row["sha"]] = row["refers_to"]
                     continue
                 payload = (row["html"] or "").encode("utf-8")
                 first = known.get(hashlib.sha1(payload).hexdigest()) if known else None
+                if first is None and payload == before and len(payload) >= least_bytes:
+                    first = row["page_id"]  # rows that repeat a response revisit it
+                before = payload
                 done += writer.write(record(row["page_id"], row["url"], payload, first, copy))
                 copy += 1
             if done:
