@@ -195,10 +195,10 @@ def source_code_match(text: Column) -> Column:
     indent = F.octet_length(F.encode(F.regexp_extract(text, _SELECT_IN_LINE, 1), "UTF-16BE")) / 2
     selects = [found(F.when(line > 0, line + indent.cast("int")), F.regexp_extract(text, _SELECT_IN_LINE, 2)),
                found(last, F.regexp_extract(text, _SELECT_AT_END, 0))]
-    definition = found(F.regexp_instr(text, F.lit(_DEFINITION)), F.regexp_extract(text, _DEFINITION, 0))
+    definition = F.regexp_extract(text, _DEFINITION, 0)
+    first = F.least(found(F.regexp_instr(text, F.lit(_DEFINITION)), definition), *selects)
     has_select = F.contains(text, F.lit("SELECT")) & F.contains(text, F.lit("FROM"))
-    first = F.when(has_select, F.least(definition, *selects)).otherwise(definition)
-    return F.coalesce(first["snippet"], F.lit(""))
+    return F.when(has_select, F.coalesce(first["snippet"], F.lit(""))).otherwise(definition)
 
 
 def _first_match_detections(text: Column, fold: Column, classes: Sequence[str]) -> Column:
