@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,13 +21,20 @@ def hmac_pads(key: bytes) -> tuple[bytes, bytes]:
     return bytes(b ^ 0x36 for b in block), bytes(b ^ 0x5C for b in block)
 
 
+def _replaced(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """``text`` with pieces exchanged; searches bytes, which is faster than a pattern or ``translate``."""
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def base64url(raw: Column) -> Column:
-    text = F.regexp_replace(F.base64(raw), "[\r\n=]", "")
-    return F.translate(text, "+/", "-_")
+    # padding is at the end only; a session may ask for lines, whose ends are always both characters
+    return _replaced(F.rtrim(F.base64(raw), F.lit("=")), [("\r\n", ""), ("+", "-"), ("/", "_")])
 
 
 def from_base64url(text: Column) -> Column:
-    return F.try_to_binary(F.translate(text, "-_", "+/"), F.lit("base64"))
+    return F.try_to_binary(_replaced(text, [("-", "+"), ("_", "/")]), F.lit("base64"))
 
 
 def sign(body: Column, key: bytes) -> Column:

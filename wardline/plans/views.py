@@ -17,7 +17,7 @@ from wardline import registries as reg
 from wardline.functions import identity as idn
 from wardline.functions.exprs import constant_rows
 from wardline.session import INPUT_PIECES
-from wardline.sources.tables import read_parquet, spread
+from wardline.sources.tables import dealt_out, read_parquet, spread
 
 SIGNING_KEY = b"wardline-fixture-signing-key"
 NOW = 1_782_000_000
@@ -258,18 +258,16 @@ def with_tokens(df: DataFrame) -> DataFrame:
     """Signed chains; by seq, hop 1 is tampered with, expired, malformed or never expires, or all is unsigned."""
     case = F.col("seq") % 5
     fresh = idn.mint_chain(F.col("actor_chain"), F.lit(NOW), SIGNING_KEY)
-    stale = idn.mint_chain(F.col("actor_chain"), F.lit(NOW - EXPIRED_BY), SIGNING_KEY)
-    mixed = F.zip_with(fresh, stale, lambda f, s: F.struct(f.alias("f"), s.alias("s")))
+    stale = idn.mint_chain(F.col("actor_chain"), F.lit(NOW - EXPIRED_BY), SIGNING_KEY)[1]  # minted where it is asked for
 
-    def corrupt(pair, i):
-        token = pair["f"]
+    def corrupt(token, i):
         tampered = F.concat(F.substring(token, F.lit(1), F.length(token) - 3), F.lit("zzz"))
-        bad = (F.when(F.col("seq") % 47 == 6, unexpiring(F.col("actor_chain")[1])).when(case == 1, tampered).when(case == 2, pair["s"])
+        bad = (F.when(F.col("seq") % 47 == 6, unexpiring(F.col("actor_chain")[1])).when(case == 1, tampered).when(case == 2, stale)
                .when(case == 3, F.replace(token, F.lit("."), F.lit(""))).otherwise(token))
         return F.when(i == 1, bad).otherwise(token)
 
     tokens = (F.when(case == 4, F.lit(None).cast("array<string>"))
-              .otherwise(F.transform(mixed, corrupt)))
+              .otherwise(F.transform(fresh, corrupt)))
     return df.withColumn("chain_tokens", tokens)
 
 
@@ -295,9 +293,10 @@ def requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chains(spark: SparkSession, folder: str) -> DataFrame:
-    """One signed chain per customer."""
+    """One signed chain per customer; a row is one number and costs six signatures, so they are dealt out."""
     customer = read_parquet(spark, folder, "customer").select(F.col("c_custkey").alias("seq"))
-    return with_chain(spread(customer, "seq", input_pieces(spark)))
+    pieces = input_pieces(spark)
+    return with_chain(spread(customer, "seq", pieces) if pieces else dealt_out(customer))
 
 
 def grants_of(df: DataFrame) -> DataFrame:
