@@ -859,7 +859,8 @@ def _guardrail_stream(spark, folder):
     def transform(batch: DataFrame) -> DataFrame:
         requests = v.with_tokens(v.with_chain(
             v.from_table(batch.sparkSession, "requests", batch)))
-        return governance.govern(requests, v.SIGNING_KEY, v.clock())
+        # what no table holds is not carried to them, the raw prompt least of all
+        return governance.govern(requests, v.SIGNING_KEY, v.clock()).drop("seq", "prompt", "chain_tokens")
 
     return streams.run_to_sinks(
         spark, streams.parquet_stream(spark, f"{folder}/documents.parquet"), transform, {

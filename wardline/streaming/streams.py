@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +55,9 @@ def run_to_sinks(spark: SparkSession, stream: DataFrame,
     """As ``run_to_end``, with several tables written from one computation of each micro-batch.
 
     A batch becomes visible in all tables at once (see ``commits``). Runs that are given the same ``base`` go on
-    where the last one ended or died.
+    where the last one ended or died. What is computed is written, not cached: a cached part is read whole by one task of every
+    sink, however large its split came out, but of a written one a task reads a split, and the columns that its sink uses. It is
+    emptied when the batch is committed.
     """
     base = base or scratch_path(spark, name)
     sample = transform(spark.createDataFrame([], stream.schema))
@@ -62,11 +65,16 @@ def run_to_sinks(spark: SparkSession, stream: DataFrame,
     commits.begin(spark, base, schemas)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        computed = transform(batch).persist()
+        session, path = batch.sparkSession, f"{base}/computed/{uuid.uuid4().hex}"
+        if commits.is_committed(session, base, batch_id):
+            return
+        result = transform(batch)
         try:
-            commits.commit(batch.sparkSession, base, batch_id, {s: part(computed) for s, part in sinks.items()})
+            result.write.parquet(path)
+            computed = session.read.schema(result.schema).parquet(path)
+            commits.commit(session, base, batch_id, {s: part(computed) for s, part in sinks.items()})
         finally:
-            computed.unpersist()
+            session.createDataFrame([], result.schema).write.mode("overwrite").parquet(path)
 
     (stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{base}/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())
