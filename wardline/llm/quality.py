@@ -177,7 +177,8 @@ def train(docs: DataFrame, labels: DataFrame, *, bits: int = BITS, max_rows: int
     offset = math.log((ones + 1) / (count - ones + 1))
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     context = docs.sparkSession.sparkContext
-    dealt = rows.repartition(SHARDS, "key").sortWithinPartitions("key")
+    # kept between rounds: else each of them shuffles the sample again, and all those shuffles stay on disk
+    dealt = rows.repartition(SHARDS, "key").sortWithinPartitions("key").persist()
     for _ in range(rounds if count else 0):
         state = context.broadcast((z, n))
 
@@ -191,6 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, *, bits: int = BITS, max_rows: int
         z[places] += moved["z"].to_numpy()
         n[places] += moved["n"].to_numpy()
         state.unpersist()
+    dealt.unpersist()
     return Model(weights(z, n, rates), offset)
 
 
