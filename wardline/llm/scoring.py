@@ -17,7 +17,8 @@ With trigrams the arrays below stand beside those of the bigrams, part for part:
   before which there is nothing. Bigrams are then told by these numbers, and what is not in a trigram's context is
   left to them.
 
-Every array is cut into parts, each written by one task under a temporary name and renamed.
+Every array is cut into parts, each written by one task under a temporary name and renamed. Pairs and triples take five bytes
+a key (``Keys``), counts one byte but for the few large ones (``Numbers``).
 """
 
 from __future__ import annotations
@@ -95,18 +96,131 @@ def small(values: np.ndarray) -> np.ndarray:
 def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Sorted keys and their counts as a blob; a task's row for one part.
 
-    Keys are told by their steps, the lowest bytes of all first: steps are small, so the shuffle's compression takes the rest.
+    The upper halves of keys are told by their steps, the lower ones too as long as the upper half stays, each with the lowest
+    bytes of all first: most bytes are few different ones, which compression takes.
     """
-    counts = small(counts)
-    steps = np.diff(keys.astype("<u8"), prepend=np.uint64(0))
-    return bytes([counts.dtype.itemsize]) + counts.tobytes() + steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+    keys, counts = keys.astype(np.uint64), small(counts)
+    upper, lower = (keys >> WORD_BITS).astype("<u4"), keys.astype("<u4")
+    steps = np.diff(upper, prepend=np.uint32(0))
+    lower = np.where(steps, lower, np.diff(lower, prepend=np.uint32(0)))
+    planes = [x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in (steps, lower.astype("<u4"))]
+    body = b"".join([bytes([counts.dtype.itemsize]), counts.tobytes(), *planes])
+    return len(body).to_bytes(8, "little") + pa.Codec("zstd").compress(body, asbytes=True)
 
 
 def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    width = blob[0]
-    n = (len(blob) - 1) // (8 + width)
-    steps = np.ascontiguousarray(np.frombuffer(blob, np.uint8, 8 * n, 1 + n * width).reshape(8, n).T)
-    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64), np.frombuffer(blob, f"<u{width}", n, 1)
+    body = pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+    width = body[0]
+    n = (len(body) - 1) // (8 + width)
+    planes = np.frombuffer(body, np.uint8, 8 * n, 1 + n * width).reshape(2, 4, n)
+    steps, lower = (np.ascontiguousarray(x.T).view("<u4").ravel() for x in planes)
+    upper = np.cumsum(steps, dtype=np.uint32)
+    # running sums that begin anew where the upper half changes
+    sums = np.cumsum(lower, dtype=np.uint32)
+    first = np.flatnonzero(steps)
+    before = np.append(np.uint32(0), (sums - lower)[first])[np.cumsum(steps != 0)]
+    return upper.astype(np.uint64) << WORD_BITS | (sums - before).astype(np.uint64), np.frombuffer(body, f"<u{width}", n, 1)
+
+
+def save_arrays(path: str, *arrays: np.ndarray) -> None:
+    """Arrays one after the other in one file, each from a multiple of eight bytes on, and their sizes."""
+    raw = [np.ascontiguousarray(a).reshape(-1).view(np.uint8) for a in arrays]
+    filled = [x for r in raw for x in (r, np.zeros(-len(r) % 8, np.uint8))]
+    save_array(path, np.concatenate([*filled, np.array([len(r) for r in raw], np.int64).view(np.uint8)]))
+
+
+def load_arrays(path: str, *types: type) -> list[np.ndarray]:
+    data = np.asarray(load_array(path))
+    out, at = [], 0
+    for kind, size in zip(types, data[-8 * len(types):].view(np.int64).tolist()):
+        out.append(data[at:at + size].view(kind))
+        at += size + -size % 8
+    return out
+
+
+class Keys:
+    """Sorted keys of 64 bits: the lower 40 bits of each, and which upper 24 begin where."""
+
+    BITS, REST = np.uint64(40), np.uint64((1 << 40) - 1)
+
+    def __init__(self, lower: np.ndarray, upper: np.ndarray, heads: np.ndarray, starts: np.ndarray) -> None:
+        self.lower, self.upper, self.heads, self.starts = lower, upper, heads, starts
+
+    @classmethod
+    def save(cls, path: str, keys: np.ndarray) -> None:
+        heads, starts = np.unique(keys >> cls.BITS, return_index=True)
+        save_arrays(path, keys.astype(np.uint32), (keys >> WORD_BITS).astype(np.uint8), heads.astype(np.uint32),
+                    np.append(starts, len(keys)).astype(np.int64))
+
+    @classmethod
+    def load(cls, path: str) -> Keys:
+        return cls(*load_arrays(path, np.uint32, np.uint8, np.uint32, np.int64))
+
+    @classmethod
+    def none(cls) -> Keys:
+        return cls(*(np.zeros(n, t) for n, t in ((0, np.uint32), (0, np.uint8), (0, np.uint32), (1, np.int64))))
+
+    def __len__(self) -> int:
+        return len(self.lower)
+
+    def all(self) -> np.ndarray:
+        return (np.repeat(self.heads.astype(np.uint64), np.diff(self.starts)) << self.BITS
+                | self._rest(slice(None)))
+
+    def _rest(self, at: np.ndarray | slice) -> np.ndarray:
+        return self.upper[at].astype(np.uint64) << WORD_BITS | self.lower[at]
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where sorted keys stand, and whether they do."""
+        head, known = look_up(self.heads, (keys >> self.BITS).astype(np.uint32))
+        row = np.zeros(len(keys), np.int64)
+        low, high, keys = self.starts[head[known]], self.starts[head[known] + 1], keys[known] & self.REST
+        # halved until one is left, the last that is not above the key
+        size = high - low
+        for _ in range(int(size.max(initial=0) - 1).bit_length() if len(size) else 0):
+            half = size >> 1
+            middle = low + half
+            low = np.where(self._rest(middle) <= keys, middle, low)
+            size -= half
+        row[known] = low
+        known[known] = self._rest(low) == keys
+        return row, known
+
+
+class Numbers:
+    """Rows of numbers, a byte each; those from 255 on stand apart with their places."""
+
+    MOST = 255
+
+    def __init__(self, values: np.ndarray, places: np.ndarray, more: np.ndarray, rows: int = 1) -> None:
+        self.values, self.places, self.more, self.rows = values, places, more, rows
+
+    @classmethod
+    def save(cls, path: str, numbers: np.ndarray) -> None:
+        numbers = numbers.reshape(-1)
+        places = np.flatnonzero(numbers >= cls.MOST)
+        save_arrays(path, np.minimum(numbers, cls.MOST).astype(np.uint8), places.astype(np.int64),
+                    numbers[places].astype(np.int64))
+
+    @classmethod
+    def load(cls, path: str, rows: int = 1) -> Numbers:
+        return cls(*load_arrays(path, np.uint8, np.int64, np.int64), rows)
+
+    @classmethod
+    def none(cls, rows: int = 1) -> Numbers:
+        return cls(np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64), rows)
+
+    def __len__(self) -> int:
+        return len(self.values) // self.rows
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The numbers of all rows at ``places``."""
+        places = np.arange(self.rows)[:, None] * len(self) + places
+        out = self.values[places].astype(np.int64)
+        large = np.nonzero(out == self.MOST)
+        if len(large[0]):
+            out[large] = self.more[np.searchsorted(self.places, places[large])]
+        return out
 
 
 def added(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -206,7 +320,7 @@ def train(texts: DataFrame, *, order: int = 2, parts: int | None = None) -> Meta
         for part, blobs in by_part(batches):
             keys, counts = added(blobs)
             save_array(f"{root}/word-{part}.npy", keys)
-            save_array(f"{root}/count-{part}.npy", counts)
+            Numbers.save(f"{root}/count-{part}.npy", counts)
             ends = int(counts[keys == END].sum())
             most = np.argsort(-counts, kind="stable")[:4 * parts]  # which may be hot
             yield pa.RecordBatch.from_arrays(
@@ -246,15 +360,16 @@ def _train_pairs(texts: DataFrame, meta: Meta) -> Meta:
     def write_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, blobs in by_part(batches):
             keys, counts = added(blobs)
-            save_array(f"{root}/pair-{part}.npy", keys)
-            save_array(f"{root}/times-{part}.npy", small(counts))
+            Keys.save(f"{root}/pair-{part}.npy", keys)
+            Numbers.save(f"{root}/times-{part}.npy", counts)
             if meta.order == 2:
                 yield from context_rows(keys, counts, meta)
-            yield told(part, [len(keys), *histogram(counts)], keys[counts > hot_count].tolist())
+            yield told(part, PAIRS, [len(keys), *histogram(counts)], keys[counts > hot_count].tolist())
 
-    rows, totals, hot_pairs = _stored(gathered(
+    rows, heard = _stored(gathered(
         counted(texts, pairs_of, lambda k: pair_part(k, meta)), parts).mapInArrow(write_pairs, BLOBS),
         f"{root}/statistics")
+    totals, hot_pairs = heard[PAIRS]
     if meta.order == 3:
         # ends have nothing after them
         end = Model(meta).ids(np.array([END]))[0]
@@ -269,8 +384,8 @@ def _train_pairs(texts: DataFrame, meta: Meta) -> Meta:
             for kind in range(5):
                 keys, values = added([b[1:] for b in blobs if b[0] == kind + 1])
                 seen[kind, (keys - np.uint64(low)).astype(np.int64)] = values
-            save_array(f"{root}/context-{part}.npy", small(seen[:4]))
-            save_array(f"{root}/before-{part}.npy", small(seen[4]))
+            Numbers.save(f"{root}/context-{part}.npy", seen[:4])
+            Numbers.save(f"{root}/before-{part}.npy", seen[4])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x], pa.int64()) for x in histogram(seen[4])], names=["a", "b", "c", "d"])
 
@@ -286,19 +401,24 @@ def _train_pairs(texts: DataFrame, meta: Meta) -> Meta:
         "bigram_discounts": discounts(totals[1:])})
 
 
-def _stored(stats: DataFrame, path: str) -> tuple[DataFrame, list[int], list]:
-    """Written rows for the parts, and sums and lists of what the parts told."""
+PAIRS, TRIPLES = 2, 3  # of what a row for the driver tells
+
+
+def _stored(stats: DataFrame, path: str) -> tuple[DataFrame, dict[int, tuple[list[int], list]]]:
+    """Written rows for the parts, and sums and lists of what the parts told of pairs and of triples."""
     stats.write.parquet(path)
     stats = stats.sparkSession.read.schema(BLOBS).parquet(path)
     heard = [json.loads(bytes(r.blob)) for r in stats.filter("part < 0").collect()]
-    totals = np.array([h[0] for h in heard] or [[0] * 5]).sum(axis=0).tolist()
-    return stats.filter("part >= 0"), totals, [x for h in heard for x in h[1]]
+    of = {kind: [h[1:] for h in heard if h[0] == kind] for kind in (PAIRS, TRIPLES)}
+    return stats.filter("part >= 0"), {
+        kind: (np.array([h[0] for h in rows] or [[0] * 5]).sum(axis=0).tolist(), [x for h in rows for x in h[1]])
+        for kind, rows in of.items()}
 
 
-def told(part: int, sums: list[int], items: list) -> pa.RecordBatch:
+def told(part: int, kind: int, sums: list[int], items: list) -> pa.RecordBatch:
     """A row for the driver."""
     return pa.RecordBatch.from_arrays(
-        [pa.array([-1 - part], pa.int32()), pa.array([json.dumps([sums, items]).encode()], pa.binary())],
+        [pa.array([-1 - part], pa.int32()), pa.array([json.dumps([kind, sums, items]).encode()], pa.binary())],
         names=["part", "blob"])
 
 
@@ -349,12 +469,12 @@ def _train_triples(texts: DataFrame, meta: Meta) -> tuple[DataFrame, list[int],
     def write_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, blobs in by_part(batches):
             try:
-                pairs = load_array(f"{root}/pair-{part}.npy")
+                pairs = Keys.load(f"{root}/pair-{part}.npy").all()
             except FileNotFoundError:  # hot contexts can fall here all the same
                 pairs = np.empty(0, np.uint64)
             keys, counts = added([b for b in blobs if b])
-            save_array(f"{root}/triple-{part}.npy", keys)
-            save_array(f"{root}/triple_times-{part}.npy", small(counts))
+            Keys.save(f"{root}/triple-{part}.npy", keys)
+            Numbers.save(f"{root}/triple_times-{part}.npy", counts)
             row = keys >> WORD_BITS
             is_hot = row > WORD_MASK - np.uint64(len(hot))
             place = (WORD_MASK - row[is_hot]).astype(np.int64)
@@ -362,9 +482,9 @@ def _train_triples(texts: DataFrame, meta: Meta) -> tuple[DataFrame, list[int],
             kinds, hot_kinds = [], []
             for n in (1, 2, 3):
                 of = (counts == n) if n < 3 else (counts > 2)
-                kinds.append(small(np.bincount(row[of & ~is_hot], minlength=len(pairs))))
+                kinds.append(np.bincount(row[of & ~is_hot], minlength=len(pairs)))
                 hot_kinds.append(np.bincount(place[of[is_hot]], minlength=len(hot)).tolist())
-            save_array(f"{root}/kinds-{part}.npy", np.array(kinds))
+            Numbers.save(f"{root}/kinds-{part}.npy", np.concatenate(kinds))
             # the bigram that is left when the first word goes
             middle = np.empty(len(keys), dtype=np.uint64)
             middle[~is_hot] = pairs[row[~is_hot]] & WORD_MASK
@@ -372,28 +492,34 @@ def _train_triples(texts: DataFrame, meta: Meta) -> tuple[DataFrame, list[int],
             after, before = np.unique(middle << WORD_BITS | keys & WORD_MASK, return_counts=True)
             if len(after):
                 yield dealt(after, before, pair_part(after, meta))
-            yield told(part, [len(keys), *histogram(counts)], [hot_kinds])
-
-    found = texts.select("text").mapInArrow(count, BLOBS)
-    rows, totals, hot_kinds = _stored(gathered(found.union(every), parts).mapInArrow(write_triples, BLOBS),
-                                      f"{root}/statistics-3")
-    hot_kinds = np.array(hot_kinds, dtype=np.int64).sum(axis=0).reshape(3, len(hot)).T.tolist()
+            yield told(part, TRIPLES, [len(keys), *histogram(counts)], [hot_kinds])
 
     def write_adjusted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, blobs in by_part(batches):
+            if part < 0:  # what the trigrams' tasks told goes on to the driver
+                yield pa.RecordBatch.from_arrays([pa.array([part] * len(blobs), pa.int32()), pa.array(blobs, pa.binary())],
+                                                 names=["part", "blob"])
+                continue
             try:
-                pairs, times = (load_array(f"{root}/{n}-{part}.npy") for n in ("pair", "times"))
+                pairs = Keys.load(f"{root}/pair-{part}.npy").all()
+                times = Numbers.load(f"{root}/times-{part}.npy")
             except FileNotFoundError:
                 continue
-            counts = np.where(pairs >> WORD_BITS == np.uint64(meta.start), times, 0).astype(np.int64)
+            counts = np.zeros(len(pairs), dtype=np.int64)
+            at_start = np.flatnonzero(pairs >> WORD_BITS == np.uint64(meta.start))
+            counts[at_start] = times.at(at_start)[0]
             keys, before = added([b for b in blobs if b])
             counts[np.searchsorted(pairs, keys)] = before
-            save_array(f"{root}/adjusted-{part}.npy", small(counts))
+            Numbers.save(f"{root}/adjusted-{part}.npy", counts)
             yield from context_rows(pairs, counts, meta)
-            yield told(part, [len(pairs), *histogram(counts)], [])
+            yield told(part, PAIRS, [len(pairs), *histogram(counts)], [])
 
-    rows, pair_totals, _ = _stored(gathered(rows.union(every), parts).mapInArrow(write_adjusted, BLOBS),
-                                   f"{root}/statistics-2")
+    found = texts.select("text").mapInArrow(count, BLOBS)
+    adjusted = gathered(found.union(every), parts).mapInArrow(write_triples, BLOBS)
+    rows, heard = _stored(gathered(adjusted.union(every), parts).mapInArrow(write_adjusted, BLOBS),
+                          f"{root}/statistics-2")
+    pair_totals, (totals, hot_kinds) = heard[PAIRS][0], heard[TRIPLES]
+    hot_kinds = np.array(hot_kinds, dtype=np.int64).sum(axis=0).reshape(3, len(hot)).T.tolist()
     return rows, pair_totals, Meta(**asdict(meta) | {
         "trigram_discounts": discounts(totals[1:]), "hot_kinds": tuple(map(tuple, hot_kinds))})
 
@@ -426,7 +552,8 @@ class Model:
 
     def __init__(self, meta: Meta) -> None:
         self.meta = meta
-        self.words = [self._load("word", p) for p in range(meta.parts)]
+        self.words = [self._load("word", p, lambda path: np.asarray(load_array(path)), np.empty(0, np.uint64))
+                      for p in range(meta.parts)]
 
     @classmethod
     def of(cls, meta: Meta) -> Model:
@@ -434,19 +561,22 @@ class Model:
             cls._open = {meta: cls(meta)}
         return cls._open[meta]
 
-    def _load(self, name: str, part: int) -> np.ndarray:
+    def _load(self, name: str, part: int, load, none):
         try:
-            return load_array(f"{self.meta.folder}/{name}-{part}.npy")
+            return load(f"{self.meta.folder}/{name}-{part}.npy")
         except FileNotFoundError:  # no word or pair fell into the part
-            return np.empty({"context": (4, 0), "kinds": (3, 0)}.get(name, 0), np.uint64)
+            return none
 
     def finish(self) -> None:
         """Open what only scoring needs."""
         if not hasattr(self, "pairs"):
             of = range(self.meta.parts)
-            (self.counts, self.before, self.contexts, self.times, self.adjusted, self.kinds, self.triple_keys,
-             self.triple_times, self.pairs) = ([self._load(n, p) for p in of] for n in (
-                 "count", "before", "context", "times", "adjusted", "kinds", "triple", "triple_times", "pair"))
+            rows = {"context": 4, "kinds": 3}
+            (self.counts, self.before, self.contexts, self.times, self.adjusted, self.kinds, self.triple_times) = (
+                [self._load(n, p, lambda path, r=rows.get(n, 1): Numbers.load(path, r), Numbers.none(rows.get(n, 1)))
+                 for p in of] for n in ("count", "before", "context", "times", "adjusted", "kinds", "triple_times"))
+            self.triple_keys, self.pairs = ([self._load(n, p, Keys.load, Keys.none()) for p in of]
+                                            for n in ("triple", "pair"))
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """The id of each hash; -1 for unknown words."""
@@ -459,18 +589,18 @@ class Model:
             ids[some] = np.where(known, row + self.meta.first_ids[part], -1)
         return ids[back]
 
-    def of_ids(self, arrays: list[np.ndarray], ids: np.ndarray, rows: int = 1) -> np.ndarray:
+    def of_ids(self, arrays: list[Numbers], ids: np.ndarray, rows: int = 1) -> np.ndarray:
         """What ``arrays`` say of ids of the vocabulary, which are sorted and known."""
         out = np.zeros((rows, len(ids)), dtype=np.float64)
         borders = np.searchsorted(ids, [*self.meta.first_ids[:-1], self.meta.start + 1])
         for part in np.flatnonzero(np.diff(borders)):
             some = slice(borders[part], borders[part + 1])
-            if arrays[part].size:
-                out[:, some] = arrays[part][..., ids[some] - self.meta.first_ids[part]]
+            if len(arrays[part]):
+                out[:, some] = arrays[part].at(ids[some] - self.meta.first_ids[part])
         return out
 
-    def rows(self, tables: list[np.ndarray], part: np.ndarray, keys: np.ndarray,
-             *arrays: tuple[list[np.ndarray], int]) -> list[np.ndarray]:
+    def rows(self, tables: list[Keys], part: np.ndarray, keys: np.ndarray,
+             *arrays: tuple[list[Numbers], int]) -> list[np.ndarray]:
         """The row of each key in the table of its part, -1 if unknown, and what ``arrays`` hold there, else 0."""
         row = np.full(len(keys), -1, dtype=np.int64)
         out = [np.zeros((n, len(keys))) for _, n in arrays]
@@ -478,15 +608,15 @@ class Model:
         borders = np.searchsorted(part[order], np.arange(self.meta.parts + 1))
         for number in np.flatnonzero(np.diff(borders)):
             some = order[borders[number]:borders[number + 1]]
-            at, known = look_up(tables[number], keys[some])
+            at, known = tables[number].look_up(keys[some])
             some, at = some[known], at[known]
             row[some] = at
             for values, (array, _) in zip(out, arrays):
                 if len(at):
-                    values[:, some] = array[number][..., at]
+                    values[:, some] = array[number].at(at)
         return [row, *out]
 
-    def pair_rows(self, pairs: np.ndarray, *arrays: tuple[list[np.ndarray], int]) -> list[np.ndarray]:
+    def pair_rows(self, pairs: np.ndarray, *arrays: tuple[list[Numbers], int]) -> list[np.ndarray]:
         return self.rows(self.pairs, pair_part(pairs, self.meta), pairs, *arrays)
 
     def triples(self, contexts: np.ndarray, row: np.ndarray, back: np.ndarray,
