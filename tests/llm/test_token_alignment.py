@@ -108,3 +108,43 @@ def test_an_empty_table_has_no_rows(spark):
     got = ta.alignments(docs, BYTE_TOKENIZER, TOKENIZER)
     assert got.count() == 0 and got.schema.simpleString() == "struct<" + ",".join(
         f"{c.split(' ')[0]}:{'bigint' if c.endswith('long') else 'string'}" for c in ta.OUT.split(", ")) + ">"
+
+
+class Counting:
+    """A tokenizer that adds up the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.bytes, self.seen = tokenizer, tokenizer.bytes, 0
+
+    def encode(self, text):
+        self.seen += len(text)
+        return self.tokenizer.encode(text)
+
+
+def test_each_different_word_of_a_block_is_encoded_once():
+    tokenizers = Counting(ta.ByteLevel(BYTE_TOKENIZER)), Counting(ta.Pieces(TOKENIZER))
+    block = ta.Block(tokenizers, ta.Windows(tokenizers))
+    texts = ["the same few words, over and over again " * 200, "again and over\n the words "]
+    for _ in range(2):
+        for number, text in zip(block.numbers(texts), texts):
+            block.add(1, [number])
+    for t in tokenizers:
+        assert t.seen < 200
+    assert [r[1:3] for r in block.rows] == 2 * [tuple(len(t.encode(x)) for t in tokenizers) for x in texts]
+
+
+def test_words_have_the_tokens_of_their_text_and_changed_ones_are_found():
+    tokenizers = ta.ByteLevel(BYTE_TOKENIZER), ta.Pieces(TOKENIZER)
+    texts = [t for t in ODD if t]
+    for text in texts:
+        assert " ".join(ta.words(text)) == text
+        for t in tokenizers:
+            assert [i for w in ta.words(text) for i in t.encode(w)] == t.encode(text)
+    block = ta.Block(tokenizers, ta.Windows(tokenizers))
+    many = [f"w{i}" + "▁" * (i % 97 == 5) for i in range(1_000)]
+    block.numbers([" ".join(many), *texts])
+    changed = {w for w, n in block.known.items() if not block.sizes[0, n]}
+    assert {w for w in many if "▁" in w} == changed & set(many)
+    for w, n in block.known.items():
+        if w not in changed:
+            assert block.sizes[:2, n].tolist() == [len(t.encode(w)) for t in tokenizers]

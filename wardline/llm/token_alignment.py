@@ -1,11 +1,13 @@
 """Which tokens of two tokenizers cover the same bytes, and how usual each pair of ids is in the corpus.
 
 Tokenizer A is byte-level BPE over a space and the text, tokenizer B SentencePiece BPE over the text, which puts the
-space in front itself. After a text is encoded whole, every place where both have a token that begins with a space
-is an anchor, once the bytes before it are known to be the same; anchors cut the two id sequences into windows. What a window's tokens
-have in common depends on its ids alone, so each pair of id tuples is aligned once in a block and remembered.
+space in front itself. Both begin a token at a single space between other characters, whatever stands around, so a text's tokens
+are those of its words (see ``words``), and each different word of a block is encoded once. Every place where both have a
+token that begins with a space is an anchor, once the bytes before it are known to be the same; anchors cut the two id sequences into
+windows. What a window's tokens have in common depends on its ids alone, so each pair of id tuples is aligned once in a block and
+remembered.
 
-A block is the unit of work: about four megabytes of texts, encoded and aligned in slices. It holds its different windows and pairs
+A block is the unit of work: about four megabytes of texts, cut, encoded and aligned in slices. It holds its different windows and pairs
 once, and of each document only how often it has which window. The corpus-wide counts are sums of the blocks'
 counts; each block then gets back the counts of its own pairs, not one row for each document and pair.
 """
@@ -18,7 +20,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -175,6 +177,13 @@ class Windows:
         """For each text, its two sequences having the same bytes, the numbers of its windows and its ``written`` groups."""
         if not texts:
             return []
+        first = [np.cumsum([len(t[side]) for t in texts])[:-1] for side in (0, 1)]
+        _, anchors, numbers, codes = self.cut(texts)
+        return list(zip(np.split(numbers, np.searchsorted(anchors, first[0])), np.split(codes, first[0] + first[1])))
+
+    def cut(self, texts: list[tuple[list[int], list[int]]]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+        """Of all texts in a row: at which byte the tokens of each side begin, which of A's tokens begin windows, the windows'
+        numbers and the ``written`` groups."""
         ids = tuple(np.fromiter(chain.from_iterable(t[side] for t in texts), np.int64) for side in (0, 1))
         sizes = [s[i] for s, i in zip(self._sizes, ids)]
         starts = [np.cumsum(n) - n for n in sizes]
@@ -185,9 +194,7 @@ class Windows:
         anchors = [np.flatnonzero(x == 15) for x in begins]
         windows = Sequences(ids, tuple(np.append(a, len(i)) for a, i in zip(anchors, ids)))
         codes = _group_codes(ids, [(x & 3) == 3 for x in begins], len(self._sizes[0]))
-        first = [np.cumsum([len(t[side]) for t in texts])[:-1] for side in (0, 1)]
-        return list(zip(np.split(self._numbered(windows), np.searchsorted(anchors[0], first[0])),
-                        np.split(codes, first[0] + first[1])))
+        return starts, anchors[0], self._numbered(windows), codes
 
     def _numbered(self, windows: Sequences) -> np.ndarray:
         hashes, one, which = np.unique(windows.hashes(), return_index=True, return_inverse=True)
@@ -266,6 +273,10 @@ def _signs(count_a: int, count_b: int) -> list[str]:
 
 
 # --- blocks -----------------------------------------------------------------------------------
+TOGETHER = 256  # words that are encoded at once
+CUT = re.compile(r" (?<=\S )(?=\S)")
+
+
 def cuts(text: str, limit: int) -> Iterator[str]:
     """``text`` in pieces of about ``limit`` characters, cut at a single space between two other characters.
 
@@ -274,7 +285,7 @@ def cuts(text: str, limit: int) -> Iterator[str]:
     """
     start = 0
     while len(text) - start > limit:
-        at = re.compile(r"(?<=\S) (?=\S)").search(text, start + limit)
+        at = CUT.search(text, start + limit)
         if not at:
             break
         yield text[start:at.start()]
@@ -282,27 +293,92 @@ def cuts(text: str, limit: int) -> Iterator[str]:
     yield text[start:]
 
 
+def words(text: str) -> list[str]:
+    """``text`` cut wherever ``cuts`` may; what is left whole holds other white space, if any."""
+    return CUT.split(text)
+
+
 @dataclass
 class Block:
-    """The documents of a block so far."""
+    """The documents of a block so far, and its different words: what they were encoded to."""
 
     tokenizers: tuple[ByteLevel, Pieces]
     windows: Windows
     rows: list[tuple] = field(default_factory=list)  # doc_id, n_a, n_b, n_groups, n_links, groups_sha256
     content: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # windows of each document, and how often
-
-    def add(self, doc_id: int | None, n_a: int, n_b: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """A document by its numbers of tokens and its pieces (see ``Windows.of``); without pieces it has no tokens."""
-        signs = _signs(*(len(t.bytes) for t in self.tokenizers))
-        digest, groups = hashlib.sha256(), 0
-        for i, (_, codes) in enumerate(parts):
-            groups += int((codes[codes < 2 * len(self.tokenizers[0].bytes)] & 1).sum())
-            text = "".join([signs[c] for c in codes.tolist()])
+    known: dict[str, int] = field(default_factory=dict)  # the number of each word
+    written: list[str] = field(default_factory=list)  # its groups
+    sizes: np.ndarray = field(default_factory=lambda: np.empty((3, 0), np.int64))  # n_a, n_b, groups; 0 if it has no tokens
+    of_word: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # its windows, from ``ptr`` on
+    ptr: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+
+    def numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of the words of each text; new words are encoded and aligned."""
+        lists = list(map(words, texts))
+        new = [w for w in dict.fromkeys(chain.from_iterable(lists)) if w not in self.known]
+        if new:
+            # white space that begins or ends a text can't be told from that of a neighbour
+            self._learn(new, {w for x in lists for w in (x[0], x[-1]) if w != w.strip()})
+        return [np.fromiter(map(self.known.__getitem__, x), np.int64, len(x)) for x in lists]
+
+    def _learn(self, new: list[str], alone: set[str]) -> None:
+        """``new`` words are encoded together, with single spaces between, but for those that must stand ``alone``."""
+        inner = [w for w in new if w not in alone]
+        groups = [*([w] for w in new if w in alone), *(inner[i:i + TOGETHER] for i in range(0, len(inner), TOGETHER))]
+        found = [x for group in groups for x in self._encoded(group)]
+        good = [w for some, ids in found if ids for w in some]
+        self.known.update(zip(chain(good, (w for some, ids in found if not ids for w in some)), count(len(self.known))))
+        bad = len(new) - len(good)
+        if good:
+            starts, anchors, numbers, codes = self.windows.cut([ids for _, ids in found if ids])
+            ends = np.cumsum([1 + len(w.encode("utf-8")) for w in good])
+            at = [np.append(0, np.searchsorted(x, ends)) for x in starts]  # where the tokens of each word begin
+            of_codes = at[0] + at[1]
+            last = codes < 2 * len(self.tokenizers[0].bytes)
+            groups = np.append(0, np.cumsum(last & (codes & 1 == 1)))[of_codes]
+            self.sizes = np.concatenate([self.sizes, np.diff([*at, groups])], axis=1)
+            self.of_word = np.concatenate([self.of_word, numbers])
+            self.ptr = np.append(self.ptr, self.ptr[-1] + np.searchsorted(anchors, at[0][1:]))
+            signs = _signs(*(len(t.bytes) for t in self.tokenizers))
+            texts, bounds = [signs[c] for c in codes.tolist()], of_codes.tolist()
+            self.written += ["".join(texts[i:j]) for i, j in zip(bounds, bounds[1:])]
+        # a word that a tokenizer changes has no tokens
+        self.sizes = np.concatenate([self.sizes, np.zeros((3, bad), np.int64)], axis=1)
+        self.ptr = np.append(self.ptr, np.repeat(self.ptr[-1], bad))
+        self.written += [""] * bad
+
+    def _encoded(self, some: list[str]) -> Iterator[tuple[list[str], tuple[list[int], list[int]] | None]]:
+        """``some`` words and their ids; in smaller groups where a tokenizer changes one of them."""
+        text = " ".join(some)
+        ids = tuple(t.encode(text) for t in self.tokenizers)
+        data = (" " + text).encode("utf-8")
+        if all(b"".join(map(t.bytes.__getitem__, x)) == data for t, x in zip(self.tokenizers, ids)):
+            yield some, ids
+        elif len(some) == 1:
+            yield some, None
+        else:
+            step = -(-len(some) // 16)
+            for i in range(0, len(some), step):
+                yield from self._encoded(some[i:i + step])
+
+    def add(self, doc_id: int | None, parts: list[np.ndarray]) -> None:
+        """A document by the numbers of its words, in parts that are written one by one; without parts it has no tokens."""
+        word, often = np.unique(np.concatenate([np.empty(0, np.int64), *parts]), return_counts=True)
+        n_a, n_b, groups = (self.sizes[:, word] * often).sum(axis=1).tolist()
+        if not len(word) or not self.sizes[0, word].all():
+            self.rows.append((doc_id, 0, 0, 0, 0, ""))
+            return self.content.append((np.empty(0, np.int64),) * 2)
+        digest = hashlib.sha256()
+        for i, part in enumerate(parts):
+            text = "".join(map(self.written.__getitem__, part.tolist()))
             digest.update(text[:-1 if i + 1 == len(parts) else None].encode())
         # a link begins where a token of either side does; where both do, a group begins
-        self.rows.append((doc_id, n_a, n_b, groups, n_a + n_b - groups, digest.hexdigest() if parts else ""))
-        numbers = [n for n, _ in parts] or [np.empty(0, np.int64)]
-        self.content.append(np.unique(np.concatenate(numbers), return_counts=True))
+        self.rows.append((doc_id, n_a, n_b, groups, n_a + n_b - groups, digest.hexdigest()))
+        sizes = self.ptr[word + 1] - self.ptr[word]
+        window, back = np.unique(self.of_word[_spread(self.ptr[word], sizes)], return_inverse=True)
+        times = np.zeros(len(window), np.int64)
+        np.add.at(times, back, np.repeat(often, sizes))
+        self.content.append((window, times))
 
     def batches(self, number: int) -> Iterator[pa.RecordBatch]:
         """The documents, the windows and the distinct pairs of the block, these with the number of documents that hold them."""
@@ -349,30 +425,10 @@ def blocks(docs: DataFrame, a: str, b: str, *, block_bytes: int = BLOCK_BYTES, s
     A text that is null or empty, or that a tokenizer changes, has no tokens. A text longer than a slice is encoded and
     aligned piece by piece.
     """
-    def encoded(text: str, tokenizers) -> tuple[list[int], list[int]] | None:
-        a_ids, b_ids = (t.encode(text) for t in tokenizers)
-        data = (" " + text).encode("utf-8")
-        whole = all(b"".join(map(t.bytes.__getitem__, x)) == data for t, x in zip(tokenizers, (a_ids, b_ids)))
-        return (a_ids, b_ids) if whole else None
-
-    def long(block: Block, doc_id: int | None, text: str, tokenizers) -> None:
-        n_a = n_b = 0
-        parts = []
-        for piece in cuts(text, slice_bytes):
-            ids = encoded(piece, tokenizers)
-            if ids is None:
-                return block.add(doc_id, 0, 0, [])
-            parts += block.windows.of([ids])
-            n_a, n_b = n_a + len(ids[0]), n_b + len(ids[1])
-        block.add(doc_id, n_a, n_b, parts)
-
     def flush(block: Block, waiting: list[tuple]) -> None:
-        found = iter(block.windows.of([ids for _, ids in waiting if ids]))
-        for doc_id, ids in waiting:
-            if ids:
-                block.add(doc_id, len(ids[0]), len(ids[1]), [next(found)])
-            else:
-                block.add(doc_id, 0, 0, [])
+        found = iter(block.numbers([text for _, text in waiting if text]))
+        for doc_id, text in waiting:
+            block.add(doc_id, [next(found)] if text else [])
         waiting.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,9 +441,9 @@ def blocks(docs: DataFrame, a: str, b: str, *, block_bytes: int = BLOCK_BYTES, s
                 if text and len(text) > slice_bytes:
                     flush(block, waiting)
                     held = 0
-                    long(block, doc_id, text, tokenizers)
+                    block.add(doc_id, [block.numbers([piece])[0] for piece in cuts(text, slice_bytes)])
                 else:
-                    waiting.append((doc_id, encoded(text, tokenizers) if text else None))
+                    waiting.append((doc_id, text))
                 size, held = size + len(text or ""), held + len(text or "")
                 if held >= slice_bytes or len(waiting) >= 10_000:
                     flush(block, waiting)
